@@ -27,3 +27,96 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     d = dim.select(F.col(dim_key).alias("__k"), *[F.col(src).alias(dst) for src, dst in columns.items()])
     j = fact.join(d, fact[fact_key] == d["__k"], "left")
     return j.drop("__k")
+
+
+# ------------------------------------------------------- projections (B)
+def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """First ``n`` rows in key order (a top-n, planned as TakeOrderedAndProject)."""
+    return df.orderBy(key).limit(n)
+
+
+def assemble(cols: list[str], name: str = "features") -> Column:
+    """Feature columns as one ``array<double>`` (the dense matrix row)."""
+    return F.array(*[F.col(c).cast("double") for c in cols]).alias(name)
+
+
+def facet_long(df: DataFrame, ids: list[str], features: list[str],
+               name: str = "feature", value: str = "value") -> DataFrame:
+    """Wide features to long ``(ids..., feature, value)``."""
+    return df.select(*ids, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
+        ids, features, name, value)
+
+
+# ----------------------------------------------------- one-hot encoding (F1)
+def _safe(level: str) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in str(level))
+
+
+def category_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list:
+    """Distinct non-null levels, sorted.  A categorical column has a bounded
+    level set; an unbounded one is refused rather than pulled to the driver."""
+    levels = (df.where(F.col(col).isNotNull()).select(col).distinct()
+              .orderBy(col).limit(max_levels + 1).collect())
+    if len(levels) > max_levels:
+        raise ValueError(f"{col} has more than {max_levels} levels; not a categorical column")
+    return [r[0] for r in levels]
+
+
+def one_hot(df: DataFrame, cols: list[str], levels: dict | None = None,
+            keep: bool = False) -> DataFrame:
+    """one 0/1 column ``<col>_<level>`` per level (all levels kept);
+    a null gets zeros everywhere.  ``levels`` fixes the vocabulary (fit on
+    training rows and reuse it on later cohorts)."""
+    levels = levels or {c: category_levels(df, c) for c in cols}
+    out = [F.col(c) for c in df.columns if keep or c not in cols]
+    for c in cols:
+        for lv in levels[c]:
+            out.append(F.coalesce((F.col(c) == F.lit(lv)).cast("int"), F.lit(0)).alias(f"{c}_{_safe(lv)}"))
+    return df.select(*out)
+
+
+# --------------------------------------------------- standard scaler
+class ScalerModel:
+    """Mean and population std per column, held on the driver (two numbers a
+    column).  A zero std scales by 1, like scikit-learn."""
+
+    def __init__(self, stats: dict[str, tuple[float, float]]):
+        self.stats = stats
+
+    def transform(self, df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+        cols = cols or list(self.stats)
+        repl = {}
+        for c in cols:
+            mean, std = self.stats[c]
+            scale = std if std and std > 0 else 1.0
+            repl[c] = (F.col(c).cast("double") - F.lit(mean)) / F.lit(scale)
+        return df.withColumns(repl)
+
+
+def fit_scaler(df: DataFrame, cols: list[str]) -> ScalerModel:
+    """one aggregate of ``avg`` and ``stddev_pop`` per column."""
+    row = df.agg(*[e for c in cols for e in (
+        F.avg(F.col(c).cast("double")).alias(f"{c}__m"),
+        F.stddev_pop(F.col(c).cast("double")).alias(f"{c}__s"))]).first()
+    return ScalerModel({c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols})
+
+
+# ----------------------------------------------------- named feature sets
+def feature_sets(stats: list[str], total: str, wins: str, dummies: list[str],
+                 top_correlated: list[str]) -> dict[str, list[str]]:
+    """the study's named feature sets.
+
+    * ``all_no_total``   - every stat except the total, wins, dummies
+    * ``total_dummies``  - the total instead of the single stats, dummies
+    * ``top_correlated`` - the columns most correlated with the label
+    * ``total_wins``     - the total and the win count
+    * ``total_only``     - the total alone
+    """
+    singles = [s for s in stats if s not in (total, wins)]
+    return {
+        "all_no_total": singles + [wins] + dummies,
+        "total_dummies": [total] + dummies,
+        "top_correlated": list(top_correlated),
+        "total_wins": [total, wins],
+        "total_only": [total],
+    }
