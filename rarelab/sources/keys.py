@@ -1,38 +1,16 @@
-"""Dense 0-based positions without a single-partition window (inventory A3).
+"""Dense row keys (inventory A3).
 
-A global ``row_number()`` funnels every row into one task, and
-``monotonically_increasing_id`` is unique but not dense.  Here the rows are
-range-partitioned and sorted on a unique order, each partition is counted,
-partition offsets are prefix-summed over the (tiny) count table, and each row's
-position is its offset plus its place inside the partition.  A hot value of a
-leading order column spreads over many range partitions, so no task receives a
-whole class.
+A global ``row_number()`` funnels every row into one task and
+``monotonically_increasing_id`` is unique but not dense; ``dense_key`` uses
+the range-partitioned position of :mod:`rarelab.operators.ordered`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-POS_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row_in_partition
-
-
-def dense_position(df: DataFrame, order_cols: list, name: str = "pos",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``name``: the 0-based position of each row in ``order_cols`` order.
-    ``order_cols`` must be unique per row (end with the key)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id()))
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
-    # one row per partition: a proven bound, broadcast
-    out = s.join(F.broadcast(offsets), "__pid")
-    pos = F.col("__off") + F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), POS_BITS)
-    return out.withColumn(name, pos).drop("__pid", "__mid", "__off")
+from rarelab.operators.ordered import dense_position
 
 
 def dense_key(df: DataFrame, order_cols: list, name: str = "row_key", start: int = 1) -> DataFrame:
