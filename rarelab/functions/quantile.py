@@ -1,58 +1,63 @@
-"""Exact percentile without funnelling a column into one task.
+"""Exact order statistics without funnelling a column into one task.
 
 Spark's exact ``percentile`` aggregate keeps a value->count map per group; for a
 global percentile that map holds every distinct value in one task.  Here the
-approximate sketch (``percentile_approx``, mergeable, bounded memory) brackets
-the wanted ranks, one counting pass verifies the bracket, and only the rows
-inside it (about ``8 n / accuracy``) are ordered to read off the two order
-statistics.  Interpolation is linear between ranks ``floor(p(n-1))`` and
-``ceil(p(n-1))``, as in pandas ``quantile`` and SQL ``quantile_cont``.
+approximate sketch (``percentile_approx``: mergeable, bounded memory) brackets
+the wanted ranks, one counting pass verifies the bracket (widening it if the
+sketch missed), and only the rows inside it - about ``8 n / accuracy`` - are
+ordered to read off the exact order statistics.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_percentile(df: DataFrame, column: str, p: float,
-                     accuracy: int = 20000) -> float | None:
-    if not 0.0 <= p <= 1.0:
-        raise ValueError("p must lie in [0, 1]")
-    x = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
+def rank_bracket(df: DataFrame, value: Column, k_lo: int, k_hi: int, n: int,
+                 accuracy: int = 20000):
+    """Bounds containing the 0-based ranks ``k_lo..k_hi`` of ``value`` (non-null
+    rows of ``df``, ``n`` of them).  Returns ``(before, inside, below)``:
+    predicates selecting the rows ordered before the bracket and the bracket
+    rows, and the number of rows before it."""
+    x = df.select(value.cast("double").alias("__x")).where(F.col("__x").isNotNull())
     eps = 4.0 / accuracy
     while True:
-        lo_p, hi_p = max(0.0, p - eps), min(1.0, p + eps)
-        row = x.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy).alias("b"),
-        ).first()
-        n = row["n"]
-        if n == 0:
-            return None
-        pos = p * (n - 1)
-        k_lo, k_hi = math.floor(pos), math.ceil(pos)
-        frac = pos - k_lo
-        lo, hi = row["b"]
-        # lo/hi widen to the full range when the sketch quantile is an end point
-        lo_cond = F.col("x") >= F.lit(lo) if lo_p > 0.0 else F.lit(True)
-        hi_cond = F.col("x") <= F.lit(hi) if hi_p < 1.0 else F.lit(True)
-        counts = x.agg(
-            F.count(F.when(~lo_cond, 1)).alias("below"),
-            F.count(F.when(lo_cond & hi_cond, 1)).alias("inside"),
-        ).first()
-        below, inside = counts["below"], counts["inside"]
+        lo_p, hi_p = max(0.0, k_lo / max(n - 1, 1) - eps), min(1.0, k_hi / max(n - 1, 1) + eps)
+        lo, hi = x.agg(F.percentile_approx("__x", F.array(F.lit(lo_p), F.lit(hi_p)), accuracy)).first()[0]
+        lo_c = value.cast("double") >= F.lit(lo) if lo_p > 0.0 else F.lit(True)
+        hi_c = value.cast("double") <= F.lit(hi) if hi_p < 1.0 else F.lit(True)
+        xc = F.col("__x")
+        lo_x = xc >= F.lit(lo) if lo_p > 0.0 else F.lit(True)
+        hi_x = xc <= F.lit(hi) if hi_p < 1.0 else F.lit(True)
+        row = x.agg(F.count(F.when(~lo_x, 1)).alias("below"),
+                    F.count(F.when(lo_x & hi_x, 1)).alias("inside")).first()
+        below, inside = row["below"], row["inside"]
         if below <= k_lo and k_hi < below + inside:
-            break
-        if lo_p == 0.0 and hi_p == 1.0:  # cannot happen: full range holds every rank
-            raise RuntimeError("percentile bracket verification failed")
+            before = value.cast("double") < F.lit(lo) if lo_p > 0.0 else F.lit(False)
+            return before, value.isNotNull() & lo_c & hi_c, below
+        if lo_p == 0.0 and hi_p == 1.0:
+            raise RuntimeError("rank bracket verification failed")
         eps *= 4.0
-    offset = k_lo - below
-    vals = [r["x"] for r in (
-        x.where(lo_cond & hi_cond).orderBy("x").offset(offset).limit(k_hi - k_lo + 1).collect()
-    )]
-    v_lo = vals[0]
-    v_hi = vals[-1]
-    return v_lo + frac * (v_hi - v_lo)
+
+
+def exact_percentile(df: DataFrame, column: str, p: float,
+                     accuracy: int = 20000) -> float | None:
+    """Linear-interpolated percentile between ranks ``floor(p(n-1))`` and
+    ``ceil(p(n-1))``, as pandas ``quantile`` and SQL ``quantile_cont``."""
+    if not 0.0 <= p <= 1.0:
+        raise ValueError("p must lie in [0, 1]")
+    value = F.col(column).cast("double")
+    n = df.where(value.isNotNull()).count()
+    if n == 0:
+        return None
+    pos = p * (n - 1)
+    k_lo, k_hi = math.floor(pos), math.ceil(pos)
+    frac = pos - k_lo
+    _, inside, below = rank_bracket(df, value, k_lo, k_hi, n, accuracy)
+    vals = [r[0] for r in (
+        df.where(inside).select(value.alias("__x")).orderBy("__x")
+        .offset(k_lo - below).limit(k_hi - k_lo + 1).collect())]
+    return vals[0] + frac * (vals[-1] - vals[0])
