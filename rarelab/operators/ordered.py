@@ -1,60 +1,99 @@
-"""Order-dependent quantities computed without a single-partition window.
+"""Order-dependent quantities (running sums, dense positions) computed without
+a single-partition window and without relying on physical partition ids.
 
-Rows are range-partitioned on the order (so a hot group spans many tasks),
-each partition computes its local running values, and per-partition totals -
-a table with one row per (partition, group) - are prefix-summed and broadcast
-back as offsets.
+Boundary rows drawn from a bounded sample cut the order into buckets; a row's
+bucket is a pure function of its values (a balanced CASE tree of struct
+comparisons), so recomputation after an executor loss gives the same answer.
+Each bucket holds about ``rows_per_bucket`` rows - boundaries include the
+unique tail of the order, so even a value shared by a third of the rows is
+spread over many buckets.  Per (group, bucket) totals form a small table that
+is prefix-summed and joined back as offsets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-POS_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row_in_partition
+SAMPLE_PER_BUCKET = 32
+SAMPLE_SEED = 17
 
 
-def _n_parts(df: DataFrame, num_partitions: int | None) -> int:
-    return num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _bucket_count(df: DataFrame, n: int, rows_per_bucket: int) -> int:
+    par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(max(par, math.ceil(n / rows_per_bucket)), max(1, n // SAMPLE_PER_BUCKET)))
 
 
-def dense_position(df: DataFrame, order_cols: list, name: str = "pos",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add ``name``: the 0-based position of each row in ``order_cols`` order.
-    ``order_cols`` must be unique per row (end with the key).  An explicit
-    partition count keeps AQE from coalescing the range exchange, so the
-    partition ids seen by the count and by the rows agree."""
-    n = _n_parts(df, num_partitions)
-    s = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("__pid", F.spark_partition_id())
-         .withColumn("__mid", F.monotonically_increasing_id()))
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
-    # one row per partition: a proven bound, broadcast
-    out = s.join(F.broadcast(offsets), "__pid")
-    pos = F.col("__off") + F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), POS_BITS)
-    return out.withColumn(name, pos).drop("__pid", "__mid", "__off")
+def _boundaries(df: DataFrame, cols: list[str], n_buckets: int, n: int) -> list[tuple]:
+    if n_buckets <= 1 or n == 0:
+        return []
+    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n)
+    sample = df.select(*cols).sample(False, frac, SAMPLE_SEED).orderBy(*cols).collect()
+    if not sample:
+        return []
+    step = len(sample) / n_buckets
+    out = []
+    for i in range(1, n_buckets):
+        b = tuple(sample[min(len(sample) - 1, int(i * step))])
+        if not out or b != out[-1]:
+            out.append(b)
+    return out
+
+
+def bucket_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
+    """Index of the bucket holding each row: bucket ``i`` is
+    ``bounds[i-1] <= (cols) < bounds[i]``."""
+    if not bounds:
+        return F.lit(0)
+    types = [df.schema[c].dataType for c in cols]
+    key = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(cols)])
+    lits = [F.struct(*[F.lit(v).cast(types[i]).alias(f"f{i}") for i, v in enumerate(b)]) for b in bounds]
+
+    def build(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(key < lits[mid - 1], build(lo, mid - 1)).otherwise(build(mid, hi))
+
+    return build(0, len(bounds))
 
 
 def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols: list[str],
-                prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
-    """Add ``<prefix><c>``: the sum of ``c`` over rows of the same group whose
-    order is at or before the current row (``order_cols`` unique within a
-    group)."""
-    n = _n_parts(df, num_partitions)
-    keys = list(group_cols) + list(order_cols)
-    s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-         .withColumn("__pid", F.spark_partition_id()))
-    totals = s.groupBy("__pid", *group_cols).agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    wg = Window.partitionBy(*group_cols).orderBy("__pid") if group_cols else Window.orderBy("__pid")
-    offsets = totals.select("__pid", *group_cols, *[
-        (F.sum(f"__t_{c}").over(wg) - F.col(f"__t_{c}")).alias(f"__o_{c}") for c in sum_cols])
-    # local running sums: window keyed by the range partition, bounded by its size
-    wl = (Window.partitionBy("__pid", *group_cols).orderBy(*order_cols)
+                prefix: str = "cum_", rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Add ``<prefix><c>``: the sum of ``c`` over rows of the same group at or
+    before the current row in ``order_cols`` order.  ``order_cols`` (column
+    names or expressions, ascending, non-null) must be unique within a
+    group."""
+    group_cols = list(group_cols)
+    ocols = []
+    for i, c in enumerate(order_cols):
+        name = f"__o{i}"
+        df = df.withColumn(name, F.col(c) if isinstance(c, str) else c)
+        ocols.append(name)
+    keys = group_cols + ocols
+    n = df.count()
+    bounds = _boundaries(df, keys, _bucket_count(df, n, rows_per_bucket), n)
+    b = df.withColumn("__b", bucket_of(df, keys, bounds))
+    totals = b.groupBy(*group_cols, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
+    wg = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("__b")
+    offsets = totals.select(*group_cols, "__b", *[
+        (F.sum(f"__t_{c}").over(wg) - F.col(f"__t_{c}")).alias(f"__s_{c}") for c in sum_cols])
+    wl = (Window.partitionBy(*group_cols, "__b").orderBy(*ocols)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = s.withColumns({f"__l_{c}": F.sum(c).over(wl) for c in sum_cols})
-    # offsets has one row per (range partition, group): bounded, broadcast
-    out = local.join(F.broadcast(offsets), ["__pid", *group_cols])
-    return out.withColumns({f"{prefix}{c}": F.col(f"__o_{c}") + F.col(f"__l_{c}") for c in sum_cols}).drop(
-        "__pid", *[f"__l_{c}" for c in sum_cols], *[f"__o_{c}" for c in sum_cols])
+    local = b.withColumns({f"__l_{c}": F.sum(c).over(wl) for c in sum_cols})
+    # offsets: one row per (group, bucket); Spark/AQE broadcast it when its
+    # measured size allows
+    out = local.join(offsets, [*group_cols, "__b"])
+    return out.withColumns({f"{prefix}{c}": F.col(f"__s_{c}") + F.col(f"__l_{c}") for c in sum_cols}).drop(
+        "__b", *ocols, *[f"__l_{c}" for c in sum_cols], *[f"__s_{c}" for c in sum_cols])
+
+
+def dense_position(df: DataFrame, order_cols: list, name: str = "pos",
+                   rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Add ``name``: the 0-based position of each row in ``order_cols`` order
+    (unique per row - end with the key)."""
+    one = df.withColumn("__one", F.lit(1).cast("bigint"))
+    r = running_sum(one, [], order_cols, ["__one"], rows_per_bucket=rows_per_bucket)
+    return r.withColumn(name, F.col("cum___one") - 1).drop("__one", "cum___one")

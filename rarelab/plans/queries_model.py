@@ -64,3 +64,162 @@ def q_repeated_stratified_folds(spark, sf_dir):
     t = _train(spark, sf_dir).select("entity_id", "label")
     return stratified_folds(t, "label", "entity_id", 10, seed=FOLD_SEED, n_repeats=3).select(
         "entity_id", "repeat", "fold")
+
+
+# =============================================================== kNN (H1, H2)
+def _knn_sql(tr: str, qu: str, feats: list[str], k: int, split: bool = False,
+             exclude_self: bool = False, weights: str | None = None, array: bool = False) -> str:
+    """CTE ``nb(split_id?, qk, tk, ty, d2, rank)``: brute force for the oracle.
+    ``tr(split_id?, tk, ty, feats...)``, ``qu(split_id?, qk, feats...)``;
+    ``weights`` names a one-row CTE with columns ``w_<feat>``."""
+    if array:
+        d2 = f"list_sum(list_transform(generate_series(1, len(q.{feats[0]})), lambda i: (q.{feats[0]}[i] - t.{feats[0]}[i]) * (q.{feats[0]}[i] - t.{feats[0]}[i])))"
+    else:
+        terms = [f"((q.{f} - t.{f}) * (q.{f} - t.{f})) * {'w_' + f if weights else '1.0'}" for f in feats]
+        d2 = " + ".join(terms)
+    cond = ["q.split_id = t.split_id"] if split else []
+    if exclude_self:
+        cond.append("q.qk <> t.tk")
+    where = ("WHERE " + " AND ".join(cond)) if cond else ""
+    part = "q.split_id, q.qk" if split else "q.qk"
+    sel = "q.split_id, " if split else ""
+    src = f"{qu} q, {tr} t" + (f", {weights}" if weights else "")
+    return f"""nb AS (SELECT {sel}q.qk, t.tk, t.ty, {d2} AS d2,
+        row_number() OVER (PARTITION BY {part} ORDER BY {d2}, t.tk) AS rank
+    FROM {src} {where} QUALIFY rank <= {k})"""
+
+
+def _weights_sql(src: str, feats: list[str], name: str = "wt") -> str:
+    cols = ", ".join(
+        f"CASE WHEN stddev_pop(CAST({f} AS DOUBLE)) > 0 THEN 1.0 / (stddev_pop(CAST({f} AS DOUBLE)) * "
+        f"stddev_pop(CAST({f} AS DOUBLE))) ELSE 1.0 END AS w_{f}" for f in feats)
+    return f"{name} AS (SELECT {cols} FROM {src})"
+
+
+VOTES_SQL = """votes AS (SELECT {split}qk, count(*) FILTER (WHERE ty) AS pos, count(*) AS n
+                       FROM nb GROUP BY ALL)"""
+
+
+@register("knn_predict", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, """
+tr AS (SELECT entity_id AS tk, label AS ty, n_orders FROM train)""", """
+qu AS (SELECT entity_id AS qk, n_orders FROM entity_features WHERE generation > 6)""",
+    _knn_sql("tr", "qu", ["n_orders"], 5), VOTES_SQL.format(split=""), body="""
+SELECT e.entity_id, e.generation, e.label, pos * 2 > n AS pred, round(pos / n, 6) AS proba
+FROM entity_features e JOIN votes ON e.entity_id = votes.qk"""))
+def q_knn_predict(spark, sf_dir):
+    from rarelab.operators.knn import KnnModel
+    ef = fx.entity_features(spark, sf_dir)
+    model = KnnModel(ef.where(F.col("generation") <= 6), ["n_orders"], k=5)
+    cohorts = ef.where(F.col("generation") > 6).select("entity_id", "generation", "label", "n_orders")
+    return rounded(model.transform(cohorts).select("entity_id", "generation", "label", "pred", "proba"))
+
+
+def _holdout_cte(seed: int, test_size: float) -> str:
+    return f"""ho AS (SELECT *, rn <= (SELECT ceil({test_size} * count(*)) FROM train) AS is_test FROM
+      (SELECT *, row_number() OVER (ORDER BY {sql_hash_string(seed, 'entity_id')}, entity_id) AS rn FROM train))"""
+
+
+@register("knn_holdout_2d", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, _holdout_cte(HOLDOUT_SEED, 0.2), """
+tr AS (SELECT entity_id AS tk, label AS ty, n_orders, wins FROM ho WHERE NOT is_test)""", """
+qu AS (SELECT entity_id AS qk, n_orders, wins FROM ho WHERE is_test)""",
+    _weights_sql("tr", ["n_orders", "wins"]), _knn_sql("tr", "qu", ["n_orders", "wins"], 3, weights="wt"),
+    VOTES_SQL.format(split=""), body="""
+SELECT ho.entity_id, ho.label, pos * 2 > n AS pred, round(pos / n, 6) AS proba
+FROM ho JOIN votes ON ho.entity_id = votes.qk"""))
+def q_knn_holdout_2d(spark, sf_dir):
+    from rarelab.operators.knn import KnnModel, scaling_weights
+    from rarelab.operators.splits import holdout_split
+    feats = ["n_orders", "wins"]
+    t = holdout_split(_train(spark, sf_dir).select("entity_id", "label", *feats), "entity_id", 0.2, HOLDOUT_SEED)
+    train, test = t.where(~F.col("is_test")), t.where(F.col("is_test"))
+    model = KnnModel(train, feats, k=3, weights=scaling_weights(train, feats))
+    return rounded(model.transform(test, method="blocks").select("entity_id", "label", "pred", "proba"))
+
+
+@register("knn_embeddings", with_ctes("""
+emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label = 9 AS is9 FROM embeddings)""", """
+tr AS (SELECT vec_id AS tk, is9 AS ty, x FROM emb)""", """
+qu AS (SELECT vec_id AS qk, x FROM emb)""",
+    _knn_sql("tr", "qu", ["x"], 5, exclude_self=True, array=True), VOTES_SQL.format(split=""), body="""
+SELECT emb.vec_id, emb.is9 AS label, pos * 2 > n AS pred, round(pos / n, 6) AS proba
+FROM emb JOIN votes ON emb.vec_id = votes.qk"""))
+def q_knn_embeddings(spark, sf_dir):
+    from rarelab.operators.knn import knn_neighbors, knn_vote
+    from rarelab.sources.tables import read_table
+    emb = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").select(
+        "vec_id", "embedding", (F.col("label") == 9).alias("label"))
+    nb = knn_neighbors(emb, emb, "embedding", 5, key="vec_id", exclude_self=True)
+    votes = knn_vote(nb, "vec_id")
+    return rounded(emb.select("vec_id", "label").join(votes, "vec_id").select("vec_id", "label", "pred", "proba"))
+
+
+# ============================================================ J1, J2 grid search
+GRID_KS = list(range(3, 101, 2))
+
+
+def _fold_ctes(n_splits: int, n_repeats: int, seed: int | None) -> list[str]:
+    """CTEs ending in ``folds(entity_id, rep, fold)`` (same rule as the Spark side)."""
+    if seed is None:
+        order, reps = "entity_id", "SELECT 0 AS rep"
+    else:
+        order = f"{sql_hash_string(seed, 'rep', 'entity_id')}, entity_id"
+        reps = f"SELECT unnest(generate_series(0, {n_repeats - 1})) AS rep"
+    return [
+        "cls AS (SELECT label, count(*) AS n, min(entity_id) AS first_key FROM train GROUP BY label)",
+        "enc AS (SELECT label, n, sum(n) OVER (ORDER BY first_key) - n AS start FROM cls)",
+        f"""alloc AS (SELECT label, f AS fold,
+                 floor((start + n - 1 - f) / {n_splits}.0) - floor((start - 1 - f) / {n_splits}.0) AS a
+          FROM enc, (SELECT unnest(generate_series(0, {n_splits - 1})) AS f))""",
+        """bounds AS (SELECT label, fold, sum(a) OVER (PARTITION BY label ORDER BY fold) - a AS lo,
+                  sum(a) OVER (PARTITION BY label ORDER BY fold) AS hi FROM alloc)""",
+        f"reps AS ({reps})",
+        f"""ranked AS (SELECT entity_id, label, rep,
+                  row_number() OVER (PARTITION BY rep, label ORDER BY {order}) - 1 AS r FROM train, reps)""",
+        """folds AS (SELECT entity_id, rep, CAST(fold AS INTEGER) AS fold
+           FROM ranked JOIN bounds ON ranked.label = bounds.label AND r >= lo AND r < hi)""",
+    ]
+
+
+def _cv_sides_sql(n_splits: int, feats: list[str]) -> list[str]:
+    f = ", ".join(f"t.{c}" for c in feats)
+    return [
+        f"""tr AS (SELECT fo.rep * {n_splits} + g.g AS split_id, t.entity_id AS tk, t.label AS ty, {f}
+           FROM folds fo JOIN train t ON fo.entity_id = t.entity_id,
+                (SELECT unnest(generate_series(0, {n_splits - 1})) AS g) g WHERE g.g <> fo.fold)""",
+        f"""qu AS (SELECT fo.rep * {n_splits} + fo.fold AS split_id, t.entity_id AS qk, t.label AS y, {f}
+           FROM folds fo JOIN train t ON fo.entity_id = t.entity_id)""",
+    ]
+
+
+GRID_SQL = with_ctes(fx.ENTITY_SQL, TRAIN_SQL, *_fold_ctes(5, 1, None), *_cv_sides_sql(5, ["n_orders"]),
+                     _knn_sql("tr", "qu", ["n_orders"], max(GRID_KS), split=True), f"""
+cum AS (SELECT split_id, qk, rank AS k,
+               sum(CAST(ty AS INTEGER)) OVER (PARTITION BY split_id, qk ORDER BY rank) AS pos FROM nb)""", f"""
+acc AS (SELECT c.split_id, k, avg(CAST((2 * pos > k) = q.y AS DOUBLE)) AS accuracy
+        FROM cum c JOIN qu q ON c.split_id = q.split_id AND c.qk = q.qk
+        WHERE k IN ({', '.join(map(str, GRID_KS))}) GROUP BY c.split_id, k)""", """
+grid AS (SELECT CAST(k AS INTEGER) AS k, avg(accuracy) AS mean_test_score, stddev_pop(accuracy) AS std_test_score
+         FROM acc GROUP BY k)""", body="{body}")
+
+
+@register("grid_search_k", GRID_SQL.format(body="""
+SELECT k, round(mean_test_score, 6) AS mean_test_score, round(std_test_score, 6) AS std_test_score FROM grid"""))
+def q_grid_search_k(spark, sf_dir):
+    return rounded(_grid(spark, sf_dir))
+
+
+@register("best_k", GRID_SQL.format(body="""
+SELECT k, round(mean_test_score, 6) AS mean_test_score, round(std_test_score, 6) AS std_test_score
+FROM grid ORDER BY mean_test_score DESC, k LIMIT 1"""))
+def q_best_k(spark, sf_dir):
+    from rarelab.plans.crossval import best_param
+    return rounded(best_param(_grid(spark, sf_dir)))
+
+
+def _grid(spark, sf_dir):
+    from rarelab.operators.splits import stratified_folds
+    from rarelab.plans.crossval import cv_knn_sweep, grid_summary
+    t = _train(spark, sf_dir).select("entity_id", "label", "n_orders")
+    folds = stratified_folds(t, "label", "entity_id", 5)
+    scores = cv_knn_sweep(folds, 5, ["n_orders"], GRID_KS)
+    return grid_summary(scores).select(F.col("k").cast("int").alias("k"), "mean_test_score", "std_test_score")
