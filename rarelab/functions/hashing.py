@@ -31,7 +31,7 @@ def uniform(seed, *parts) -> Column:
 def sql_uniform(seed, *parts: str) -> str:
     """DuckDB expression equal to :func:`uniform` (for oracles)."""
     inner = ", ".join([f"'{seed}'"] + [f"CAST({p} AS VARCHAR)" for p in parts])
-    return f"(('0x' || substr(md5(concat_ws(':', {inner})), 1, 8))::BIGINT / 4294967296.0)"
+    return f"(('0x' || substr(md5(concat_ws(':', {inner})), 1, 8))::BIGINT / CAST(4294967296 AS DOUBLE))"
 
 
 def sql_hash_string(seed, *parts: str) -> str:

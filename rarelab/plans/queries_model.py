@@ -223,3 +223,79 @@ def _grid(spark, sf_dir):
     folds = stratified_folds(t, "label", "entity_id", 5)
     scores = cv_knn_sweep(folds, 5, ["n_orders"], GRID_KS)
     return grid_summary(scores).select(F.col("k").cast("int").alias("k"), "mean_test_score", "std_test_score")
+
+
+# ===================================================== resampling
+SMOTE_SEED = 42
+
+
+def _smote_ctes(src: str, ratio: float | None, k: int, seed: int, name: str = "smoted") -> list[str]:
+    """SQL twin of :func:`rarelab.operators.resample.smote` on ``src(entity_id,
+    label, n_orders)``, one split, minority = TRUE."""
+    from rarelab.functions.hashing import sql_uniform
+    n_new = "n_maj - n_min" if ratio is None else f"CAST(trunc(n_maj * CAST({ratio} AS DOUBLE) - n_min) AS BIGINT)"
+    return [
+        f"cnt_{name} AS (SELECT count(*) FILTER (WHERE label) AS n_min, count(*) FILTER (WHERE NOT label) AS n_maj FROM {src})",
+        f"""mino_{name} AS (SELECT entity_id AS k, CAST(n_orders AS DOUBLE) AS x,
+                  row_number() OVER (ORDER BY entity_id) - 1 AS i FROM {src} WHERE label)""",
+        f"""nn_{name} AS (SELECT a.k, b.k AS nk,
+                  row_number() OVER (PARTITION BY a.k ORDER BY (a.x - b.x) * (a.x - b.x), b.k) AS r
+           FROM mino_{name} a, mino_{name} b WHERE a.k <> b.k QUALIFY r <= {k})""",
+        f"""syn_{name} AS (SELECT unnest(generate_series(0, (SELECT {n_new} FROM cnt_{name}) - 1)) AS j)""",
+        f"""drawn_{name} AS (SELECT j, CAST(floor({sql_uniform(seed, "'draw'", 'j')} * (n_min * {k})) AS BIGINT) AS d,
+                   {sql_uniform(seed, "'gap'", 'j')} AS gap FROM syn_{name}, cnt_{name})""",
+        f"""pts_{name} AS (SELECT j, gap, m.x AS bx, n.x AS nx FROM drawn_{name}
+           JOIN mino_{name} m ON m.i = d // {k}
+           JOIN nn_{name} nn ON nn.k = m.k AND nn.r = d % {k} + 1
+           JOIN mino_{name} n ON n.k = nn.nk)""",
+        f"""{name} AS (SELECT entity_id, label, CAST(n_orders AS DOUBLE) AS n_orders, FALSE AS is_synthetic FROM {src}
+           UNION ALL SELECT -(j + 1), TRUE, bx + gap * (nx - bx), TRUE FROM pts_{name})""",
+    ]
+
+
+def _under_ctes(src: str, ratio: float, seed: int, name: str = "under") -> list[str]:
+    return [f"""{name} AS (SELECT * FROM {src} WHERE label
+      UNION ALL
+      SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (ORDER BY {sql_hash_string(seed, 'entity_id')}, entity_id) AS rn
+        FROM {src} WHERE NOT label)
+      WHERE rn <= (SELECT CAST(trunc(count(*) FILTER (WHERE label) / CAST({ratio} AS DOUBLE)) AS BIGINT) FROM {src}))"""]
+
+
+RESAMPLE_SRC = "src AS (SELECT entity_id, label, n_orders FROM train)"
+RESAMPLE_BODY = "SELECT entity_id, label, round(n_orders, 6) AS n_orders, is_synthetic FROM {name}"
+
+
+def _resample_src(spark, sf_dir):
+    return _train(spark, sf_dir).select("entity_id", "label", "n_orders")
+
+
+@register("smote_balanced", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, RESAMPLE_SRC, *_smote_ctes("src", None, 5, SMOTE_SEED),
+                                      body=RESAMPLE_BODY.format(name="smoted")))
+def q_smote_balanced(spark, sf_dir):
+    from rarelab.operators.resample import smote
+    return rounded(smote(_resample_src(spark, sf_dir), ["n_orders"], k=5, seed=SMOTE_SEED))
+
+
+@register("smote_ratio", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, RESAMPLE_SRC, *_smote_ctes("src", 0.1, 6, SMOTE_SEED),
+                                   body=RESAMPLE_BODY.format(name="smoted")))
+def q_smote_ratio(spark, sf_dir):
+    from rarelab.operators.resample import smote
+    return rounded(smote(_resample_src(spark, sf_dir), ["n_orders"], ratio=0.1, k=6, seed=SMOTE_SEED))
+
+
+@register("undersample", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, """
+src AS (SELECT entity_id, label, CAST(n_orders AS DOUBLE) AS n_orders, FALSE AS is_synthetic FROM train)""",
+                                   *_under_ctes("src", 0.5, SMOTE_SEED), body=RESAMPLE_BODY.format(name="under")))
+def q_undersample(spark, sf_dir):
+    from rarelab.operators.resample import undersample
+    src = _resample_src(spark, sf_dir).select(
+        "entity_id", "label", F.col("n_orders").cast("double").alias("n_orders"), F.lit(False).alias("is_synthetic"))
+    return rounded(undersample(src, 0.5, seed=SMOTE_SEED))
+
+
+@register("over_under", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, RESAMPLE_SRC, *_smote_ctes("src", 0.1, 6, SMOTE_SEED),
+                                  *_under_ctes("smoted", 1.0, SMOTE_SEED), body=RESAMPLE_BODY.format(name="under")))
+def q_over_under(spark, sf_dir):
+    from rarelab.operators.resample import over_under
+    return rounded(over_under(_resample_src(spark, sf_dir), ["n_orders"], 0.1, 1.0, k=6, seed=SMOTE_SEED))
