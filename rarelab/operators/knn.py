@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarelab.operators.ordered import running_sum
+from rarelab.session import cut_lineage
 
 
 # ---------------------------------------------------------------- helpers
@@ -67,7 +68,7 @@ def _sorted_search(train: DataFrame, query: DataFrame, k: int, split: list[str],
                   F.lit(0).cast("bigint").alias("__is_t"), F.lit(None).cast(t.schema["__ty"].dataType).alias("__ty"))
          .unionByName(t.select(*split, "__v", F.lit(1).alias("__flag"), F.col("__tk").alias("__key"),
                                F.lit(1).cast("bigint").alias("__is_t"), "__ty")))
-    u = running_sum(u, split, ["__v", "__flag", "__key"], ["__is_t"])
+    u = running_sum(u, split, ["__v", "__flag", "__key"], ["__is_t"], materialize=False)
     asc = u.where(F.col("__flag") == 1).select(
         *split, (F.col("cum___is_t") - 1).alias("__pos"), F.col("__key").alias("__tk"), "__ty",
         F.col("__v").alias("__tv"))
@@ -75,7 +76,7 @@ def _sorted_search(train: DataFrame, query: DataFrame, k: int, split: list[str],
         *split, F.col("__key").alias("__qk"), F.col("__v").alias("__qv"), F.col("cum___is_t").alias("__c"))
     # second order for the left side: equal values keep ascending keys when read backwards
     desc = running_sum(t.withColumn("__one", F.lit(1).cast("bigint")), split,
-                       ["__v", -F.col("__tk")], ["__one"]).select(
+                       ["__v", -F.col("__tk")], ["__one"], materialize=False).select(
         *split, (F.col("cum___one") - 1).alias("__pos"), "__tk", "__ty", F.col("__v").alias("__tv"))
     right = qc.select(*split, "__qk", "__qv", F.explode(
         F.sequence(F.col("__c"), F.col("__c") + F.lit(take - 1))).alias("__pos"))
@@ -191,6 +192,9 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
                      *([F.col(exclude_col).alias("__tex")] if exclude_col else []))
     q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"),
                      *([F.col(exclude_col).alias("__qex")] if exclude_col else []))
+    # each side is read several times (counts, positions, candidates)
+    t = cut_lineage(t.where(F.col("__tx").isNotNull()))
+    q = cut_lineage(q.where(F.col("__qx").isNotNull()))
     if method == "sorted":
         if dim != 1 or exclude_col:
             raise ValueError("the sorted method needs one feature and no exclude_col")

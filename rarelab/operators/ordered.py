@@ -17,11 +17,17 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rarelab.session import cut_lineage
+
 SAMPLE_PER_BUCKET = 32
 SAMPLE_SEED = 17
 
 
 def _bucket_count(df: DataFrame, n: int, rows_per_bucket: int) -> int:
+    """Enough buckets to keep each near ``rows_per_bucket`` rows; small inputs
+    (under ``rows_per_bucket``) need no sampling pass at all."""
+    if n <= rows_per_bucket:
+        return 1
     par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(max(par, math.ceil(n / rows_per_bucket)), max(1, n // SAMPLE_PER_BUCKET)))
 
@@ -61,7 +67,7 @@ def bucket_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
 
 
 def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols: list[str],
-                prefix: str = "cum_", rows_per_bucket: int = 1_000_000) -> DataFrame:
+                prefix: str = "cum_", rows_per_bucket: int = 250_000, materialize: bool = True) -> DataFrame:
     """Add ``<prefix><c>``: the sum of ``c`` over rows of the same group at or
     before the current row in ``order_cols`` order.  ``order_cols`` (column
     names or expressions, ascending, non-null) must be unique within a
@@ -73,6 +79,8 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols
         df = df.withColumn(name, F.col(c) if isinstance(c, str) else c)
         ocols.append(name)
     keys = group_cols + ocols
+    if materialize:
+        df = cut_lineage(df)
     n = df.count()
     bounds = _boundaries(df, keys, _bucket_count(df, n, rows_per_bucket), n)
     b = df.withColumn("__b", bucket_of(df, keys, bounds))
@@ -91,7 +99,7 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols
 
 
 def dense_position(df: DataFrame, order_cols: list, name: str = "pos",
-                   rows_per_bucket: int = 1_000_000) -> DataFrame:
+                   rows_per_bucket: int = 250_000) -> DataFrame:
     """Add ``name``: the 0-based position of each row in ``order_cols`` order
     (unique per row - end with the key)."""
     one = df.withColumn("__one", F.lit(1).cast("bigint"))

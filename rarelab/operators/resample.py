@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from rarelab.functions.hashing import hash_string, uniform
 from rarelab.operators.knn import knn_neighbors
 from rarelab.operators.ordered import running_sum
+from rarelab.session import cut_lineage
 
 MAX_SPLITS = 10000
 
@@ -64,12 +65,16 @@ def _per_split(split: list[str], values: dict, default=None):
 
 def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "entity_id",
           ratio: float | None = None, k: int = 5, seed: int = 42, split=None,
-          weights=None) -> DataFrame:
+          weights=None, neighbors: DataFrame | None = None) -> DataFrame:
     """G4 (``ratio=None``: balance), G5 (float ratio, chosen k).
 
     Returns ``(split..., key, label, features (double)..., is_synthetic)``:
-    the input rows plus synthetic minority rows with negative keys."""
+    the input rows plus synthetic minority rows with negative keys.
+    ``neighbors`` - a precomputed minority neighbour list ``(split..., key,
+    neighbor_key, rank)`` of depth >= k (see :func:`minority_neighbors`),
+    shared by sweeps over k and ratios."""
     split = _split_list(split)
+    df = cut_lineage(df.select(*split, key, label, *features))
     counts = class_counts(df, label, split)
     plan, classes = {}, set()
     for s, c in counts.items():
@@ -93,11 +98,13 @@ def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "
         return original
 
     minority = base.where(F.col(label) == F.lit(mino))
-    indexed = running_sum(minority.withColumn("__one", F.lit(1).cast("bigint")), split, [key], ["__one"]).select(
+    indexed = running_sum(minority.withColumn("__one", F.lit(1).cast("bigint")), split, [key], ["__one"],
+                          materialize=False).select(
         *split, F.col(key).alias("__bk"), (F.col("cum___one") - 1).alias("__i"),
         *[F.col(f).alias(f"__b_{f}") for f in features])
-    nb = knn_neighbors(minority, minority, features, k, key=key, label=label, split=split,
-                       weights=weights, exclude_self=True).select(
+    if neighbors is None:
+        neighbors = minority_neighbors(df, features, k, label, key, split, weights, mino)
+    nb = neighbors.where(F.col("rank") <= k).select(
         *split, F.col(key).alias("__bk"), F.col("rank").alias("__r"), F.col("neighbor_key").alias("__nk"))
     nfeat = minority.select(*split, F.col(key).alias("__nk"), *[F.col(f).alias(f"__n_{f}") for f in features])
 
@@ -140,11 +147,27 @@ def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "
     return original.unionByName(synthetic)
 
 
+def minority_neighbors(df: DataFrame, features: list[str], k: int, label: str = "label",
+                       key: str = "entity_id", split=None, weights=None, minority=None) -> DataFrame:
+    """The k nearest other minority rows of every minority row, per split."""
+    split = _split_list(split)
+    if minority is None:
+        minority = {_minority(c)[0] for c in class_counts(df, label, split).values()}
+        if len(minority) != 1:
+            raise ValueError("the minority class differs between splits")
+        minority = minority.pop()
+    m = df.where(F.col(label) == F.lit(minority)).select(
+        *split, key, label, *[F.col(f).cast("double").alias(f) for f in features])
+    return knn_neighbors(m, m, features, k, key=key, label=label, split=split, weights=weights,
+                         exclude_self=True)
+
+
 def undersample(df: DataFrame, ratio: float, label: str = "label", key: str = "entity_id",
                 seed: int = 42, split=None) -> DataFrame:
     """Keep ``int(n_min / ratio)`` majority rows per split (lowest hash
     first); minority rows are untouched.  Keeps every input column."""
     split = _split_list(split)
+    df = cut_lineage(df)
     counts = class_counts(df, label, split)
     keep, classes = {}, set()
     for s, c in counts.items():
@@ -160,7 +183,7 @@ def undersample(df: DataFrame, ratio: float, label: str = "label", key: str = "e
     majority = df.where(F.col(label) == F.lit(maj))
     ranked = running_sum(
         majority.withColumn("__one", F.lit(1).cast("bigint")), split,
-        [F.md5(hash_string(seed, *split, key)), key], ["__one"])
+        [F.md5(hash_string(seed, *split, key)), key], ["__one"], materialize=False)
     kept = ranked.where(F.col("cum___one") <= _per_split(split, keep, 0)).drop("__one", "cum___one")
     return df.where(F.col(label) != F.lit(maj)).unionByName(kept)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rarelab.functions.hashing import hash_string, uniform
 from rarelab.functions.quantile import rank_bracket
 from rarelab.operators.ordered import dense_position
+from rarelab.session import cut_lineage
 
 MAX_CLASSES = 1000
 
@@ -27,6 +28,7 @@ def holdout_split(df: DataFrame, key: str, test_size: float, seed: int,
     Test rows are the first ones in (md5(seed:key), key) order.  The cut row
     is found inside a verified bracket of the hash's leading 32 bits, so only
     the bracket is sorted."""
+    df = cut_lineage(df)
     n = df.count()
     n_test = min(n, math.ceil(test_size * n))
     h = F.md5(hash_string(seed, key))
@@ -80,6 +82,7 @@ def stratified_folds(df: DataFrame, label: str, key: str, n_splits: int = 5,
     every row, each class ordered by md5(seed:repeat:key) per repeat.
 
     Returns the input columns plus ``repeat`` and ``fold``."""
+    df = cut_lineage(df)
     classes = class_table(df, label, key)
     counts = [n for _, n in classes]
     if max(counts) < n_splits:

@@ -78,3 +78,61 @@ def score_summary(scores: DataFrame, cols=("accuracy", "roc_auc")) -> DataFrame:
     for c in cols:
         aggs += [F.avg(c).alias(f"mean_{c}"), F.stddev_pop(c).alias(f"std_{c}")]
     return scores.agg(*aggs)
+
+
+def resampler(features: list[str], over_ratio=None, over_k: int = 5, under_ratio=None,
+              seed: int = 42, label: str = "label", key: str = "entity_id", smote_on: bool = True,
+              neighbors: DataFrame | None = None):
+    """H7: a fit-time-only resampling step for :func:`cv_knn_predictions` /
+    :func:`cv_logistic` - SMOTE (``over_ratio``, None = balance) then optional
+    under-sampling, per ``split_id``."""
+    from rarelab.operators.resample import smote, undersample
+
+    def step(train: DataFrame) -> DataFrame:
+        t = train.select("split_id", key, label, *features)
+        if smote_on:
+            t = smote(t, features, label, key, over_ratio, over_k, seed, "split_id", neighbors=neighbors)
+        if under_ratio is not None:
+            t = undersample(t, under_ratio, label, key, seed, "split_id")
+        return t
+    return step
+
+
+def cv_logistic(folds: DataFrame, n_splits: int, features: list[str], label: str = "label",
+                key: str = "entity_id", C: float = 1.0, train_transform=None) -> DataFrame:
+    """I9 for L2 logistic regression: every split's model in one batched
+    Newton fit; out-of-fold ``(split_id, key, label, pred, proba)``."""
+    from rarelab.operators.logistic import fit_logistic_groups, predict_groups
+    train, test = split_frames(folds, n_splits)
+    if train_transform is not None:
+        train = train_transform(train)
+    coefs = fit_logistic_groups(train, features, label, ["split_id"], C=C)
+    preds = predict_groups(coefs, test.select("split_id", key, label, *features), features, ["split_id"])
+    return preds.select("split_id", key, label, "pred", "proba")
+
+
+def sweep_resampled(folds: DataFrame, n_splits: int, features: list[str], configs: list[dict],
+                    model: str = "knn", k: int = 5, seed: int = 42, label: str = "label",
+                    key: str = "entity_id") -> DataFrame:
+    """Mean and std of split ROC AUC (and accuracy) for each resampling
+    configuration ``{"param": value, "over_ratio", "over_k", "under_ratio"}``.
+    The minority neighbour list is computed once at the largest SMOTE k and
+    reused by every configuration."""
+    from rarelab.operators.resample import minority_neighbors
+    from rarelab.session import cut_lineage
+    train, _ = split_frames(folds, n_splits)
+    max_k = max(c.get("over_k", 5) for c in configs)
+    nb = cut_lineage(minority_neighbors(train.select("split_id", key, label, *features), features, max_k,
+                                        label, key, "split_id"))
+    out = None
+    for cfg in configs:
+        step = resampler(features, cfg.get("over_ratio"), cfg.get("over_k", 5), cfg.get("under_ratio"),
+                         seed, label, key, neighbors=nb)
+        if model == "knn":
+            preds = cv_knn_predictions(folds, n_splits, features, k, key, label, train_transform=step)
+        else:
+            preds = cv_logistic(folds, n_splits, features, label, key, train_transform=step)
+        s = score_summary(split_scores(preds, label)).select(
+            F.lit(float(cfg["param"])).alias("param"), "*")
+        out = s if out is None else out.unionByName(s)
+    return out

@@ -68,7 +68,8 @@ def q_repeated_stratified_folds(spark, sf_dir):
 
 # =============================================================== kNN (H1, H2)
 def _knn_sql(tr: str, qu: str, feats: list[str], k: int, split: bool = False,
-             exclude_self: bool = False, weights: str | None = None, array: bool = False) -> str:
+             exclude_self: bool = False, weights: str | None = None, array: bool = False,
+             name: str = "nb") -> str:
     """CTE ``nb(split_id?, qk, tk, ty, d2, rank)``: brute force for the oracle.
     ``tr(split_id?, tk, ty, feats...)``, ``qu(split_id?, qk, feats...)``;
     ``weights`` names a one-row CTE with columns ``w_<feat>``."""
@@ -84,7 +85,7 @@ def _knn_sql(tr: str, qu: str, feats: list[str], k: int, split: bool = False,
     part = "q.split_id, q.qk" if split else "q.qk"
     sel = "q.split_id, " if split else ""
     src = f"{qu} q, {tr} t" + (f", {weights}" if weights else "")
-    return f"""nb AS (SELECT {sel}q.qk, t.tk, t.ty, {d2} AS d2,
+    return f"""{name} AS (SELECT {sel}q.qk, t.tk, t.ty, {d2} AS d2,
         row_number() OVER (PARTITION BY {part} ORDER BY {d2}, t.tk) AS rank
     FROM {src} {where} QUALIFY rank <= {k})"""
 
@@ -229,31 +230,48 @@ def _grid(spark, sf_dir):
 SMOTE_SEED = 42
 
 
-def _smote_ctes(src: str, ratio: float | None, k: int, seed: int, name: str = "smoted") -> list[str]:
-    """SQL twin of :func:`rarelab.operators.resample.smote` on ``src(entity_id,
-    label, n_orders)``, one split, minority = TRUE."""
+def _smote_ctes(src: str, ratio: float | None, k: int, seed: int, name: str = "smoted",
+                split: bool = False) -> list[str]:
+    """SQL twin of :func:`rarelab.operators.resample.smote` on ``src([split_id,]
+    entity_id, label, n_orders)``; minority = TRUE."""
     from rarelab.functions.hashing import sql_uniform
     n_new = "n_maj - n_min" if ratio is None else f"CAST(trunc(n_maj * CAST({ratio} AS DOUBLE) - n_min) AS BIGINT)"
+    sc = "split_id, " if split else ""
+    part = "PARTITION BY split_id " if split else ""
+    on = lambda a, b: f"{a}.split_id = {b}.split_id AND " if split else ""
+    hparts = ["'draw'"] + (["split_id"] if split else []) + ["j"]
+    gparts = ["'gap'"] + (["split_id"] if split else []) + ["j"]
+    grp = "GROUP BY split_id" if split else ""
     return [
-        f"cnt_{name} AS (SELECT count(*) FILTER (WHERE label) AS n_min, count(*) FILTER (WHERE NOT label) AS n_maj FROM {src})",
-        f"""mino_{name} AS (SELECT entity_id AS k, CAST(n_orders AS DOUBLE) AS x,
-                  row_number() OVER (ORDER BY entity_id) - 1 AS i FROM {src} WHERE label)""",
-        f"""nn_{name} AS (SELECT a.k, b.k AS nk,
-                  row_number() OVER (PARTITION BY a.k ORDER BY (a.x - b.x) * (a.x - b.x), b.k) AS r
-           FROM mino_{name} a, mino_{name} b WHERE a.k <> b.k QUALIFY r <= {k})""",
-        f"""syn_{name} AS (SELECT unnest(generate_series(0, (SELECT {n_new} FROM cnt_{name}) - 1)) AS j)""",
-        f"""drawn_{name} AS (SELECT j, CAST(floor({sql_uniform(seed, "'draw'", 'j')} * (n_min * {k})) AS BIGINT) AS d,
-                   {sql_uniform(seed, "'gap'", 'j')} AS gap FROM syn_{name}, cnt_{name})""",
-        f"""pts_{name} AS (SELECT j, gap, m.x AS bx, n.x AS nx FROM drawn_{name}
-           JOIN mino_{name} m ON m.i = d // {k}
-           JOIN nn_{name} nn ON nn.k = m.k AND nn.r = d % {k} + 1
-           JOIN mino_{name} n ON n.k = nn.nk)""",
-        f"""{name} AS (SELECT entity_id, label, CAST(n_orders AS DOUBLE) AS n_orders, FALSE AS is_synthetic FROM {src}
-           UNION ALL SELECT -(j + 1), TRUE, bx + gap * (nx - bx), TRUE FROM pts_{name})""",
+        f"""cnt_{name} AS (SELECT {sc}count(*) FILTER (WHERE label) AS n_min, count(*) FILTER (WHERE NOT label) AS n_maj
+           FROM {src} {grp})""",
+        f"""mino_{name} AS (SELECT {sc}entity_id AS k, CAST(n_orders AS DOUBLE) AS x,
+                  row_number() OVER ({part}ORDER BY entity_id) - 1 AS i FROM {src} WHERE label)""",
+        f"""nn_{name} AS (SELECT {'a.split_id, ' if split else ''}a.k, b.k AS nk,
+                  row_number() OVER (PARTITION BY {'a.split_id, ' if split else ''}a.k ORDER BY (a.x - b.x) * (a.x - b.x), b.k) AS r
+           FROM mino_{name} a JOIN mino_{name} b ON {on('a', 'b')}a.k <> b.k QUALIFY r <= {k})""",
+        f"""syn_{name} AS (SELECT {sc}n_min, unnest(generate_series(0, {n_new} - 1)) AS j FROM cnt_{name})""",
+        f"""drawn_{name} AS (SELECT {sc}j, CAST(floor({sql_uniform(seed, *hparts)} * (n_min * {k})) AS BIGINT) AS d,
+                   {sql_uniform(seed, *gparts)} AS gap FROM syn_{name})""",
+        f"""pts_{name} AS (SELECT {'dr.split_id, ' if split else ''}j, gap, m.x AS bx, n.x AS nx FROM drawn_{name} dr
+           JOIN mino_{name} m ON {on('m', 'dr')}m.i = d // {k}
+           JOIN nn_{name} nn ON {on('nn', 'm')}nn.k = m.k AND nn.r = d % {k} + 1
+           JOIN mino_{name} n ON {on('n', 'nn')}n.k = nn.nk)""",
+        f"""{name} AS (SELECT {sc}entity_id, label, CAST(n_orders AS DOUBLE) AS n_orders, FALSE AS is_synthetic FROM {src}
+           UNION ALL SELECT {sc}-(j + 1), TRUE, bx + gap * (nx - bx), TRUE FROM pts_{name})""",
     ]
 
 
-def _under_ctes(src: str, ratio: float, seed: int, name: str = "under") -> list[str]:
+def _under_ctes(src: str, ratio: float, seed: int, name: str = "under", split: bool = False) -> list[str]:
+    if split:
+        return [f"""keep_{name} AS (SELECT split_id, CAST(trunc(count(*) FILTER (WHERE label) / CAST({ratio} AS DOUBLE)) AS BIGINT) AS n_keep
+                    FROM {src} GROUP BY split_id)""",
+                f"""{name} AS (SELECT * FROM {src} WHERE label
+      UNION ALL
+      SELECT * EXCLUDE (rn, n_keep) FROM (
+        SELECT s.*, row_number() OVER (PARTITION BY s.split_id ORDER BY {sql_hash_string(seed, 's.split_id', 's.entity_id')}, s.entity_id) AS rn,
+               kp.n_keep FROM {src} s JOIN keep_{name} kp ON s.split_id = kp.split_id WHERE NOT s.label)
+      WHERE rn <= n_keep)"""]
     return [f"""{name} AS (SELECT * FROM {src} WHERE label
       UNION ALL
       SELECT * EXCLUDE (rn) FROM (
@@ -299,3 +317,218 @@ def q_undersample(spark, sf_dir):
 def q_over_under(spark, sf_dir):
     from rarelab.operators.resample import over_under
     return rounded(over_under(_resample_src(spark, sf_dir), ["n_orders"], 0.1, 1.0, k=6, seed=SMOTE_SEED))
+
+
+# ============================================ cross-validation
+CV_SPLITS, CV_REPEATS = 10, 3
+
+
+def _cv_ctes(p: str, k_model: int, resample: tuple | None = None) -> list[str]:
+    """CTEs ending in ``scores_{p}(split_id, accuracy, roc_auc)`` and
+    ``summary_{p}``: kNN on ``n_orders`` over the 10x3 repeated stratified
+    splits, with optional per-split (over_ratio, over_k, under_ratio)."""
+    S = CV_SPLITS
+    ctes = [
+        f"""tr0_{p} AS (SELECT fo.rep * {S} + g.g AS split_id, t.entity_id, t.label, t.n_orders
+           FROM folds fo JOIN train t ON fo.entity_id = t.entity_id,
+                (SELECT unnest(generate_series(0, {S - 1})) AS g) g WHERE g.g <> fo.fold)""",
+        f"""qu_{p} AS (SELECT fo.rep * {S} + fo.fold AS split_id, t.entity_id AS qk, t.label AS y, t.n_orders
+           FROM folds fo JOIN train t ON fo.entity_id = t.entity_id)""",
+    ]
+    final = f"tr0_{p}"
+    if resample is not None:
+        over_ratio, over_k, under_ratio = resample
+        ctes += _smote_ctes(f"tr0_{p}", over_ratio, over_k, SMOTE_SEED, name=f"sm_{p}", split=True)
+        final = f"sm_{p}"
+        if under_ratio is not None:
+            ctes += _under_ctes(f"sm_{p}", under_ratio, SMOTE_SEED, name=f"un_{p}", split=True)
+            final = f"un_{p}"
+    ctes += [
+        f"trk_{p} AS (SELECT split_id, entity_id AS tk, label AS ty, n_orders FROM {final})",
+        _knn_sql(f"trk_{p}", f"qu_{p}", ["n_orders"], k_model, split=True, name=f"nb_{p}"),
+        f"""votes_{p} AS (SELECT split_id, qk, count(*) FILTER (WHERE ty) AS pos, count(*) AS n FROM nb_{p} GROUP BY ALL)""",
+        f"""preds_{p} AS (SELECT q.split_id, q.qk, q.y, pos * 2 > n AS pred, pos / n AS proba
+           FROM qu_{p} q JOIN votes_{p} v ON q.split_id = v.split_id AND q.qk = v.qk)""",
+        f"""ps_{p} AS (SELECT split_id, proba AS score, count(*) FILTER (WHERE y) AS pos,
+                  count(*) FILTER (WHERE NOT y) AS neg FROM preds_{p} GROUP BY split_id, proba)""",
+        f"""cum_{p} AS (SELECT *, sum(neg) OVER (PARTITION BY split_id ORDER BY score ROWS UNBOUNDED PRECEDING) - neg
+                  AS neg_below FROM ps_{p})""",
+        f"""auc_{p} AS (SELECT split_id, sum(pos * (neg_below + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0) AS roc_auc
+           FROM cum_{p} GROUP BY split_id)""",
+        f"""acc_{p} AS (SELECT split_id, avg(CAST(pred = y AS DOUBLE)) AS accuracy FROM preds_{p} GROUP BY split_id)""",
+        f"""scores_{p} AS (SELECT a.split_id, accuracy, roc_auc FROM acc_{p} a JOIN auc_{p} u ON a.split_id = u.split_id)""",
+        f"""summary_{p} AS (SELECT avg(accuracy) AS mean_accuracy, stddev_pop(accuracy) AS std_accuracy,
+                  avg(roc_auc) AS mean_roc_auc, stddev_pop(roc_auc) AS std_roc_auc FROM scores_{p})""",
+    ]
+    return ctes
+
+
+CV_BASE = [fx.ENTITY_SQL, TRAIN_SQL] + _fold_ctes(CV_SPLITS, CV_REPEATS, FOLD_SEED)
+SUMMARY_COLS = ("round(mean_accuracy, 6) AS mean_accuracy, round(std_accuracy, 6) AS std_accuracy, "
+                "round(mean_roc_auc, 6) AS mean_roc_auc, round(std_roc_auc, 6) AS std_roc_auc")
+
+
+def _cv_folds(spark, sf_dir):
+    from rarelab.operators.splits import stratified_folds
+    t = _train(spark, sf_dir).select("entity_id", "label", "n_orders")
+    return stratified_folds(t, "label", "entity_id", CV_SPLITS, seed=FOLD_SEED, n_repeats=CV_REPEATS)
+
+
+def _cv_scores(spark, sf_dir, resample=None):
+    from rarelab.plans.crossval import cv_knn_predictions, resampler, split_scores
+    step = None
+    if resample is not None:
+        step = resampler(["n_orders"], resample[0], resample[1], resample[2], SMOTE_SEED)
+    preds = cv_knn_predictions(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], 5, train_transform=step)
+    return split_scores(preds)
+
+
+@register("cv_scores", with_ctes(*CV_BASE, *_cv_ctes("a", 5), body="""
+SELECT split_id, round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc FROM scores_a"""))
+def q_cv_scores(spark, sf_dir):
+    return rounded(_cv_scores(spark, sf_dir))
+
+
+@register("cv_summary", with_ctes(*CV_BASE, *_cv_ctes("a", 5), body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+def q_cv_summary(spark, sf_dir):
+    from rarelab.plans.crossval import score_summary
+    return rounded(score_summary(_cv_scores(spark, sf_dir)))
+
+
+@register("smote_cv", with_ctes(*CV_BASE, *_cv_ctes("a", 5, (0.1, 5, 0.5)), body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+def q_smote_cv(spark, sf_dir):
+    from rarelab.plans.crossval import score_summary
+    return rounded(score_summary(_cv_scores(spark, sf_dir, (0.1, 5, 0.5))))
+
+
+@register("smote_balanced_cv", with_ctes(*CV_BASE, *_cv_ctes("a", 5, (None, 5, None)),
+                                         body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+def q_smote_balanced_cv(spark, sf_dir):
+    from rarelab.plans.crossval import score_summary
+    return rounded(score_summary(_cv_scores(spark, sf_dir, (None, 5, None))))
+
+
+# ------------------------------------------------------------------ sweeps
+SWEEPS = {
+    # fixed values of the study's sweeps: (param name, values, config builder)
+    "sweep_smote_k": [dict(param=k, over_ratio=0.1, over_k=k, under_ratio=0.5) for k in range(1, 11)],
+    "sweep_over_ratio": [dict(param=r, over_ratio=r, over_k=6, under_ratio=0.5) for r in (0.1, 0.2, 0.3, 0.4, 0.5)],
+    "sweep_under_ratio": [dict(param=r, over_ratio=0.1, over_k=6, under_ratio=r)
+                          for r in (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)],
+}
+
+
+def _sweep_sql(configs):
+    ctes, bodies = list(CV_BASE), []
+    for i, c in enumerate(configs):
+        p = f"c{i}"
+        ctes += _cv_ctes(p, 5, (c["over_ratio"], c["over_k"], c["under_ratio"]))
+        bodies.append(f"SELECT CAST({float(c['param'])} AS DOUBLE) AS param, {SUMMARY_COLS} FROM summary_{p}")
+    return with_ctes(*ctes, body="\nUNION ALL\n".join(bodies))
+
+
+def _sweep_query(name):
+    def q(spark, sf_dir):
+        from rarelab.plans.crossval import sweep_resampled
+        return rounded(sweep_resampled(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], SWEEPS[name],
+                                       model="knn", k=5, seed=SMOTE_SEED))
+    q.__name__ = f"q_{name}"
+    return q
+
+
+for _name, _configs in SWEEPS.items():
+    register(_name, _sweep_sql(_configs))(_sweep_query(_name))
+
+
+# ------------------------------------------------------------------- I12
+@register("cohort_eval", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, """
+tr AS (SELECT entity_id AS tk, label AS ty, n_orders FROM train)""", """
+qu AS (SELECT entity_id AS qk, n_orders FROM entity_features WHERE generation > 6)""",
+    _knn_sql("tr", "qu", ["n_orders"], 5), VOTES_SQL.format(split=""), """
+preds AS (SELECT CAST(e.generation AS VARCHAR) AS cohort, e.label, pos * 2 > n AS pred
+          FROM entity_features e JOIN votes ON e.entity_id = votes.qk)""",
+    __import__("rarelab.plans.queries_eval", fromlist=["PER_CLASS_SQL"]).PER_CLASS_SQL.strip().rstrip(","),
+    """wprf AS (SELECT cohort, sum(support * precision) / sum(support) AS precision,
+                  sum(support * recall) / sum(support) AS recall, sum(support * f1) / sum(support) AS f1
+           FROM pc GROUP BY cohort)""", """
+acc AS (SELECT cohort, avg(CAST(label = pred AS DOUBLE)) AS accuracy, count(*) AS n FROM preds GROUP BY cohort)""",
+    body="""
+SELECT a.cohort, round(accuracy, 6) AS accuracy, n, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1 FROM acc a JOIN wprf w ON a.cohort = w.cohort"""))
+def q_cohort_eval(spark, sf_dir):
+    from rarelab.operators import metrics
+    from rarelab.operators.knn import KnnModel
+    ef = fx.entity_features(spark, sf_dir)
+    model = KnnModel(ef.where(F.col("generation") <= 6), ["n_orders"], k=5)
+    preds = model.transform(ef.where(F.col("generation") > 6).select(
+        "entity_id", F.col("generation").cast("string").alias("cohort"), "label", "n_orders"))
+    acc = metrics.accuracy(preds, by="cohort").drop("error")
+    return rounded(acc.join(metrics.weighted_prf(preds, by="cohort"), "cohort"))
+
+
+# ====================================================== logistic (H3-H7)
+# Iterative fits have no SQL twin: rows-only checks here, exactness in tests.
+@register("logit_inference")
+def q_logit_inference(spark, sf_dir):
+    from rarelab.operators.logistic import logit_inference
+    return logit_inference(_train(spark, sf_dir), ["n_orders"], fit_intercept=False)[1]
+
+
+@register("logistic_l2")
+def q_logistic_l2(spark, sf_dir):
+    from rarelab.operators.logistic import fit_logistic
+    m = fit_logistic(_train(spark, sf_dir), ["n_orders"])
+    return spark.createDataFrame(m.table(), "term string, coef double")
+
+
+@register("logistic_proba")
+def q_logistic_proba(spark, sf_dir):
+    from rarelab.operators.logistic import fit_logistic
+    t = _train(spark, sf_dir)
+    m = fit_logistic(t, ["n_orders"])
+    return m.transform(t.select("entity_id", "n_orders", "label")).select(
+        "entity_id", "n_orders", "label", "proba_negative")
+
+
+@register("logistic_predict")
+def q_logistic_predict(spark, sf_dir):
+    from rarelab.operators.logistic import fit_logistic
+    from rarelab.operators.splits import holdout_split
+    t = holdout_split(_train(spark, sf_dir), "entity_id", 0.1, 0)
+    m = fit_logistic(t.where(~F.col("is_test")), ["n_orders"])
+    cohorts = fx.entity_features(spark, sf_dir).where(F.col("generation") > 6)
+    return m.transform(cohorts).select("entity_id", "generation", "label", "pred", "proba")
+
+
+@register("resampled_fit")
+def q_resampled_fit(spark, sf_dir):
+    """Final models after SMOTE 0.1 (k=6) + under-sampling, fitted on the
+    holdout's training part: kNN and logistic predictions on the later
+    cohorts side by side."""
+    from rarelab.operators.knn import KnnModel
+    from rarelab.operators.logistic import fit_logistic
+    from rarelab.operators.resample import over_under
+    from rarelab.operators.splits import holdout_split
+    t = holdout_split(_train(spark, sf_dir).select("entity_id", "label", "n_orders"), "entity_id", 0.2, 0)
+    rs = over_under(t.where(~F.col("is_test")), ["n_orders"], 0.1, 0.7, k=6, seed=SMOTE_SEED)
+    cohorts = fx.entity_features(spark, sf_dir).where(F.col("generation") > 6).select(
+        "entity_id", "generation", "label", "n_orders")
+    knn = KnnModel(rs, ["n_orders"], k=5).transform(cohorts).select(
+        "entity_id", "generation", "label", F.col("pred").alias("knn_pred"))
+    lr = fit_logistic(rs, ["n_orders"]).transform(cohorts).select("entity_id", F.col("pred").alias("logit_pred"))
+    return knn.join(lr, "entity_id")
+
+
+@register("logistic_cv")
+def q_logistic_cv(spark, sf_dir):
+    from rarelab.plans.crossval import cv_logistic, score_summary, split_scores
+    preds = cv_logistic(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"])
+    return score_summary(split_scores(preds))
+
+
+@register("logistic_smote_cv")
+def q_logistic_smote_cv(spark, sf_dir):
+    from rarelab.plans.crossval import cv_logistic, resampler, score_summary, split_scores
+    step = resampler(["n_orders"], 0.1, 5, 0.5, SMOTE_SEED)
+    preds = cv_logistic(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], train_transform=step)
+    return score_summary(split_scores(preds))

@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("RARELAB_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -53,8 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df):
     """Materialise ``df`` into the session's (shared) checkpoint directory.
 
-    Used where a plan is reused many times (cross-validation splits, sweeps):
-    a reliable checkpoint survives executor loss, unlike cached or
-    locally-checkpointed blocks."""
+    Operators that read their input more than once (a count, a boundary
+    sample, then the pass itself) or iterate call this first: the upstream
+    plan runs once, later actions read the files, and the logical plan
+    shrinks to a scan, so planning stays cheap.  A reliable checkpoint
+    survives executor loss; a local one would not."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rarelab.functions.quantile import exact_percentile
+from rarelab.session import cut_lineage
 from rarelab.sources.tables import read_table
 
 # Fixed values of the fixture definition.
@@ -88,7 +89,7 @@ def entity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entity_features(spark: SparkSession, sf_dir: str,
                     label_quantile: float = LABEL_QUANTILE) -> DataFrame:
     """``entity_base`` plus ``label = spend >= percentile(spend, q)``."""
-    base = entity_base(spark, sf_dir)
+    base = cut_lineage(entity_base(spark, sf_dir))
     cut = exact_percentile(base, "spend", label_quantile)
     return base.withColumn("label", F.col("spend") >= F.lit(cut))
 
