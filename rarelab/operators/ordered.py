@@ -67,11 +67,12 @@ def bucket_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
 
 
 def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols: list[str],
-                prefix: str = "cum_", rows_per_bucket: int = 250_000, materialize: bool = True) -> DataFrame:
+                prefix: str = "cum_", rows_per_bucket: int = 250_000, materialize: bool = True,
+                n: int | None = None) -> DataFrame:
     """Add ``<prefix><c>``: the sum of ``c`` over rows of the same group at or
     before the current row in ``order_cols`` order.  ``order_cols`` (column
     names or expressions, ascending, non-null) must be unique within a
-    group."""
+    group.  ``n`` (the row count, when the caller knows it) saves a pass."""
     group_cols = list(group_cols)
     ocols = []
     for i, c in enumerate(order_cols):
@@ -81,15 +82,21 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols
     keys = group_cols + ocols
     if materialize:
         df = cut_lineage(df)
-    n = df.count()
-    bounds = _boundaries(df, keys, _bucket_count(df, n, rows_per_bucket), n)
+    if n is None:
+        n = df.count()
+    n_buckets = _bucket_count(df, n, rows_per_bucket)
+    frame = (Window.unboundedPreceding, Window.currentRow)
+    if n_buckets == 1:
+        # at most rows_per_bucket rows in all: one ordered window, no offsets
+        w = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy(*ocols).rowsBetween(*frame)
+        return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols}).drop(*ocols)
+    bounds = _boundaries(df, keys, n_buckets, n)
     b = df.withColumn("__b", bucket_of(df, keys, bounds))
     totals = b.groupBy(*group_cols, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
     wg = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("__b")
     offsets = totals.select(*group_cols, "__b", *[
         (F.sum(f"__t_{c}").over(wg) - F.col(f"__t_{c}")).alias(f"__s_{c}") for c in sum_cols])
-    wl = (Window.partitionBy(*group_cols, "__b").orderBy(*ocols)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wl = Window.partitionBy(*group_cols, "__b").orderBy(*ocols).rowsBetween(*frame)
     local = b.withColumns({f"__l_{c}": F.sum(c).over(wl) for c in sum_cols})
     # offsets: one row per (group, bucket); Spark/AQE broadcast it when its
     # measured size allows

@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rarelab.functions.hashing import hash_string, uniform
 from rarelab.operators.knn import knn_neighbors
@@ -52,15 +53,14 @@ def _minority(counts: dict) -> tuple:
     return a, na, b, nb  # minority, n_min, majority, n_maj
 
 
-def _per_split(split: list[str], values: dict, default=None):
-    """CASE expression mapping split values to a literal."""
-    if not split:
-        return F.lit(values[()])
-    expr = None
-    for s, v in values.items():
-        cond = reduce(lambda x, y: x & y, [F.col(c) == F.lit(sv) for c, sv in zip(split, s)])
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return expr.otherwise(F.lit(default))
+def _plan_table(df: DataFrame, split: list[str], rows: dict, cols: list[tuple[str, str]]) -> DataFrame:
+    """A per-split parameter table ``(split..., cols...)``: one row per split,
+    so it is broadcast; joining it keeps per-split constants out of large
+    CASE expressions."""
+    fields = [T.StructField(c, df.schema[c].dataType) for c in split] + [
+        T.StructField(n, T.LongType() if t == "long" else T.DoubleType()) for n, t in cols]
+    data = [tuple(s) + tuple(v) for s, v in rows.items()]
+    return df.sparkSession.createDataFrame(data, T.StructType(fields))
 
 
 def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "entity_id",
@@ -108,32 +108,24 @@ def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "
         *split, F.col(key).alias("__bk"), F.col("rank").alias("__r"), F.col("neighbor_key").alias("__nk"))
     nfeat = minority.select(*split, F.col(key).alias("__nk"), *[F.col(f).alias(f"__n_{f}") for f in features])
 
-    # synthetic ids: a partitioned range, cut into per-split runs by offsets
+    # synthetic ids: one partitioned range, cut into per-split runs; the run
+    # of an id is found by a small binary search over the run starts
     order = sorted(plan)
-    offsets, acc = {}, 0
-    for s in order:
-        offsets[s] = acc
-        acc += plan[s][1]
-    ids = df.sparkSession.range(total)
-    if split:
-        sel = None
-        for s in order:
-            lo, hi = offsets[s], offsets[s] + plan[s][1]
-            if hi == lo:
-                continue
-            cond = (F.col("id") >= lo) & (F.col("id") < hi)
-            cols = [F.lit(v).cast(df.schema[c].dataType) for c, v in zip(split, s)]
-            sel = [(cond, cols, lo)] if sel is None else sel + [(cond, cols, lo)]
-        split_cols = []
-        for i, c in enumerate(split):
-            e = None
-            for cond, cols, _ in sel:
-                e = F.when(cond, cols[i]) if e is None else e.when(cond, cols[i])
-            split_cols.append(e.alias(c))
-        ids = ids.select("id", *split_cols)
-    off = _per_split(split, offsets, 0)
-    n_min_e = _per_split(split, {s: p[0] for s, p in plan.items()}, 1).cast("bigint")
-    syn = ids.select(*split, (F.col("id") - off).alias("__j"), n_min_e.alias("__nmin"))
+    runs, acc = [], 0
+    for idx, sv in enumerate(order):
+        runs.append((idx, sv, acc, plan[sv][1], plan[sv][0]))
+        acc += plan[sv][1]
+    table = _plan_table(df, split, {sv: (idx, start, n_min) for idx, sv, start, _, n_min in runs},
+                        [("__run", "long"), ("__start", "long"), ("__nmin", "long")])
+    starts = [(r[2],) for r in runs if r[3] > 0]
+    ids = df.sparkSession.range(total).select(F.col("id"))
+    from rarelab.operators.ordered import bucket_of
+    nonempty = [r for r in runs if r[3] > 0]
+    run_of = bucket_of(ids, ["id"], starts[1:])
+    ids = ids.withColumn("__k", run_of)
+    lookup = df.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(nonempty)], "__k int, __run long")
+    syn = (ids.join(F.broadcast(lookup), "__k").join(F.broadcast(table), "__run")
+           .select(*split, (F.col("id") - F.col("__start")).alias("__j"), "__nmin"))
     draw = F.floor(uniform(seed, F.lit("draw"), *split, "__j") * (F.col("__nmin") * F.lit(k))).cast("bigint")
     syn = syn.select(*split, "__j", draw.alias("__d"), uniform(seed, F.lit("gap"), *split, "__j").alias("__gap"))
     syn = syn.select(*split, "__j", "__gap", F.floor(F.col("__d") / k).cast("bigint").alias("__i"),
@@ -184,7 +176,12 @@ def undersample(df: DataFrame, ratio: float, label: str = "label", key: str = "e
     ranked = running_sum(
         majority.withColumn("__one", F.lit(1).cast("bigint")), split,
         [F.md5(hash_string(seed, *split, key)), key], ["__one"], materialize=False)
-    kept = ranked.where(F.col("cum___one") <= _per_split(split, keep, 0)).drop("__one", "cum___one")
+    if split:
+        kt = _plan_table(df, split, {sv: (n,) for sv, n in keep.items()}, [("__keep", "long")])
+        kept = ranked.join(F.broadcast(kt), split).where(F.col("cum___one") <= F.col("__keep")).drop(
+            "__one", "cum___one", "__keep")
+    else:
+        kept = ranked.where(F.col("cum___one") <= F.lit(keep[()])).drop("__one", "cum___one")
     return df.where(F.col(label) != F.lit(maj)).unionByName(kept)
 
 
