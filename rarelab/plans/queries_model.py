@@ -532,3 +532,12 @@ def q_logistic_smote_cv(spark, sf_dir):
     step = resampler(["n_orders"], 0.1, 5, 0.5, SMOTE_SEED)
     preds = cv_logistic(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], train_transform=step)
     return score_summary(split_scores(preds))
+
+
+@register("knn_logit_agreement")
+def q_knn_logit_agreement(spark, sf_dir):
+    """Do the resampled kNN and logistic models predict the same on the
+    later cohorts?  Joint counts per cohort."""
+    fits = q_resampled_fit(spark, sf_dir)
+    return fits.groupBy(F.col("generation").alias("cohort"), "knn_pred", "logit_pred").agg(
+        F.count(F.lit(1)).alias("count"))

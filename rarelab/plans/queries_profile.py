@@ -334,3 +334,43 @@ def q_standardize(spark, sf_dir):
     cols = list(fx.NUMERIC_STATS)
     scaler = fit_scaler(_train(ef), cols)
     return rounded(scaler.transform(ef.select("entity_id", "generation", *cols), cols))
+
+
+# ---------------------------------------------------------------------- F4
+def _feature_sets_sql():
+    """Static sets, dummy names from the data's levels, top-correlated from the
+    D8 ranking - all derived in SQL as on the Spark side."""
+    dummies = """dummy AS (
+  SELECT name, row_number() OVER (ORDER BY src, lv) AS pos FROM (
+    SELECT DISTINCT 1 AS src, category_1 AS lv, 'category_1_' || regexp_replace(category_1, '[^A-Za-z0-9]', '_', 'g') AS name
+    FROM entity_features WHERE category_1 IS NOT NULL
+    UNION ALL
+    SELECT DISTINCT 2, category_2, 'category_2_' || regexp_replace(category_2, '[^A-Za-z0-9]', '_', 'g')
+    FROM entity_features WHERE category_2 IS NOT NULL))"""
+    ranked = """ranked AS (SELECT feature_a AS feature, row_number() OVER (ORDER BY r DESC NULLS LAST, feature_a) AS rank
+                FROM long WHERE feature_b = 'label')"""
+    body = """
+SELECT 'all_no_total' AS feature_set, pos AS position, feature FROM (VALUES (1, 'c_acctbal'), (2, 'quantity'),
+       (3, 'n_lines'), (4, 'wins')) v(pos, feature)
+UNION ALL SELECT 'all_no_total', 4 + pos, name FROM dummy
+UNION ALL SELECT 'total_dummies', 1, 'n_orders'
+UNION ALL SELECT 'total_dummies', 1 + pos, name FROM dummy
+UNION ALL SELECT 'top_correlated', rank - 1, feature FROM ranked WHERE rank BETWEEN 2 AND 7
+UNION ALL SELECT 'total_wins', 1, 'n_orders' UNION ALL SELECT 'total_wins', 2, 'wins'
+UNION ALL SELECT 'total_only', 1, 'n_orders'"""
+    return with_ctes(_ef_cte(), CORR_LONG_CTE, dummies, ranked, body=body)
+
+
+@register("feature_sets", _feature_sets_sql())
+def q_feature_sets(spark, sf_dir):
+    from rarelab.operators.features import category_levels, feature_sets
+    from rarelab.operators.profile import select_top_correlated
+    ef = fx.entity_features(spark, sf_dir)
+    dummies = []
+    for c in fx.CATEGORICAL:
+        dummies += [f"{c}_" + "".join(ch if ch.isalnum() else "_" for ch in str(lv)) for lv in category_levels(ef, c)]
+    # the ranking has one row per profiled column: a bounded collect
+    top = [r["feature"] for r in select_top_correlated(ef, CORR_COLS, "label", 6).orderBy("rank").collect()]
+    sets = feature_sets(list(fx.NUMERIC_STATS), fx.TOTAL, "wins", dummies, top)
+    rows = [(name, i + 1, f) for name, cols in sets.items() for i, f in enumerate(cols)]
+    return spark.createDataFrame(rows, "feature_set string, position int, feature string")

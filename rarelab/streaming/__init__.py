@@ -1,0 +1 @@
+"""Structured Streaming form of cohort scoring (inventory I12)."""

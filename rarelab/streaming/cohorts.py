@@ -1,0 +1,38 @@
+"""Score later cohorts as their files arrive (I12 on a stream).
+
+A fitted logistic model scores with column expressions, so it applies to a
+streaming DataFrame directly.  kNN scoring needs the (static) training rows
+and a global top-k per query, which is not a streaming operator; it runs per
+micro-batch through ``foreachBatch`` and appends to a table path.  Both are
+stateless: each arriving row is scored once.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from rarelab.operators.knn import KnnModel
+from rarelab.operators.logistic import LogisticModel
+
+
+def read_cohort_stream(spark: SparkSession, path: str, schema: T.StructType,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
+
+
+def logistic_scores(stream: DataFrame, model: LogisticModel, keep: list[str]) -> DataFrame:
+    """Streaming ``(keep..., proba, pred)``."""
+    return model.transform(stream).select(*keep, "proba", "pred")
+
+
+def knn_batch_writer(model: KnnModel, output_path: str, keep: list[str], query_key: str = "entity_id"):
+    """``foreachBatch`` function appending kNN predictions of each
+    micro-batch to ``output_path`` (parquet)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        scored = model.transform(batch, query_key).select(*keep, "proba", "pred")
+        scored.write.mode("append").parquet(output_path)
+    return write
