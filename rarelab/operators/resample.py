@@ -192,3 +192,109 @@ def over_under(df: DataFrame, features: list[str], over_ratio: float, under_rati
     training rows only."""
     over = smote(df, features, label, key, over_ratio, k, seed, split, weights)
     return undersample(over, under_ratio, label, key, seed, split)
+
+
+def resample_grid(df: DataFrame, features: list[str], configs: list[dict], label: str = "label",
+                  key: str = "entity_id", seed: int = 42, split=None, config_col: str = "config",
+                  neighbors: DataFrame | None = None) -> DataFrame:
+    """Many resampling configurations at once, keyed by ``(config, split...)``.
+
+    ``configs``: ``{"over_ratio": r or None (balance), "over_k": k,
+    "under_ratio": r or None}`` per config id (list position).  Rows equal
+    those of :func:`smote` then :func:`undersample` run per configuration:
+    the draws hash (seed, split, j) and the under-sampling order hashes
+    (seed, split, key), neither depends on the configuration.  The minority
+    index, the neighbour list (at the largest k) and the majority ranking are
+    computed once per split; only synthetic and kept rows are produced per
+    configuration."""
+    split = _split_list(split)
+    df = cut_lineage(df.select(*split, key, label, *[F.col(f).cast("double").alias(f) for f in features]))
+    counts = class_counts(df, label, split)
+    minos = {_minority(c)[0] for c in counts.values()}
+    majs = {_minority(c)[2] for c in counts.values()}
+    if len(minos) != 1 or len(majs) != 1:
+        raise ValueError("minority/majority classes differ between splits")
+    mino, maj = minos.pop(), majs.pop()
+    max_k = max(c.get("over_k", 5) for c in configs)
+    plan, keep = {}, {}
+    for ci, cfg in enumerate(configs):
+        k = cfg.get("over_k", 5)
+        for s, c in counts.items():
+            _, n_min, _, n_maj = _minority(c)
+            ratio = cfg.get("over_ratio")
+            n_new = int((n_maj if ratio is None else n_maj * ratio) - n_min)
+            if n_new < 0:
+                raise ValueError(f"config {ci} split {s}: over-sampling ratio {ratio} would remove minority rows")
+            if k > n_min - 1:
+                raise ValueError(f"config {ci} split {s}: k={k} needs at least {k + 1} minority rows")
+            plan[(ci,) + s] = (n_min, n_new, k)
+            under = cfg.get("under_ratio")
+            if under is not None:
+                n_keep = int((n_min + n_new) / under)
+                if n_keep > n_maj:
+                    raise ValueError(f"config {ci} split {s}: under-sampling ratio {under} cannot be met")
+                keep[(ci,) + s] = n_keep
+            else:
+                keep[(ci,) + s] = n_maj
+    gcols = [config_col] + split
+    spark = df.sparkSession
+
+    minority = df.where(F.col(label) == F.lit(mino))
+    n_minority = sum(_minority(c)[1] for c in counts.values())
+    indexed = running_sum(minority.withColumn("__one", F.lit(1).cast("bigint")), split, [key], ["__one"],
+                          materialize=False, n=n_minority).select(
+        *split, F.col(key).alias("__bk"), (F.col("cum___one") - 1).alias("__i"),
+        *[F.col(f).alias(f"__b_{f}") for f in features])
+    if neighbors is None:
+        neighbors = minority_neighbors(df, features, max_k, label, key, split, None, mino)
+    nb = neighbors.select(*split, F.col(key).alias("__bk"), F.col("rank").alias("__r"),
+                          F.col("neighbor_key").alias("__nk"))
+    nfeat = minority.select(*split, F.col(key).alias("__nk"), *[F.col(f).alias(f"__n_{f}") for f in features])
+
+    # synthetic ids for every (config, split) run from one partitioned range
+    order = sorted(plan)
+    runs, acc = [], 0
+    for g in order:
+        if plan[g][1] > 0:
+            runs.append((g, acc))
+            acc += plan[g][1]
+    struct_cols = [T.StructField(config_col, T.IntegerType())] + [
+        T.StructField(c, df.schema[c].dataType) for c in split]
+    table = spark.createDataFrame(
+        [(ri, g[0], *g[1:], start, plan[g][0], plan[g][2]) for ri, (g, start) in enumerate(runs)],
+        T.StructType([T.StructField("__run", T.IntegerType())] + struct_cols + [
+            T.StructField("__start", T.LongType()), T.StructField("__nmin", T.LongType()),
+            T.StructField("__k", T.LongType())]))
+    from rarelab.operators.ordered import bucket_of
+    synthetic = None
+    if acc > 0:
+        ids = spark.range(acc)
+        ids = ids.withColumn("__run", bucket_of(ids, ["id"], [(start,) for _, start in runs[1:]]).cast("int"))
+        syn = ids.join(F.broadcast(table), "__run").select(
+            *gcols, (F.col("id") - F.col("__start")).alias("__j"), "__nmin", "__k")
+        draw = F.floor(uniform(seed, F.lit("draw"), *split, "__j") * (F.col("__nmin") * F.col("__k"))).cast("bigint")
+        syn = syn.select(*gcols, "__j", "__k", draw.alias("__d"),
+                         uniform(seed, F.lit("gap"), *split, "__j").alias("__gap"))
+        syn = syn.select(*gcols, "__j", "__gap", F.floor(F.col("__d") / F.col("__k")).cast("bigint").alias("__i"),
+                         (F.pmod(F.col("__d"), F.col("__k")) + 1).cast("int").alias("__r"))
+        pts = syn.join(indexed, [*split, "__i"]).join(nb, [*split, "__bk", "__r"]).join(nfeat, [*split, "__nk"])
+        synthetic = pts.select(
+            *gcols, (-(F.col("__j") + 1)).cast(df.schema[key].dataType).alias(key),
+            F.lit(mino).cast(df.schema[label].dataType).alias(label),
+            *[(F.col(f"__b_{f}") + F.col("__gap") * (F.col(f"__n_{f}") - F.col(f"__b_{f}"))).alias(f)
+              for f in features],
+            F.lit(True).alias("is_synthetic"))
+
+    # majority ranked once per split, kept per configuration
+    majority = df.where(F.col(label) == F.lit(maj))
+    n_majority = sum(_minority(c)[3] for c in counts.values())
+    ranked = running_sum(majority.withColumn("__one", F.lit(1).cast("bigint")), split,
+                         [F.md5(hash_string(seed, *split, key)), key], ["__one"], materialize=False, n=n_majority)
+    kt = spark.createDataFrame([(g[0], *g[1:], n) for g, n in keep.items()],
+                               T.StructType(struct_cols + [T.StructField("__keep", T.LongType())]))
+    kept = (ranked.join(F.broadcast(kt), split).where(F.col("cum___one") <= F.col("__keep"))
+            .select(*gcols, key, label, *features, F.lit(False).alias("is_synthetic")))
+    originals = minority.withColumn(config_col, F.explode(F.sequence(F.lit(0), F.lit(len(configs) - 1)))).select(
+        *gcols, key, label, *features, F.lit(False).alias("is_synthetic"))
+    out = originals.unionByName(kept)
+    return out.unionByName(synthetic) if synthetic is not None else out

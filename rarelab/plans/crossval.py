@@ -86,15 +86,14 @@ def resampler(features: list[str], over_ratio=None, over_k: int = 5, under_ratio
     """H7: a fit-time-only resampling step for :func:`cv_knn_predictions` /
     :func:`cv_logistic` - SMOTE (``over_ratio``, None = balance) then optional
     under-sampling, per ``split_id``."""
-    from rarelab.operators.resample import smote, undersample
+    from rarelab.operators.resample import resample_grid, undersample
 
     def step(train: DataFrame) -> DataFrame:
         t = train.select("split_id", key, label, *features)
-        if smote_on:
-            t = smote(t, features, label, key, over_ratio, over_k, seed, "split_id", neighbors=neighbors)
-        if under_ratio is not None:
-            t = undersample(t, under_ratio, label, key, seed, "split_id")
-        return t
+        if not smote_on:
+            return undersample(t, under_ratio, label, key, seed, "split_id") if under_ratio is not None else t
+        cfg = {"over_ratio": over_ratio, "over_k": over_k, "under_ratio": under_ratio}
+        return resample_grid(t, features, [cfg], label, key, seed, "split_id", neighbors=neighbors).drop("config")
     return step
 
 
@@ -114,25 +113,36 @@ def cv_logistic(folds: DataFrame, n_splits: int, features: list[str], label: str
 def sweep_resampled(folds: DataFrame, n_splits: int, features: list[str], configs: list[dict],
                     model: str = "knn", k: int = 5, seed: int = 42, label: str = "label",
                     key: str = "entity_id") -> DataFrame:
-    """Mean and std of split ROC AUC (and accuracy) for each resampling
-    configuration ``{"param": value, "over_ratio", "over_k", "under_ratio"}``.
-    The minority neighbour list is computed once at the largest SMOTE k and
-    reused by every configuration."""
-    from rarelab.operators.resample import minority_neighbors
-    from rarelab.session import cut_lineage
-    train, _ = split_frames(folds, n_splits)
-    max_k = max(c.get("over_k", 5) for c in configs)
-    nb = cut_lineage(minority_neighbors(train.select("split_id", key, label, *features), features, max_k,
-                                        label, key, "split_id"))
-    out = None
-    for cfg in configs:
-        step = resampler(features, cfg.get("over_ratio"), cfg.get("over_k", 5), cfg.get("under_ratio"),
-                         seed, label, key, neighbors=nb)
-        if model == "knn":
-            preds = cv_knn_predictions(folds, n_splits, features, k, key, label, train_transform=step)
-        else:
-            preds = cv_logistic(folds, n_splits, features, label, key, train_transform=step)
-        s = score_summary(split_scores(preds, label)).select(
-            F.lit(float(cfg["param"])).alias("param"), "*")
-        out = s if out is None else out.unionByName(s)
-    return out
+    """Mean and population std of split ROC AUC and accuracy for each
+    resampling configuration ``{"param", "over_ratio", "over_k",
+    "under_ratio"}``.
+
+    The configuration is a key column: one batched resampling pass builds the
+    training rows of every (config, split) - minority index, neighbour list
+    and majority ranking are shared - and one neighbour search (or one batched
+    logistic fit) and one AUC pass run grouped by ``(config, split_id)``."""
+    from rarelab.operators.logistic import fit_logistic_groups, predict_groups
+    from rarelab.operators.resample import resample_grid
+    train, test = split_frames(folds, n_splits)
+    grid = resample_grid(train.select("split_id", key, label, *features), features, configs, label, key, seed,
+                         "split_id")
+    cfg = folds.sparkSession.createDataFrame(
+        [(i, float(c["param"])) for i, c in enumerate(configs)], "config int, param double")
+    queries = test.select("split_id", key, label, *features).withColumn(
+        "config", F.explode(F.sequence(F.lit(0), F.lit(len(configs) - 1))))
+    groups = ["config", "split_id"]
+    if model == "knn":
+        nb = knn_neighbors(grid, queries, features, k, key=key, label=label, split=groups)
+        votes = knn_vote(nb, key, groups)
+        preds = queries.select(*groups, key, label).join(votes, [*groups, key], "left")
+    else:
+        coefs = fit_logistic_groups(grid, features, label, groups)
+        preds = predict_groups(coefs, queries, features, groups).select(*groups, key, label, "pred", "proba")
+    acc = metrics.accuracy(preds, label, "pred", by=groups).select(*groups, "accuracy")
+    auc = metrics.roc_auc(preds, label, "proba", by=groups)
+    per_split = acc.join(auc, groups)
+    summary = per_split.groupBy("config").agg(
+        F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"),
+        F.avg("roc_auc").alias("mean_roc_auc"), F.stddev_pop("roc_auc").alias("std_roc_auc"))
+    return summary.join(F.broadcast(cfg), "config").select(
+        "param", "mean_accuracy", "std_accuracy", "mean_roc_auc", "std_roc_auc")
