@@ -541,3 +541,28 @@ def q_knn_logit_agreement(spark, sf_dir):
     fits = q_resampled_fit(spark, sf_dir)
     return fits.groupBy(F.col("generation").alias("cohort"), "knn_pred", "logit_pred").agg(
         F.count(F.lit(1)).alias("count"))
+
+
+# J3-J5 for logistic regression (batched Newton over every config x split).
+# The model is an argument, so the under-sampling sweep really fits the
+# logistic model.  Iterative fits: rows-only checks.
+LOGISTIC_SWEEPS = {
+    "logistic_sweep_smote_k": [dict(param=k, over_ratio=0.1, over_k=k, under_ratio=0.5) for k in range(1, 8)],
+    "logistic_sweep_over_ratio": [dict(param=r, over_ratio=r, over_k=6, under_ratio=0.5)
+                                  for r in (0.1, 0.2, 0.3, 0.4, 0.5)],
+    "logistic_sweep_under_ratio": [dict(param=r, over_ratio=0.1, over_k=6, under_ratio=r)
+                                   for r in (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)],
+}
+
+
+def _logistic_sweep_query(name):
+    def q(spark, sf_dir):
+        from rarelab.plans.crossval import sweep_resampled
+        return rounded(sweep_resampled(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], LOGISTIC_SWEEPS[name],
+                                       model="logistic", seed=SMOTE_SEED))
+    q.__name__ = f"q_{name}"
+    return q
+
+
+for _name in LOGISTIC_SWEEPS:
+    register(_name)(_logistic_sweep_query(_name))

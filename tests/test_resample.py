@@ -64,3 +64,19 @@ def test_per_split(spark):
     for s in (0, 1):
         n_maj = df.where(f"split_id = {s} and not label").count()
         assert c[(s, True)] == int(n_maj * 0.1)
+
+
+def test_grid_equals_per_config(spark):
+    from rarelab.operators.resample import resample_grid
+    df = _frame(spark).withColumn("split_id", (F.col("entity_id") % 3).cast("int"))
+    configs = [dict(over_ratio=0.1, over_k=2, under_ratio=0.5), dict(over_ratio=0.3, over_k=4, under_ratio=1.0),
+               dict(over_ratio=None, over_k=3, under_ratio=None)]
+    grid = resample_grid(df, ["x"], configs, split="split_id")
+    cols = ["split_id", "entity_id", "label", "x", "is_synthetic"]
+    for i, c in enumerate(configs):
+        one = smote(df, ["x"], ratio=c["over_ratio"], k=c["over_k"], split="split_id")
+        if c["under_ratio"] is not None:
+            one = undersample(one, c["under_ratio"], split="split_id")
+        a = sorted(tuple(r) for r in grid.where(F.col("config") == i).select(*cols).collect())
+        b = sorted(tuple(r) for r in one.select(*cols).collect())
+        assert a == b, i
