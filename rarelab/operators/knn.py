@@ -204,10 +204,21 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
                                train_block_rows, query_block_rows, chunk_cells)
     else:
         raise ValueError(f"unknown method {method!r}")
-    win = Window.partitionBy(*split, "__qk").orderBy("__d2", "__tk")
-    top = cand.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
+    if method == "sorted":
+        # at most 2k (+2) candidates per query: a bounded hash aggregate,
+        # sorted by (distance, key), beats a sort-based window
+        top = (cand.groupBy(*split, "__qk")
+               .agg(F.slice(F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))), 1, k).alias("__nb"))
+               .select(*split, "__qk", F.posexplode("__nb").alias("__p", "__n"))
+               .select(*split, "__qk", "__n.__tk", "__n.__ty", "__n.__d2", (F.col("__p") + 1).alias("rank")))
+    else:
+        # candidates grow with the number of train blocks: windowed top-k,
+        # planned with a partial WindowGroupLimit before the shuffle
+        win = Window.partitionBy(*split, "__qk").orderBy("__d2", "__tk")
+        top = cand.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
     return top.select(*split, F.col("__qk").alias(query_key), F.col("__tk").alias("neighbor_key"),
-                      F.col("__ty").alias("neighbor_label"), F.sqrt("__d2").alias("distance"), "rank")
+                      F.col("__ty").alias("neighbor_label"), F.sqrt("__d2").alias("distance"),
+                      F.col("rank").cast("int").alias("rank"))
 
 
 def knn_vote(neighbors: DataFrame, query_key: str = "entity_id", split=None, k: int | None = None,

@@ -21,6 +21,11 @@ from rarelab.session import cut_lineage
 
 SAMPLE_PER_BUCKET = 32
 SAMPLE_SEED = 17
+# Upper bound on buckets: keeps the boundary sample (<= 32 x 4096 rows on the
+# driver) and the bucket search tree (depth 12) small.  Past 4096 x
+# rows_per_bucket rows the buckets grow instead; the window inside a bucket is
+# an external sort, so larger buckets spill rather than fail.
+MAX_BUCKETS = 4096
 
 
 def _bucket_count(df: DataFrame, n: int, rows_per_bucket: int) -> int:
@@ -29,7 +34,7 @@ def _bucket_count(df: DataFrame, n: int, rows_per_bucket: int) -> int:
     if n <= rows_per_bucket:
         return 1
     par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(max(par, math.ceil(n / rows_per_bucket)), max(1, n // SAMPLE_PER_BUCKET)))
+    return max(1, min(max(par, math.ceil(n / rows_per_bucket)), MAX_BUCKETS, max(1, n // SAMPLE_PER_BUCKET)))
 
 
 def _boundaries(df: DataFrame, cols: list[str], n_buckets: int, n: int) -> list[tuple]:
@@ -67,7 +72,7 @@ def bucket_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
 
 
 def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols: list[str],
-                prefix: str = "cum_", rows_per_bucket: int = 250_000, materialize: bool = True,
+                prefix: str = "cum_", rows_per_bucket: int = 2_000_000, materialize: bool = True,
                 n: int | None = None) -> DataFrame:
     """Add ``<prefix><c>``: the sum of ``c`` over rows of the same group at or
     before the current row in ``order_cols`` order.  ``order_cols`` (column
@@ -106,7 +111,7 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols
 
 
 def dense_position(df: DataFrame, order_cols: list, name: str = "pos",
-                   rows_per_bucket: int = 250_000) -> DataFrame:
+                   rows_per_bucket: int = 2_000_000) -> DataFrame:
     """Add ``name``: the 0-based position of each row in ``order_cols`` order
     (unique per row - end with the key)."""
     one = df.withColumn("__one", F.lit(1).cast("bigint"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rarelab.operators import metrics
+from rarelab.session import cut_lineage
 from rarelab.operators.knn import knn_k_sweep, knn_neighbors, knn_vote
 
 
@@ -62,7 +63,8 @@ def cv_knn_predictions(folds: DataFrame, n_splits: int, features, k: int, key: s
         train = train_transform(train)
     nb = knn_neighbors(train, test, features, k, key=key, label=label, split="split_id", weights=weights)
     votes = knn_vote(nb, key, "split_id")
-    return test.select("split_id", key, label).join(votes, ["split_id", key], "left")
+    # one row per test row and split, scored by several metrics: materialise once
+    return cut_lineage(test.select("split_id", key, label).join(votes, ["split_id", key], "left"))
 
 
 def split_scores(preds: DataFrame, label: str = "label") -> DataFrame:
@@ -107,7 +109,7 @@ def cv_logistic(folds: DataFrame, n_splits: int, features: list[str], label: str
         train = train_transform(train)
     coefs = fit_logistic_groups(train, features, label, ["split_id"], C=C)
     preds = predict_groups(coefs, test.select("split_id", key, label, *features), features, ["split_id"])
-    return preds.select("split_id", key, label, "pred", "proba")
+    return cut_lineage(preds.select("split_id", key, label, "pred", "proba"))
 
 
 def sweep_resampled(folds: DataFrame, n_splits: int, features: list[str], configs: list[dict],
@@ -138,6 +140,7 @@ def sweep_resampled(folds: DataFrame, n_splits: int, features: list[str], config
     else:
         coefs = fit_logistic_groups(grid, features, label, groups)
         preds = predict_groups(coefs, queries, features, groups).select(*groups, key, label, "pred", "proba")
+    preds = cut_lineage(preds)
     acc = metrics.accuracy(preds, label, "pred", by=groups).select(*groups, "accuracy")
     auc = metrics.roc_auc(preds, label, "proba", by=groups)
     per_split = acc.join(auc, groups)
