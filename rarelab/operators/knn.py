@@ -175,12 +175,14 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
                   label: str = "label", query_key: str | None = None, split=None,
                   weights=None, exclude_self: bool = False, exclude_col: str | None = None,
                   method: str = "auto", train_block_rows: int = 20000, query_block_rows: int = 20000,
-                  chunk_cells: int = 2_000_000) -> DataFrame:
+                  chunk_cells: int = 2_000_000, as_arrays: bool = False) -> DataFrame:
     """The k nearest training rows of every query row, exactly.
 
     ``features``: a list of numeric columns or one array column.  Returns
     ``(split..., query_key, neighbor_key, neighbor_label, distance, rank)``,
-    rank 1..k in (distance, neighbour key) order."""
+    rank 1..k in (distance, neighbour key) order; with ``as_arrays`` one row
+    per query, ``(split..., query_key, neighbors)`` holding the same k
+    structs in rank order (bounded by k)."""
     split = [split] if isinstance(split, str) else list(split or [])
     query_key = query_key or key
     dim = _dim(train, features)
@@ -207,15 +209,23 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     if method == "sorted":
         # at most 2k (+2) candidates per query: a bounded hash aggregate,
         # sorted by (distance, key), beats a sort-based window
-        top = (cand.groupBy(*split, "__qk")
-               .agg(F.slice(F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))), 1, k).alias("__nb"))
-               .select(*split, "__qk", F.posexplode("__nb").alias("__p", "__n"))
-               .select(*split, "__qk", "__n.__tk", "__n.__ty", "__n.__d2", (F.col("__p") + 1).alias("rank")))
+        arrays = cand.groupBy(*split, "__qk").agg(
+            F.slice(F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))), 1, k).alias("__nb"))
     else:
         # candidates grow with the number of train blocks: windowed top-k,
         # planned with a partial WindowGroupLimit before the shuffle
         win = Window.partitionBy(*split, "__qk").orderBy("__d2", "__tk")
         top = cand.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
+        if as_arrays:
+            arrays = top.groupBy(*split, "__qk").agg(
+                F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))).alias("__nb"))
+    if as_arrays:
+        return arrays.select(*split, F.col("__qk").alias(query_key), F.transform("__nb", lambda n: F.struct(
+            n["__tk"].alias("neighbor_key"), n["__ty"].alias("neighbor_label"),
+            F.sqrt(n["__d2"]).alias("distance"))).alias("neighbors"))
+    if method == "sorted":
+        top = (arrays.select(*split, "__qk", F.posexplode("__nb").alias("__p", "__n"))
+               .select(*split, "__qk", "__n.__tk", "__n.__ty", "__n.__d2", (F.col("__p") + 1).alias("rank")))
     return top.select(*split, F.col("__qk").alias(query_key), F.col("__tk").alias("neighbor_key"),
                       F.col("__ty").alias("neighbor_label"), F.sqrt("__d2").alias("distance"),
                       F.col("rank").cast("int").alias("rank"))
@@ -237,8 +247,17 @@ def knn_vote(neighbors: DataFrame, query_key: str = "entity_id", split=None, k:
 
 def knn_k_sweep(neighbors: DataFrame, ks: list[int], query_key: str = "entity_id", split=None) -> DataFrame:
     """Binary predictions for every k in ``ks`` from one neighbour list
-    of depth ``max(ks)``: cumulative positive count by rank, read at each k."""
+    of depth ``max(ks)``: the positive count among the first k neighbours,
+    read at each k.  With array-form neighbours (``as_arrays=True``) this is
+    pure per-row array arithmetic - no window, no sort."""
     split = [split] if isinstance(split, str) else list(split or [])
+    if "neighbors" in neighbors.columns:
+        labels = F.transform("neighbors", lambda n: n["neighbor_label"].cast("int"))
+        per_k = F.array(*[F.struct(F.lit(k).alias("k"), F.aggregate(
+            F.slice(labels, 1, k), F.lit(0), lambda acc, x: acc + x).alias("pos")) for k in ks])
+        return (neighbors.select(*split, query_key, F.inline(per_k))
+                .select(*split, query_key, F.col("k").cast("int").alias("k"), (2 * F.col("pos") > F.col("k")).alias("pred"),
+                        (F.col("pos") / F.col("k")).alias("proba")))
     w = Window.partitionBy(*split, query_key).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     cum = neighbors.withColumn("__pos", F.sum(F.col("neighbor_label").cast("int")).over(w))
     at_k = cum.where(F.col("rank").isin(list(ks)))
