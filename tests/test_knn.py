@@ -75,3 +75,18 @@ def test_split_keyed_search(spark):
         part = [r for r in rows if r["split_id"] == s]
         exp |= {(s,) + t for t in _brute(part, part, ["a"], 4, self_ex=True)}
     assert got == exp
+
+
+def test_array_form_equals_long_form(spark):
+    df = _data(spark, 120, 4)
+    tr, qu = df.where("entity_id % 4 <> 0"), df.where("entity_id % 4 = 0")
+    for cols in (["a"], ["a", "b"]):
+        long = {(r["entity_id"], r["rank"], r["neighbor_key"]) for r in knn_neighbors(tr, qu, cols, 6).collect()}
+        arr = set()
+        for r in knn_neighbors(tr, qu, cols, 6, as_arrays=True).collect():
+            arr |= {(r["entity_id"], i + 1, n["neighbor_key"]) for i, n in enumerate(r["neighbors"])}
+        assert long == arr
+        sweep = {(r["entity_id"], r["k"]): r["pred"] for r in knn_k_sweep(
+            knn_neighbors(tr, qu, cols, 6, as_arrays=True), [1, 3, 5]).collect()}
+        ref = {(r["entity_id"], r["k"]): r["pred"] for r in knn_k_sweep(knn_neighbors(tr, qu, cols, 6), [1, 3, 5]).collect()}
+        assert sweep == ref
