@@ -40,14 +40,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when none is configured (local tests).  A cluster names a shared folder in
     ``spark.checkpoint.dir``; that setting always wins."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session: the server owns the setting
+        return configured or ""
+    current = sc.getCheckpointDir()
     if current:
         return current
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        sc.setCheckpointDir(configured)
         return configured
     path = tempfile.mkdtemp(prefix="rarelab-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 

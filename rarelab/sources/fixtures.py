@@ -97,7 +97,7 @@ def entity_features(spark: SparkSession, sf_dir: str,
     reads its joined entity table many times, as the reference re-reads its
     saved joined CSV); the checkpoint lives in the session's checkpoint
     directory, shared storage on a cluster."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), label_quantile)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir.rstrip("/"), label_quantile)
     if key not in _ENTITY_TABLES:
         base = cut_lineage(entity_base(spark, sf_dir))
         cut = exact_percentile(base, "spend", label_quantile)
