@@ -189,14 +189,21 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     w = np.ones(dim) if weights is None else np.asarray(weights, dtype=float)
     if method == "auto":
         method = "sorted" if dim == 1 and exclude_col is None else "blocks"
+    if train is query and query_key == key:
+        # self-search (leave-one-out, SMOTE neighbours): materialise the rows once
+        fcols = [features] if isinstance(features, str) else list(features)
+        train = query = cut_lineage(train.select(*split, key, label, *fcols,
+                                                 *([exclude_col] if exclude_col else [])))
     t = train.select(*split, F.col(key).alias("__tk"), F.col(label).alias("__ty"),
                      _feature_array(features).alias("__tx"),
                      *([F.col(exclude_col).alias("__tex")] if exclude_col else []))
     q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"),
                      *([F.col(exclude_col).alias("__qex")] if exclude_col else []))
     # each side is read several times (counts, positions, candidates)
-    t = cut_lineage(t.where(F.col("__tx").isNotNull()))
-    q = cut_lineage(q.where(F.col("__qx").isNotNull()))
+    t = t.where(F.col("__tx").isNotNull())
+    q = q.where(F.col("__qx").isNotNull())
+    if train is not query:
+        t, q = cut_lineage(t), cut_lineage(q)
     if method == "sorted":
         if dim != 1 or exclude_col:
             raise ValueError("the sorted method needs one feature and no exclude_col")
