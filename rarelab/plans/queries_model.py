@@ -384,7 +384,8 @@ def _cv_scores(spark, sf_dir, resample=None):
 
 
 @register("cv_scores", with_ctes(*CV_BASE, *_cv_ctes("a", 5), body="""
-SELECT split_id, round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc FROM scores_a"""))
+SELECT CAST(split_id AS INTEGER) AS split_id, round(accuracy, 6) AS accuracy, round(roc_auc, 6) AS roc_auc
+FROM scores_a"""))
 def q_cv_scores(spark, sf_dir):
     return rounded(_cv_scores(spark, sf_dir))
 

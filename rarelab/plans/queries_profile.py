@@ -198,7 +198,7 @@ def q_correlation_matrix(spark, sf_dir):
 
 @register("label_correlation", with_ctes(_ef_cte(), CORR_LONG_CTE, body="""
 SELECT feature_a AS feature, round(r, 6) AS r,
-       row_number() OVER (ORDER BY r DESC NULLS LAST, feature_a) AS rank
+       CAST(row_number() OVER (ORDER BY r DESC NULLS LAST, feature_a) AS INTEGER) AS rank
 FROM long WHERE feature_b = 'label'"""))
 def q_label_correlation(spark, sf_dir):
     from rarelab.operators.profile import label_correlation
@@ -206,7 +206,7 @@ def q_label_correlation(spark, sf_dir):
 
 
 @register("select_features", with_ctes(_ef_cte(), CORR_LONG_CTE, body="""
-SELECT feature, round(r, 6) AS r, rank FROM (
+SELECT feature, round(r, 6) AS r, CAST(rank AS INTEGER) AS rank FROM (
   SELECT feature_a AS feature, r, row_number() OVER (ORDER BY r DESC NULLS LAST, feature_a) AS rank
   FROM long WHERE feature_b = 'label') WHERE rank BETWEEN 2 AND 7"""))
 def q_select_features(spark, sf_dir):
@@ -358,7 +358,8 @@ UNION ALL SELECT 'total_dummies', 1 + pos, name FROM dummy
 UNION ALL SELECT 'top_correlated', rank - 1, feature FROM ranked WHERE rank BETWEEN 2 AND 7
 UNION ALL SELECT 'total_wins', 1, 'n_orders' UNION ALL SELECT 'total_wins', 2, 'wins'
 UNION ALL SELECT 'total_only', 1, 'n_orders'"""
-    return with_ctes(_ef_cte(), CORR_LONG_CTE, dummies, ranked, body=body)
+    return with_ctes(_ef_cte(), CORR_LONG_CTE, dummies, ranked,
+                     body=f"SELECT feature_set, CAST(position AS INTEGER) AS position, feature FROM ({body})")
 
 
 @register("feature_sets", _feature_sets_sql())
