@@ -244,6 +244,11 @@ def knn_vote(neighbors: DataFrame, query_key: str = "entity_id", split=None, k:
     neighbours in the ``positive`` class, per query."""
     split = [split] if isinstance(split, str) else list(split or [])
     nb = neighbors if k is None else neighbors.where(F.col("rank") <= k)
+    if isinstance(nb.schema["neighbor_label"].dataType, T.BooleanType) and positive is True:
+        # two classes: one aggregate; a tie goes to False, the lower class
+        pos = F.count(F.when(F.col("neighbor_label"), 1))
+        return nb.groupBy(*split, query_key).agg(
+            (2 * pos > F.count(F.lit(1))).alias("pred"), (pos / F.count(F.lit(1))).alias("proba"))
     per_class = nb.groupBy(*split, query_key, "neighbor_label").agg(F.count(F.lit(1)).alias("__n"))
     vote = per_class.groupBy(*split, query_key).agg(
         F.min_by("neighbor_label", F.struct((-F.col("__n")).alias("a"), F.col("neighbor_label").alias("b"))).alias("pred"),
