@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rarelab.functions.columns import safe_corr
 from rarelab.functions.quantile import exact_percentile
 
 

@@ -17,7 +17,6 @@ adds ``int(n_maj * ratio - n_min)`` rows, under-sampling keeps
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
