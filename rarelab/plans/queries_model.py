@@ -323,16 +323,19 @@ def q_over_under(spark, sf_dir):
 CV_SPLITS, CV_REPEATS = 10, 3
 
 
-def _cv_ctes(p: str, k_model: int, resample: tuple | None = None) -> list[str]:
+def _cv_ctes(p: str, k_model: int, resample: tuple | None = None, feats: tuple = ("n_orders",),
+             weights: str | None = None) -> list[str]:
     """CTEs ending in ``scores_{p}(split_id, accuracy, roc_auc)`` and
     ``summary_{p}``: kNN on ``n_orders`` over the 10x3 repeated stratified
     splits, with optional per-split (over_ratio, over_k, under_ratio)."""
     S = CV_SPLITS
+    fsel = ", ".join(f"t.{f}" for f in feats)
+    fplain = ", ".join(feats)
     ctes = [
-        f"""tr0_{p} AS (SELECT fo.rep * {S} + g.g AS split_id, t.entity_id, t.label, t.n_orders
+        f"""tr0_{p} AS (SELECT fo.rep * {S} + g.g AS split_id, t.entity_id, t.label, {fsel}
            FROM folds fo JOIN train t ON fo.entity_id = t.entity_id,
                 (SELECT unnest(generate_series(0, {S - 1})) AS g) g WHERE g.g <> fo.fold)""",
-        f"""qu_{p} AS (SELECT fo.rep * {S} + fo.fold AS split_id, t.entity_id AS qk, t.label AS y, t.n_orders
+        f"""qu_{p} AS (SELECT fo.rep * {S} + fo.fold AS split_id, t.entity_id AS qk, t.label AS y, {fsel}
            FROM folds fo JOIN train t ON fo.entity_id = t.entity_id)""",
     ]
     final = f"tr0_{p}"
@@ -344,8 +347,8 @@ def _cv_ctes(p: str, k_model: int, resample: tuple | None = None) -> list[str]:
             ctes += _under_ctes(f"sm_{p}", under_ratio, SMOTE_SEED, name=f"un_{p}", split=True)
             final = f"un_{p}"
     ctes += [
-        f"trk_{p} AS (SELECT split_id, entity_id AS tk, label AS ty, n_orders FROM {final})",
-        _knn_sql(f"trk_{p}", f"qu_{p}", ["n_orders"], k_model, split=True, name=f"nb_{p}"),
+        f"trk_{p} AS (SELECT split_id, entity_id AS tk, label AS ty, {fplain} FROM {final})",
+        _knn_sql(f"trk_{p}", f"qu_{p}", list(feats), k_model, split=True, name=f"nb_{p}", weights=weights),
         f"""votes_{p} AS (SELECT split_id, qk, count(*) FILTER (WHERE ty) AS pos, count(*) AS n FROM nb_{p} GROUP BY ALL)""",
         f"""preds_{p} AS (SELECT q.split_id, q.qk, q.y, pos * 2 > n AS pred, pos / n AS proba
            FROM qu_{p} q JOIN votes_{p} v ON q.split_id = v.split_id AND q.qk = v.qk)""",
@@ -409,6 +412,25 @@ def q_smote_balanced_cv(spark, sf_dir):
     return rounded(score_summary(_cv_scores(spark, sf_dir, (None, 5, None))))
 
 
+CV_2D = ["n_orders", "wins"]
+
+
+@register("cv_summary_2d", with_ctes(*CV_BASE, _weights_sql("train", CV_2D),
+                                     *_cv_ctes("a", 3, feats=tuple(CV_2D), weights="wt"),
+                                     body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+def q_cv_summary_2d(spark, sf_dir):
+    """I9, I10 with two scaled features (kNN k=3): one blocked search per
+    repeat with same-fold pairs masked, no replicated training rows.  The
+    scaling weights are fit on all training rows, as the study does."""
+    from rarelab.operators.knn import scaling_weights
+    from rarelab.operators.splits import stratified_folds
+    from rarelab.plans.crossval import cv_knn_predictions, score_summary, split_scores
+    t = _train(spark, sf_dir).select("entity_id", "label", *CV_2D)
+    folds = stratified_folds(t, "label", "entity_id", CV_SPLITS, seed=FOLD_SEED, n_repeats=CV_REPEATS)
+    preds = cv_knn_predictions(folds, CV_SPLITS, CV_2D, 3, weights=scaling_weights(t, CV_2D))
+    return rounded(score_summary(split_scores(preds)))
+
+
 # ------------------------------------------------------------------ sweeps
 SWEEPS = {
     # fixed values of the study's sweeps: (param name, values, config builder)

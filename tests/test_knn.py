@@ -90,3 +90,17 @@ def test_array_form_equals_long_form(spark):
             knn_neighbors(tr, qu, cols, 6, as_arrays=True), [1, 3, 5]).collect()}
         ref = {(r["entity_id"], r["k"]): r["pred"] for r in knn_k_sweep(knn_neighbors(tr, qu, cols, 6), [1, 3, 5]).collect()}
         assert sweep == ref
+
+
+def test_cv_fold_exclusion_equals_replication(spark):
+    from rarelab.operators.splits import stratified_folds
+    from rarelab.plans.crossval import cv_knn_predictions, split_frames
+    df = _data(spark, 200, 5)
+    folds = stratified_folds(df, "label", "entity_id", 5, seed=3, n_repeats=2)
+    fast = {(r["split_id"], r["entity_id"]): (r["pred"], r["proba"])
+            for r in cv_knn_predictions(folds, 5, ["a", "b"], 5).collect()}
+    train, test = split_frames(folds, 5)
+    nb = knn_neighbors(train, test, ["a", "b"], 5, split="split_id", method="blocks")
+    slow = {(r["split_id"], r["entity_id"]): (r["pred"], r["proba"])
+            for r in knn_vote(nb, "entity_id", "split_id").collect()}
+    assert fast == slow and len(fast) == 400
