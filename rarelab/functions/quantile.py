@@ -16,12 +16,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_FETCH = 200_000  # bracket rows ordered in one task; beyond this, count per value
+
+
+def sketch_accuracy(n: int) -> int:
+    """Sketch accuracy growing with n (bracket ~ 8 n / accuracy rows), capped
+    to keep the mergeable sketch small."""
+    return int(min(max(20_000, n // 20_000), 1_000_000))
+
+
 def rank_bracket(df: DataFrame, value: Column, k_lo: int, k_hi: int, n: int,
-                 accuracy: int = 20000):
+                 accuracy: int | None = None):
     """Bounds containing the 0-based ranks ``k_lo..k_hi`` of ``value`` (non-null
     rows of ``df``, ``n`` of them).  Returns ``(before, inside, below)``:
     predicates selecting the rows ordered before the bracket and the bracket
     rows, and the number of rows before it."""
+    accuracy = accuracy or sketch_accuracy(n)
     x = df.select(value.cast("double").alias("__x")).where(F.col("__x").isNotNull())
     eps = 4.0 / accuracy
     while True:
@@ -37,14 +47,14 @@ def rank_bracket(df: DataFrame, value: Column, k_lo: int, k_hi: int, n: int,
         below, inside = row["below"], row["inside"]
         if below <= k_lo and k_hi < below + inside:
             before = value.cast("double") < F.lit(lo) if lo_p > 0.0 else F.lit(False)
-            return before, value.isNotNull() & lo_c & hi_c, below
+            return before, value.isNotNull() & lo_c & hi_c, below, inside
         if lo_p == 0.0 and hi_p == 1.0:
             raise RuntimeError("rank bracket verification failed")
         eps *= 4.0
 
 
 def exact_percentile(df: DataFrame, column: str, p: float,
-                     accuracy: int = 20000) -> float | None:
+                     accuracy: int | None = None) -> float | None:
     """Linear-interpolated percentile between ranks ``floor(p(n-1))`` and
     ``ceil(p(n-1))``, as pandas ``quantile`` and SQL ``quantile_cont``."""
     if not 0.0 <= p <= 1.0:
@@ -56,8 +66,24 @@ def exact_percentile(df: DataFrame, column: str, p: float,
     pos = p * (n - 1)
     k_lo, k_hi = math.floor(pos), math.ceil(pos)
     frac = pos - k_lo
-    _, inside, below = rank_bracket(df, value, k_lo, k_hi, n, accuracy)
-    vals = [r[0] for r in (
-        df.where(inside).select(value.alias("__x")).orderBy("__x")
-        .offset(k_lo - below).limit(k_hi - k_lo + 1).collect())]
-    return vals[0] + frac * (vals[-1] - vals[0])
+    _, inside, below, n_inside = rank_bracket(df, value, k_lo, k_hi, n, accuracy)
+    if n_inside <= MAX_FETCH:
+        vals = [r[0] for r in (
+            df.where(inside).select(value.alias("__x")).orderBy("__x")
+            .offset(k_lo - below).limit(k_hi - k_lo + 1).collect())]
+        return vals[0] + frac * (vals[-1] - vals[0])
+    # a large bracket means heavy ties: walk the per-value counts instead
+    # (one row per distinct value in the bracket)
+    counts = (df.where(inside).groupBy(value.alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
+              .orderBy("__x").limit(MAX_FETCH + 1).collect())
+    picked, seen = {}, below
+    for r in counts:
+        for rank in (k_lo, k_hi):
+            if rank not in picked and seen <= rank < seen + r["__n"]:
+                picked[rank] = r["__x"]
+        seen += r["__n"]
+        if len(picked) == 2 or (k_lo == k_hi and picked):
+            break
+    if k_lo not in picked or k_hi not in picked:
+        raise RuntimeError("percentile bracket holds too many distinct values")
+    return picked[k_lo] + frac * (picked[k_hi] - picked[k_lo])

@@ -38,7 +38,7 @@ def holdout_split(df: DataFrame, key: str, test_size: float, seed: int,
     if n_test == n:
         return df.withColumn(name, F.lit(True))
     k = n_test - 1
-    before, inside, below = rank_bracket(df, u, k, k, n)
+    before, inside, below, _ = rank_bracket(df, u, k, k, n)
     cut = (df.where(inside).select(h.alias("__h"), F.col(key).alias("__k"))
            .orderBy("__h", "__k").offset(k - below).limit(1).first())
     in_order = (h < F.lit(cut["__h"])) | ((h == F.lit(cut["__h"])) & (F.col(key) <= F.lit(cut["__k"])))

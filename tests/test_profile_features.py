@@ -55,3 +55,13 @@ def test_running_sum_many_buckets_with_hot_value(spark):
     assert all(r["cum_one"] == exp[r["k"]] for r in out)
     pos = dense_position(df, ["v", "k"], rows_per_bucket=64).select("pos").collect()
     assert sorted(r["pos"] for r in pos) == list(range(3000))
+
+
+def test_exact_percentile_heavy_ties(spark, monkeypatch):
+    import numpy as np
+    import rarelab.functions.quantile as qm
+    monkeypatch.setattr(qm, "MAX_FETCH", 50)  # force the per-value path
+    vals = [0.0] * 4000 + [float(x) for x in np.random.default_rng(1).integers(1, 500, 2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for p in (0.1, 0.5, 0.66, 0.67, 0.92):
+        assert qm.exact_percentile(df, "x", p) == pytest.approx(float(np.quantile(vals, p)))
