@@ -79,7 +79,8 @@ def entity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("c_nationkey") % N_GENERATIONS) + 1).cast("int").alias("generation"),
         F.col("c_acctbal"),
         F.coalesce(F.col("n_orders"), F.lit(0).cast("bigint")).alias("n_orders"),
-        F.col("spend"),
+        # no orders: nothing spent (keeps the label defined for every entity)
+        F.coalesce(F.col("spend"), F.lit(0.0)).alias("spend"),
         F.coalesce(F.col("quantity"), F.lit(0.0)).alias("quantity"),
         F.coalesce(F.col("n_lines"), F.lit(0).cast("bigint")).alias("n_lines"),
         F.coalesce(F.col("wins"), F.lit(0).cast("bigint")).alias("wins"),
@@ -150,7 +151,7 @@ win_agg AS (
 entity_base AS (
   SELECT c_custkey AS entity_id, c_mktsegment AS category_1, category_2,
          CAST(c_nationkey % {N_GENERATIONS} + 1 AS INTEGER) AS generation, c_acctbal,
-         coalesce(n_orders, 0) AS n_orders, spend, coalesce(quantity, 0.0) AS quantity,
+         coalesce(n_orders, 0) AS n_orders, coalesce(spend, 0.0) AS spend, coalesce(quantity, 0.0) AS quantity,
          coalesce(n_lines, 0) AS n_lines, coalesce(wins, 0) AS wins
   FROM customer LEFT JOIN order_agg ON c_custkey = o_custkey
   LEFT JOIN win_agg ON c_custkey = w_custkey
