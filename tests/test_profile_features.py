@@ -65,3 +65,18 @@ def test_exact_percentile_heavy_ties(spark, monkeypatch):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     for p in (0.1, 0.5, 0.66, 0.67, 0.92):
         assert qm.exact_percentile(df, "x", p) == pytest.approx(float(np.quantile(vals, p)))
+
+
+def test_describe_and_key_profile(spark):
+    import numpy as np
+    from rarelab.operators.profile import describe, key_profile
+    vals = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)] + [(99, None)], "id long, x double")
+    d = describe(df, "x").first()
+    assert d["count"] == 8 and d["mean"] == pytest.approx(np.mean(vals))
+    assert d["std"] == pytest.approx(np.std(vals, ddof=1))  # sample std, as a describe reports
+    for col, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        assert d[col] == pytest.approx(float(np.quantile(vals, p)))
+    kp = {r["column"]: r for r in key_profile(df.withColumn("dup", F.col("id") % 3), "id", "dup").collect()}
+    assert kp["id"]["is_unique"] and (kp["id"]["min_value"], kp["id"]["max_value"]) == (0, 99)
+    assert not kp["dup"]["is_unique"] and kp["dup"]["n_distinct"] == 3
