@@ -1,13 +1,14 @@
 """Order-dependent quantities (running sums, dense positions) computed without
-a single-partition window and without relying on physical partition ids.
-
-Boundary rows drawn from a bounded sample cut the order into buckets; a row's
-bucket is a pure function of its values (a balanced CASE tree of struct
-comparisons), so recomputation after an executor loss gives the same answer.
-Each bucket holds about ``rows_per_bucket`` rows - boundaries include the
-unique tail of the order, so even a value shared by a third of the rows is
-spread over many buckets.  Per (group, bucket) totals form a small table that
-is prefix-summed and joined back as offsets.
+a single-partition window.
+
+The rows are range-partitioned by (group, order) - Spark samples the splitters
+- and the partition number is written down as a column, so from then on a
+row's bucket is data: a recomputed task reads it back instead of deriving it
+again.  The order ends in a unique key, so a value shared by a third of all
+rows still spreads over many buckets.  Sums inside a bucket come from one
+window per (group, bucket); per-bucket totals (one row per group and bucket)
+are prefix-summed and joined back as offsets.  The plan is the same at every
+size; only the number of buckets follows the row count.
 """
 
 from __future__ import annotations
@@ -19,39 +20,6 @@ from pyspark.sql import functions as F
 
 from rarelab.session import cut_lineage
 
-SAMPLE_PER_BUCKET = 32
-SAMPLE_SEED = 17
-# Upper bound on buckets: keeps the boundary sample (<= 32 x 4096 rows on the
-# driver) and the bucket search tree (depth 12) small.  Past 4096 x
-# rows_per_bucket rows the buckets grow instead; the window inside a bucket is
-# an external sort, so larger buckets spill rather than fail.
-MAX_BUCKETS = 4096
-
-
-def _bucket_count(df: DataFrame, n: int, rows_per_bucket: int) -> int:
-    """Enough buckets to keep each near ``rows_per_bucket`` rows; small inputs
-    (under ``rows_per_bucket``) need no sampling pass at all."""
-    if n <= rows_per_bucket:
-        return 1
-    par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(max(par, math.ceil(n / rows_per_bucket)), MAX_BUCKETS, max(1, n // SAMPLE_PER_BUCKET)))
-
-
-def _boundaries(df: DataFrame, cols: list[str], n_buckets: int, n: int) -> list[tuple]:
-    if n_buckets <= 1 or n == 0:
-        return []
-    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / n)
-    sample = df.select(*cols).sample(False, frac, SAMPLE_SEED).orderBy(*cols).collect()
-    if not sample:
-        return []
-    step = len(sample) / n_buckets
-    out = []
-    for i in range(1, n_buckets):
-        b = tuple(sample[min(len(sample) - 1, int(i * step))])
-        if not out or b != out[-1]:
-            out.append(b)
-    return out
-
 
 def bucket_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
     """Index of the bucket holding each row: bucket ``i`` is
@@ -77,37 +45,37 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, sum_cols
     """Add ``<prefix><c>``: the sum of ``c`` over rows of the same group at or
     before the current row in ``order_cols`` order.  ``order_cols`` (column
     names or expressions, ascending, non-null) must be unique within a
-    group.  ``n`` (the row count, when the caller knows it) saves a pass."""
+    group.  ``materialize`` writes the input down first (its plan would
+    otherwise run once for the splitters and once for the rows); ``n`` (the
+    row count, when the caller knows it) saves a pass."""
     group_cols = list(group_cols)
     ocols = []
     for i, c in enumerate(order_cols):
         name = f"__o{i}"
         df = df.withColumn(name, F.col(c) if isinstance(c, str) else c)
         ocols.append(name)
-    keys = group_cols + ocols
     if materialize:
         df = cut_lineage(df)
     if n is None:
         n = df.count()
-    n_buckets = _bucket_count(df, n, rows_per_bucket)
-    frame = (Window.unboundedPreceding, Window.currentRow)
-    if n_buckets == 1:
-        # at most rows_per_bucket rows in all: one ordered window, no offsets
-        w = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy(*ocols).rowsBetween(*frame)
-        return df.withColumns({f"{prefix}{c}": F.sum(c).over(w) for c in sum_cols}).drop(*ocols)
-    bounds = _boundaries(df, keys, n_buckets, n)
-    b = df.withColumn("__b", bucket_of(df, keys, bounds))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / rows_per_bucket))
+    b = cut_lineage(df.repartitionByRange(parts, *group_cols, *ocols).withColumn("__b", F.spark_partition_id()))
     totals = b.groupBy(*group_cols, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
-    wg = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("__b")
+    # one row per (group, bucket): without groups this window holds `parts` rows
+    wg = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy("__b")
     offsets = totals.select(*group_cols, "__b", *[
         (F.sum(f"__t_{c}").over(wg) - F.col(f"__t_{c}")).alias(f"__s_{c}") for c in sum_cols])
+    frame = (Window.unboundedPreceding, Window.currentRow)
     wl = Window.partitionBy(*group_cols, "__b").orderBy(*ocols).rowsBetween(*frame)
     local = b.withColumns({f"__l_{c}": F.sum(c).over(wl) for c in sum_cols})
-    # offsets: one row per (group, bucket); Spark/AQE broadcast it when its
-    # measured size allows
-    out = local.join(offsets, [*group_cols, "__b"])
+    keys = [*group_cols, "__b"]
+    offsets = offsets.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                             *[f"__s_{c}" for c in sum_cols])
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    out = local.join(offsets, same)
     return out.withColumns({f"{prefix}{c}": F.col(f"__s_{c}") + F.col(f"__l_{c}") for c in sum_cols}).drop(
-        "__b", *ocols, *[f"__l_{c}" for c in sum_cols], *[f"__s_{c}" for c in sum_cols])
+        "__b", *ocols, *[f"__l_{c}" for c in sum_cols], *[f"__s_{c}" for c in sum_cols],
+        *[f"__k{i}" for i in range(len(keys))])
 
 
 def dense_position(df: DataFrame, order_cols: list, name: str = "pos",

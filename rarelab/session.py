@@ -37,7 +37,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory, setting a scratch one only
-    when none is configured (local tests).  A cluster names a shared folder in
+    when none is configured and the master is local (tests); elsewhere a
+    folder on one machine would lose rows, so that raises.  A cluster names a shared folder in
     ``spark.checkpoint.dir``; that setting always wins."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="rarelab-ckpt-")
     sc.setCheckpointDir(path)
     return path
