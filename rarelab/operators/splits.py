@@ -26,7 +26,7 @@ def holdout_split(df: DataFrame, key: str, test_size: float, seed: int,
     """G1: shuffled, unstratified holdout of exact size ``ceil(n * test_size)``.
 
     Test rows are the first ones in (md5(seed:key), key) order.  The cut row
-    is found inside a verified bracket of the hash's leading 32 bits, so only
+    is found inside a verified bracket of the hash's leading 52 bits, so only
     the bracket is sorted."""
     df = cut_lineage(df)
     n = df.count()
