@@ -5,9 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rarelab.llm.exact_dedup import exact_dedup
+from rarelab.llm.mixing import mix, sql_mix
+from rarelab.llm.token_counts import length_histogram
+from rarelab.llm.token_files import read_tokens, write_tokens
 from rarelab.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +37,23 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
 FROM n WINDOW w AS (PARTITION BY norm ORDER BY cp DESC, doc_id NULLS LAST)""")
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op6_source_mix", sql_mix())
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality")
+    return mix(docs, labels).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards, folder = write_tokens(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                  public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_tokens(shards, folder)
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_histogram(read_table(spark, sf_dir, "documents", "text"),
+                            public_tokenizers.path("word_bpe_49k.json"))
