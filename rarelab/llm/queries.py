@@ -8,6 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rarelab.llm import toxicity
 from rarelab.llm.exact_dedup import exact_dedup
 from rarelab.llm.mixing import mix, sql_mix
 from rarelab.llm.token_counts import length_histogram
@@ -57,3 +58,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(read_table(spark, sf_dir, "documents", "text"),
                             public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model)
