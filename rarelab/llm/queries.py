@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rarelab.llm import toxicity
+from rarelab.llm import langid, toxicity
 from rarelab.llm.exact_dedup import exact_dedup
 from rarelab.llm.mixing import mix, sql_mix
 from rarelab.llm.token_counts import length_histogram
@@ -65,3 +65,9 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
     return toxicity.score(docs, model)
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return langid.identify(docs, langid.train(docs))
