@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rarelab.llm import langid, toxicity
 from rarelab.llm.exact_dedup import exact_dedup
 from rarelab.llm.mixing import mix, sql_mix
+from rarelab.llm.pii import pseudonyms
 from rarelab.llm.token_counts import length_histogram
 from rarelab.llm.token_files import read_tokens, write_tokens
 from rarelab.sources.tables import read_table
@@ -71,3 +72,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return langid.identify(docs, langid.train(docs))
+
+
+#: The query's key; an application passes its own secret.
+PSEUDONYM_KEY = b"documents pseudonym key, round 1"
+
+
+@query("op2_pseudonyms")
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms(read_table(spark, sf_dir, "documents", "doc_id", "text"), PSEUDONYM_KEY)
