@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rarelab.llm import langid, toxicity
+from rarelab.llm import langid, sentencepiece_codec, toxicity
 from rarelab.llm.exact_dedup import exact_dedup
 from rarelab.llm.mixing import mix, sql_mix
 from rarelab.llm.pii import pseudonyms
@@ -81,3 +81,10 @@ PSEUDONYM_KEY = b"documents pseudonym key, round 1"
 @query("op2_pseudonyms")
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms(read_table(spark, sf_dir, "documents", "doc_id", "text"), PSEUDONYM_KEY)
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    return sentencepiece_codec.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), model, with_ids=False)
