@@ -15,22 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rarelab.llm.common import column, map_arrow, pieces
-from rarelab.llm.encoding import WordEncoder
+from rarelab.llm.encoding import encoder
 from rarelab.operators.ordered import running_sum
 
 
-def _counter(tokenizer: str, wordwise: bool):
+def _counter(tokenizer: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
         for piece in pieces(batches):
-            encoder = encoder or WordEncoder(tokenizer, wordwise)
-            length, n = np.unique(encoder.lengths(column(piece, "text")), return_counts=True)
+            length, n = np.unique(encoder(tokenizer).lengths(column(piece, "text")), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(length.astype(np.int64)), pa.array(n.astype(np.int64))],
                                              ["length", "n_docs"])
     return count
 
 
-def length_histogram(docs: DataFrame, tokenizer: str, text_col: str = "text", wordwise: bool = True) -> DataFrame:
+def length_histogram(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
     """``length, n_docs, n_tokens, docs_at_least, tokens_at_least, tokens_within``, one row per
     distinct encoded length of the whole texts (null and empty: 0).
 
@@ -38,7 +36,7 @@ def length_histogram(docs: DataFrame, tokenizer: str, text_col: str = "text", wo
     documents, the row's own included; ``tokens_within`` is the corpus total
     when every document is cut after ``length`` tokens.  Repeated rows count
     each.  An empty table gives an empty result."""
-    lengths = map_arrow(docs.select(F.col(text_col).alias("text")), _counter(tokenizer, wordwise),
+    lengths = map_arrow(docs.select(F.col(text_col).alias("text")), _counter(tokenizer),
                         "length bigint, n_docs bigint")
     hist = lengths.groupBy("length").agg(F.sum("n_docs").alias("n_docs")).withColumn(
         "n_tokens", F.col("length") * F.col("n_docs"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rarelab.llm.common import column, map_arrow, pieces, shared_path
-from rarelab.llm.encoding import WordEncoder
+from rarelab.llm.encoding import encoder
 from rarelab.session import cut_lineage
 
 NO_ID = -(1 << 63)
@@ -39,20 +39,20 @@ def _open(path: str):
     return pa.memory_map(at) if isinstance(store, fs.LocalFileSystem) else store.open_input_file(at)
 
 
-def _writer(folder: str, tokenizer: str, wordwise: bool, end_id: int):
+def _writer(folder: str, tokenizer: str, end_id: int):
     schema = pa.schema([("part", pa.int32()), ("name", pa.string()), ("row", pa.int64()), ("doc_id", pa.int64()),
                         ("n_tokens", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         part, name = task.partitionId(), f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
-        encoder = WordEncoder(tokenizer, wordwise)
-        kind = _kind(encoder.vocab_size, end_id)
+        words = encoder(tokenizer)
+        kind = _kind(words.vocab_size, end_id)
         store, at = fs.FileSystem.from_uri(folder)
         row, out = 0, None
         for piece in pieces(batches):
             out = out or store.open_output_stream(f"{at}/{name}.bin")
-            ids, offsets = encoder.encode(column(piece, "text"))
+            ids, offsets = words.encode(column(piece, "text"))
             n = len(offsets) - 1
             ended = np.insert(ids, offsets[1:], end_id).astype(kind)
             out.write(ended.tobytes())
@@ -106,7 +106,7 @@ def _indexer(folder: str, width: int):
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
-                 text_col: str = "text", wordwise: bool = True) -> tuple[DataFrame, str]:
+                 text_col: str = "text") -> tuple[DataFrame, str]:
     """Encode whole texts (null: empty), end each with ``end_id`` and write them
     in ascending order of the id (rows without one first; rows that repeat an
     id by their text).  Returns the shards (``part, name, n_docs``) and the folder.
@@ -119,13 +119,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, folder: str | Non
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
-    written = cut_lineage(map_arrow(placed, _writer(folder, tokenizer, wordwise, end_id),
+    written = cut_lineage(map_arrow(placed, _writer(folder, tokenizer, end_id),
                                     "part int, name string, row bigint, doc_id bigint, n_tokens bigint"))
     totals = written.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # one row per shard
     bases = totals.select(F.col("part").alias("p"), (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     based = written.join(bases, F.col("part") == F.col("p")).drop("p")
-    width = int(_kind(WordEncoder(tokenizer, False).vocab_size, end_id)[2:])
+    width = int(_kind(encoder(tokenizer).vocab_size, end_id)[2:])
     shards = cut_lineage(map_arrow(based.repartition(parts, "part").sortWithinPartitions("part", "row"),
                                    _indexer(folder, width), "part int, name string, n_docs bigint"))
     return shards, folder
