@@ -17,7 +17,7 @@ from rarelab.session import cut_lineage
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """``edges``: columns ``a``, ``b`` (long, no nulls), in either direction,
+    """``edges``: columns ``a``, ``b`` (of one orderable type, no nulls), in either direction,
     repeats and loops allowed.  Returns ``id, component`` for every vertex that
     has an edge to another one; ``component`` is the smallest id reachable.
     No edges give no rows."""

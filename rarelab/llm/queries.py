@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rarelab.llm import langid, sentencepiece_codec, toxicity
 from rarelab.llm.exact_dedup import exact_dedup
+from rarelab.llm.minhash_dedup import near_dedup
 from rarelab.llm.mixing import mix, sql_mix
 from rarelab.llm.pii import pseudonyms
 from rarelab.llm.token_counts import length_histogram
@@ -88,3 +89,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
         model = f.read()
     return sentencepiece_codec.encode(read_table(spark, sf_dir, "documents", "doc_id", "text"), model, with_ids=False)
+
+
+@query("op5_near_dedup")
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(read_table(spark, sf_dir, "documents", "doc_id", "text"), width=2, percent=80)
