@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rarelab.llm import langid, sentencepiece_codec, toxicity
+from rarelab.llm.embedding_dedup import embedding_dedup
 from rarelab.llm.exact_dedup import exact_dedup
 from rarelab.llm.minhash_dedup import near_dedup
 from rarelab.llm.mixing import mix, sql_mix
@@ -94,3 +95,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_near_dedup")
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(read_table(spark, sf_dir, "documents", "doc_id", "text"), width=2, percent=80)
+
+
+@query("op4_embedding_dedup")
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), threshold=0.93)
