@@ -113,7 +113,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with bounded batches."""
     bounded_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)

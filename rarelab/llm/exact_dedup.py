@@ -120,12 +120,12 @@ def keep_unique(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are one document and the longest, then the first by its text, is returned.
     Rows without an id are told apart by their text alone."""
     stay = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__keep_id"), F.col("text_sha256").alias("__keep_sha"))
+        F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    sha = F.sha2(F.regexp_replace(text, SPACE_CLASS + "+", ""), 256)
-    tagged = docs.withColumn("__sha", sha)
-    kept = tagged.join(stay, F.col(id_col).cast("bigint").eqNullSafe(F.col("__keep_id"))
-                       & (F.col("__sha") == F.col("__keep_sha")), "left_semi")
-    one = Window.partitionBy(F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)), F.col(id_col).isNull(), "__sha"
-                             ).orderBy(F.char_length(text).desc(), text)
-    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n", "__sha")
+    # the input's columns travel as one, so their names clash with none of these
+    tagged = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"),
+                         F.sha2(F.regexp_replace(text, SPACE_CLASS + "+", ""), 256).alias("sha"), text.alias("text"))
+    kept = tagged.join(stay, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
+    one = Window.partitionBy(F.coalesce("id", F.lit(0)), F.col("id").isNull(), "sha").orderBy(
+        F.char_length("text").desc(), "text")
+    return kept.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")

@@ -321,5 +321,6 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     """The rows of ``docs`` whose document is the first of its component, with all their columns.
 
     Rows without an id stay.  Rows that repeat an id stay or go together."""
-    gone = near_dedup(docs, width, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    gone = near_dedup(docs, width, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("gone"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"))
+    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")

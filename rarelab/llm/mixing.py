@@ -103,14 +103,14 @@ def mixed_rows(docs: DataFrame, quality: DataFrame | None = None, id_col: str =
     drawn = mix(docs, quality, id_col, source_col, text_col, **options)
     once = (F.col("before") * 2 + F.col("size") <= F.col("rest") * 2).cast("int")
     copies = F.when(F.col("size") > 0, F.col("epochs") + once).otherwise(F.greatest(F.col("epochs"), F.lit(1)))
-    counts = drawn.groupBy(F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z")).agg(
-        F.max(copies.cast("int")).alias("__copies"))
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint")
-    same = (F.col(id_col).cast("bigint").eqNullSafe(F.col("__d"))
-            & F.col(source_col).cast("string").eqNullSafe(F.col("__s")) & (size == F.col("__z")))
-    return (docs.join(counts.where("__copies > 0"), same)
-            .withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .drop("__d", "__s", "__z", "__copies", "__k"))
+    counts = drawn.groupBy("doc_id", "source", "size").agg(F.max(copies.cast("int")).alias("copies")).where("copies > 0")
+    counts = counts.withColumnsRenamed({"doc_id": "d", "source": "s", "size": "z"})
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"),
+                       F.col(source_col).cast("string").alias("from"),
+                       F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("words"))
+    same = (F.col("id").eqNullSafe(F.col("d")) & F.col("from").eqNullSafe(F.col("s")) & (F.col("words") == F.col("z")))
+    return (rows.join(counts, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+            .select("row.*"))
 
 
 def sql_mix(documents: str = "documents", labels: str = "labels", weights=(5, 2, 1), share: float = 1.5,

@@ -134,26 +134,45 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int
     return [(r["slot"], r["weight"]) for r in model.collect()]
 
 
+def _scores(weights: np.ndarray, bias: float, texts: pa.Array) -> np.ndarray:
+    """Probability of label 1 of whole texts, each distinct slot counted once."""
+    doc, slot = features(texts)
+    live = np.flatnonzero(weights[slot])
+    pair = np.unique((doc[live].astype(np.int64) << BITS) | slot[live])
+    logit = bias + np.bincount(pair >> BITS, weights=weights[pair & ((1 << BITS) - 1)], minlength=len(texts))
+    return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+
+
+def _dense(model) -> tuple[np.ndarray, float]:
+    slot, weight = model.value
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[slot[slot != BIAS]] = weight[slot != BIAS]
+    return weights, float(weight[slot == BIAS].sum())
+
+
 def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = None, 0.0
+        weights, bias = _dense(model)
         for piece in pieces(batches):
-            if weights is None:
-                slot, weight = model.value
-                weights = np.zeros(1 << BITS, np.float32)
-                weights[slot[slot != BIAS]] = weight[slot != BIAS]
-                bias = float(weight[slot == BIAS].sum())
-            n = piece.num_rows
-            doc, slot = features(column(piece, "text"))
-            w = weights[slot]
-            live = np.flatnonzero(w)
-            pair = np.unique((doc[live].astype(np.int64) << BITS) | slot[live])
-            logit = bias + np.bincount(pair >> BITS, weights=weights[pair & ((1 << BITS) - 1)], minlength=n)
-            score = 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
-            yield pa.RecordBatch.from_arrays([column(piece, "doc_id"), pa.array(score)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([column(piece, "doc_id"), pa.array(_scores(weights, bias, column(piece, "text")))],
+                                             ["doc_id", "score"])
     return run
 
 
+def _filter(model, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias = _dense(model)
+        for piece in pieces(batches):
+            clean = _scores(weights, bias, column(piece, text_col)) < 0.5
+            yield from piece.filter(pa.array(clean)).to_batches()
+    return run
+
+
+def _share(docs: DataFrame, model: list[tuple[int, float]]):
+    """The model as a broadcast: at most 2^24 pairs, a few hundred in practice."""
+    return docs.sparkSession.sparkContext.broadcast((np.asarray([s for s, _ in model]), np.asarray([w for _, w in model])))
+
+
 def score(docs: DataFrame, model: list[tuple[int, float]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, held_out, score, predicted``.
 
@@ -163,10 +182,14 @@ def score(docs: DataFrame, model: list[tuple[int, float]], id_col: str = "doc_id
     out.  Repeated rows are scored each; an empty table gives an empty result."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     if model:
-        packed = (np.asarray([s for s, _ in model]), np.asarray([w for _, w in model]))
-        shared = docs.sparkSession.sparkContext.broadcast(packed)  # at most 2^24 pairs, a few thousand in practice
-        scored = map_arrow(rows, _scorer(shared), "doc_id bigint, score double")
+        scored = map_arrow(rows, _scorer(_share(docs, model)), "doc_id bigint, score double")
     else:
         scored = rows.select("doc_id", F.lit(0.0).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, model: list[tuple[int, float]], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score under 0.5, with all their columns; all rows where the model is empty.
+    A text is scored where its row lies: nothing is shuffled."""
+    return map_arrow(docs, _filter(_share(docs, model), text_col), docs.schema) if model else docs
