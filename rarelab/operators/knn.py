@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rarelab.operators.ordered import running_sum
-from rarelab.session import cut_lineage
+from rarelab.session import cut_lineage, expose_package
 
 
 # ---------------------------------------------------------------- helpers
@@ -165,6 +165,7 @@ def _blocked_search(train: DataFrame, query: DataFrame, k: int, split: list[str]
         T.StructField("__tk", train.schema["__tk"].dataType),
         T.StructField("__ty", train.schema["__ty"].dataType),
         T.StructField("__d2", T.DoubleType())]
+    expose_package(train.sparkSession)
     kernel = _make_kernel(k, weights, split, exclude_self, exclude_col is not None, chunk_cells)
     return (q.groupBy(*split, "__qb", "__tb").cogroup(t.groupBy(*split, "__qb", "__tb"))
             .applyInPandas(kernel, T.StructType(fields)))

@@ -58,6 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def expose_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it
+    (one machine, or a folder that all see).  On other clusters it is shipped
+    with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def cut_lineage(df):
     """Materialise ``df`` into the session's (shared) checkpoint directory.
 
