@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rarelab.session import ensure_checkpoint_dir
+from rarelab.session import ensure_checkpoint_dir, expose_package
 
 BATCH_ROWS = 1000  # rows per Arrow batch sent to Python
 PIECE_BYTES = 8 << 20  # bytes of input that a kernel works on at once
@@ -116,4 +116,5 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with bounded batches."""
     bounded_batches(df.sparkSession)
+    expose_package(df.sparkSession)
     return df.mapInArrow(fn, schema)
