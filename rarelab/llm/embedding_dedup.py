@@ -35,38 +35,46 @@ from rarelab.session import cut_lineage
 
 UNRELATED = 64  # unrelated vectors that pass a filter, about
 MISS = 1e-4  # probability that a pair at the threshold shares no filter, about
-TABLES = 8  # independent product codes; one alone serves some vectors with few filters
+TABLES = 16  # independent product codes; one alone serves some vectors with few filters
 BLOCK = 1024  # vectors of a bucket that one task compares with as many others
 
 
 @dataclass(frozen=True)
 class Filters:
-    """``tables`` codes of ``words`` code words per half; a filter is passed at ``bar`` standard deviations of a random inner product."""
+    """``tables`` codes of ``words`` code words per half; a filter is passed at an inner
+    product of ``bar``."""
 
     words: int
     bar: float
     tables: int = TABLES
 
 
-def _tail(x: np.ndarray) -> np.ndarray:
-    return np.asarray([0.5 * math.erfc(v / math.sqrt(2)) for v in np.atleast_1d(x)])
+def _caps(dim: int, cells: int = 20_001) -> tuple[np.ndarray, np.ndarray]:
+    """Grid of inner products with a fixed direction and, for a random unit vector of that dimension, the
+    probability of reaching each."""
+    x = np.linspace(-1, 1, cells)
+    weight = (1 - x[1:-1] ** 2) ** ((dim - 3) / 2) if dim > 2 else np.ones(cells - 2)
+    tail = np.concatenate(([1.0], np.cumsum(weight[::-1])[::-1] / weight.sum(), [0.0]))
+    return x, tail
 
 
-def plan(n: int, threshold: float, unrelated: float = UNRELATED, miss: float = MISS, tables: int = TABLES) -> Filters:
-    """Bar and number of filters for ``n`` vectors.
+@lru_cache(64)
+def plan(n: int, threshold: float, dim: int, unrelated: float = UNRELATED, miss: float = MISS,
+         tables: int = TABLES) -> Filters:
+    """Bar and number of filters for ``n`` vectors of a dimension.
 
     ``unrelated / n`` of all vectors pass a filter.  Given that one of a pair
     at the threshold passes, the other does with probability q; with t passed
     filters per vector the pair shares none with probability exp(-q t)."""
     p = min(0.02, unrelated / max(n, 1))
-    lo, hi = 0.0, 12.0
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if _tail(mid)[0] > p else (lo, mid)
-    bar = lo
-    x = np.linspace(bar, bar + 8, 4000)
-    density = np.exp(-x * x / 2)
-    q = float((density * _tail((bar - threshold * x) / math.sqrt(1 - threshold ** 2))).sum() / density.sum())
+    x, tail = _caps(dim)
+    bar = min(float(x[np.searchsorted(-tail, -p)]), 0.99)
+    s = np.linspace(bar, 0.999, 400)
+    density = np.interp(s[:-1], x, tail) - np.interp(s[1:], x, tail)
+    mid = (s[:-1] + s[1:]) / 2
+    y, rest = _caps(max(dim - 1, 2))
+    second = np.interp((bar - threshold * mid) / np.sqrt((1 - threshold ** 2) * (1 - mid ** 2)), y, rest)
+    q = float((density * second).sum() / density.sum()) if density.sum() > 0 else 1.0
     passed = math.log(1 / miss) / q
     return Filters(max(2, math.ceil(math.sqrt(passed / p / tables))), bar, tables)
 
@@ -85,7 +93,7 @@ def _code(dim: int, words: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.n
 def passed_filters(unit: np.ndarray, filters: Filters, seed: int = 3) -> list[np.ndarray]:
     """Sorted numbers of the filters that each unit vector passes; each table's best one in any case."""
     dim, words = unit.shape[1], filters.words
-    need = filters.bar / math.sqrt(dim) * math.sqrt(2)
+    need = filters.bar * math.sqrt(2)
     out: list[list[np.ndarray]] = [[] for _ in unit]
     for table in range(filters.tables):
         rotation, one, two = _code(dim, words, seed + table)
@@ -131,13 +139,13 @@ def _unit(vecs: list[bytes], dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _lister(filters: Filters):
+def _lister(n: int, threshold: float, miss: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             dims = column(piece, "dim").to_numpy()
             for dim in np.unique(dims):
                 part = piece.filter(pa.array(dims == dim))
-                lists = passed_filters(_unit(part["vec"].to_pylist(), int(dim)), filters)
+                lists = passed_filters(_unit(part["vec"].to_pylist(), int(dim)), plan(n, threshold, int(dim), miss=miss))
                 yield pa.RecordBatch.from_arrays([column(part, "node"), pa.array(lists, pa.list_(pa.int64()))],
                                                  ["node", "filters"])
     return run
@@ -194,8 +202,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     nodes = cut_lineage(live.groupBy("node").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
                                                  F.first("label").alias("label"), F.first("dim").alias("dim"),
                                                  F.first("vec").alias("vec")))
-    filters = plan(nodes.count(), threshold, miss=miss)
-    listed = cut_lineage(map_arrow(nodes.select("node", "dim", "vec"), _lister(filters),
+    listed = cut_lineage(map_arrow(nodes.select("node", "dim", "vec"), _lister(nodes.count(), threshold, miss),
                                    "node string, filters array<bigint>"))
     bucket = ["label", "dim", "filter"]
     known = nodes.select("node", "label", "dim")
