@@ -126,13 +126,13 @@ def _nodes(width: int):
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in pieces(batches):
-        node = column(piece, "node")
-        sig = np.frombuffer(b"".join(column(piece, "sig").to_pylist()), np.uint32).reshape(len(node), HASHES)
+        mark = column(piece, "mark")
+        sig = np.frombuffer(b"".join(column(piece, "sig").to_pylist()), np.uint32).reshape(len(mark), HASHES)
         for band in range(BANDS):
-            key = np.full(len(node), np.uint64(band))
+            key = np.full(len(mark), np.uint64(band))
             for j in range(band * ROWS, band * ROWS + ROWS):
                 key = mix64(key * _PAIR + sig[:, j])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), node], ["bucket", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), mark], ["bucket", "mark"])
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -284,18 +284,20 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     nodes = cut_lineage(live.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
                                                  F.first("sig").alias("sig")))
 
-    banded = cut_lineage(map_arrow(nodes.select("node", "sig"), _bands, "bucket bigint, node string"))
-    leaders = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = cut_lineage(banded.join(leaders, "bucket").select("leader", "node").distinct())
+    # in buckets a node goes by 64 bits of its digest: nodes that share them only meet once more
+    marked = nodes.withColumn("mark", F.xxhash64("node"))
+    banded = map_arrow(marked.select("mark", "sig"), _bands, "bucket bigint, mark bigint")
+    leaders = banded.groupBy("bucket").agg(F.min("mark").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = cut_lineage(banded.join(leaders.drop("n"), "bucket").select("leader", "mark").distinct())
     blocks = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
-    placed = (members.join(blocks, "leader").join(nodes.select("node", "n_shingles", "sig"), "node")
-              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = (members.join(blocks, "leader").join(marked.select("mark", "node", "n_shingles", "sig"), "mark")
+              .withColumn("block", F.pmod("mark", F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("leader", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
                       "node", "n_shingles", "sig"))
     task = ["leader", "lo", "hi"]
     alive = cut_lineage(map_arrow(placed.repartition(parts, *task).sortWithinPartitions(*task), _pruner(percent / 100),
-                                  "leader string, lo int, hi int, block int, node string"))
+                                  "leader bigint, lo int, hi int, block int, node string"))
 
     wanted = alive.select("node").distinct().join(nodes.select("node", "first_id"), "node")
     some = texts.join(wanted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
