@@ -48,33 +48,49 @@ def facet_long(df: DataFrame, ids: list[str], features: list[str],
 
 
 # ----------------------------------------------------- one-hot encoding (F1)
-def _safe(level: str) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in str(level))
+def dummy_name(col: str, level) -> str:
+    """``<col>_<level>`` with the level spelled as it is, so that two levels
+    never share a column; refer to it in backticks."""
+    return f"{col}_{level}"
 
 
-def category_levels(df: DataFrame, col: str, max_levels: int = 1000) -> list:
-    """Distinct non-null levels, sorted.  A categorical column has a bounded
-    level set; an unbounded one is refused rather than pulled to the driver."""
-    levels = (df.where(F.col(col).isNotNull()).select(col).distinct()
-              .orderBy(col).limit(max_levels + 1).collect())
-    if len(levels) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels; not a categorical column")
-    return [r[0] for r in levels]
+def category_levels(df: DataFrame, col: str) -> list:
+    """Distinct non-null levels, sorted.  They become columns, so the list is
+    as long as the result is wide; :func:`one_hot_vector` encodes a vocabulary
+    too large for columns."""
+    return [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()]
 
 
 def one_hot(df: DataFrame, cols: list[str], levels: dict | None = None,
             keep: bool = False) -> DataFrame:
     """one 0/1 column ``<col>_<level>`` per level (all levels kept);
     a null gets zeros everywhere.  ``levels`` fixes the vocabulary (fit on
-    training rows and reuse it on later cohorts)."""
+    training rows and reuse it on later cohorts).  Names that clash raise."""
     levels = levels or {c: category_levels(df, c) for c in cols}
-    out = [F.col(c) for c in df.columns if keep or c not in cols]
+    kept = [c for c in df.columns if keep or c not in cols]
+    names = kept + [dummy_name(c, lv) for c in cols for lv in levels[c]]
+    if len({n.lower() for n in names}) != len(names):
+        raise ValueError("two of the columns would have one name: " + ", ".join(sorted(
+            {n for n in names if [m.lower() for m in names].count(n.lower()) > 1})))
+    out = [F.col(f"`{c}`") for c in kept]
     for c in cols:
         for lv in levels[c]:
-            out.append(F.coalesce((F.col(c) == F.lit(lv)).cast("int"), F.lit(0)).alias(f"{c}_{_safe(lv)}"))
+            out.append(F.coalesce((F.col(c) == F.lit(lv)).cast("int"), F.lit(0)).alias(dummy_name(c, lv)))
     return df.select(*out)
 
 
+def one_hot_vector(df: DataFrame, col: str, levels: DataFrame, name: str = "indices") -> DataFrame:
+    """F1 for a vocabulary of any size: ``levels`` (``level, index``, see
+    :mod:`rarelab.sources.keys` for dense indices) is joined, and the row's
+    vector is the sparse ``array<bigint>`` of its index; a null or unknown
+    level has an empty one."""
+    v = levels.select(F.col("level").alias("__level"), F.col("index").cast("bigint").alias("__index"))
+    j = df.join(v, F.col(col) == F.col("__level"), "left")
+    none = F.array().cast("array<bigint>")
+    return j.withColumn(name, F.when(F.col("__index").isNull(), none).otherwise(F.array("__index"))).drop(
+        "__level", "__index")
+
+
 # --------------------------------------------------- standard scaler
 class ScalerModel:
     """Mean and population std per column, held on the driver (two numbers a

@@ -11,9 +11,10 @@ Two exact strategies:
 * ``sorted`` (one feature): in one dimension the k nearest rows of a query are
   among the k nearest training rows on each side in (value, key) order - any
   other row has k rows ahead of it in (distance, key) order.  One
-  range-partitioned running count gives every query its insertion point;
-  candidates are fetched by an equi-join on training position (2k rows per
-  query).  O(n log n), nothing pairwise.
+  range-partitioned running count gives every distinct query value its
+  insertion point; candidates are fetched by an equi-join on training position
+  (2k rows per value) and joined back to the queries by value.  O(n log n),
+  nothing pairwise.
 * ``blocks`` (any dimension): training rows are hashed into blocks of at most
   ``train_block_rows`` and queries into blocks of at most
   ``query_block_rows``; every (query block, train block) pair is one cogroup
@@ -57,37 +58,38 @@ def _dim(df: DataFrame, cols) -> int:
 
 
 # ------------------------------------------------------------- 1-D sorted path
-def _sorted_search(train: DataFrame, query: DataFrame, k: int, split: list[str],
-                   exclude_self: bool, weight: float) -> DataFrame:
-    take = k + 1 if exclude_self else k
+def _sorted_search(train: DataFrame, values: DataFrame, take: int, split: list[str], weight: float) -> DataFrame:
+    """``(split..., __v, __nb)``: the first ``take`` training rows in (distance,
+    key) order for every distinct query value - at most ``take`` structs, sorted.
+
+    Queries share their value's search, so a value held by a third of all
+    queries costs as much as any other."""
     t = train.select(*split, "__tk", "__ty", F.col("__tx")[0].alias("__v"))
-    q = query.select(*split, "__qk", F.col("__qx")[0].alias("__v"))
     # queries sort before training rows of equal value: their running count of
     # training rows is the number of training values strictly below
-    u = (q.select(*split, "__v", F.lit(0).alias("__flag"), F.col("__qk").alias("__key"),
-                  F.lit(0).cast("bigint").alias("__is_t"), F.lit(None).cast(t.schema["__ty"].dataType).alias("__ty"))
+    u = (values.select(*split, "__v", F.lit(0).alias("__flag"), F.lit(None).cast(t.schema["__tk"].dataType).alias("__key"),
+                       F.lit(0).cast("bigint").alias("__is_t"), F.lit(None).cast(t.schema["__ty"].dataType).alias("__ty"))
          .unionByName(t.select(*split, "__v", F.lit(1).alias("__flag"), F.col("__tk").alias("__key"),
                                F.lit(1).cast("bigint").alias("__is_t"), "__ty")))
     u = running_sum(u, split, ["__v", "__flag", "__key"], ["__is_t"], materialize=False)
     asc = u.where(F.col("__flag") == 1).select(
         *split, (F.col("cum___is_t") - 1).alias("__pos"), F.col("__key").alias("__tk"), "__ty",
         F.col("__v").alias("__tv"))
-    qc = u.where(F.col("__flag") == 0).select(
-        *split, F.col("__key").alias("__qk"), F.col("__v").alias("__qv"), F.col("cum___is_t").alias("__c"))
+    qc = u.where(F.col("__flag") == 0).select(*split, F.col("__v").alias("__qv"), F.col("cum___is_t").alias("__c"))
     # second order for the left side: equal values keep ascending keys when read backwards
-    desc = running_sum(t.withColumn("__one", F.lit(1).cast("bigint")), split,
-                       ["__v", -F.col("__tk")], ["__one"], materialize=False).select(
-        *split, (F.col("cum___one") - 1).alias("__pos"), "__tk", "__ty", F.col("__v").alias("__tv"))
-    right = qc.select(*split, "__qk", "__qv", F.explode(
+    desc = running_sum(asc.withColumn("__one", F.lit(1).cast("bigint")), split,
+                       ["__tv", -F.col("__pos")], ["__one"]).select(
+        *split, (F.col("cum___one") - 1).alias("__pos"), "__tk", "__ty", "__tv")
+    right = qc.select(*split, "__qv", F.explode(
         F.sequence(F.col("__c"), F.col("__c") + F.lit(take - 1))).alias("__pos"))
-    left = qc.select(*split, "__qk", "__qv", F.explode(
+    left = qc.select(*split, "__qv", F.explode(
         F.sequence(F.col("__c") - 1, F.col("__c") - F.lit(take), F.lit(-1).cast("bigint"))).alias("__pos")).where(
         F.col("__pos") >= 0)
     cand = (right.join(asc, [*split, "__pos"]).unionByName(left.join(desc, [*split, "__pos"])))
-    if exclude_self:
-        cand = cand.where(F.col("__qk") != F.col("__tk"))
     d2 = F.lit(weight) * (F.col("__qv") - F.col("__tv")) * (F.col("__qv") - F.col("__tv"))
-    return cand.select(*split, "__qk", "__tk", "__ty", d2.alias("__d2"))
+    # at most 2 * take candidates per value: a bounded aggregate beats a sort-based window
+    return cand.withColumn("__d2", d2).groupBy(*split, F.col("__qv").alias("__v")).agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))), 1, take).alias("__nb"))
 
 
 # ------------------------------------------------------------ blocked kernel
@@ -181,8 +183,8 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
 
     ``features``: a list of numeric columns or one array column.  Returns
     ``(split..., query_key, neighbor_key, neighbor_label, distance, rank)``,
-    rank 1..k in (distance, neighbour key) order; with ``as_arrays`` one row
-    per query, ``(split..., query_key, neighbors)`` holding the same k
+    rank 1..k in (distance, neighbour key) order.  Training rows and queries
+    with a null or NaN feature are left out.  With ``as_arrays`` one row per query, ``(split..., query_key, neighbors)`` holding the same k
     structs in rank order (bounded by k)."""
     split = [split] if isinstance(split, str) else list(split or [])
     query_key = query_key or key
@@ -200,26 +202,27 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
                      *([F.col(exclude_col).alias("__tex")] if exclude_col else []))
     q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"),
                      *([F.col(exclude_col).alias("__qex")] if exclude_col else []))
+    # a row with a null or NaN feature has no distances: it is neither found nor searched for
+    whole = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x))
+    t, q = t.where(whole("__tx")), q.where(whole("__qx"))
     # each side is read several times (counts, positions, candidates)
-    t = t.where(F.col("__tx").isNotNull())
-    q = q.where(F.col("__qx").isNotNull())
     if train is not query:
         t, q = cut_lineage(t), cut_lineage(q)
     if method == "sorted":
         if dim != 1 or exclude_col:
             raise ValueError("the sorted method needs one feature and no exclude_col")
-        cand = _sorted_search(t, q, k, split, exclude_self, float(w[0]))
+        qv = q.select(*split, "__qk", F.col("__qx")[0].alias("__v"))
+        lists = _sorted_search(t, qv.select(*split, "__v").distinct(), k + 1 if exclude_self else k, split, float(w[0]))
+        arrays = qv.join(lists, [*split, "__v"])
+        if exclude_self:
+            arrays = arrays.withColumn("__nb", F.slice(F.filter("__nb", lambda n: n["__tk"] != F.col("__qk")), 1, k))
+        arrays = arrays.select(*split, "__qk", "__nb")
     elif method == "blocks":
         cand = _blocked_search(t, q, k, split, exclude_self, exclude_col, w,
                                train_block_rows, query_block_rows, chunk_cells)
     else:
         raise ValueError(f"unknown method {method!r}")
-    if method == "sorted":
-        # at most 2k (+2) candidates per query: a bounded hash aggregate,
-        # sorted by (distance, key), beats a sort-based window
-        arrays = cand.groupBy(*split, "__qk").agg(
-            F.slice(F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))), 1, k).alias("__nb"))
-    else:
+    if method == "blocks":
         # candidates grow with the number of train blocks: windowed top-k,
         # planned with a partial WindowGroupLimit before the shuffle
         win = Window.partitionBy(*split, "__qk").orderBy("__d2", "__tk")
@@ -261,21 +264,26 @@ def knn_vote(neighbors: DataFrame, query_key: str = "entity_id", split=None, k:
 def knn_k_sweep(neighbors: DataFrame, ks: list[int], query_key: str = "entity_id", split=None) -> DataFrame:
     """Binary predictions for every k in ``ks`` from one neighbour list
     of depth ``max(ks)``: the positive count among the first k neighbours,
-    read at each k.  With array-form neighbours (``as_arrays=True``) this is
+    read at each k.  A query with fewer neighbours than ``max(ks)`` raises, as a
+    library does that is asked for more neighbours than there are rows.  With array-form neighbours (``as_arrays=True``) this is
     pure per-row array arithmetic - no window, no sort."""
     split = [split] if isinstance(split, str) else list(split or [])
+    few = F.raise_error(F.concat(F.lit("fewer neighbours than k = "), F.lit(str(max(ks)))))
     if "neighbors" in neighbors.columns:
         labels = F.transform("neighbors", lambda n: n["neighbor_label"].cast("int"))
+        labels = F.when(F.size("neighbors") >= max(ks), labels).otherwise(few)
         per_k = F.array(*[F.struct(F.lit(k).alias("k"), F.aggregate(
             F.slice(labels, 1, k), F.lit(0), lambda acc, x: acc + x).alias("pos")) for k in ks])
         return (neighbors.select(*split, query_key, F.inline(per_k))
                 .select(*split, query_key, F.col("k").cast("int").alias("k"), (2 * F.col("pos") > F.col("k")).alias("pred"),
                         (F.col("pos") / F.col("k")).alias("proba")))
-    w = Window.partitionBy(*split, query_key).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    cum = neighbors.withColumn("__pos", F.sum(F.col("neighbor_label").cast("int")).over(w))
+    over = Window.partitionBy(*split, query_key)
+    cum = neighbors.withColumn("__pos", F.sum(F.col("neighbor_label").cast("int")).over(
+        over.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)))
+    cum = cum.withColumn("__depth", F.max("rank").over(over))
     at_k = cum.where(F.col("rank").isin(list(ks)))
-    return at_k.select(*split, query_key, F.col("rank").alias("k"),
-                       (2 * F.col("__pos") > F.col("rank")).alias("pred"),
+    k = F.when(F.col("__depth") >= max(ks), F.col("rank")).otherwise(few)
+    return at_k.select(*split, query_key, k.alias("k"), (2 * F.col("__pos") > F.col("rank")).alias("pred"),
                        (F.col("__pos") / F.col("rank")).alias("proba"))
 
 

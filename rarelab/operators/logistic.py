@@ -177,6 +177,8 @@ def fit_logistic_groups(df: DataFrame, features: list[str], label: str, group: l
             done = False
         if done or not active:
             break
+    if active:
+        raise RuntimeError(f"{len(active)} of {len(keys)} fits did not converge in {max_iter} steps, e.g. {next(iter(active))}")
     out = {k: v for k, v in theta.items()}
     fields = [T.StructField(g, t) for g, t in zip(group, gtypes)] + [T.StructField("intercept", T.DoubleType())] + [
         T.StructField(f, T.DoubleType()) for f in features]

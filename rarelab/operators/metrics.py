@@ -19,9 +19,11 @@ def _by(by):
 
 
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "pred", by=None) -> DataFrame:
-    """Accuracy and its complement, per group."""
+    """Accuracy and its complement, per group.  Rows without a label
+    are left out; a labelled row without a prediction is counted as wrong."""
     by = _by(by)
-    hit = (F.col(label) == F.col(prediction)).cast("double")
+    pred = pred.where(F.col(label).isNotNull())
+    hit = F.coalesce((F.col(label) == F.col(prediction)).cast("double"), F.lit(0.0))
     aggs = [F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n")]
     g = pred.groupBy(*by).agg(*aggs) if by else pred.agg(*aggs)
     return g.withColumn("error", 1.0 - F.col("accuracy"))
@@ -31,8 +33,13 @@ def confusion_counts(pred: DataFrame, label: str = "label", prediction: str = "p
     """True x predicted counts, every cell of the observed class set
     (classes seen as label or prediction within the group), empty cells 0.
     The grid comes from exploding the per-group class set twice - no join
-    of the predictions with anything."""
+    of the predictions with anything; it has classes^2 cells, so it is meant
+    for labels of few classes.  A missing prediction raises: it would vanish
+    from every metric read off the table."""
     by = _by(by)
+    missing = F.col(label).isNotNull() & F.col(prediction).isNull()
+    checked = F.when(missing, F.raise_error(F.lit("a labelled row has no prediction"))).otherwise(F.col(prediction))
+    pred = pred.where(F.col(label).isNotNull()).withColumn(prediction, checked)
     counts = pred.groupBy(*by, F.col(label).alias("actual"), F.col(prediction).alias("predicted")).agg(
         F.count(F.lit(1)).alias("count"))
     classes = counts.select(*by, F.explode(F.array("actual", "predicted")).alias("cls")).groupBy(*by).agg(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rarelab.functions.quantile import exact_percentile
+from rarelab.functions.quantile import exact_percentiles
 
 
 def frequency(df: DataFrame, col: str, name: str = "count") -> DataFrame:
@@ -62,7 +62,7 @@ def key_profile(df: DataFrame, *cols: str) -> DataFrame:
 def describe(df: DataFrame, col: str) -> DataFrame:
     """Count, mean, sample std, min, exact linear quartiles, max."""
     x = F.col(col).cast("double")
-    q = {p: exact_percentile(df, col, p) for p in (0.25, 0.5, 0.75)}
+    q = exact_percentiles(df, col, [0.25, 0.5, 0.75])
     return df.agg(
         F.lit(col).alias("column"),
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),

@@ -27,39 +27,53 @@ from rarelab.operators.knn import knn_neighbors
 from rarelab.operators.ordered import running_sum
 from rarelab.session import cut_lineage
 
-MAX_SPLITS = 10000
+CHUNK = 100_000  # synthetic rows that one row of the plan expands to
 
 
 def _split_list(split):
     return [split] if isinstance(split, str) else list(split or [])
 
 
-def class_counts(df: DataFrame, label: str, split: list[str]) -> dict:
-    """``{split values: {class: n}}`` - one row per (split, class), bounded
-    by the split count."""
-    rows = df.groupBy(*split, label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_SPLITS * 3).collect()
-    out: dict = {}
-    for r in rows:
-        out.setdefault(tuple(r[c] for c in split), {})[r[label]] = r["n"]
-    for s, c in out.items():
-        if len(c) != 2:
-            raise ValueError(f"split {s}: resampling needs exactly two classes, got {sorted(c)}")
-    return out
+def _on_split(df: DataFrame, table: DataFrame, split: list[str]) -> DataFrame:
+    """Per-split parameters beside the rows of their split; without split columns the table is one row."""
+    return df.join(table, split) if split else df.crossJoin(F.broadcast(table))
 
 
-def _minority(counts: dict) -> tuple:
-    (a, na), (b, nb) = sorted(counts.items(), key=lambda kv: (kv[1], str(kv[0])))
-    return a, na, b, nb  # minority, n_min, majority, n_maj
+def class_counts(df: DataFrame, label: str, split: list[str], key: str | None = None) -> tuple[DataFrame, object, object]:
+    """``(split..., n_min, n_maj)`` as a table, the minority and the majority
+    class.  Every split must have the same two classes and the same minority;
+    with ``key``, keys must leave the negative numbers to synthetic rows."""
+    per_class = cut_lineage(df.groupBy(*split, label).agg(F.count(F.lit(1)).alias("n")))
+    name = F.struct("n", F.col(label).cast("string").alias("t"), F.col(label).alias("c"))
+    table = per_class.groupBy(*split).agg(F.count(F.lit(1)).alias("classes"), F.min(name).alias("lo"), F.max(name).alias("hi"))
+    wrong = table.where("classes <> 2").select(*split, "classes").first()
+    if wrong is not None:
+        raise ValueError(f"split {tuple(wrong[c] for c in split)}: resampling needs exactly two classes, got {wrong['classes']}")
+    pairs = table.select(F.col("lo.c").alias("lo"), F.col("hi.c").alias("hi")).distinct().limit(2).collect()
+    if len(pairs) > 1:
+        raise ValueError("the minority class differs between splits")
+    if not pairs:
+        raise ValueError("resampling needs rows")
+    if key is not None and isinstance(df.schema[key].dataType, T.NumericType) and df.where(F.col(key) < 0).limit(1).count():
+        raise ValueError(f"{key} has negative values, which number the synthetic rows")
+    out = cut_lineage(table.select(*split, F.col("lo.n").alias("n_min"), F.col("hi.n").alias("n_maj")))
+    return out, pairs[0]["lo"], pairs[0]["hi"]
+
 
+def _refuse(table: DataFrame, bad, split: list[str], message: str) -> None:
+    row = table.where(bad).first()
+    if row is not None:
+        raise ValueError(f"split {tuple(row[c] for c in split)}: {message} ({row.asDict()})")
 
-def _plan_table(df: DataFrame, split: list[str], rows: dict, cols: list[tuple[str, str]]) -> DataFrame:
-    """A per-split parameter table ``(split..., cols...)``: one row per split,
-    so it is broadcast; joining it keeps per-split constants out of large
-    CASE expressions."""
-    fields = [T.StructField(c, df.schema[c].dataType) for c in split] + [
-        T.StructField(n, T.LongType() if t == "long" else T.DoubleType()) for n, t in cols]
-    data = [tuple(s) + tuple(v) for s, v in rows.items()]
-    return df.sparkSession.createDataFrame(data, T.StructType(fields))
+
+def _numbered(plan: DataFrame) -> DataFrame:
+    """Each plan row once for every ``__j`` in ``0 .. n_new - 1``.  Large counts
+    are cut into chunks that are dealt out before they expand."""
+    chunks = plan.where("n_new > 0").withColumn("__c", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.col("n_new") - 1, F.lit(CHUNK).cast("bigint"))))
+    dealt = chunks.repartition(F.xxhash64(*[c for c in chunks.columns]))
+    return dealt.withColumn("__j", F.explode(F.sequence(
+        F.col("__c"), F.least(F.col("__c") + F.lit(CHUNK - 1), F.col("n_new") - 1)))).drop("__c")
 
 
 def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "entity_id",
@@ -74,27 +88,14 @@ def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "
     shared by sweeps over k and ratios."""
     split = _split_list(split)
     df = cut_lineage(df.select(*split, key, label, *features))
-    counts = class_counts(df, label, split)
-    plan, classes = {}, set()
-    for s, c in counts.items():
-        mino, n_min, _, n_maj = _minority(c)
-        target = n_maj if ratio is None else n_maj * ratio
-        n_new = int(target - n_min)
-        if n_new < 0:
-            raise ValueError(f"split {s}: ratio {ratio} would remove minority rows")
-        if k > n_min - 1:
-            raise ValueError(f"split {s}: k={k} needs at least {k + 1} minority rows, found {n_min}")
-        plan[s] = (n_min, n_new)
-        classes.add(mino)
-    if len(classes) != 1:
-        raise ValueError("the minority class differs between splits")
-    mino = classes.pop()
+    counts, mino, _ = class_counts(df, label, split, key)
+    target = F.col("n_maj").cast("double") if ratio is None else F.col("n_maj") * F.lit(float(ratio))
+    plan = counts.withColumn("n_new", (target - F.col("n_min")).cast("bigint"))
+    _refuse(plan, F.col("n_new") < 0, split, f"ratio {ratio} would remove minority rows")
+    _refuse(plan, F.col("n_min") - 1 < k, split, f"k={k} needs at least {k + 1} minority rows")
     feats = [F.col(f).cast("double").alias(f) for f in features]
     base = df.select(*split, key, label, *feats)
     original = base.withColumn("is_synthetic", F.lit(False))
-    total = sum(n for _, n in plan.values())
-    if total == 0:
-        return original
 
     minority = base.where(F.col(label) == F.lit(mino))
     indexed = running_sum(minority.withColumn("__one", F.lit(1).cast("bigint")), split, [key], ["__one"],
@@ -107,24 +108,7 @@ def smote(df: DataFrame, features: list[str], label: str = "label", key: str = "
         *split, F.col(key).alias("__bk"), F.col("rank").alias("__r"), F.col("neighbor_key").alias("__nk"))
     nfeat = minority.select(*split, F.col(key).alias("__nk"), *[F.col(f).alias(f"__n_{f}") for f in features])
 
-    # synthetic ids: one partitioned range, cut into per-split runs; the run
-    # of an id is found by a small binary search over the run starts
-    order = sorted(plan)
-    runs, acc = [], 0
-    for idx, sv in enumerate(order):
-        runs.append((idx, sv, acc, plan[sv][1], plan[sv][0]))
-        acc += plan[sv][1]
-    table = _plan_table(df, split, {sv: (idx, start, n_min) for idx, sv, start, _, n_min in runs},
-                        [("__run", "long"), ("__start", "long"), ("__nmin", "long")])
-    starts = [(r[2],) for r in runs if r[3] > 0]
-    ids = df.sparkSession.range(total).select(F.col("id"))
-    from rarelab.operators.ordered import bucket_of
-    nonempty = [r for r in runs if r[3] > 0]
-    run_of = bucket_of(ids, ["id"], starts[1:])
-    ids = ids.withColumn("__k", run_of)
-    lookup = df.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(nonempty)], "__k int, __run long")
-    syn = (ids.join(F.broadcast(lookup), "__k").join(F.broadcast(table), "__run")
-           .select(*split, (F.col("id") - F.col("__start")).alias("__j"), "__nmin"))
+    syn = _numbered(plan.select(*split, F.col("n_min").alias("__nmin"), "n_new"))
     draw = F.floor(uniform(seed, F.lit("draw"), *split, "__j") * (F.col("__nmin") * F.lit(k))).cast("bigint")
     syn = syn.select(*split, "__j", draw.alias("__d"), uniform(seed, F.lit("gap"), *split, "__j").alias("__gap"))
     syn = syn.select(*split, "__j", "__gap", F.floor(F.col("__d") / k).cast("bigint").alias("__i"),
@@ -143,10 +127,7 @@ def minority_neighbors(df: DataFrame, features: list[str], k: int, label: str =
     """The k nearest other minority rows of every minority row, per split."""
     split = _split_list(split)
     if minority is None:
-        minority = {_minority(c)[0] for c in class_counts(df, label, split).values()}
-        if len(minority) != 1:
-            raise ValueError("the minority class differs between splits")
-        minority = minority.pop()
+        minority = class_counts(df, label, split)[1]
     m = df.where(F.col(label) == F.lit(minority)).select(
         *split, key, label, *[F.col(f).cast("double").alias(f) for f in features])
     return knn_neighbors(m, m, features, k, key=key, label=label, split=split, weights=weights,
@@ -159,28 +140,14 @@ def undersample(df: DataFrame, ratio: float, label: str = "label", key: str = "e
     first); minority rows are untouched.  Keeps every input column."""
     split = _split_list(split)
     df = cut_lineage(df)
-    counts = class_counts(df, label, split)
-    keep, classes = {}, set()
-    for s, c in counts.items():
-        mino, n_min, maj, n_maj = _minority(c)
-        n_keep = int(n_min / ratio)
-        if n_keep > n_maj:
-            raise ValueError(f"split {s}: ratio {ratio} needs {n_keep} majority rows, only {n_maj}")
-        keep[s] = n_keep
-        classes.add(maj)
-    if len(classes) != 1:
-        raise ValueError("the majority class differs between splits")
-    maj = classes.pop()
+    counts, _, maj = class_counts(df, label, split)
+    keep = counts.withColumn("__keep", (F.col("n_min") / F.lit(float(ratio))).cast("bigint"))
+    _refuse(keep, F.col("__keep") > F.col("n_maj"), split, f"ratio {ratio} needs more majority rows than there are")
     majority = df.where(F.col(label) == F.lit(maj))
     ranked = running_sum(
         majority.withColumn("__one", F.lit(1).cast("bigint")), split,
         [F.md5(hash_string(seed, *split, key)), key], ["__one"], materialize=False)
-    if split:
-        kt = _plan_table(df, split, {sv: (n,) for sv, n in keep.items()}, [("__keep", "long")])
-        kept = ranked.join(F.broadcast(kt), split).where(F.col("cum___one") <= F.col("__keep")).drop(
-            "__one", "cum___one", "__keep")
-    else:
-        kept = ranked.where(F.col("cum___one") <= F.lit(keep[()])).drop("__one", "cum___one")
+    kept = _on_split(ranked, keep.select(*split, "__keep"), split).where(F.col("cum___one") <= F.col("__keep")).select(*df.columns)
     return df.where(F.col(label) != F.lit(maj)).unionByName(kept)
 
 
@@ -208,40 +175,24 @@ def resample_grid(df: DataFrame, features: list[str], configs: list[dict], label
     configuration."""
     split = _split_list(split)
     df = cut_lineage(df.select(*split, key, label, *[F.col(f).cast("double").alias(f) for f in features]))
-    counts = class_counts(df, label, split)
-    minos = {_minority(c)[0] for c in counts.values()}
-    majs = {_minority(c)[2] for c in counts.values()}
-    if len(minos) != 1 or len(majs) != 1:
-        raise ValueError("minority/majority classes differ between splits")
-    mino, maj = minos.pop(), majs.pop()
+    counts, mino, maj = class_counts(df, label, split, key)
     max_k = max(c.get("over_k", 5) for c in configs)
-    plan, keep = {}, {}
-    for ci, cfg in enumerate(configs):
-        k = cfg.get("over_k", 5)
-        for s, c in counts.items():
-            _, n_min, _, n_maj = _minority(c)
-            ratio = cfg.get("over_ratio")
-            n_new = int((n_maj if ratio is None else n_maj * ratio) - n_min)
-            if n_new < 0:
-                raise ValueError(f"config {ci} split {s}: over-sampling ratio {ratio} would remove minority rows")
-            if k > n_min - 1:
-                raise ValueError(f"config {ci} split {s}: k={k} needs at least {k + 1} minority rows")
-            plan[(ci,) + s] = (n_min, n_new, k)
-            under = cfg.get("under_ratio")
-            if under is not None:
-                n_keep = int((n_min + n_new) / under)
-                if n_keep > n_maj:
-                    raise ValueError(f"config {ci} split {s}: under-sampling ratio {under} cannot be met")
-                keep[(ci,) + s] = n_keep
-            else:
-                keep[(ci,) + s] = n_maj
-    gcols = [config_col] + split
     spark = df.sparkSession
+    table = spark.createDataFrame(
+        [(i, c.get("over_ratio"), int(c.get("over_k", 5)), c.get("under_ratio")) for i, c in enumerate(configs)],
+        f"{config_col} int, __over double, __k bigint, __under double")  # the caller's list of configurations
+    target = F.coalesce(F.col("n_maj") * F.col("__over"), F.col("n_maj").cast("double"))
+    plan = counts.crossJoin(F.broadcast(table)).withColumn("n_new", (target - F.col("n_min")).cast("bigint"))
+    plan = cut_lineage(plan.withColumn("__keep", F.coalesce(
+        ((F.col("n_min") + F.col("n_new")) / F.col("__under")).cast("bigint"), F.col("n_maj"))))
+    gcols = [config_col] + split
+    _refuse(plan, F.col("n_new") < 0, gcols, "the over-sampling ratio would remove minority rows")
+    _refuse(plan, F.col("n_min") - 1 < F.col("__k"), gcols, "k needs more minority rows")
+    _refuse(plan, F.col("__keep") > F.col("n_maj"), gcols, "the under-sampling ratio cannot be met")
 
     minority = df.where(F.col(label) == F.lit(mino))
-    n_minority = sum(_minority(c)[1] for c in counts.values())
     indexed = running_sum(minority.withColumn("__one", F.lit(1).cast("bigint")), split, [key], ["__one"],
-                          materialize=False, n=n_minority).select(
+                          materialize=False).select(
         *split, F.col(key).alias("__bk"), (F.col("cum___one") - 1).alias("__i"),
         *[F.col(f).alias(f"__b_{f}") for f in features])
     if neighbors is None:
@@ -250,50 +201,26 @@ def resample_grid(df: DataFrame, features: list[str], configs: list[dict], label
                           F.col("neighbor_key").alias("__nk"))
     nfeat = minority.select(*split, F.col(key).alias("__nk"), *[F.col(f).alias(f"__n_{f}") for f in features])
 
-    # synthetic ids for every (config, split) run from one partitioned range
-    order = sorted(plan)
-    runs, acc = [], 0
-    for g in order:
-        if plan[g][1] > 0:
-            runs.append((g, acc))
-            acc += plan[g][1]
-    struct_cols = [T.StructField(config_col, T.IntegerType())] + [
-        T.StructField(c, df.schema[c].dataType) for c in split]
-    table = spark.createDataFrame(
-        [(ri, g[0], *g[1:], start, plan[g][0], plan[g][2]) for ri, (g, start) in enumerate(runs)],
-        T.StructType([T.StructField("__run", T.IntegerType())] + struct_cols + [
-            T.StructField("__start", T.LongType()), T.StructField("__nmin", T.LongType()),
-            T.StructField("__k", T.LongType())]))
-    from rarelab.operators.ordered import bucket_of
-    synthetic = None
-    if acc > 0:
-        ids = spark.range(acc)
-        ids = ids.withColumn("__run", bucket_of(ids, ["id"], [(start,) for _, start in runs[1:]]).cast("int"))
-        syn = ids.join(F.broadcast(table), "__run").select(
-            *gcols, (F.col("id") - F.col("__start")).alias("__j"), "__nmin", "__k")
-        draw = F.floor(uniform(seed, F.lit("draw"), *split, "__j") * (F.col("__nmin") * F.col("__k"))).cast("bigint")
-        syn = syn.select(*gcols, "__j", "__k", draw.alias("__d"),
-                         uniform(seed, F.lit("gap"), *split, "__j").alias("__gap"))
-        syn = syn.select(*gcols, "__j", "__gap", F.floor(F.col("__d") / F.col("__k")).cast("bigint").alias("__i"),
-                         (F.pmod(F.col("__d"), F.col("__k")) + 1).cast("int").alias("__r"))
-        pts = syn.join(indexed, [*split, "__i"]).join(nb, [*split, "__bk", "__r"]).join(nfeat, [*split, "__nk"])
-        synthetic = pts.select(
-            *gcols, (-(F.col("__j") + 1)).cast(df.schema[key].dataType).alias(key),
-            F.lit(mino).cast(df.schema[label].dataType).alias(label),
-            *[(F.col(f"__b_{f}") + F.col("__gap") * (F.col(f"__n_{f}") - F.col(f"__b_{f}"))).alias(f)
-              for f in features],
-            F.lit(True).alias("is_synthetic"))
+    syn = _numbered(plan.select(*gcols, F.col("n_min").alias("__nmin"), "n_new", "__k"))
+    draw = F.floor(uniform(seed, F.lit("draw"), *split, "__j") * (F.col("__nmin") * F.col("__k"))).cast("bigint")
+    syn = syn.select(*gcols, "__j", "__k", draw.alias("__d"),
+                     uniform(seed, F.lit("gap"), *split, "__j").alias("__gap"))
+    syn = syn.select(*gcols, "__j", "__gap", F.floor(F.col("__d") / F.col("__k")).cast("bigint").alias("__i"),
+                     (F.pmod(F.col("__d"), F.col("__k")) + 1).cast("int").alias("__r"))
+    pts = syn.join(indexed, [*split, "__i"]).join(nb, [*split, "__bk", "__r"]).join(nfeat, [*split, "__nk"])
+    synthetic = pts.select(
+        *gcols, (-(F.col("__j") + 1)).cast(df.schema[key].dataType).alias(key),
+        F.lit(mino).cast(df.schema[label].dataType).alias(label),
+        *[(F.col(f"__b_{f}") + F.col("__gap") * (F.col(f"__n_{f}") - F.col(f"__b_{f}"))).alias(f)
+          for f in features],
+        F.lit(True).alias("is_synthetic"))
 
     # majority ranked once per split, kept per configuration
     majority = df.where(F.col(label) == F.lit(maj))
-    n_majority = sum(_minority(c)[3] for c in counts.values())
     ranked = running_sum(majority.withColumn("__one", F.lit(1).cast("bigint")), split,
-                         [F.md5(hash_string(seed, *split, key)), key], ["__one"], materialize=False, n=n_majority)
-    kt = spark.createDataFrame([(g[0], *g[1:], n) for g, n in keep.items()],
-                               T.StructType(struct_cols + [T.StructField("__keep", T.LongType())]))
-    kept = (ranked.join(F.broadcast(kt), split).where(F.col("cum___one") <= F.col("__keep"))
+                         [F.md5(hash_string(seed, *split, key)), key], ["__one"], materialize=False)
+    kept = (_on_split(ranked, plan.select(*gcols, "__keep"), split).where(F.col("cum___one") <= F.col("__keep"))
             .select(*gcols, key, label, *features, F.lit(False).alias("is_synthetic")))
     originals = minority.withColumn(config_col, F.explode(F.sequence(F.lit(0), F.lit(len(configs) - 1)))).select(
         *gcols, key, label, *features, F.lit(False).alias("is_synthetic"))
-    out = originals.unionByName(kept)
-    return out.unionByName(synthetic) if synthetic is not None else out
+    return originals.unionByName(kept).unionByName(synthetic)

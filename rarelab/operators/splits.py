@@ -2,8 +2,8 @@
 
 All randomness is key-hashed (:mod:`rarelab.functions.hashing`): a split is a
 pure function of (seed, key), independent of partitioning and reproducible in
-SQL.  No global window is used: exact cuts come from a verified rank bracket,
-class ranks from the range-partitioned dense position.
+SQL.  No global window is used: exact cuts are order statistics found by
+narrowing brackets, class ranks come from range-partitioned running sums.
 """
 
 from __future__ import annotations
@@ -14,63 +14,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rarelab.functions.hashing import hash_string, uniform
-from rarelab.functions.quantile import rank_bracket
-from rarelab.operators.ordered import dense_position
+from rarelab.functions.quantile import order_statistics
+from rarelab.operators.ordered import running_sum
 from rarelab.session import cut_lineage
 
-MAX_CLASSES = 1000
-
 
 def holdout_split(df: DataFrame, key: str, test_size: float, seed: int,
                   name: str = "is_test") -> DataFrame:
     """G1: shuffled, unstratified holdout of exact size ``ceil(n * test_size)``.
 
-    Test rows are the first ones in (md5(seed:key), key) order.  The cut row
-    is found inside a verified bracket of the hash's leading 52 bits, so only
-    the bracket is sorted."""
-    df = cut_lineage(df)
+    Test rows are the first ones in (md5(seed:key), key) order.  The cut is the
+    exact order statistic of the hash's leading 52 bits; only rows that tie
+    with it there are ordered further."""
     n = df.count()
     n_test = min(n, math.ceil(test_size * n))
-    h = F.md5(hash_string(seed, key))
-    u = uniform(seed, key)
     if n_test == 0:
         return df.withColumn(name, F.lit(False))
     if n_test == n:
         return df.withColumn(name, F.lit(True))
-    k = n_test - 1
-    before, inside, below, _ = rank_bracket(df, u, k, k, n)
-    cut = (df.where(inside).select(h.alias("__h"), F.col(key).alias("__k"))
-           .orderBy("__h", "__k").offset(k - below).limit(1).first())
-    in_order = (h < F.lit(cut["__h"])) | ((h == F.lit(cut["__h"])) & (F.col(key) <= F.lit(cut["__k"])))
-    return df.withColumn(name, before | (inside & in_order))
-
-
-def class_table(df: DataFrame, label: str, key: str) -> list[tuple]:
-    """(class, count) in order of first appearance by key - the class
-    encoding of scikit-learn's stratified splitters.  Bounded by the class
-    count."""
-    rows = (df.where(F.col(label).isNotNull()).groupBy(label)
-            .agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n"))
-            .orderBy("first").limit(MAX_CLASSES + 1).collect())
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return [(r[label], r["n"]) for r in rows]
-
-
-def fold_bounds(counts: list[int], n_splits: int) -> list[list[int]]:
-    """Cumulative fold sizes per class.  Classes occupy consecutive ranges of
-    the sorted label vector; fold ``i`` takes every ``n_splits``-th position
-    from ``i``, so fold class counts differ by at most one."""
-    bounds, start = [], 0
-    for n in counts:
-        alloc = [(start + n - 1 - i) // n_splits - (start - 1 - i) // n_splits for i in range(n_splits)]
-        cum, acc = [], 0
-        for a in alloc:
-            acc += a
-            cum.append(acc)
-        bounds.append(cum)
-        start += n
-    return bounds
+    h, u = F.md5(hash_string(seed, key)), uniform(seed, key)
+    cut = order_statistics(df, u, [n_test - 1], n)[n_test - 1]
+    before = df.where(u < F.lit(cut)).count()
+    last = (df.where(u == F.lit(cut)).select(h.alias("h"), F.col(key).alias("k")).orderBy("h", "k")
+            .offset(n_test - 1 - before).limit(1).first())
+    in_order = (h < F.lit(last["h"])) | ((h == F.lit(last["h"])) & (F.col(key) <= F.lit(last["k"])))
+    return df.withColumn(name, (u < F.lit(cut)) | ((u == F.lit(cut)) & in_order))
+
+
+def class_table(df: DataFrame, label: str, key: str) -> DataFrame:
+    """``(label, __code, __n, __start)``: classes numbered in order of first
+    appearance by key - the class encoding of scikit-learn's stratified
+    splitters - with their sizes and the rows of the classes before them."""
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(
+        F.min(key).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    coded = running_sum(sizes.withColumn("__one", F.lit(1).cast("bigint")), [], ["__first"], ["__n", "__one"])
+    return coded.select(label, (F.col("cum___one") - 1).alias("__code"), "__n",
+                        (F.col("cum___n") - F.col("__n")).alias("__start"))
+
+
+def fold_of(rank, start, n, n_splits: int):
+    """Fold of a class's row at 0-based ``rank``.  Classes occupy consecutive
+    ranges of the sorted label vector and fold ``i`` takes every
+    ``n_splits``-th position from ``i``; so of a class that starts at ``start``
+    the folds after ``start mod n_splits`` come first in taking one row more."""
+    extra, base = n % F.lit(n_splits), F.floor(n / F.lit(n_splits))
+    # folds (start + j) mod n_splits, j < extra, hold base + 1 rows, the others base
+    sizes = [base + (F.pmod(F.lit(i) - start, F.lit(n_splits)) < extra).cast("bigint") for i in range(n_splits)]
+    fold, filled = F.lit(n_splits - 1), F.lit(0).cast("bigint")
+    for i in reversed(range(n_splits - 1)):
+        filled = sizes[0]
+        for s in sizes[1:i + 1]:
+            filled = filled + s
+        fold = F.when(rank < filled, F.lit(i)).otherwise(fold)
+    return fold
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, n_splits: int = 5,
@@ -83,39 +79,21 @@ def stratified_folds(df: DataFrame, label: str, key: str, n_splits: int = 5,
 
     Returns the input columns plus ``repeat`` and ``fold``."""
     df = cut_lineage(df)
-    classes = class_table(df, label, key)
-    counts = [n for _, n in classes]
-    if max(counts) < n_splits:
+    classes = cut_lineage(class_table(df, label, key))
+    largest = classes.agg(F.max("__n")).first()[0]
+    if largest is None or largest < n_splits:
         raise ValueError(f"n_splits={n_splits} exceeds the members of every class")
-    bounds = fold_bounds(counts, n_splits)
-    starts = [sum(counts[:i]) for i in range(len(counts))]
-    n = sum(counts)
-    code = None
-    for i, (c, _) in enumerate(classes):
-        code = F.when(F.col(label) == F.lit(c), F.lit(i)) if code is None else code.when(
-            F.col(label) == F.lit(c), F.lit(i))
-    base = df.where(F.col(label).isNotNull()).withColumn("__code", code)
+    base = df.join(classes, label)
     if seed is None:
         if n_repeats != 1:
             raise ValueError("repeats need a seed")
         base = base.withColumn(repeat, F.lit(0))
-        order = [repeat, "__code", key]
+        order = [key]
     else:
         base = base.withColumn(repeat, F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
         base = base.withColumn("__h", F.md5(hash_string(seed, repeat, key)))
-        order = [repeat, "__code", "__h", key]
-    pos = dense_position(base, order, "__pos")
-    start_e = None
-    for i, s in enumerate(starts):
-        start_e = F.when(F.col("__code") == i, F.lit(s)) if start_e is None else start_e.when(
-            F.col("__code") == i, F.lit(s))
-    r = F.col("__pos") - F.col(repeat).cast("bigint") * F.lit(n) - start_e
-    fold_e = None
-    for i, cum in enumerate(bounds):
-        inner = None
-        for f, hi in enumerate(cum):
-            inner = F.when(F.col("__r") < F.lit(hi), F.lit(f)) if inner is None else inner.when(
-                F.col("__r") < F.lit(hi), F.lit(f))
-        fold_e = F.when(F.col("__code") == i, inner) if fold_e is None else fold_e.when(F.col("__code") == i, inner)
-    out = pos.withColumn("__r", r).withColumn(fold, fold_e.cast("int"))
-    return out.drop("__code", "__h", "__pos", "__r")
+        order = ["__h", key]
+    ranked = running_sum(base.withColumn("__one", F.lit(1).cast("bigint")), [repeat, "__code"], order, ["__one"],
+                         materialize=False)
+    out = ranked.withColumn(fold, fold_of(F.col("cum___one") - 1, F.col("__start"), F.col("__n"), n_splits).cast("int"))
+    return out.select(*df.columns, repeat, fold)

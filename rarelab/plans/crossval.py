@@ -32,12 +32,27 @@ def cv_knn_sweep(folds: DataFrame, n_splits: int, features, ks: list[int], key:
                  label: str = "label", weights=None) -> DataFrame:
     """Per (split, k): accuracy of a kNN classifier, every k from one
     neighbour search of depth ``max(ks)``."""
+    feats = [features] if isinstance(features, str) else list(features)
+    if isinstance(features, str) or len(feats) > 1:
+        # one search per repeat with same-fold pairs masked: no training row is copied
+        rows = folds.select("repeat", "fold", key, label, *feats)
+        nb = knn_neighbors(rows, rows, features, max(ks), key=key, label=label, split="repeat", weights=weights,
+                           exclude_col="fold", method="blocks")
+        test = folds.select("repeat", key, label, (F.col("repeat") * n_splits + F.col("fold")).alias("split_id"))
+        preds = knn_k_sweep(nb, ks, key, "repeat").join(test, ["repeat", key])
+        return metrics.accuracy(preds, label, "pred", by=["split_id", "k"])
+    # one feature: rows of equal value share their neighbours, so the distinct values of each split are searched
+    # and weighted with the labels that have them
     train, test = split_frames(folds, n_splits)
-    nb = knn_neighbors(train, test, features, max(ks), key=key, label=label, split="split_id",
-                       weights=weights)
-    preds = knn_k_sweep(nb, ks, key, "split_id").join(
-        test.select("split_id", key, label), ["split_id", key])
-    return metrics.accuracy(preds, label, "pred", by=["split_id", "k"])
+    y = F.col(label)
+    values = cut_lineage(test.groupBy("split_id", F.col(feats[0]).cast("double").alias("__value")).agg(
+        F.count(F.when(y, 1)).alias("__pos"), F.count(F.when(~y, 1)).alias("__neg")))
+    nb = knn_neighbors(train, values.withColumn(feats[0], F.col("__value")), feats, max(ks), key=key, label=label,
+                       query_key="__value", split="split_id", weights=weights)
+    hits = knn_k_sweep(nb, ks, "__value", "split_id").join(values, ["split_id", "__value"])
+    right, n = F.sum(F.when(F.col("pred"), F.col("__pos")).otherwise(F.col("__neg"))), F.sum(F.col("__pos") + F.col("__neg"))
+    return hits.groupBy("split_id", "k").agg((right / n).alias("accuracy"), n.alias("n")).withColumn(
+        "error", 1.0 - F.col("accuracy"))
 
 
 def grid_summary(scores: DataFrame, param: str = "k", score: str = "accuracy") -> DataFrame:
@@ -87,11 +102,13 @@ def split_scores(preds: DataFrame, label: str = "label") -> DataFrame:
 
 
 def score_summary(scores: DataFrame, cols=("accuracy", "roc_auc")) -> DataFrame:
-    """Mean and population std (numpy's default) of split scores."""
+    """Mean and population std (numpy's default) of split scores, and
+    ``error`` = 1 - mean accuracy where accuracy is among them."""
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"mean_{c}"), F.stddev_pop(c).alias(f"std_{c}")]
-    return scores.agg(*aggs)
+    out = scores.agg(*aggs)
+    return out.withColumn("error", 1.0 - F.col("mean_accuracy")) if "accuracy" in cols else out
 
 
 def resampler(features: list[str], over_ratio=None, over_k: int = 5, under_ratio=None,

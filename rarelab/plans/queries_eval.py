@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from rarelab.plans.catalog import register, rounded, with_ctes
 from rarelab.sources import fixtures as fx
 from rarelab.session import ensure_checkpoint_dir
+from rarelab.sources.tables import read_table
 
 COHORT_SQL = "CASE WHEN generation <= 6 THEN 'train' ELSE CAST(generation AS VARCHAR) END"
 
@@ -68,11 +69,11 @@ def q_saved_index_csv(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ A3
-@register("dense_key", with_ctes(fx.CONTESTS_SQL, body="""
-SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_key FROM contests"""))
+@register("dense_key", """
+SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_key FROM orders""")
 def q_dense_key(spark, sf_dir):
     from rarelab.sources.keys import dense_key
-    c = fx.contests(spark, sf_dir).select("o_orderkey", "o_orderdate")
+    c = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
     return dense_key(c, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "row_key")
 
 

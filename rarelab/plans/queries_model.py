@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rarelab.functions.hashing import sql_hash_string
 from rarelab.plans.catalog import register, rounded, with_ctes
+from rarelab.plans.queries_eval import PER_CLASS_SQL
 from rarelab.sources import fixtures as fx
 
 TRAIN_SQL = "train AS (SELECT * FROM entity_features WHERE generation <= 6)"
@@ -28,27 +29,32 @@ def q_holdout_split(spark, sf_dir):
 
 
 # -------------------------------------------------------------- G2, G3
-def _folds_sql(n_splits: int, n_repeats: int, seed: int | None) -> str:
+def _fold_ctes(n_splits: int, n_repeats: int, seed: int | None) -> list[str]:
+    """CTEs ending in ``folds(entity_id, rep, fold)`` (same rule as the Spark side)."""
     if seed is None:
-        order = "entity_id"
-        reps = "SELECT 0 AS rep"
+        order, reps = "entity_id", "SELECT 0 AS rep"
     else:
         order = f"{sql_hash_string(seed, 'rep', 'entity_id')}, entity_id"
         reps = f"SELECT unnest(generate_series(0, {n_repeats - 1})) AS rep"
-    return with_ctes(fx.ENTITY_SQL, TRAIN_SQL, f"""
-cls AS (SELECT label, count(*) AS n, min(entity_id) AS first_key FROM train GROUP BY label)""", """
-enc AS (SELECT label, n, sum(n) OVER (ORDER BY first_key) - n AS start FROM cls)""", f"""
-alloc AS (SELECT label, f AS fold,
+    return [
+        "cls AS (SELECT label, count(*) AS n, min(entity_id) AS first_key FROM train GROUP BY label)",
+        "enc AS (SELECT label, n, sum(n) OVER (ORDER BY first_key) - n AS start FROM cls)",
+        f"""alloc AS (SELECT label, f AS fold,
                  floor((start + n - 1 - f) / {n_splits}.0) - floor((start - 1 - f) / {n_splits}.0) AS a
-          FROM enc, (SELECT unnest(generate_series(0, {n_splits - 1})) AS f))""", """
-bounds AS (SELECT label, fold, sum(a) OVER (PARTITION BY label ORDER BY fold) - a AS lo,
-                  sum(a) OVER (PARTITION BY label ORDER BY fold) AS hi FROM alloc)""", f"""
-reps AS ({reps})""", f"""
-ranked AS (SELECT entity_id, label, rep,
-                  row_number() OVER (PARTITION BY rep, label ORDER BY {order}) - 1 AS r
-           FROM train, reps)""", body="""
-SELECT entity_id, CAST(rep AS INTEGER) AS "repeat", CAST(fold AS INTEGER) AS fold
-FROM ranked JOIN bounds ON ranked.label = bounds.label AND r >= lo AND r < hi""")
+          FROM enc, (SELECT unnest(generate_series(0, {n_splits - 1})) AS f))""",
+        """bounds AS (SELECT label, fold, sum(a) OVER (PARTITION BY label ORDER BY fold) - a AS lo,
+                  sum(a) OVER (PARTITION BY label ORDER BY fold) AS hi FROM alloc)""",
+        f"reps AS ({reps})",
+        f"""ranked AS (SELECT entity_id, label, rep,
+                  row_number() OVER (PARTITION BY rep, label ORDER BY {order}) - 1 AS r FROM train, reps)""",
+        """folds AS (SELECT entity_id, rep, CAST(fold AS INTEGER) AS fold
+           FROM ranked JOIN bounds ON ranked.label = bounds.label AND r >= lo AND r < hi)""",
+    ]
+
+
+def _folds_sql(n_splits: int, n_repeats: int, seed: int | None) -> str:
+    return with_ctes(fx.ENTITY_SQL, TRAIN_SQL, *_fold_ctes(n_splits, n_repeats, seed),
+                     body='SELECT entity_id, CAST(rep AS INTEGER) AS "repeat", fold FROM folds')
 
 
 @register("stratified_folds", _folds_sql(5, 1, None))
@@ -158,29 +164,6 @@ def q_knn_embeddings(spark, sf_dir):
 GRID_KS = list(range(3, 101, 2))
 
 
-def _fold_ctes(n_splits: int, n_repeats: int, seed: int | None) -> list[str]:
-    """CTEs ending in ``folds(entity_id, rep, fold)`` (same rule as the Spark side)."""
-    if seed is None:
-        order, reps = "entity_id", "SELECT 0 AS rep"
-    else:
-        order = f"{sql_hash_string(seed, 'rep', 'entity_id')}, entity_id"
-        reps = f"SELECT unnest(generate_series(0, {n_repeats - 1})) AS rep"
-    return [
-        "cls AS (SELECT label, count(*) AS n, min(entity_id) AS first_key FROM train GROUP BY label)",
-        "enc AS (SELECT label, n, sum(n) OVER (ORDER BY first_key) - n AS start FROM cls)",
-        f"""alloc AS (SELECT label, f AS fold,
-                 floor((start + n - 1 - f) / {n_splits}.0) - floor((start - 1 - f) / {n_splits}.0) AS a
-          FROM enc, (SELECT unnest(generate_series(0, {n_splits - 1})) AS f))""",
-        """bounds AS (SELECT label, fold, sum(a) OVER (PARTITION BY label ORDER BY fold) - a AS lo,
-                  sum(a) OVER (PARTITION BY label ORDER BY fold) AS hi FROM alloc)""",
-        f"reps AS ({reps})",
-        f"""ranked AS (SELECT entity_id, label, rep,
-                  row_number() OVER (PARTITION BY rep, label ORDER BY {order}) - 1 AS r FROM train, reps)""",
-        """folds AS (SELECT entity_id, rep, CAST(fold AS INTEGER) AS fold
-           FROM ranked JOIN bounds ON ranked.label = bounds.label AND r >= lo AND r < hi)""",
-    ]
-
-
 def _cv_sides_sql(n_splits: int, feats: list[str]) -> list[str]:
     f = ", ".join(f"t.{c}" for c in feats)
     return [
@@ -323,14 +306,10 @@ def q_over_under(spark, sf_dir):
 CV_SPLITS, CV_REPEATS = 10, 3
 
 
-def _cv_ctes(p: str, k_model: int, resample: tuple | None = None, feats: tuple = ("n_orders",),
-             weights: str | None = None) -> list[str]:
-    """CTEs ending in ``scores_{p}(split_id, accuracy, roc_auc)`` and
-    ``summary_{p}``: kNN on ``n_orders`` over the 10x3 repeated stratified
-    splits, with optional per-split (over_ratio, over_k, under_ratio)."""
+def _cv_train_ctes(p: str, resample: tuple | None, feats: tuple) -> tuple[list[str], str]:
+    """CTEs of the training rows (resampled per split) and ``qu_{p}``, and the name of the former."""
     S = CV_SPLITS
     fsel = ", ".join(f"t.{f}" for f in feats)
-    fplain = ", ".join(feats)
     ctes = [
         f"""tr0_{p} AS (SELECT fo.rep * {S} + g.g AS split_id, t.entity_id, t.label, {fsel}
            FROM folds fo JOIN train t ON fo.entity_id = t.entity_id,
@@ -346,12 +325,29 @@ def _cv_ctes(p: str, k_model: int, resample: tuple | None = None, feats: tuple =
         if under_ratio is not None:
             ctes += _under_ctes(f"sm_{p}", under_ratio, SMOTE_SEED, name=f"un_{p}", split=True)
             final = f"un_{p}"
+    return ctes, final
+
+
+def _cv_ctes(p: str, k_model: int, resample: tuple | None = None, feats: tuple = ("n_orders",),
+             weights: str | None = None) -> list[str]:
+    """CTEs ending in ``scores_{p}(split_id, accuracy, roc_auc)`` and
+    ``summary_{p}``: kNN on ``n_orders`` over the 10x3 repeated stratified
+    splits, with optional per-split (over_ratio, over_k, under_ratio)."""
+    ctes, final = _cv_train_ctes(p, resample, feats)
+    fplain = ", ".join(feats)
     ctes += [
         f"trk_{p} AS (SELECT split_id, entity_id AS tk, label AS ty, {fplain} FROM {final})",
         _knn_sql(f"trk_{p}", f"qu_{p}", list(feats), k_model, split=True, name=f"nb_{p}", weights=weights),
         f"""votes_{p} AS (SELECT split_id, qk, count(*) FILTER (WHERE ty) AS pos, count(*) AS n FROM nb_{p} GROUP BY ALL)""",
         f"""preds_{p} AS (SELECT q.split_id, q.qk, q.y, pos * 2 > n AS pred, pos / n AS proba
            FROM qu_{p} q JOIN votes_{p} v ON q.split_id = v.split_id AND q.qk = v.qk)""",
+    ]
+    return ctes + _score_ctes(p)
+
+
+def _score_ctes(p: str) -> list[str]:
+    """``preds_{p}(split_id, y, pred, proba)`` to ``scores_{p}`` and ``summary_{p}``."""
+    return [
         f"""ps_{p} AS (SELECT split_id, proba AS score, count(*) FILTER (WHERE y) AS pos,
                   count(*) FILTER (WHERE NOT y) AS neg FROM preds_{p} GROUP BY split_id, proba)""",
         f"""cum_{p} AS (SELECT *, sum(neg) OVER (PARTITION BY split_id ORDER BY score ROWS UNBOUNDED PRECEDING) - neg
@@ -363,12 +359,12 @@ def _cv_ctes(p: str, k_model: int, resample: tuple | None = None, feats: tuple =
         f"""summary_{p} AS (SELECT avg(accuracy) AS mean_accuracy, stddev_pop(accuracy) AS std_accuracy,
                   avg(roc_auc) AS mean_roc_auc, stddev_pop(roc_auc) AS std_roc_auc FROM scores_{p})""",
     ]
-    return ctes
 
 
 CV_BASE = [fx.ENTITY_SQL, TRAIN_SQL] + _fold_ctes(CV_SPLITS, CV_REPEATS, FOLD_SEED)
 SUMMARY_COLS = ("round(mean_accuracy, 6) AS mean_accuracy, round(std_accuracy, 6) AS std_accuracy, "
                 "round(mean_roc_auc, 6) AS mean_roc_auc, round(std_roc_auc, 6) AS std_roc_auc")
+CV_COLS = SUMMARY_COLS + ", round(1 - mean_accuracy, 6) AS error"
 
 
 def _cv_folds(spark, sf_dir):
@@ -393,20 +389,20 @@ def q_cv_scores(spark, sf_dir):
     return rounded(_cv_scores(spark, sf_dir))
 
 
-@register("cv_summary", with_ctes(*CV_BASE, *_cv_ctes("a", 5), body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+@register("cv_summary", with_ctes(*CV_BASE, *_cv_ctes("a", 5), body=f"SELECT {CV_COLS} FROM summary_a"))
 def q_cv_summary(spark, sf_dir):
     from rarelab.plans.crossval import score_summary
     return rounded(score_summary(_cv_scores(spark, sf_dir)))
 
 
-@register("smote_cv", with_ctes(*CV_BASE, *_cv_ctes("a", 5, (0.1, 5, 0.5)), body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+@register("smote_cv", with_ctes(*CV_BASE, *_cv_ctes("a", 5, (0.1, 5, 0.5)), body=f"SELECT {CV_COLS} FROM summary_a"))
 def q_smote_cv(spark, sf_dir):
     from rarelab.plans.crossval import score_summary
     return rounded(score_summary(_cv_scores(spark, sf_dir, (0.1, 5, 0.5))))
 
 
 @register("smote_balanced_cv", with_ctes(*CV_BASE, *_cv_ctes("a", 5, (None, 5, None)),
-                                         body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+                                         body=f"SELECT {CV_COLS} FROM summary_a"))
 def q_smote_balanced_cv(spark, sf_dir):
     from rarelab.plans.crossval import score_summary
     return rounded(score_summary(_cv_scores(spark, sf_dir, (None, 5, None))))
@@ -417,7 +413,7 @@ CV_2D = ["n_orders", "wins"]
 
 @register("cv_summary_2d", with_ctes(*CV_BASE, _weights_sql("train", CV_2D),
                                      *_cv_ctes("a", 3, feats=tuple(CV_2D), weights="wt"),
-                                     body=f"SELECT {SUMMARY_COLS} FROM summary_a"))
+                                     body=f"SELECT {CV_COLS} FROM summary_a"))
 def q_cv_summary_2d(spark, sf_dir):
     """I9, I10 with two scaled features (kNN k=3): one blocked search per
     repeat with same-fold pairs masked, no replicated training rows.  The
@@ -470,7 +466,7 @@ qu AS (SELECT entity_id AS qk, n_orders FROM entity_features WHERE generation >
     _knn_sql("tr", "qu", ["n_orders"], 5), VOTES_SQL.format(split=""), """
 preds AS (SELECT CAST(e.generation AS VARCHAR) AS cohort, e.label, pos * 2 > n AS pred
           FROM entity_features e JOIN votes ON e.entity_id = votes.qk)""",
-    __import__("rarelab.plans.queries_eval", fromlist=["PER_CLASS_SQL"]).PER_CLASS_SQL.strip().rstrip(","),
+    PER_CLASS_SQL.strip().rstrip(","),
     """wprf AS (SELECT cohort, sum(support * precision) / sum(support) AS precision,
                   sum(support * recall) / sum(support) AS recall, sum(support * f1) / sum(support) AS f1
            FROM pc GROUP BY cohort)""", """
@@ -490,94 +486,250 @@ def q_cohort_eval(spark, sf_dir):
 
 
 # ====================================================== logistic (H3-H7)
-# Iterative fits have no SQL twin: rows-only checks here, exactness in tests.
-@register("logit_inference")
+# The fits have SQL twins: Newton steps unrolled as CTEs, a 2x2 solve each.
+NEWTON_STEPS = 14
+LOGIT_DIGITS = 4
+
+
+def _newton_ctes(src: str, name: str) -> list[str]:
+    """CTEs ending in ``{name}(g, b0, b1)``: L2 logistic regression (C = 1) of
+    ``y`` on ``x`` per group ``g`` of ``src(g, x, y)``; the intercept is not penalised."""
+    ctes = [f"data_{name} AS MATERIALIZED (SELECT g, x, CAST(y AS DOUBLE) AS y, count(*) AS n FROM {src} GROUP BY ALL)",
+            f"{name}_0 AS (SELECT DISTINCT g, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1 FROM data_{name})"]
+    for i in range(NEWTON_STEPS):
+        ctes.append(f"""{name}_{i + 1} AS MATERIALIZED (
+          SELECT g, b0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS b0,
+                 b1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b1 FROM (
+            SELECT g, b0, b1, sum(n * (p - y)) AS g0, sum(n * (p - y) * x) + b1 AS g1, sum(n * p * (1 - p)) AS h00,
+                   sum(n * p * (1 - p) * x) AS h01, sum(n * p * (1 - p) * x * x) + 1 AS h11
+            FROM (SELECT d.*, b0, b1, 1 / (1 + exp(-(b0 + b1 * x))) AS p FROM data_{name} d JOIN {name}_{i} t ON d.g = t.g)
+            GROUP BY g, b0, b1))""")
+    return [*ctes, f"{name} AS (SELECT * FROM {name}_{NEWTON_STEPS})"]
+
+
+PROBA_SQL = "1 / (1 + exp(-(b0 + b1 * n_orders)))"
+
+
+def _logit_cv_ctes(p: str, resample: tuple | None = None) -> list[str]:
+    """CTEs ending in ``scores_{p}`` and ``summary_{p}`` of the logistic model over the 10x3 splits."""
+    ctes, final = _cv_train_ctes(p, resample, ("n_orders",))
+    return [*ctes, f"xy_{p} AS (SELECT split_id AS g, n_orders AS x, label AS y FROM {final})", *_newton_ctes(f"xy_{p}", f"th_{p}"),
+            f"""preds_{p} AS (SELECT split_id, qk, y, {PROBA_SQL} AS proba, {PROBA_SQL} > 0.5 AS pred
+                FROM qu_{p} JOIN th_{p} ON split_id = g)""", *_score_ctes(p)]
+
+
+ALL_XY = "xy AS (SELECT 0 AS g, n_orders AS x, label AS y FROM train)"
+COEF_BODY = f"""
+SELECT 'intercept' AS term, round(b0, {LOGIT_DIGITS}) AS coef FROM th UNION ALL SELECT 'n_orders', round(b1, {LOGIT_DIGITS}) FROM th"""
+
+
+def _inference_sql() -> str:
+    """H3: one coefficient without intercept.  The tail of the normal law is
+    the classical rational approximation 26.2.17 (error below 7.5e-8)."""
+    steps = ["m_0 AS (SELECT CAST(0 AS DOUBLE) AS b)"]
+    for i in range(NEWTON_STEPS):
+        steps.append(f"""m_{i + 1} AS MATERIALIZED (SELECT b - sum((p - y) * x) / sum(p * (1 - p) * x * x) AS b FROM (
+            SELECT x, CAST(y AS DOUBLE) AS y, b, 1 / (1 + exp(-b * x)) AS p FROM xy, m_{i}) GROUP BY b)""")
+    last = f"m_{NEWTON_STEPS}"
+    return with_ctes(fx.ENTITY_SQL, TRAIN_SQL, ALL_XY, *steps, f"""
+    fit AS (SELECT any_value(b) AS b, 1 / sqrt(sum(p * (1 - p) * x * x)) AS se, sum(y * ln(p) + (1 - y) * ln(1 - p)) AS ll,
+                   count(*) AS n, avg(y) AS base
+            FROM (SELECT x, CAST(y AS DOUBLE) AS y, b, 1 / (1 + exp(-b * x)) AS p FROM xy, {last}))""", """
+    tail AS (SELECT *, b / se AS z, 1 / (1 + 0.2316419 * abs(b / se)) AS t,
+                    n * (base * ln(base) + (1 - base) * ln(1 - base)) AS ll0 FROM fit)""", body=f"""
+SELECT 'n_orders' AS term, round(b, {LOGIT_DIGITS}) AS coef, round(se, {LOGIT_DIGITS}) AS std_err, round(z, {LOGIT_DIGITS}) AS z,
+       round(2 * exp(-z * z / 2) / sqrt(2 * pi()) * t * (0.319381530 + t * (-0.356563782 + t * (1.781477937
+             + t * (-1.821255978 + t * 1.330274429)))), {LOGIT_DIGITS}) AS p_value,
+       round(b - 1.959963984540054 * se, {LOGIT_DIGITS}) AS conf_lo, round(b + 1.959963984540054 * se, {LOGIT_DIGITS}) AS conf_hi,
+       round(ll, {LOGIT_DIGITS}) AS log_likelihood, round(ll0, {LOGIT_DIGITS}) AS ll_null,
+       round(1 - ll / ll0, {LOGIT_DIGITS}) AS pseudo_r2, n AS n_obs FROM tail""")
+
+
+@register("logit_inference", _inference_sql())
 def q_logit_inference(spark, sf_dir):
     from rarelab.operators.logistic import logit_inference
-    return logit_inference(_train(spark, sf_dir), ["n_orders"], fit_intercept=False)[1]
+    return rounded(logit_inference(_train(spark, sf_dir), ["n_orders"], fit_intercept=False)[1], LOGIT_DIGITS)
 
 
-@register("logistic_l2")
+@register("logistic_l2", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, ALL_XY, *_newton_ctes("xy", "th"), body=COEF_BODY))
 def q_logistic_l2(spark, sf_dir):
     from rarelab.operators.logistic import fit_logistic
     m = fit_logistic(_train(spark, sf_dir), ["n_orders"])
-    return spark.createDataFrame(m.table(), "term string, coef double")
+    return rounded(spark.createDataFrame(m.table(), "term string, coef double"), LOGIT_DIGITS)
 
 
-@register("logistic_proba")
+@register("logistic_proba", with_ctes(fx.ENTITY_SQL, TRAIN_SQL, ALL_XY, *_newton_ctes("xy", "th"), body=f"""
+SELECT entity_id, n_orders, label, round(1 - {PROBA_SQL}, {LOGIT_DIGITS}) AS proba_negative FROM train, th"""))
 def q_logistic_proba(spark, sf_dir):
     from rarelab.operators.logistic import fit_logistic
     t = _train(spark, sf_dir)
     m = fit_logistic(t, ["n_orders"])
-    return m.transform(t.select("entity_id", "n_orders", "label")).select(
-        "entity_id", "n_orders", "label", "proba_negative")
+    return rounded(m.transform(t.select("entity_id", "n_orders", "label")).select(
+        "entity_id", "n_orders", "label", "proba_negative"), LOGIT_DIGITS)
 
 
-@register("logistic_predict")
+@register("logistic_predict", with_ctes(
+    fx.ENTITY_SQL, TRAIN_SQL, _holdout_cte(0, 0.1), "xy AS (SELECT 0 AS g, n_orders AS x, label AS y FROM ho WHERE NOT is_test)",
+    *_newton_ctes("xy", "th"), body=f"""
+SELECT entity_id, generation, label, {PROBA_SQL} > 0.5 AS pred, round({PROBA_SQL}, {LOGIT_DIGITS}) AS proba
+FROM entity_features, th WHERE generation > 6"""))
 def q_logistic_predict(spark, sf_dir):
     from rarelab.operators.logistic import fit_logistic
     from rarelab.operators.splits import holdout_split
     t = holdout_split(_train(spark, sf_dir), "entity_id", 0.1, 0)
     m = fit_logistic(t.where(~F.col("is_test")), ["n_orders"])
     cohorts = fx.entity_features(spark, sf_dir).where(F.col("generation") > 6)
-    return m.transform(cohorts).select("entity_id", "generation", "label", "pred", "proba")
+    return rounded(m.transform(cohorts).select("entity_id", "generation", "label", "pred", "proba"), LOGIT_DIGITS)
 
 
-@register("resampled_fit")
-def q_resampled_fit(spark, sf_dir):
-    """Final models after SMOTE 0.1 (k=6) + under-sampling, fitted on the
-    holdout's training part: kNN and logistic predictions on the later
-    cohorts side by side."""
+# ------------------------------------------- the two final models
+# Fixed values of the study: resampling of each final model, fitted on the training part of one holdout.
+FINAL_SEED, FINAL_TEST = 0, 0.2
+FINAL = {"knn": dict(over_ratio=0.1, over_k=6, under_ratio=1.0), "logistic": dict(over_ratio=0.1, over_k=5, under_ratio=0.7)}
+
+
+def _final_predictions(spark, sf_dir, model: str):
+    """``(entity_id, cohort, label, pred)`` on the holdout's test part and the later cohorts."""
     from rarelab.operators.knn import KnnModel
     from rarelab.operators.logistic import fit_logistic
     from rarelab.operators.resample import over_under
     from rarelab.operators.splits import holdout_split
-    t = holdout_split(_train(spark, sf_dir).select("entity_id", "label", "n_orders"), "entity_id", 0.2, 0)
-    rs = over_under(t.where(~F.col("is_test")), ["n_orders"], 0.1, 0.7, k=6, seed=SMOTE_SEED)
+    from rarelab.session import cut_lineage
+    c = FINAL[model]
+    t = cut_lineage(holdout_split(_train(spark, sf_dir).select("entity_id", "label", "n_orders"), "entity_id", FINAL_TEST, FINAL_SEED))
+    fit_on = cut_lineage(over_under(t.where(~F.col("is_test")), ["n_orders"], c["over_ratio"], c["under_ratio"], k=c["over_k"],
+                                    seed=SMOTE_SEED))
     cohorts = fx.entity_features(spark, sf_dir).where(F.col("generation") > 6).select(
-        "entity_id", "generation", "label", "n_orders")
-    knn = KnnModel(rs, ["n_orders"], k=5).transform(cohorts).select(
-        "entity_id", "generation", "label", F.col("pred").alias("knn_pred"))
-    lr = fit_logistic(rs, ["n_orders"]).transform(cohorts).select("entity_id", F.col("pred").alias("logit_pred"))
+        "entity_id", F.col("generation").cast("string").alias("cohort"), "label", "n_orders")
+    rows = t.where("is_test").select("entity_id", F.lit("test").alias("cohort"), "label", "n_orders").unionByName(cohorts)
+    fitted = KnnModel(fit_on, ["n_orders"], k=5) if model == "knn" else fit_logistic(fit_on, ["n_orders"])
+    return fitted.transform(rows).select("entity_id", "cohort", "label", "pred")
+
+
+def _final_ctes(model: str) -> list[str]:
+    """CTEs ending in ``fp_{model}(entity_id, cohort, label, pred)``; they start from ``ho``."""
+    c = FINAL[model]
+    m = model
+    ctes = [f"src_{m} AS (SELECT entity_id, label, n_orders FROM ho WHERE NOT is_test)",
+            *_smote_ctes(f"src_{m}", c["over_ratio"], c["over_k"], SMOTE_SEED, name=f"over_{m}"),
+            *_under_ctes(f"over_{m}", c["under_ratio"], SMOTE_SEED, name=f"fit_{m}"),
+            f"""rows_{m} AS (SELECT entity_id AS qk, 'test' AS cohort, label, n_orders FROM ho WHERE is_test UNION ALL
+                SELECT entity_id, CAST(generation AS VARCHAR), label, n_orders FROM entity_features WHERE generation > 6)"""]
+    if model == "knn":
+        return [*ctes, f"trk_{m} AS (SELECT entity_id AS tk, label AS ty, n_orders FROM fit_{m})",
+                _knn_sql(f"trk_{m}", f"rows_{m}", ["n_orders"], 5, name=f"nb_{m}"),
+                f"""fp_{m} AS (SELECT r.qk AS entity_id, cohort, label, pos * 2 > n AS pred FROM rows_{m} r JOIN (
+                    SELECT qk, count(*) FILTER (WHERE ty) AS pos, count(*) AS n FROM nb_{m} GROUP BY qk) v ON r.qk = v.qk)"""]
+    return [*ctes, f"xy_{m} AS (SELECT 0 AS g, n_orders AS x, label AS y FROM fit_{m})", *_newton_ctes(f"xy_{m}", f"th_{m}"),
+            f"fp_{m} AS (SELECT qk AS entity_id, cohort, label, {PROBA_SQL} > 0.5 AS pred FROM rows_{m}, th_{m})"]
+
+
+FINAL_BASE = [fx.ENTITY_SQL, TRAIN_SQL, _holdout_cte(FINAL_SEED, FINAL_TEST)]
+REPORT_CTES = [
+    PER_CLASS_SQL.strip().rstrip(","),
+    """wprf AS (SELECT cohort, sum(support * precision) / sum(support) AS precision,
+                  sum(support * recall) / sum(support) AS recall, sum(support * f1) / sum(support) AS f1
+           FROM pc GROUP BY cohort)""",
+    "acc AS (SELECT cohort, avg(CAST(label = pred AS DOUBLE)) AS accuracy, count(*) AS n FROM preds GROUP BY cohort)"]
+REPORT_BODY = """
+SELECT a.cohort, round(accuracy, 6) AS accuracy, round(1 - accuracy, 6) AS error, n, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1 FROM acc a JOIN wprf w ON a.cohort = w.cohort"""
+CONFUSION_BODY = """
+SELECT g.cohort, g.actual, g.predicted, coalesce(c.n, 0) AS count FROM (
+  SELECT a.cohort, a.cls AS actual, b.cls AS predicted FROM
+    (SELECT DISTINCT cohort, label AS cls FROM preds UNION SELECT DISTINCT cohort, pred FROM preds) a JOIN
+    (SELECT DISTINCT cohort, label AS cls FROM preds UNION SELECT DISTINCT cohort, pred FROM preds) b ON a.cohort = b.cohort) g
+LEFT JOIN (SELECT cohort, label, pred, count(*) AS n FROM preds GROUP BY ALL) c
+  ON g.cohort = c.cohort AND g.actual = c.label AND g.predicted = c.pred"""
+
+
+def _report(preds):
+    from rarelab.operators import metrics
+    from rarelab.session import cut_lineage
+    preds = cut_lineage(preds)
+    return rounded(metrics.accuracy(preds, by="cohort").join(metrics.weighted_prf(preds, by="cohort"), "cohort"))
+
+
+def _final_queries(model: str) -> None:
+    preds = [*FINAL_BASE, *_final_ctes(model), f"preds AS (SELECT * FROM fp_{model})"]
+
+    @register(f"final_{model}_metrics", with_ctes(*preds, *REPORT_CTES, body=REPORT_BODY))
+    def metrics_query(spark, sf_dir):
+        return _report(_final_predictions(spark, sf_dir, model))
+
+    @register(f"final_{model}_confusion", with_ctes(*preds, body=CONFUSION_BODY))
+    def confusion_query(spark, sf_dir):
+        from rarelab.operators.metrics import confusion_counts
+        return confusion_counts(_final_predictions(spark, sf_dir, model), by="cohort")
+
+
+for _model in FINAL:
+    _final_queries(_model)
+
+
+def _both_final(spark, sf_dir):
+    cohort = F.col("cohort") != "test"
+    knn = _final_predictions(spark, sf_dir, "knn").where(cohort).select(
+        "entity_id", F.col("cohort").cast("int").alias("generation"), "label", F.col("pred").alias("knn_pred"))
+    lr = _final_predictions(spark, sf_dir, "logistic").where(cohort).select("entity_id", F.col("pred").alias("logit_pred"))
     return knn.join(lr, "entity_id")
 
 
-@register("logistic_cv")
-def q_logistic_cv(spark, sf_dir):
-    from rarelab.plans.crossval import cv_logistic, score_summary, split_scores
-    preds = cv_logistic(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"])
-    return score_summary(split_scores(preds))
+BOTH_CTES = [*FINAL_BASE, *_final_ctes("knn"), *_final_ctes("logistic"), """
+both_fits AS (SELECT k.entity_id, CAST(k.cohort AS INTEGER) AS generation, k.label, k.pred AS knn_pred, l.pred AS logit_pred
+              FROM fp_knn k JOIN fp_logistic l ON k.entity_id = l.entity_id WHERE k.cohort <> 'test' AND l.cohort <> 'test')"""]
 
 
-@register("logistic_smote_cv")
-def q_logistic_smote_cv(spark, sf_dir):
-    from rarelab.plans.crossval import cv_logistic, resampler, score_summary, split_scores
-    step = resampler(["n_orders"], 0.1, 5, 0.5, SMOTE_SEED)
-    preds = cv_logistic(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], train_transform=step)
-    return score_summary(split_scores(preds))
+@register("resampled_fit", with_ctes(*BOTH_CTES, body="SELECT * FROM both_fits"))
+def q_resampled_fit(spark, sf_dir):
+    """H7: the two final models' predictions on the later cohorts side by side."""
+    return _both_final(spark, sf_dir)
 
 
-@register("knn_logit_agreement")
+@register("knn_logit_agreement", with_ctes(*BOTH_CTES, body="""
+SELECT generation AS cohort, knn_pred, logit_pred, count(*) AS count FROM both_fits GROUP BY ALL"""))
 def q_knn_logit_agreement(spark, sf_dir):
     """Do the resampled kNN and logistic models predict the same on the
     later cohorts?  Joint counts per cohort."""
-    fits = q_resampled_fit(spark, sf_dir)
-    return fits.groupBy(F.col("generation").alias("cohort"), "knn_pred", "logit_pred").agg(
+    return _both_final(spark, sf_dir).groupBy(F.col("generation").alias("cohort"), "knn_pred", "logit_pred").agg(
         F.count(F.lit(1)).alias("count"))
 
 
+LOGIT_CV = {"logistic_cv": None, "logistic_smote_cv": (0.1, 5, 0.5), "logistic_balanced_cv": (None, 5, None)}
+
+
+def _logit_cv_query(name: str, resample: tuple | None) -> None:
+    @register(name, with_ctes(*CV_BASE, *_logit_cv_ctes("a", resample), body=f"SELECT {CV_COLS} FROM summary_a"))
+    def q(spark, sf_dir):
+        from rarelab.plans.crossval import cv_logistic, resampler, score_summary, split_scores
+        step = resampler(["n_orders"], *resample, SMOTE_SEED) if resample else None
+        return rounded(score_summary(split_scores(cv_logistic(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], train_transform=step))))
+
+
+for _name, _resample in LOGIT_CV.items():
+    _logit_cv_query(_name, _resample)
+
+
 # J3-J5 for logistic regression (batched Newton over every config x split).
 # The model is an argument, so the under-sampling sweep really fits the
-# logistic model.  Iterative fits: rows-only checks.
+# logistic model.  Over-sampling keeps its default k = 5 here.
 LOGISTIC_SWEEPS = {
     "logistic_sweep_smote_k": [dict(param=k, over_ratio=0.1, over_k=k, under_ratio=0.5) for k in range(1, 8)],
-    "logistic_sweep_over_ratio": [dict(param=r, over_ratio=r, over_k=6, under_ratio=0.5)
+    "logistic_sweep_over_ratio": [dict(param=r, over_ratio=r, over_k=5, under_ratio=0.5)
                                   for r in (0.1, 0.2, 0.3, 0.4, 0.5)],
-    "logistic_sweep_under_ratio": [dict(param=r, over_ratio=0.1, over_k=6, under_ratio=r)
+    "logistic_sweep_under_ratio": [dict(param=r, over_ratio=0.1, over_k=5, under_ratio=r)
                                    for r in (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)],
 }
 
 
+def _logit_sweep_sql(configs) -> str:
+    ctes, bodies = list(CV_BASE), []
+    for i, c in enumerate(configs):
+        ctes += _logit_cv_ctes(f"c{i}", (c["over_ratio"], c["over_k"], c["under_ratio"]))
+        bodies.append(f"SELECT CAST({float(c['param'])} AS DOUBLE) AS param, {SUMMARY_COLS} FROM summary_c{i}")
+    return with_ctes(*ctes, body="\nUNION ALL\n".join(bodies))
+
+
 def _logistic_sweep_query(name):
     def q(spark, sf_dir):
         from rarelab.plans.crossval import sweep_resampled
@@ -587,5 +739,5 @@ def _logistic_sweep_query(name):
     return q
 
 
-for _name in LOGISTIC_SWEEPS:
-    register(_name)(_logistic_sweep_query(_name))
+for _name, _configs in LOGISTIC_SWEEPS.items():
+    register(_name, _logit_sweep_sql(_configs))(_logistic_sweep_query(_name))

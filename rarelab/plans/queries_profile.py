@@ -52,8 +52,9 @@ def q_entity_profile(spark, sf_dir):
 
 # ============================================================ shared helpers
 # The columns profiled and correlated (spend defines the label,
-# so it is never a feature).
+# so it is never a feature).  The key and the cohort are profiled, but no model sees them.
 CORR_COLS = ["entity_id", "generation", "c_acctbal", "n_orders", "quantity", "n_lines", "wins", "label"]
+MODEL_COLS = ["c_acctbal", "n_orders", "quantity", "n_lines", "wins", "label"]
 FACET_FEATURES = ["n_orders", "wins", "c_acctbal", "quantity"]
 CATEGORY_1_LEVELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 CATEGORY_2_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -72,12 +73,12 @@ def _train_cte():
 
 
 # ---------------------------------------------------------------------- C1
-@register("contest_winner_lookup", with_ctes(fx.CONTESTS_SQL, body="""
+@register("contest_winner_lookup", """
 SELECT o_orderkey, o_custkey AS winner, c_name AS winner_name
-FROM contests LEFT JOIN customer ON o_custkey = c_custkey"""))
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 def q_contest_winner_lookup(spark, sf_dir):
     from rarelab.operators.features import lookup
-    c = fx.contests(spark, sf_dir).select("o_orderkey", F.col("o_custkey").alias("winner"))
+    c = read_table(spark, sf_dir, "orders", "o_orderkey", F.col("o_custkey").alias("winner"))
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_name")
     return lookup(c, cust, "winner", "c_custkey", {"c_name": "winner_name"})
 
@@ -104,39 +105,39 @@ def q_join_reconciliation(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------- D3
-@register("key_profile", with_ctes(fx.CONTESTS_SQL, body="""
+@register("key_profile", """
 SELECT 'o_orderkey' AS "column", min(o_orderkey) AS min_value, max(o_orderkey) AS max_value,
        count(o_orderkey) AS n_values, count(DISTINCT o_orderkey) AS n_distinct,
-       count(o_orderkey) = count(DISTINCT o_orderkey) AS is_unique FROM contests
+       count(o_orderkey) = count(DISTINCT o_orderkey) AS is_unique FROM orders
 UNION ALL
 SELECT 'o_custkey', min(o_custkey), max(o_custkey), count(o_custkey), count(DISTINCT o_custkey),
-       count(o_custkey) = count(DISTINCT o_custkey) FROM contests"""))
+       count(o_custkey) = count(DISTINCT o_custkey) FROM orders""")
 def q_key_profile(spark, sf_dir):
     from rarelab.operators.profile import key_profile
-    return key_profile(fx.contests(spark, sf_dir), "o_orderkey", "o_custkey")
+    return key_profile(read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), "o_orderkey", "o_custkey")
 
 
 # ---------------------------------------------------------------------- D4
-@register("numeric_describe", with_ctes(fx.CONTESTS_SQL, body="""
+@register("numeric_describe", """
 SELECT 'o_custkey' AS "column", count(o_custkey) AS count, round(avg(o_custkey), 6) AS mean,
        round(stddev_samp(o_custkey), 6) AS std, CAST(min(o_custkey) AS DOUBLE) AS min,
        round(quantile_cont(CAST(o_custkey AS DOUBLE), 0.25), 6) AS p25,
        round(quantile_cont(CAST(o_custkey AS DOUBLE), 0.5), 6) AS p50,
        round(quantile_cont(CAST(o_custkey AS DOUBLE), 0.75), 6) AS p75,
        CAST(max(o_custkey) AS DOUBLE) AS max
-FROM contests"""))
+FROM orders""")
 def q_numeric_describe(spark, sf_dir):
     from rarelab.operators.profile import describe
-    return rounded(describe(fx.contests(spark, sf_dir), "o_custkey"))
+    return rounded(describe(read_table(spark, sf_dir, "orders", "o_custkey"), "o_custkey"))
 
 
 # ---------------------------------------------------------------------- D1
-@register("winner_frequency", with_ctes(fx.CONTESTS_SQL, body="""
-SELECT o_custkey, count(*) AS count FROM contests WHERE o_custkey IS NOT NULL
-GROUP BY o_custkey ORDER BY count DESC, o_custkey"""))
+@register("winner_frequency", """
+SELECT o_custkey, count(*) AS count FROM orders WHERE o_custkey IS NOT NULL
+GROUP BY o_custkey ORDER BY count DESC, o_custkey""")
 def q_winner_frequency(spark, sf_dir):
     from rarelab.operators.profile import frequency
-    return frequency(fx.contests(spark, sf_dir), "o_custkey")
+    return frequency(read_table(spark, sf_dir, "orders", "o_custkey"), "o_custkey")
 
 
 # ---------------------------------------------------------------------- D2
@@ -182,44 +183,45 @@ def _corr_sql_long(cols):
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             cells.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, r{min(i, j)}_{max(i, j)} AS r FROM agg")
-    return (f"agg AS (SELECT {', '.join(aggs)} FROM entity_features),\n"
+    return (f"agg AS (SELECT {', '.join(aggs)} FROM train),\n"
             f"long AS ({' UNION ALL '.join(cells)})")
 
 
 CORR_LONG_CTE = _corr_sql_long(CORR_COLS)
+MODEL_LONG_CTE = _corr_sql_long(MODEL_COLS)
 
 
-@register("correlation_matrix", with_ctes(_ef_cte(), CORR_LONG_CTE, body="""
+@register("correlation_matrix", with_ctes(_ef_cte(), _train_cte(), CORR_LONG_CTE, body="""
 SELECT feature_a, feature_b, round(r, 6) AS r FROM long"""))
 def q_correlation_matrix(spark, sf_dir):
     from rarelab.operators.profile import correlation_long
-    return rounded(correlation_long(fx.entity_features(spark, sf_dir), CORR_COLS))
+    return rounded(correlation_long(_train(fx.entity_features(spark, sf_dir)), CORR_COLS))
 
 
-@register("label_correlation", with_ctes(_ef_cte(), CORR_LONG_CTE, body="""
+@register("label_correlation", with_ctes(_ef_cte(), _train_cte(), CORR_LONG_CTE, body="""
 SELECT feature_a AS feature, round(r, 6) AS r,
        CAST(row_number() OVER (ORDER BY r DESC NULLS LAST, feature_a) AS INTEGER) AS rank
 FROM long WHERE feature_b = 'label'"""))
 def q_label_correlation(spark, sf_dir):
     from rarelab.operators.profile import label_correlation
-    return rounded(label_correlation(fx.entity_features(spark, sf_dir), CORR_COLS, "label"))
+    return rounded(label_correlation(_train(fx.entity_features(spark, sf_dir)), CORR_COLS, "label"))
 
 
-@register("select_features", with_ctes(_ef_cte(), CORR_LONG_CTE, body="""
+@register("select_features", with_ctes(_ef_cte(), _train_cte(), MODEL_LONG_CTE, body="""
 SELECT feature, round(r, 6) AS r, CAST(rank AS INTEGER) AS rank FROM (
   SELECT feature_a AS feature, r, row_number() OVER (ORDER BY r DESC NULLS LAST, feature_a) AS rank
   FROM long WHERE feature_b = 'label') WHERE rank BETWEEN 2 AND 7"""))
 def q_select_features(spark, sf_dir):
     from rarelab.operators.profile import select_top_correlated
-    return rounded(select_top_correlated(fx.entity_features(spark, sf_dir), CORR_COLS, "label", 6))
+    return rounded(select_top_correlated(_train(fx.entity_features(spark, sf_dir)), MODEL_COLS, "label", 6))
 
 
-@register("correlation_wide", with_ctes(_ef_cte(), CORR_LONG_CTE, body="SELECT feature_a AS feature, " + ", ".join(
+@register("correlation_wide", with_ctes(_ef_cte(), _train_cte(), CORR_LONG_CTE, body="SELECT feature_a AS feature, " + ", ".join(
     f"round(max(CASE WHEN feature_b = '{b}' THEN r END), 6) AS {b}" for b in CORR_COLS)
     + " FROM long GROUP BY feature_a"))
 def q_correlation_wide(spark, sf_dir):
     from rarelab.operators.profile import correlation_wide
-    return rounded(correlation_wide(fx.entity_features(spark, sf_dir), CORR_COLS))
+    return rounded(correlation_wide(_train(fx.entity_features(spark, sf_dir)), CORR_COLS))
 
 
 # ---------------------------------------------------------------------- D9
@@ -306,8 +308,7 @@ def _one_hot_sql():
     cols = []
     for c, levels in (("category_1", CATEGORY_1_LEVELS), ("category_2", CATEGORY_2_LEVELS)):
         for lv in levels:
-            safe = "".join(ch if ch.isalnum() else "_" for ch in lv)
-            cols.append(f"coalesce(CAST({c} = '{lv}' AS INTEGER), 0) AS \"{c}_{safe}\"")
+            cols.append(f"coalesce(CAST({c} = '{lv}' AS INTEGER), 0) AS \"{c}_{lv}\"")
     return "SELECT entity_id, " + ", ".join(cols) + " FROM entity_features"
 
 
@@ -342,10 +343,10 @@ def _feature_sets_sql():
     D8 ranking - all derived in SQL as on the Spark side."""
     dummies = """dummy AS (
   SELECT name, row_number() OVER (ORDER BY src, lv) AS pos FROM (
-    SELECT DISTINCT 1 AS src, category_1 AS lv, 'category_1_' || regexp_replace(category_1, '[^A-Za-z0-9]', '_', 'g') AS name
+    SELECT DISTINCT 1 AS src, category_1 AS lv, 'category_1_' || category_1 AS name
     FROM entity_features WHERE category_1 IS NOT NULL
     UNION ALL
-    SELECT DISTINCT 2, category_2, 'category_2_' || regexp_replace(category_2, '[^A-Za-z0-9]', '_', 'g')
+    SELECT DISTINCT 2, category_2, 'category_2_' || category_2
     FROM entity_features WHERE category_2 IS NOT NULL))"""
     ranked = """ranked AS (SELECT feature_a AS feature, row_number() OVER (ORDER BY r DESC NULLS LAST, feature_a) AS rank
                 FROM long WHERE feature_b = 'label')"""
@@ -358,20 +359,20 @@ UNION ALL SELECT 'total_dummies', 1 + pos, name FROM dummy
 UNION ALL SELECT 'top_correlated', rank - 1, feature FROM ranked WHERE rank BETWEEN 2 AND 7
 UNION ALL SELECT 'total_wins', 1, 'n_orders' UNION ALL SELECT 'total_wins', 2, 'wins'
 UNION ALL SELECT 'total_only', 1, 'n_orders'"""
-    return with_ctes(_ef_cte(), CORR_LONG_CTE, dummies, ranked,
+    return with_ctes(_ef_cte(), _train_cte(), MODEL_LONG_CTE, dummies, ranked,
                      body=f"SELECT feature_set, CAST(position AS INTEGER) AS position, feature FROM ({body})")
 
 
 @register("feature_sets", _feature_sets_sql())
 def q_feature_sets(spark, sf_dir):
-    from rarelab.operators.features import category_levels, feature_sets
+    from rarelab.operators.features import category_levels, dummy_name, feature_sets
     from rarelab.operators.profile import select_top_correlated
     ef = fx.entity_features(spark, sf_dir)
     dummies = []
     for c in fx.CATEGORICAL:
-        dummies += [f"{c}_" + "".join(ch if ch.isalnum() else "_" for ch in str(lv)) for lv in category_levels(ef, c)]
+        dummies += [dummy_name(c, lv) for lv in category_levels(ef, c)]
     # the ranking has one row per profiled column: a bounded collect
-    top = [r["feature"] for r in select_top_correlated(ef, CORR_COLS, "label", 6).orderBy("rank").collect()]
+    top = [r["feature"] for r in select_top_correlated(_train(ef), MODEL_COLS, "label", 6).orderBy("rank").collect()]
     sets = feature_sets(list(fx.NUMERIC_STATS), fx.TOTAL, "wins", dummies, top)
     rows = [(name, i + 1, f) for name, cols in sets.items() for i, f in enumerate(cols)]
     return spark.createDataFrame(rows, "feature_set string, position int, feature string")

@@ -60,7 +60,7 @@ def test_running_sum_many_buckets_with_hot_value(spark):
 def test_exact_percentile_heavy_ties(spark, monkeypatch):
     import numpy as np
     import rarelab.functions.quantile as qm
-    monkeypatch.setattr(qm, "MAX_FETCH", 50)  # force the per-value path
+    monkeypatch.setattr(qm, "FETCH_ROWS", 50)  # force the per-value path
     vals = [0.0] * 4000 + [float(x) for x in np.random.default_rng(1).integers(1, 500, 2000)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     for p in (0.1, 0.5, 0.66, 0.67, 0.92):
