@@ -117,7 +117,35 @@ def fit_scaler(df: DataFrame, cols: list[str]) -> ScalerModel:
     return ScalerModel({c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols})
 
 
+def scale(df: DataFrame, cols: list[str], train: Column, fit_scope: str = "train", cohort: str | None = None) -> DataFrame:
+    """F2, F3 with an explicit fit: ``train`` (statistics of the training rows
+    for all rows), ``all`` (of all rows), or ``cohort`` (training rows by their
+    own statistics, and every later cohort by its own)."""
+    if fit_scope == "train":
+        return fit_scaler(df.where(train), cols).transform(df)
+    if fit_scope == "all":
+        return fit_scaler(df, cols).transform(df)
+    if fit_scope != "cohort" or cohort is None:
+        raise ValueError("fit_scope is train, all, or cohort with a cohort column")
+    group = F.when(train, F.lit(None)).otherwise(F.col(cohort).cast("string"))
+    stats = df.groupBy(group.alias("__g")).agg(*[e for c in cols for e in (
+        F.avg(F.col(c).cast("double")).alias(f"__m_{c}"), F.stddev_pop(F.col(c).cast("double")).alias(f"__s_{c}"))])
+    j = df.withColumn("__own", group).join(stats, F.col("__own").eqNullSafe(F.col("__g")))
+    scaled = {c: (F.col(c).cast("double") - F.col(f"__m_{c}")) / F.when(F.col(f"__s_{c}") > 0, F.col(f"__s_{c}")).otherwise(1.0)
+              for c in cols}
+    return j.withColumns(scaled).select(*df.columns)
+
+
 # ----------------------------------------------------- named feature sets
+def model_matrix(df: DataFrame, stats: list[str], levels: dict[str, list], ids: list[str]) -> DataFrame:
+    """F4 as data: the id columns, the numeric stats as doubles and every dummy
+    as ``<column>_<number of the level>``, 0.0 or 1.0."""
+    coded = one_hot(df.select(*ids, *stats, *levels), list(levels), levels)
+    dummies = [(dummy_name(c, lv), f"{c}_{i}") for c in levels for i, lv in enumerate(levels[c])]
+    return coded.select(*ids, *[F.col(c).cast("double").alias(c) for c in stats],
+                        *[F.col(f"`{a}`").cast("double").alias(b) for a, b in dummies])
+
+
 def feature_sets(stats: list[str], total: str, wins: str, dummies: list[str],
                  top_correlated: list[str]) -> dict[str, list[str]]:
     """the study's named feature sets.

@@ -50,4 +50,4 @@ def with_ctes(*ctes: str, body: str) -> str:
 
 
 # Importing the query modules fills the registries.
-from rarelab.plans import queries_eval, queries_model, queries_profile  # noqa: E402,F401
+from rarelab.plans import queries_eval, queries_model, queries_profile, queries_study  # noqa: E402,F401
