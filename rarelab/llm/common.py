@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rarelab.session import ensure_checkpoint_dir, expose_package
 
 BATCH_ROWS = 1000  # rows per Arrow batch sent to Python
-PIECE_BYTES = 8 << 20  # bytes of input that a kernel works on at once
+PIECE_BYTES = 4 << 20  # bytes of input that a kernel works on at once
 
 #: Python and SQL spelling of the white space that separates words.
 SPACE_CLASS = r"[\x20\x09-\x0D]"

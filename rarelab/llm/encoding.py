@@ -23,6 +23,7 @@ from rarelab.llm.common import word_codes
 
 WORDS_AT_ONCE = 4096
 WORDS_KEPT = 400_000
+ENCODE_BYTES = 8 << 20  # text encoded at once: the more, the more often a word occurs in it
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -36,7 +36,9 @@ from rarelab.llm.encoding import ranges
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 UNIGRAM, BPE = 1, 2
-WORDS_KEPT = 400_000
+WORDS_KEPT = 100_000  # words whose ids a worker keeps
+WORDS_AT_ONCE = 8192
+ENCODE_BYTES = 2 << 20  # text encoded at once
 
 
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -181,12 +183,18 @@ class Codec:
 
     def _fresh(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids in turn, how many each text has, and whether the two libraries agree on it."""
-        ours = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-        theirs = self.library.encode(texts, num_threads=1) if texts else []
-        same = np.fromiter((a == b for a, b in zip(ours, theirs, strict=True)), dtype=bool, count=len(texts))
-        used = [a if ok else b for a, b, ok in zip(ours, theirs, same, strict=True)]
-        count = np.fromiter(map(len, used), dtype=np.int64, count=len(texts))
-        return np.fromiter((i for x in used for i in x), dtype=np.int32, count=int(count.sum())), count, same
+        ids, counts, agree = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+        for at in range(0, len(texts), WORDS_AT_ONCE):
+            part = texts[at:at + WORDS_AT_ONCE]
+            ours = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            theirs = self.library.encode(part, num_threads=1)
+            same = [a == b for a, b in zip(ours, theirs, strict=True)]
+            used = [a if ok else b for a, b, ok in zip(ours, theirs, same, strict=True)]
+            count = np.fromiter(map(len, used), dtype=np.int64, count=len(part))
+            ids.append(np.fromiter((i for x in used for i in x), dtype=np.int32, count=int(count.sum())))
+            counts.append(count)
+            agree.append(np.asarray(same, dtype=bool))
+        return np.concatenate(ids), np.concatenate(counts), np.concatenate(agree)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(ids, offsets, parity)`` of whole texts; null: no ids.  ``parity``: the two libraries agree on
@@ -258,7 +266,7 @@ def codec(data: bytes) -> Codec:
 
 def _encoder(shared, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, ENCODE_BYTES):
             c = codec(shared.value)
             texts = column(piece, "text")
             ids, offsets, parity = c.encode(texts)

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rarelab.llm.common import column, map_arrow, pieces
-from rarelab.llm.encoding import encoder
+from rarelab.llm.encoding import ENCODE_BYTES, encoder
 from rarelab.operators.ordered import running_sum
 
 
 def _counter(tokenizer: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, ENCODE_BYTES):
             length, n = np.unique(encoder(tokenizer).lengths(column(piece, "text")), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(length.astype(np.int64)), pa.array(n.astype(np.int64))],
                                              ["length", "n_docs"])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rarelab.llm.common import column, map_arrow, pieces, shared_path
-from rarelab.llm.encoding import encoder
+from rarelab.llm.encoding import ENCODE_BYTES, encoder
 from rarelab.session import cut_lineage
 
 NO_ID = -(1 << 63)
@@ -50,7 +50,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         kind = _kind(words.vocab_size, end_id)
         store, at = fs.FileSystem.from_uri(folder)
         row, out = 0, None
-        for piece in pieces(batches):
+        for piece in pieces(batches, ENCODE_BYTES):
             out = out or store.open_output_stream(f"{at}/{name}.bin")
             ids, offsets = words.encode(column(piece, "text"))
             n = len(offsets) - 1

@@ -91,10 +91,12 @@ def _trainer(rule: Ftrl):
                 n[x] = ni + g * g
         if n[-1] == 0:
             return
-        excess = np.abs(z) - l1
+        # a stretch at a time: a copy of all slots would double the task's memory
+        live = np.concatenate([at + np.flatnonzero(np.abs(z[at:at + (1 << 20)]) > l1) for at in range(0, 1 << BITS, 1 << 20)])
+        live = np.append(live[live < size - 1], size - 1)
+        excess = np.abs(z[live]) - l1
         excess[-1] = abs(z[-1])
-        live = np.flatnonzero((excess > 0) | (np.arange(size) == size - 1))
-        w = -np.sign(z[live]) * excess[live] / ((rule.beta + np.sqrt(n[live])) / rule.alpha + rule.l2)
+        w = -np.sign(z[live]) * excess / ((rule.beta + np.sqrt(n[live])) / rule.alpha + rule.l2)
         slot = np.where(live == size - 1, BIAS, live)
         for at in range(0, len(slot), 10_000):
             yield pa.RecordBatch.from_arrays([pa.array(slot[at:at + 10_000], pa.int64()),
@@ -134,36 +136,41 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int
     return [(r["slot"], r["weight"]) for r in model.collect()]
 
 
-def _scores(weights: np.ndarray, bias: float, texts: pa.Array) -> np.ndarray:
-    """Probability of label 1 of whole texts, each distinct slot counted once."""
-    doc, slot = features(texts)
-    live = np.flatnonzero(weights[slot])
-    pair = np.unique((doc[live].astype(np.int64) << BITS) | slot[live])
-    logit = bias + np.bincount(pair >> BITS, weights=weights[pair & ((1 << BITS) - 1)], minlength=len(texts))
-    return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
+class _Weights:
+    """The model of a task: the slots in order, and a flag for every slot there is."""
 
+    def __init__(self, model):
+        slot, weight = model.value
+        self.bias = float(weight[slot == BIAS].sum())
+        order = np.argsort(slot[slot != BIAS])
+        self.slots, self.weights = slot[slot != BIAS][order], weight[slot != BIAS][order]
+        self.known = np.zeros(1 << BITS, bool)
+        self.known[self.slots] = True
 
-def _dense(model) -> tuple[np.ndarray, float]:
-    slot, weight = model.value
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[slot[slot != BIAS]] = weight[slot != BIAS]
-    return weights, float(weight[slot == BIAS].sum())
+    def score(self, texts: pa.Array) -> np.ndarray:
+        """Probability of label 1 of whole texts, each distinct slot counted once."""
+        doc, slot = features(texts)
+        live = np.flatnonzero(self.known[slot])
+        pair = np.unique((doc[live].astype(np.int64) << BITS) | slot[live])
+        weight = self.weights[np.searchsorted(self.slots, pair & ((1 << BITS) - 1))]
+        logit = self.bias + np.bincount(pair >> BITS, weights=weight, minlength=len(texts))
+        return 1 / (1 + np.exp(-np.clip(logit, -700, 700)))
 
 
 def _scorer(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = _dense(model)
+        weights = _Weights(model)
         for piece in pieces(batches):
-            yield pa.RecordBatch.from_arrays([column(piece, "doc_id"), pa.array(_scores(weights, bias, column(piece, "text")))],
+            yield pa.RecordBatch.from_arrays([column(piece, "doc_id"), pa.array(weights.score(column(piece, "text")))],
                                              ["doc_id", "score"])
     return run
 
 
 def _filter(model, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = _dense(model)
+        weights = _Weights(model)
         for piece in pieces(batches):
-            clean = _scores(weights, bias, column(piece, text_col)) < 0.5
+            clean = weights.score(column(piece, text_col)) < 0.5
             yield from piece.filter(pa.array(clean)).to_batches()
     return run
 
