@@ -88,7 +88,7 @@ def logit_inference(df: DataFrame, features: list[str], label: str = "label",
     glr = GeneralizedLinearRegression(family="binomial", link="logit", fitIntercept=fit_intercept,
                                       regParam=0.0, maxIter=100, tol=1e-10,
                                       featuresCol="__features", labelCol="__y")
-    data = _xy(df, features, label)
+    data = _xy(cut_lineage(df.select(*features, label)), features, label)  # read once per iteration
     m = glr.fit(data)
     s = m.summary
     terms = list(features) + (["intercept"] if fit_intercept else [])
@@ -120,8 +120,10 @@ def fit_logistic_groups(df: DataFrame, features: list[str], label: str, group: l
     """H4 for every group: ``(group..., intercept, <feature>...)``.
 
     Objective per group: ``0.5 |w|^2 + C sum(softplus(eta) - y eta)``.  The
-    coefficient table (one row per group) is broadcast into each iteration's
-    aggregate; the data is persisted across iterations."""
+    coefficient table (one row per group, held by the driver: the groups are
+    the splits and configurations of a study) joins each iteration's
+    aggregate, broadcast by Spark where its size allows; the data is written
+    down once.  A fit that has not converged after ``max_iter`` steps raises."""
     spark = df.sparkSession
     d = len(features)
     data = df.select(*group, *[F.col(f).cast("double").alias(f"__x{j}") for j, f in enumerate(features)],
@@ -134,7 +136,7 @@ def fit_logistic_groups(df: DataFrame, features: list[str], label: str, group: l
     step = {k: np.zeros(d + 1) for k in keys}
     active = set(keys)
     for _ in range(max_iter):
-        coef = F.broadcast(_coef_frame(spark, group, gtypes, theta, d))
+        coef = _coef_frame(spark, group, gtypes, theta, d)
         j = data.join(coef, group)
         eta = F.col("__c0")
         for i in range(d):
@@ -187,10 +189,9 @@ def fit_logistic_groups(df: DataFrame, features: list[str], label: str, group: l
 
 def predict_groups(coefs: DataFrame, df: DataFrame, features: list[str], group: list[str],
                    threshold: float = 0.5) -> DataFrame:
-    """Score rows with their group's coefficients (one row per group:
-    broadcast)."""
+    """Score rows with their group's coefficients (one row per group)."""
     c = coefs.select(*group, F.col("intercept").alias("__b"), *[F.col(f).alias(f"__w_{f}") for f in features])
-    j = df.join(F.broadcast(c), group)
+    j = df.join(c, group)
     eta = F.col("__b")
     for f in features:
         eta = eta + F.col(f"__w_{f}") * F.col(f).cast("double")

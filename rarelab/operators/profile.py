@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rarelab.functions.quantile import exact_percentiles
+from rarelab.session import cut_lineage
 
 
 def frequency(df: DataFrame, col: str, name: str = "count") -> DataFrame:
@@ -22,8 +23,8 @@ def frequency(df: DataFrame, col: str, name: str = "count") -> DataFrame:
 def class_share(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     """Relative frequency, nulls excluded.
 
-    Without ``by`` the total is one scalar aggregate, so the grouped result is
-    never funnelled through a global window.  With ``by`` the shares are per
+    Without ``by`` the total is one sum over the written counts, so the rows are
+    scanned once and never funnelled through a global window.  With ``by`` the shares are per
     group: the grouped table has (groups x classes) rows and is windowed by
     group."""
     keyed = df.where(F.col(col).isNotNull())
@@ -31,7 +32,8 @@ def class_share(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
     if by:
         return counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy(by)))
-    total = keyed.count()
+    counts = cut_lineage(counts)  # one row per class: the total is read off it, not off the rows again
+    total = counts.agg(F.sum("count")).first()[0] or 0
     return counts.withColumn("share", F.try_divide(F.col("count"), F.lit(float(total))))
 
 
@@ -133,8 +135,8 @@ def correlation_wide(df: DataFrame, cols: list[str]) -> DataFrame:
 def class_histogram(df: DataFrame, value: str, cls: str, bins: int = 10) -> DataFrame:
     """Per class, equal-width histogram over that class's own range.
 
-    The per-class range table holds one row per class (bounded by the class
-    count) and is broadcast; every bin appears, empty ones with 0.  A constant
+    The range table holds one row per class; Spark broadcasts it where its
+    measured size allows.  Every bin appears, empty ones with 0.  A constant
     class is centred in a unit range, as numpy does."""
     x = F.col(value).cast("double")
     rng = (df.where(x.isNotNull()).groupBy(cls)
@@ -144,7 +146,7 @@ def class_histogram(df: DataFrame, value: str, cls: str, bins: int = 10) -> Data
                    F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi")))
     scale = F.lit(float(bins)) / (F.col("hi") - F.col("lo"))
     binned = (df.where(x.isNotNull()).select(cls, x.alias("x"))
-              .join(F.broadcast(rng), cls)
+              .join(rng, cls)
               .select(cls, F.least(F.floor((F.col("x") - F.col("lo")) * scale).cast("int"),
                                    F.lit(bins - 1)).alias("bin")))
     counts = binned.groupBy(cls, "bin").agg(F.count(F.lit(1)).alias("count"))

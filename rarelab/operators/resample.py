@@ -35,8 +35,12 @@ def _split_list(split):
 
 
 def _on_split(df: DataFrame, table: DataFrame, split: list[str]) -> DataFrame:
-    """Per-split parameters beside the rows of their split; without split columns the table is one row."""
-    return df.join(table, split) if split else df.crossJoin(F.broadcast(table))
+    """Per-split parameters beside the rows of their split.  Without split
+    columns the table has one row for each configuration that the caller lists."""
+    if split:
+        return df.join(table, split)
+    rows = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in table.schema]) for r in table.collect()]
+    return df.select("*", F.inline(F.array(*rows)))
 
 
 def class_counts(df: DataFrame, label: str, split: list[str], key: str | None = None) -> tuple[DataFrame, object, object]:
@@ -177,12 +181,12 @@ def resample_grid(df: DataFrame, features: list[str], configs: list[dict], label
     df = cut_lineage(df.select(*split, key, label, *[F.col(f).cast("double").alias(f) for f in features]))
     counts, mino, maj = class_counts(df, label, split, key)
     max_k = max(c.get("over_k", 5) for c in configs)
-    spark = df.sparkSession
-    table = spark.createDataFrame(
-        [(i, c.get("over_ratio"), int(c.get("over_k", 5)), c.get("under_ratio")) for i, c in enumerate(configs)],
-        f"{config_col} int, __over double, __k bigint, __under double")  # the caller's list of configurations
+    listed = F.array(*[F.struct(  # the caller's list of configurations
+        F.lit(i).alias(config_col), F.lit(c.get("over_ratio")).cast("double").alias("__over"),
+        F.lit(int(c.get("over_k", 5))).cast("bigint").alias("__k"), F.lit(c.get("under_ratio")).cast("double").alias("__under"))
+        for i, c in enumerate(configs)])
     target = F.coalesce(F.col("n_maj") * F.col("__over"), F.col("n_maj").cast("double"))
-    plan = counts.crossJoin(F.broadcast(table)).withColumn("n_new", (target - F.col("n_min")).cast("bigint"))
+    plan = counts.select("*", F.inline(listed)).withColumn("n_new", (target - F.col("n_min")).cast("bigint"))
     plan = cut_lineage(plan.withColumn("__keep", F.coalesce(
         ((F.col("n_min") + F.col("n_new")) / F.col("__under")).cast("bigint"), F.col("n_maj"))))
     gcols = [config_col] + split

@@ -176,5 +176,5 @@ def sweep_resampled(folds: DataFrame, n_splits: int, features: list[str], config
     summary = per_split.groupBy("config").agg(
         F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"),
         F.avg("roc_auc").alias("mean_roc_auc"), F.stddev_pop("roc_auc").alias("std_roc_auc"))
-    return summary.join(F.broadcast(cfg), "config").select(
+    return summary.join(cfg, "config").select(
         "param", "mean_accuracy", "std_accuracy", "mean_roc_auc", "std_roc_auc")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rarelab.functions.quantile import exact_percentile
 from rarelab.session import cut_lineage
-from rarelab.sources.tables import read_table
+from rarelab.sources.tables import read_table, table_path
 
 # Fixed values of the fixture definition.
 WIN_STATUS = "P"
@@ -90,15 +90,25 @@ def entity_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ENTITY_TABLES: dict = {}
 
 
+def source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Number, size and latest change of each source table's files (their contents are not read)."""
+    out = [sf_dir.rstrip("/")]
+    for table in ("customer", "orders", "lineitem"):
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table_path(sf_dir, table))
+                 .agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime").cast("string")))
+        out.append(tuple(files.first()))
+    return tuple(out)
+
+
 def entity_features(spark: SparkSession, sf_dir: str,
                     label_quantile: float = LABEL_QUANTILE) -> DataFrame:
     """``entity_base`` plus ``label = spend >= percentile(spend, q)``.
 
-    Built once per session and source directory and checkpointed (the study
-    reads its joined entity table many times, as the reference re-reads its
-    saved joined CSV); the checkpoint lives in the session's checkpoint
-    directory, shared storage on a cluster."""
-    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir.rstrip("/"), label_quantile)
+    Built once per session and state of the source files and checkpointed
+    (the study reads its joined entity table many times, as the reference
+    re-reads its saved joined CSV); the checkpoint lives in the session's
+    checkpoint directory, shared storage on a cluster."""
+    key = (spark.conf.get("spark.app.id", None) or id(spark), source_state(spark, sf_dir), label_quantile)
     if key not in _ENTITY_TABLES:
         base = cut_lineage(entity_base(spark, sf_dir))
         cut = exact_percentile(base, "spend", label_quantile)

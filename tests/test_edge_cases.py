@@ -168,3 +168,14 @@ def test_logistic_cv_and_sweep_agree(spark):
     sweep = sweep_resampled(folds, 3, ["x"], [dict(param=1, over_ratio=0.4, over_k=3, under_ratio=0.8)], model="logistic").first()
     assert one["mean_roc_auc"] == pytest.approx(sweep["mean_roc_auc"]) and one["error"] == pytest.approx(1 - one["mean_accuracy"])
     assert one["mean_roc_auc"] > 0.8
+
+
+def test_grid_without_splits_equals_single_configurations(spark):
+    df = spark.createDataFrame([(i, i < 30, float(i % 13)) for i in range(300)], "entity_id long, label boolean, x double")
+    configs = [dict(over_ratio=0.3, over_k=2, under_ratio=0.5), dict(over_ratio=None, over_k=3, under_ratio=None)]
+    grid = resample.resample_grid(df, ["x"], configs)
+    cols = ["entity_id", "label", "x", "is_synthetic"]
+    one = [resample.undersample(resample.smote(df, ["x"], ratio=0.3, k=2), 0.5), resample.smote(df, ["x"], k=3)]
+    for i, rows in enumerate(one):
+        assert sorted(tuple(r) for r in grid.where(F.col("config") == i).select(*cols).collect()) == sorted(
+            tuple(r) for r in rows.select(*cols).collect())
