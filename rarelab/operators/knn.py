@@ -24,9 +24,9 @@ Two exact strategies:
   ``k * n_train_blocks`` rows per query.
 
 Both accept ``split`` columns (independent problems, e.g. cross-validation
-splits) and self-exclusion (leave-one-out).  The blocked kernel can also
-exclude pairs sharing the value of a column (``exclude_col``), which scores
-every fold of a k-fold split in one pass without replicating training rows.
+splits), self-exclusion (leave-one-out), and the exclusion of pairs that share
+the value of a column of few values (``exclude_col``), which scores every fold of
+a k-fold split in one pass without replicating training rows.
 """
 
 from __future__ import annotations
@@ -191,7 +191,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     dim = _dim(train, features)
     w = np.ones(dim) if weights is None else np.asarray(weights, dtype=float)
     if method == "auto":
-        method = "sorted" if dim == 1 and exclude_col is None else "blocks"
+        method = "sorted" if dim == 1 and (exclude_col is None or split) else "blocks"
     if train is query and query_key == key:
         # self-search (leave-one-out, SMOTE neighbours): materialise the rows once
         fcols = [features] if isinstance(features, str) else list(features)
@@ -209,11 +209,23 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     if train is not query:
         t, q = cut_lineage(t), cut_lineage(q)
     if method == "sorted":
-        if dim != 1 or exclude_col:
-            raise ValueError("the sorted method needs one feature and no exclude_col")
-        qv = q.select(*split, "__qk", F.col("__qx")[0].alias("__v"))
-        lists = _sorted_search(t, qv.select(*split, "__v").distinct(), k + 1 if exclude_self else k, split, float(w[0]))
-        arrays = qv.join(lists, [*split, "__v"])
+        if dim != 1 or (exclude_col and not split):
+            raise ValueError("the sorted method needs one feature, and a split beside exclude_col")
+        take = k + 1 if exclude_self else k
+        qv = q.select(*split, "__qk", *(["__qex"] if exclude_col else []), F.col("__qx")[0].alias("__v"))
+        if exclude_col:
+            # every class of exclude_col (a fold, say) has a list of its own; a query merges the others' lists,
+            # so no training row is copied
+            each = qv.select(*split, "__v").distinct().join(t.select(*split, "__tex").distinct(), split)
+            lists = _sorted_search(t, each, take, [*split, "__tex"], float(w[0]))
+            own = [*split, "__v", "__qex"]
+            lists = (qv.select(*own).distinct().join(lists, [*split, "__v"])
+                     .where(~F.col("__tex").eqNullSafe(F.col("__qex"))).groupBy(*own)
+                     .agg(F.slice(F.array_sort(F.flatten(F.collect_list("__nb"))), 1, take).alias("__nb")))
+            arrays = qv.join(lists, own)
+        else:
+            lists = _sorted_search(t, qv.select(*split, "__v").distinct(), take, split, float(w[0]))
+            arrays = qv.join(lists, [*split, "__v"])
         if exclude_self:
             arrays = arrays.withColumn("__nb", F.slice(F.filter("__nb", lambda n: n["__tk"] != F.col("__qk")), 1, k))
         arrays = arrays.select(*split, "__qk", "__nb")

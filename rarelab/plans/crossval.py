@@ -73,22 +73,18 @@ def cv_knn_predictions(folds: DataFrame, n_splits: int, features, k: int, key: s
     proba)``.  ``train_transform(train_df) -> train_df`` resamples the
     training side per split (it must keep ``split_id``); test rows are never
     touched."""
-    multi = isinstance(features, str) or len(features) > 1
-    if train_transform is None and multi:
-        # several features, no resampling: one blocked search per repeat with
-        # same-fold pairs masked - every fold of the repeat is scored at once
-        # and no training row is replicated
+    if train_transform is None:
+        # no resampling: one search per repeat with same-fold pairs left out -
+        # every fold of the repeat is scored at once and no training row is copied
         rows = folds.select("repeat", "fold", key, label, *([features] if isinstance(features, str) else features))
         nb = knn_neighbors(rows, rows, features, k, key=key, label=label, split="repeat", weights=weights,
-                           exclude_col="fold", method="blocks")
+                           exclude_col="fold")
         votes = knn_vote(nb, key, "repeat")
         test = folds.select("repeat", "fold", key, label).withColumn(
             "split_id", F.col("repeat") * n_splits + F.col("fold"))
         return cut_lineage(test.join(votes, ["repeat", key], "left").select("split_id", key, label, "pred", "proba"))
     train, test = split_frames(folds, n_splits)
-    if train_transform is not None:
-        train = train_transform(train)
-    nb = knn_neighbors(train, test, features, k, key=key, label=label, split="split_id", weights=weights)
+    nb = knn_neighbors(train_transform(train), test, features, k, key=key, label=label, split="split_id", weights=weights)
     votes = knn_vote(nb, key, "split_id")
     # one row per test row and split, scored by several metrics: materialise once
     return cut_lineage(test.select("split_id", key, label).join(votes, ["split_id", key], "left"))

@@ -34,6 +34,15 @@ def test_string_keys_and_ties_on_both_paths(spark, exclude):
     assert out[0] == out[1] and len(out[0]) == 240
 
 
+def test_excluded_folds_on_both_paths(spark):
+    rng = random.Random(6)
+    rows = [(r, i, i % 4, rng.random() < 0.3, float(rng.randrange(15))) for r in range(2) for i in range(120)]
+    df = spark.createDataFrame(rows, "repeat int, entity_id long, fold int, label boolean, x double")
+    out = [sorted((r["repeat"], r["entity_id"], r["neighbor_key"], r["rank"]) for r in knn_neighbors(
+        df, df, ["x"], 6, split="repeat", exclude_col="fold", method=m).collect()) for m in ("sorted", "blocks")]
+    assert out[0] == out[1] and len(out[0]) == 2 * 120 * 6
+
+
 def test_a_sweep_beyond_the_training_rows_raises(spark):
     tr = spark.createDataFrame([(i, i % 2 == 0, float(i)) for i in range(4)], "entity_id long, label boolean, x double")
     qu = spark.createDataFrame([(9, 1.2)], "entity_id long, x double")
