@@ -31,7 +31,7 @@ ORDER = 5
 START, END = 2, 3  # code points that stand before and after a word
 SAMPLE_DOCS = 3000  # documents per language, about
 SAMPLE_CHARS = 8_000_000  # characters per language, about
-MODEL_CELLS = 20_000_000  # n-grams times languages of the whole model
+MODEL_CELLS = 4_000_000  # n-grams times languages of the whole model
 CALIBRATE = 0.15  # share of the sample that calibrates instead of being counted
 REJECT = 0.002  # share of a language's own calibration documents beyond its threshold
 
