@@ -41,15 +41,17 @@ def cv_knn_sweep(folds: DataFrame, n_splits: int, features, ks: list[int], key:
         test = folds.select("repeat", key, label, (F.col("repeat") * n_splits + F.col("fold")).alias("split_id"))
         preds = knn_k_sweep(nb, ks, key, "repeat").join(test, ["repeat", key])
         return metrics.accuracy(preds, label, "pred", by=["split_id", "k"])
-    # one feature: rows of equal value share their neighbours, so the distinct values of each split are searched
-    # and weighted with the labels that have them
-    train, test = split_frames(folds, n_splits)
-    y = F.col(label)
-    values = cut_lineage(test.groupBy("split_id", F.col(feats[0]).cast("double").alias("__value")).agg(
-        F.count(F.when(y, 1)).alias("__pos"), F.count(F.when(~y, 1)).alias("__neg")))
-    nb = knn_neighbors(train, values.withColumn(feats[0], F.col("__value")), feats, max(ks), key=key, label=label,
-                       query_key="__value", split="split_id", weights=weights)
-    hits = knn_k_sweep(nb, ks, "__value", "split_id").join(values, ["split_id", "__value"])
+    # one feature: rows of equal value and fold share their neighbours, so these pairs are searched and weighted
+    # with the labels that have them
+    x, y = F.col(feats[0]).cast("double"), F.col(label)
+    values = cut_lineage(folds.groupBy("repeat", "fold", x.alias("__x")).agg(
+        F.count(F.when(y, 1)).alias("__pos"), F.count(F.when(~y, 1)).alias("__neg"))
+        .withColumn("__pair", F.concat_ws(":", "fold", "__x")))
+    train = folds.select("repeat", "fold", key, label, x.alias("__x"))
+    nb = knn_neighbors(train, values, ["__x"], max(ks), key=key, label=label, query_key="__pair", split="repeat",
+                       weights=weights, exclude_col="fold")
+    values = values.withColumn("split_id", F.col("repeat") * n_splits + F.col("fold"))
+    hits = knn_k_sweep(nb, ks, "__pair", "repeat").join(values, ["repeat", "__pair"])
     right, n = F.sum(F.when(F.col("pred"), F.col("__pos")).otherwise(F.col("__neg"))), F.sum(F.col("__pos") + F.col("__neg"))
     return hits.groupBy("split_id", "k").agg((right / n).alias("accuracy"), n.alias("n")).withColumn(
         "error", 1.0 - F.col("accuracy"))
