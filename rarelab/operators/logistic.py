@@ -122,13 +122,14 @@ def fit_logistic_groups(df: DataFrame, features: list[str], label: str, group: l
     Objective per group: ``0.5 |w|^2 + C sum(softplus(eta) - y eta)``.  The
     coefficient table (one row per group, held by the driver: the groups are
     the splits and configurations of a study) joins each iteration's
-    aggregate, broadcast by Spark where its size allows; the data is written
-    down once.  A fit that has not converged after ``max_iter`` steps raises."""
+    aggregate, broadcast by Spark where its size allows; the distinct rows of
+    each group are written down once, with their counts.  A fit that has not converged after ``max_iter`` steps raises."""
     spark = df.sparkSession
     d = len(features)
     data = df.select(*group, *[F.col(f).cast("double").alias(f"__x{j}") for j, f in enumerate(features)],
                      F.col(label).cast("double").alias("__y"))
-    data = cut_lineage(data)
+    # equal rows of a group are one row with a count: the copies that splits make of a row end here
+    data = cut_lineage(data.groupBy(*data.columns).agg(F.count(F.lit(1)).cast("double").alias("__n")))
     keys = [tuple(r) for r in data.select(*group).distinct().collect()]
     gtypes = [data.schema[g].dataType for g in group]
     theta = {k: np.zeros(d + 1) for k in keys}
@@ -142,10 +143,10 @@ def fit_logistic_groups(df: DataFrame, features: list[str], label: str, group: l
         for i in range(d):
             eta = eta + F.col(f"__c{i + 1}") * F.col(f"__x{i}")
         j = j.withColumn("__eta", eta).withColumn("__p", _sigmoid(F.col("__eta")))
-        j = j.withColumn("__r", F.col("__p") - F.col("__y")).withColumn(
-            "__s", F.col("__p") * (1.0 - F.col("__p")))
+        j = j.withColumn("__r", F.col("__n") * (F.col("__p") - F.col("__y"))).withColumn(
+            "__s", F.col("__n") * F.col("__p") * (1.0 - F.col("__p")))
         xs = [F.lit(1.0)] + [F.col(f"__x{i}") for i in range(d)]
-        aggs = [F.sum(_softplus(F.col("__eta")) - F.col("__y") * F.col("__eta")).alias("loss")]
+        aggs = [F.sum(F.col("__n") * (_softplus(F.col("__eta")) - F.col("__y") * F.col("__eta"))).alias("loss")]
         aggs += [F.sum(F.col("__r") * xs[a]).alias(f"g{a}") for a in range(d + 1)]
         aggs += [F.sum(F.col("__s") * xs[a] * xs[b]).alias(f"h{a}_{b}")
                  for a in range(d + 1) for b in range(a, d + 1)]
