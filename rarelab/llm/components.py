@@ -42,5 +42,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         up = label.select(F.col("id").alias("root"), F.col("root").alias("top"))
         label = step.join(up, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
     label = cut_lineage(label)
-    smallest = label.groupBy("root").agg(F.min("id").alias("component"))
+    smallest = cut_lineage(label.groupBy("root").agg(F.min("id").alias("component")))
     return label.join(smallest, "root").select("id", "component")

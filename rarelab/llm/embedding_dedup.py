@@ -207,8 +207,9 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
     bucket = ["label", "dim", "filter"]
     known = nodes.select("node", "label", "dim")
     members = cut_lineage(listed.join(known, "node").select("label", "dim", "node", F.explode("filters").alias("filter")))
-    blocks = members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        *bucket, F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    # aggregates are written down before they are joined: Spark then splits the other side's hot keys
+    blocks = cut_lineage(members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        *bucket, F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks")))
     task = [*bucket, "lo", "hi"]
     placed = (members.join(blocks, bucket).join(nodes.select("node", "copies", "vec"), "node").join(listed, "node")
               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -219,10 +220,10 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.93, id_col: str = "
                                   "a string, b string, n bigint"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     reach = connected_components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("id", "node")
-    label = nodes.select("node", "first_id", "copies").join(counts, "node", "left").join(reach, "node", "left").select(
+    label = cut_lineage(nodes.select("node", "first_id", "copies").join(counts, "node", "left").join(reach, "node", "left").select(
         "node", "first_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component"))
-    smallest = label.groupBy("component").agg(F.min("first_id").alias("component_id"))
+        F.coalesce("component", "node").alias("component")))
+    smallest = cut_lineage(label.groupBy("component").agg(F.min("first_id").alias("component_id")))
     by_node = label.join(smallest, "component").select("node", "n_links", "component_id")
     linked = live.select("vec_id", "node").join(by_node, "node").select("vec_id", "n_links", "component_id")
     alone = seen.where(F.col("node").isNull() | F.col("vec_id").isNull()).select(

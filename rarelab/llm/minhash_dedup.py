@@ -287,9 +287,11 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     # in buckets a node goes by 64 bits of its digest: nodes that share them only meet once more
     marked = nodes.withColumn("mark", F.xxhash64("node"))
     banded = map_arrow(marked.select("mark", "sig"), _bands, "bucket bigint, mark bigint")
-    leaders = banded.groupBy("bucket").agg(F.min("mark").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = cut_lineage(banded.join(leaders.drop("n"), "bucket").select("leader", "mark").distinct())
-    blocks = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    # aggregates are written down before they are joined: Spark then splits the other side's hot keys
+    leaders = cut_lineage(banded.groupBy("bucket").agg(F.min("mark").alias("leader"), F.count(F.lit(1)).alias("n"))
+                          .where("n > 1").drop("n"))
+    members = cut_lineage(banded.join(leaders, "bucket").select("leader", "mark").distinct())
+    blocks = cut_lineage(members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")))
     placed = (members.join(blocks, "leader").join(marked.select("mark", "node", "n_shingles", "sig"), "mark")
               .withColumn("block", F.pmod("mark", F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -307,9 +309,9 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     links = cut_lineage(map_arrow(full, _verifier(percent), "a string, b string"))
 
     reach = connected_components(links)
-    label = nodes.select("node", "first_id").join(reach.withColumnRenamed("id", "node"), "node", "left").select(
-        "node", "first_id", F.coalesce("component", "node").alias("component"))
-    smallest = label.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    label = cut_lineage(nodes.select("node", "first_id").join(reach.withColumnRenamed("id", "node"), "node", "left").select(
+        "node", "first_id", F.coalesce("component", "node").alias("component")))
+    smallest = cut_lineage(label.groupBy("component").agg(F.min("first_id").alias("component_id")))
     found = label.join(smallest, "component").select("node", "component_id")
     alone = all_rows.where(F.col("node").isNull() | F.col("doc_id").isNull()).select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
