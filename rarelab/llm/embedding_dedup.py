@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rarelab.llm.blocks import forest, grouped, shared_counts, sides
 from rarelab.llm.common import column, map_arrow, pieces
 from rarelab.llm.components import connected_components
-from rarelab.llm.minhash_dedup import _forest, _grouped, _sides, shared_counts
 from rarelab.session import cut_lineage
 
 UNRELATED = 64  # unrelated vectors that pass a filter, about
@@ -155,8 +155,8 @@ def _comparer(threshold: float):
     schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _grouped(batches, ["label", "dim", "filter", "lo", "hi"]):
-            left, right, same = _sides(group)
+        for group in grouped(batches, ["label", "dim", "filter", "lo", "hi"]):
+            left, right, same = sides(group)
             unit = _unit(group["vec"].to_pylist(), group["dim"][0].as_py())
             near = unit[left] @ unit[right].T >= threshold
             if same:
@@ -174,7 +174,7 @@ def _comparer(threshold: float):
             names = group["node"].to_pylist()
             i, j = np.nonzero(near)
             rows = [{"a": names[k], "b": None, "n": int(links[k])} for k in np.flatnonzero(links)]
-            rows += [{"a": names[x], "b": names[y], "n": 0} for x, y in _forest(len(names), left[i], right[j])]
+            rows += [{"a": names[x], "b": names[y], "n": 0} for x, y in forest(len(names), left[i], right[j])]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
     return run

@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rarelab.llm.blocks import forest, grouped, shared_counts, sides
 from rarelab.llm.common import column, hash64, map_arrow, mix64, pieces, word_codes
 from rarelab.llm.components import connected_components
 from rarelab.session import cut_lineage
@@ -32,7 +33,6 @@ BATCH = 20  # hashes compared before the next decision
 MISS = 1e-5  # posterior probability of reaching the threshold below which a pair is dropped
 BLOCK = 1024  # nodes of a group that one task compares with as many others
 SLICE = 64  # rows of a block compared at a time
-COLUMNS = 4096  # shingles counted at a time
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _LOOSE = np.uint64(0xD6E8FEB86659FD93)
@@ -135,37 +135,11 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), mark], ["bucket", "mark"])
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The runs of equal keys in sorted rows, over the edges of batches."""
-    held: list[pa.Table] = []
-    last = None
-    for piece in pieces(batches):
-        piece = piece.combine_chunks()
-        cols = [column(piece, k).to_pylist() for k in keys]
-        tags = list(zip(*cols, strict=True))
-        cuts = [0, *(i for i in range(1, len(tags)) if tags[i] != tags[i - 1]), len(tags)]
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            if tags[lo] != last and held:
-                yield pa.concat_tables(held)
-                held = []
-            last = tags[lo]
-            held.append(piece.slice(lo, hi - lo))
-    if held:
-        yield pa.concat_tables(held)
-
-
-def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Row numbers of the two blocks that a group's task compares; equal for a block with itself."""
-    lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
-    own = group["block"].to_numpy()
-    return np.flatnonzero(own == lo), np.flatnonzero(own == hi), lo == hi
-
-
 def _pruner(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = least_matches(threshold)
-        for group in _grouped(batches, ["leader", "lo", "hi"]):
-            left, right, same = _sides(group)
+        for group in grouped(batches, ["leader", "lo", "hi"]):
+            left, right, same = sides(group)
             sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(-1, HASHES)
             size = group["n_shingles"].to_numpy()
             alive = np.zeros(group.num_rows, bool)
@@ -204,49 +178,10 @@ def _sets(width: int):
     return run
 
 
-def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Intersection sizes of all pairs of sets of hashes; shingles of one set alone are left out of the count."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    often = times[code] > 1
-    owner, code = owner[often], code[often]
-    number = np.cumsum(times > 1) - 1
-    code = number[code]
-    order = np.argsort(code, kind="stable")
-    owner, code = owner[order], code[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    width = int(code[-1]) + 1 if len(code) else 0
-    for at in range(0, width, COLUMNS):
-        a, b = np.searchsorted(code, [at, at + COLUMNS])
-        has = np.zeros((len(sets), min(COLUMNS, width - at)), np.float32)
-        has[owner[a:b], code[a:b] - at] = 1
-        out += has @ has.T
-    return out
-
-
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what all links ``(i, j)`` connect, fewer than ``n``."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    for a, b in zip(i.tolist(), j.tolist(), strict=True):
-        x, y = find(a), find(b)
-        if x != y:
-            root[x] = y
-            out.append((a, b))
-    return out
-
-
 def _verifier(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _grouped(batches, ["leader", "lo", "hi"]):
-            left, right, same = _sides(group)
+        for group in grouped(batches, ["leader", "lo", "hi"]):
+            left, right, same = sides(group)
             sets = [np.frombuffer(b, np.uint64) for b in group["shingles"].to_pylist()]
             size = np.asarray([len(s) for s in sets])
             both = shared_counts(sets)[np.ix_(left, right)].astype(np.int64)
@@ -256,7 +191,7 @@ def _verifier(percent: int):
             if same:
                 i, j = i[i < j], j[i < j]
             names = group["node"].to_pylist()
-            links = _forest(len(sets), i, j)
+            links = forest(len(sets), i, j)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([names[a] for a, _ in links], pa.string()),
                                                   pa.array([names[b] for _, b in links], pa.string())], ["a", "b"])

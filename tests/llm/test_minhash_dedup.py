@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from rarelab.llm import minhash_dedup as m
+from rarelab.llm.blocks import forest, shared_counts
 from rarelab.llm.components import connected_components
 from tests.conftest import SF_SMALL
 from tests.llm.messy import messy, messy_rows, nothing
@@ -75,11 +76,28 @@ def test_least_matches_bounds_the_posterior():
 def test_shared_counts():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, rng.integers(0, 80))).astype(np.uint64) for _ in range(20)] + [np.empty(0, np.uint64)]
-    got = m.shared_counts(sets)
+    got = shared_counts(sets)
     for a, b in combinations(range(len(sets)), 2):
         assert got[a, b] == len(np.intersect1d(sets[a], sets[b]))
 
 
+def test_forest_connects_what_the_links_connect():
+    rng = random.Random(1)
+    links = [(rng.randrange(30), rng.randrange(30)) for _ in range(40)]
+
+    def reach(pairs):
+        seen = {i: {i} for i in range(30)}
+        for _ in range(30):
+            for a, b in pairs:
+                seen[a] = seen[b] = seen[a] | seen[b]
+                for x in seen[a]:
+                    seen[x] = seen[a]
+        return seen
+
+    kept = forest(30, np.array([a for a, _ in links]), np.array([b for _, b in links]))
+    assert len(kept) < 30 and set(kept) <= set(links) and reach(kept) == reach(links)
+
+
 def edited(rng, base, n):
     words = list(base)
     for _ in range(n):
