@@ -2,14 +2,14 @@
 
 Every language has a model of the characters of its words: five-grams backed by
 shorter ones through absolute discounting and continuation counts.  The n-grams
-of all languages lie in sorted arrays of 64-bit hashes with one column of
-probabilities per language, so one binary search serves all of them.  A text's
+of all languages lie in one sorted array of 64-bit hashes, with a probability for
+each language that has the n-gram, so one binary search serves all of them.  A text's
 language is the one of the lowest cross-entropy per character; a language's
 calibration documents, which its counts never saw, set the cross-entropy from
 which a text is marked as rejected, and the sharpness of the score.
 
-Counts come from a bounded sample per language; the sample's bound in
-documents and characters and the bound of n-grams are parameters.  Every whole
+Counts come from a bounded sample per language; its bounds in documents and
+characters are parameters.  All of the sample's n-grams are kept.  Every whole
 text is scored, each distinct word of a batch once."""
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +30,10 @@ ORDER = 5
 START, END = 2, 3  # code points that stand before and after a word
 SAMPLE_DOCS = 3000  # documents per language, about
 SAMPLE_CHARS = 8_000_000  # characters per language, about
-MODEL_CELLS = 4_000_000  # n-grams times languages of the whole model
+CELLS_AT_ONCE = 4_000_000  # positions times languages that are scored at once
 CALIBRATE = 0.15  # share of the sample that calibrates instead of being counted
 REJECT = 0.002  # share of a language's own calibration documents beyond its threshold
+SHARPNESS = 2.0 ** np.arange(-2, 9)
 
 _BASE = 0x100000001B3
 _SALT = 0x9E3779B97F4A7C15
@@ -97,89 +97,98 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
 
 
+@dataclass
+class Rows:
+    """A sparse table of (hash, language, value): the rows of ``keys[i]`` stand at ``start[i] .. start[i + 1] - 1``."""
+
+    keys: np.ndarray
+    start: np.ndarray
+    lang: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def merge(cls, parts: list[tuple[np.ndarray, np.ndarray]]) -> Rows:
+        """``parts[j]``: the distinct hashes of language j and their values."""
+        key = np.concatenate([k for k, _ in parts])
+        lang = np.repeat(np.arange(len(parts), dtype=np.int32), [len(k) for k, _ in parts])
+        order = np.argsort(key, kind="stable")
+        keys, start = np.unique(key[order], return_index=True)
+        return cls(keys, np.append(start, len(key)), lang[order],
+                   np.concatenate([v for _, v in parts]).astype(np.float32)[order])
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(i, language, value)`` of every row whose hash is ``wanted[i]``."""
+        where, found = _find(self.keys, wanted)
+        some = np.flatnonzero(found)
+        first = self.start[where[some]]
+        size = self.start[where[some] + 1] - first
+        at = ranges(first, size)
+        return np.repeat(some, size), self.lang[at], self.value[at]
+
+
 @dataclass
 class KneserNey:
-    """Sorted hash arrays: ``grams[k]`` with ``prob[k]`` (a column per language), and the contexts of
-    order k, ``contexts[k]``, with the weight ``back[k]`` that they leave to order k - 1."""
+    """``grams[k]``: the probabilities of the k-grams; ``contexts[k]``: the weights that the contexts of
+    order k leave to order k - 1.  A language has rows for what its own sample holds."""
 
     langs: list[str]
     floor: float
-    grams: list[np.ndarray]
-    prob: list[np.ndarray]
-    contexts: list[np.ndarray]
-    back: list[np.ndarray]
+    grams: list[Rows]
+    contexts: list[Rows]
     sharpness: float = 1.0
     thresholds: np.ndarray | None = None
 
-    def probabilities(self, keys: list[np.ndarray], at: np.ndarray, k: int = ORDER) -> np.ndarray:
-        """P(character | up to k - 1 before it) at the positions, a column per language."""
-        if k == 0:
-            return np.full((len(at), len(self.langs)), self.floor, np.float32)
-        where, found = _find(self.grams[k], keys[k][at])
-        out = np.empty((len(at), len(self.langs)), np.float32)
-        out[found] = self.prob[k][where[found]]
-        miss = ~found
-        if miss.any():
-            ctx, known = _find(self.contexts[k], keys[k - 1][at[miss] - 1])
-            left = np.ones((len(ctx), len(self.langs)), np.float32)
-            left[known] = self.back[k][ctx[known]]
-            out[miss] = left * self.probabilities(keys, at[miss], k - 1)
+    @property
+    def prob(self) -> list[np.ndarray]:
+        return [rows.value for rows in self.grams]
+
+    def probabilities(self, keys: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+        """P(character | up to ORDER - 1 before it) at the positions, a column per language."""
+        out = np.full((len(at), len(self.langs)), self.floor, np.float32)
+        for k, (contexts, grams) in enumerate(zip(self.contexts, self.grams, strict=True), 1):
+            i, lang, left = contexts.find(keys[k - 1][at - 1])
+            out[i, lang] *= left
+            i, lang, prob = grams.find(keys[k][at])
+            out[i, lang] = prob
         return out
 
 
+def _estimate(gram: np.ndarray, n: np.ndarray, floor: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """One language: per order the hashes of its grams, their probabilities, its contexts, their weights."""
+    # counts of each order: how often at the top and after a word's start, else in how many longer grams
+    tables = []
+    raw = use = n.astype(np.float64)
+    for k in range(ORDER, 0, -1):
+        short, back = np.unique(gram[:, 1:], axis=0, return_inverse=True) if k > 1 else (gram, np.zeros(len(gram), int))
+        back = back.reshape(-1)
+        tables.append((gram, use, back))
+        if k > 1:
+            raw = np.bincount(back, weights=raw, minlength=len(short))
+            kinds = np.bincount(back, minlength=len(short)).astype(np.float64)
+            gram, use = short, np.where(short[:, 0] == START, raw, kinds)
+    out, lower = [], np.asarray([floor])
+    for k, (gram, use, back) in enumerate(reversed(tables), 1):
+        hashes = gram_keys(np.ascontiguousarray(gram).reshape(-1).astype(np.uint32))
+        key = hashes[k].reshape(len(gram), k)[:, -1]
+        context = hashes[k - 1].reshape(len(gram), k)[:, -2] if k > 1 else np.zeros(len(gram), np.uint64)
+        contexts, ctx = np.unique(context, return_inverse=True)
+        ones, twos = (use == 1).sum(), (use == 2).sum()
+        discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+        total = np.bincount(ctx, weights=use, minlength=len(contexts))
+        left = discount * np.bincount(ctx, minlength=len(contexts)) / total
+        lower = np.maximum(use - discount, 0) / total[ctx] + left[ctx] * lower[back]
+        out.append((key, lower, contexts, left))
+    return out
+
+
 def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> KneserNey:
     """``counts[lang] = (code points of its five-grams, one row each; how often each occurs)``."""
     langs = sorted(counts)
-    chars = np.unique(np.concatenate([g[:, -1] for g, _ in counts.values()]))
-    model = KneserNey(langs, 1.0 / (len(chars) + 1), [np.empty(0, np.uint64)], [np.empty((0, len(langs)))],
-                      [np.empty(0, np.uint64)], [np.empty((0, len(langs)))])
-    # counts of each order: how often at the top and after a word's start, else in how many longer grams
-    tables: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(ORDER + 1)]
-    for lang in langs:
-        gram, n = counts[lang]
-        raw = n.astype(np.float64)
-        use = raw
-        for k in range(ORDER, 0, -1):
-            tables[k].append((gram, use))
-            if k > 1:
-                short, back = np.unique(gram[:, 1:], axis=0, return_inverse=True)
-                back = back.reshape(-1)
-                raw_short = np.bincount(back, weights=raw, minlength=len(short))
-                kinds = np.bincount(back, minlength=len(short)).astype(np.float64)
-                gram, raw = short, raw_short
-                use = np.where(short[:, 0] == START, raw_short, kinds)
-    for k in range(1, ORDER + 1):
-        union = np.unique(np.concatenate([g for g, _ in tables[k]]), axis=0)
-        flat = np.ascontiguousarray(union).reshape(-1).astype(np.uint32)
-        keys = [x.reshape(len(union), k)[:, -1] for x in gram_keys(flat)]
-        key, context = keys[k], (gram_keys(flat)[k - 1].reshape(len(union), k)[:, -2] if k > 1
-                                 else np.zeros(len(union), np.uint64))
-        order = np.argsort(key)
-        contexts = np.unique(context)
-        ctx = np.searchsorted(contexts, context)
-        prob = np.zeros((len(union), len(langs)), np.float32)
-        back = np.ones((len(contexts), len(langs)), np.float32)
-        lower = model.probabilities([x.reshape(-1) for x in gram_keys(flat)],
-                                    np.arange(len(union)) * k + k - 1, k - 1)
-        sorted_keys = key[order]
-        for j in range(len(langs)):
-            gram, use = tables[k][j]
-            own = gram_keys(np.ascontiguousarray(gram).reshape(-1).astype(np.uint32))[k].reshape(len(gram), k)[:, -1]
-            at = order[np.searchsorted(sorted_keys, own)]
-            c = np.zeros(len(union))
-            c[at] = use
-            ones, twos = (use == 1).sum(), (use == 2).sum()
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-            total = np.bincount(ctx, weights=c, minlength=len(contexts))
-            kinds = np.bincount(ctx, weights=c > 0, minlength=len(contexts))
-            left = np.where(total > 0, discount * kinds / np.maximum(total, 1e-9), 1.0)
-            back[:, j] = left
-            prob[:, j] = np.maximum(c - discount, 0) / np.maximum(total[ctx], 1e-9) + left[ctx] * lower[:, j]
-        model.grams.append(sorted_keys)
-        model.prob.append(prob[order])
-        model.contexts.append(contexts)
-        model.back.append(back)
-    return model
+    chars = np.unique(np.concatenate([np.unique(g[:, -1]) for g, _ in counts.values()]))
+    floor = 1.0 / (len(chars) + 1)
+    orders = list(zip(*[_estimate(*counts[lang], floor) for lang in langs], strict=True))
+    return KneserNey(langs, floor, [Rows.merge([(key, prob) for key, prob, _, _ in parts]) for parts in orders],
+                     [Rows.merge([(key, left) for _, _, key, left in parts]) for parts in orders])
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,25 +219,42 @@ def entropies(texts: pa.Array, model: KneserNey) -> tuple[np.ndarray, np.ndarray
     offsets, codes, words = word_codes(texts)
     n, langs = len(offsets) - 1, len(model.langs)
     chars, at, word = padded_runs(words.to_pylist())
-    logs = np.log(model.probabilities(gram_keys(chars), at))
+    keys = gram_keys(chars)
     size = np.bincount(word, minlength=len(words)).astype(np.float64)
     doc = np.repeat(np.arange(n), np.diff(offsets))
     total = np.bincount(doc, weights=size[codes], minlength=n)
+    turn = np.argsort(codes, kind="stable")
+    sorted_codes, doc = codes[turn], doc[turn]
+    bits = np.zeros((n, langs))
+    step = max(1, CELLS_AT_ONCE // langs)
+    for lo in range(0, len(at), step):
+        spots, own = at[lo:lo + step], word[lo:lo + step]
+        # a five-gram's probabilities are looked up once
+        _, first, back = np.unique(keys[ORDER][spots], return_index=True, return_inverse=True)
+        logs = np.log(model.probabilities(keys, spots[first]))
+        a, b = np.searchsorted(sorted_codes, [own[0], own[-1] + 1])
+        of, where = doc[a:b], sorted_codes[a:b] - own[0]
+        for j in range(langs):
+            sums = np.bincount(own - own[0], weights=logs[back, j])
+            bits[:, j] -= np.bincount(of, weights=sums[where], minlength=n)
     out = np.full((n, langs), np.inf)
     some = total > 0
-    for j in range(langs):
-        own = np.bincount(word, weights=logs[:, j], minlength=len(words))
-        bits = -np.bincount(doc, weights=own[codes], minlength=n)
-        out[some, j] = bits[some] / total[some]
+    out[some] = bits[some] / total[some, None]
     return out, total
 
 
 def _entropy_rows(shared):
+    """Per document with a letter: its language, its cross-entropy there and its log loss at each sharpness."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            h, _ = entropies(column(piece, "text"), shared.value)
-            yield pa.RecordBatch.from_arrays([column(piece, "lang"), pa.array(list(h), pa.list_(pa.float64()))],
-                                             ["lang", "h"])
+            model = shared.value
+            h, total = entropies(column(piece, "text"), model)
+            some = total > 0
+            langs = column(piece, "lang").filter(pa.array(some))
+            truth = np.searchsorted(model.langs, langs.to_pylist()) if len(langs) else np.zeros(0, np.int64)
+            own, loss = losses(h[some], truth)
+            yield pa.RecordBatch.from_arrays([langs, pa.array(own, pa.float64()),
+                                              pa.array(list(loss), pa.list_(pa.float64()))], ["lang", "own", "loss"])
     return run
 
 
@@ -238,71 +264,63 @@ def _softmax(h: np.ndarray, sharpness: float) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def calibrate(model: KneserNey, langs: list[str], h: np.ndarray, reject: float = REJECT) -> None:
+def losses(h: np.ndarray, truth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of documents' cross-entropies: those under the true language, and the log losses, a column per sharpness."""
+    rows = np.arange(len(truth))
+    loss = [-np.log(np.maximum(_softmax(h, s)[rows, truth], 1e-12)) for s in SHARPNESS] if len(truth) else []
+    return h[rows, truth], np.stack(loss, axis=1) if loss else np.zeros((0, len(SHARPNESS)))
+
+
+def calibrate(model: KneserNey, langs: list[str], own: np.ndarray, loss: np.ndarray, reject: float = REJECT) -> None:
     """Set the thresholds (per language, the 1 - reject quantile of its own documents' cross-entropy)
     and the sharpness (of a geometric series, the one with the least log loss)."""
-    truth = np.asarray([model.langs.index(x) for x in langs], dtype=np.int64)
+    truth = np.searchsorted(model.langs, langs) if langs else np.zeros(0, np.int64)
     model.thresholds = np.full(len(model.langs), np.inf)
-    for j in range(len(model.langs)):
-        own = h[truth == j, j]
-        if len(own):
-            model.thresholds[j] = np.quantile(own, 1 - reject)
+    for j in np.unique(truth):
+        model.thresholds[j] = np.quantile(own[truth == j], 1 - reject)
     if len(truth):
-        grid = 2.0 ** np.arange(-2, 9)
-        loss = [-np.log(np.maximum(_softmax(h, s)[np.arange(len(truth)), truth], 1e-12)).mean() for s in grid]
-        model.sharpness = float(grid[int(np.argmin(loss))])
+        model.sharpness = float(SHARPNESS[int(np.argmin(loss.mean(axis=0)))])
 
 
 def train(docs: DataFrame, learn_from: Column | None = None, sample_docs: int = SAMPLE_DOCS,
-          sample_chars: int = SAMPLE_CHARS, cells: int = MODEL_CELLS, id_col: str = "doc_id", text_col: str = "text",
+          sample_chars: int = SAMPLE_CHARS, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> KneserNey | None:
     """Count, fit and calibrate; None where no document may be learned from.
 
     Rows need a language, a text and (by default) an id whose crc32 is not held
     out.  A language's rows are sampled by a hash of the id at the rate that
-    meets both bounds on average.  Where a language has more distinct n-grams
-    than its share of ``cells``, the rarest counts are left out."""
+    meets both bounds on average.  Every n-gram of the sample counts, whatever
+    the number of languages."""
     allowed = ~held_out(F.col(id_col)) if learn_from is None else learn_from
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & allowed).select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars")).collect()
     if not sizes:
         return None
-    rate = F.lit(0.0)
-    for r in sizes:
-        rate = F.when(F.col("lang") == r["lang"],
-                      F.lit(min(1.0, sample_docs / r["n"], sample_chars / max(r["chars"], 1)))).otherwise(rate)
+    rates = [min(1.0, sample_docs / r["n"], sample_chars / max(r["chars"], 1)) for r in sizes]
+    rate = F.map_from_arrays(F.lit([r["lang"] for r in sizes]), F.lit(rates))[F.col("lang")]
     u = unit_hash("id", seed=23)
     drawn = rows.where(u < rate).withColumn("calibrates", unit_hash("id", seed=29) < CALIBRATE)
     grams = (map_arrow(drawn.where("NOT calibrates").select("lang", "text"), _count_grams,
-                       "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))).cache()
-    share = max(1, cells // len(sizes) ** 2)
-    least = {}
-    for r in grams.groupBy("lang", "n").count().orderBy("lang", F.desc("n")).collect():
-        used = least.setdefault(r["lang"], [0, r["n"]])
-        if used[0] + r["count"] <= share:
-            used[0] += r["count"]
-            used[1] = r["n"]
-    if not least:
-        grams.unpersist()
+                       "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    table = grams.toArrow().combine_chunks()
+    if not table.num_rows:
         return None
-    keep = F.lit(False)
-    for lang, (_, n) in least.items():
-        keep = keep | ((F.col("lang") == lang) & (F.col("n") >= n))
-    table = grams.where(keep).toArrow()
-    grams.unpersist()
-    counts, langs = {}, table.column("lang")
-    for lang in least:
-        own = table.filter(pc.equal(langs, lang))
+    coded = column(table, "lang").dictionary_encode()
+    number = coded.indices.to_numpy()
+    order = np.argsort(number, kind="stable")
+    ends = np.cumsum(np.bincount(number))
+    counts = {}
+    for lang, a, b in zip(coded.dictionary.to_pylist(), np.concatenate(([0], ends[:-1])), ends, strict=True):
+        own = table.take(pa.array(order[a:b]))
         codes = np.frombuffer("".join(own["gram"].to_pylist()).encode("utf-32-le"), dtype="<u4").reshape(-1, ORDER)
         counts[lang] = (codes, own["n"].to_numpy())
     model = fit(counts)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     own = F.col("lang").isin(model.langs)
     seen = map_arrow(drawn.where(F.col("calibrates") & own).select("lang", "text"), _entropy_rows(shared),
-                     "lang string, h array<double>").collect()
-    seen = [r for r in seen if np.isfinite(r["h"]).all()]
-    calibrate(model, [r["lang"] for r in seen], np.asarray([r["h"] for r in seen]).reshape(len(seen), len(model.langs)))
+                     "lang string, own double, loss array<double>").collect()
+    calibrate(model, [r["lang"] for r in seen], np.asarray([r["own"] for r in seen]), np.asarray([r["loss"] for r in seen]))
     return model
 
 
@@ -342,7 +360,7 @@ def identify(docs: DataFrame, model: KneserNey | None, id_col: str = "doc_id", t
         out = rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                           F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("nats_per_char"))
     else:
-        shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by `cells`
+        shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the sample's n-grams
         out = map_arrow(rows, _predictor(shared),
                         "doc_id bigint, lang_pred string, score double, rejected boolean, nats_per_char double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected",

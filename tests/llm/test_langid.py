@@ -130,3 +130,22 @@ def test_messy_rows(spark):
     assert m.train(nothing(spark)) is None and m.train(df.where("lang IS NULL")) is None
     assert {(r["lang_pred"], r["score"]) for r in m.identify(df, None).collect()} == {("und", 0.0)}
     assert m.identify(nothing(spark), model).collect() == []
+
+
+def test_junk_languages_leave_the_others_whole(spark):
+    docs = spark.read.parquet(f"{SF_CV}/documents.parquet").select("doc_id", "text", "lang")
+    junk = spark.createDataFrame([(10**6 + i, "the", f"junk{i:03d}") for i in range(100)], docs.schema)
+    alone, mixed = m.train(docs), m.train(docs.unionAll(junk))
+    assert len(mixed.langs) > 60
+    texts = pa.array([r["text"] for r in docs.orderBy("doc_id").limit(40).collect()])
+    a, b = m.entropies(texts, alone)[0], m.entropies(texts, mixed)[0]
+    own = [mixed.langs.index(x) for x in alone.langs]
+    assert np.allclose(a, b[:, own], rtol=1e-5)
+
+
+def test_scores_do_not_depend_on_how_many_positions_are_scored_at_once(monkeypatch):
+    model, _ = model_of(corpora())
+    texts = pa.array(["abca badéca, zzz", None, "a caé" * 9, "ABBA ab a ab"])
+    whole = m.entropies(texts, model)[0]
+    monkeypatch.setattr(m, "CELLS_AT_ONCE", 6)
+    assert np.allclose(whole, m.entropies(texts, model)[0])
