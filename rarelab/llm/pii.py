@@ -13,6 +13,7 @@ date stays a date.  Punctuation, spacing and letter case stay in place."""
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from datetime import date
 from functools import lru_cache
@@ -26,6 +27,17 @@ from pyspark.sql import functions as F
 from rarelab.llm.common import column, map_arrow, pieces
 
 ROUNDS = 8
+#: Digits in the groups of printed card numbers; the first two come before longer ones.
+CARD_FORMS = [(4, 4, 4, 4), (4, 6, 5), (4, 4, 4, 4, 3), (6, 13), (4, 4, 4, 4, 2), (8, 8), (5, 5, 5), (4, 6, 4), (4, 4, 5),
+              (4, 3, 3, 3)]
+#: Characters of an IBAN by country.
+IBAN_SIZES = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 "
+    "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+    "MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 TN24 "
+    "TR26 UA29 VA22 VG24 XK20").split()}
+_IBAN_HEAD = re.compile(r"(?<![A-Z0-9])[A-Z]{2}(?=[0-9]{2})")
+_IBAN_FORM = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -91,12 +103,32 @@ def luhn_digit(body: str) -> str:
     return str(-total % 10)
 
 
-def _card(key: bytes, m: re.Match, back: bool) -> str | None:
-    s = re.sub(r"[ -]", "", m.group())
-    if len(set(s)) == 1 or luhn_digit(s[:-1]) != s[-1]:
-        return None
-    body = _digits(key, "card", s[:-1], back, lambda x: len(set(x + luhn_digit(x))) > 1)
-    return _refill(m.group(), body + luhn_digit(body))
+def _card_valid(text: str) -> bool:
+    s = re.sub(r"[ -]", "", text)
+    return len(set(s)) > 1 and luhn_digit(s[:-1]) == s[-1]
+
+
+def _card(key: bytes, text: str, back: bool, free: Callable[[str], bool]) -> str:
+    s = re.sub(r"[ -]", "", text)
+    new = lambda x: _refill(text, x + luhn_digit(x))
+    return new(_digits(key, "card", s[:-1], back, lambda x: _card_valid(new(x)) and free(new(x))))
+
+
+def _card_splits(stretch: str) -> list[tuple[int, int]]:
+    """Where cards may stand in a stretch of digit groups, the likeliest first: printed forms between any two
+    edges of groups (a known form, so digits beside a card do not change what is taken), then all of it."""
+    groups = [m.span() for m in re.finditer("[0-9]+", stretch)]
+    found = []
+    for i in range(len(groups)):
+        sizes: tuple[int, ...] = ()
+        for lo, hi in groups[i:]:
+            sizes += (hi - lo,)
+            if sum(sizes) > 19:
+                break
+            form = 0 if len(sizes) == 1 or sizes in CARD_FORMS[:2] else 1 if sizes in CARD_FORMS else 2
+            if sum(sizes) >= 13 and (form < 2 or len(sizes) == len(groups)):
+                found.append((form, -sum(sizes), groups[i][0], hi))
+    return [(lo, hi) for _, _, lo, hi in sorted(found)]
 
 
 def _iban_remainder(s: str) -> int:
@@ -119,13 +151,53 @@ def _mixed(key: bytes, kind: str, s: str, back: bool) -> str:
     return "".join(reversed(out))
 
 
-def _iban(key: bytes, m: re.Match, back: bool) -> str | None:
-    s = m.group().replace(" ", "")
-    if not 15 <= len(s) <= 34 or _iban_remainder(s) != 1:
-        return None
-    account = _mixed(key, "iban" + s[:2], s[4:], back)
-    check = 98 - _iban_remainder(s[:2] + "00" + account)
-    return _refill(m.group(), f"{s[:2]}{check:02d}{account}")
+def _iban_valid(text: str) -> bool:
+    s = text.replace(" ", "")
+    return 15 <= len(s) <= 34 and _iban_remainder(s) == 1 and 2 <= int(s[2:4]) <= 98
+
+
+def _iban(key: bytes, text: str, back: bool, free: Callable[[str], bool]) -> str:
+    s = text.replace(" ", "")
+    while True:
+        account = _mixed(key, "iban" + s[:2], s[4:], back)
+        s = f"{s[:2]}{98 - _iban_remainder(s[:2] + '00' + account):02d}{account}"
+        if free(_refill(text, s)):
+            return _refill(text, s)
+
+
+def _iban_splits(stretch: str) -> list[tuple[int, int]]:
+    """Where IBANs may stand in a stretch of groups: of their country's length first, then the longest."""
+    ends = [m.end() for m in re.finditer("[A-Z0-9]+", stretch)]
+    found = []
+    for m in _IBAN_HEAD.finditer(stretch):
+        for hi in ends[bisect_right(ends, m.start()):]:
+            if hi - m.start() > 45:
+                break
+            if _IBAN_FORM.fullmatch(stretch, m.start(), hi):
+                size = hi - m.start() - stretch.count(" ", m.start(), hi)
+                found.append((IBAN_SIZES.get(m.group()) != size, -size, m.start(), hi))
+    return [(lo, hi) for _, _, lo, hi in sorted(found)]
+
+
+def _stretch(key: bytes, stretch: str, back: bool, splits, valid, rewrite) -> list[tuple[int, int, str]]:
+    """The values inside a stretch of groups and what replaces them: in the order of ``splits``, all that are
+    valid and free.  A value is walked on while a split that comes before its own would become valid, so that
+    the way back finds the same values."""
+    order = splits(stretch)
+    taken: list[tuple[int, int, list[tuple[int, int]]]] = []
+    for k, (lo, hi) in enumerate(order):
+        if valid(stretch[lo:hi]) and not any(lo < b and a < hi for a, b, _ in taken):
+            rivals = [(a, b) for a, b in order[:k] if a < hi and lo < b
+                      and not any(a < d and c < b for c, d, _ in taken)]
+            taken.append((lo, hi, rivals))
+    out = []
+    for lo, hi, rivals in reversed(taken) if back else taken:
+        put = lambda new: stretch[:lo] + new + stretch[hi:]  # noqa: B023, E731
+        free = lambda new: not any(valid(put(new)[a:b]) for a, b in rivals)  # noqa: B023, E731
+        new = rewrite(key, stretch[lo:hi], back, free)
+        stretch = put(new)
+        out.append((lo, hi, new))
+    return out
 
 
 def _national(s: str) -> bool:
@@ -203,11 +275,13 @@ def _email(key: bytes, m: re.Match, back: bool) -> str | None:
     return _refill(local, _mixed(key, "email@" + domain.lower(), s, back)) + "@" + domain
 
 
+#: Kinds whose pattern is a stretch of groups that may hold several values, or other groups beside one.
+STRETCHES = {"iban": (_iban_splits, _iban_valid, _iban), "card": (_card_splits, _card_valid, _card)}
 #: Kind, pattern and rewriter, in the order in which they claim a stretch of text.
-KINDS: list[tuple[str, str, Callable[[bytes, re.Match, bool], str | None]]] = [
+KINDS: list[tuple[str, str, Callable[[bytes, re.Match, bool], str | None] | None]] = [
     ("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])", _email),
-    ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", _iban),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
+    ("iban", r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]*(?: [A-Z0-9]+)*(?!\w)", None),
+    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,}(?![\w-])", None),
     ("date", r"(?<![\w./-])(?:(?P<y>\d{4})(?P<s>[-/.])(?P<m>\d{2})(?P=s)(?P<d>\d{2})"
              r"|(?P<a>\d{2})(?P<s2>[-/.])(?P<b>\d{2})(?P=s2)(?P<y2>\d{4}))(?![\w/-])", _date),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _ipv4),
@@ -227,15 +301,20 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, dict[s
     replacement.  Text without such values is returned as it is."""
     spans: list[tuple[int, int, str]] = []
     found: dict[str, int] = {}
+    shown = text
     for name, pattern, rewrite in _COMPILED:
-        for m in pattern.finditer(text):
-            lo, hi = m.span()
-            if any(lo < b and a < hi for a, b, _ in spans):
-                continue
-            new = rewrite(key, m, back)
-            if new is not None:
-                spans.append((lo, hi, new))
-                found[name] = found.get(name, 0) + 1
+        got: list[tuple[int, int, str]] = []
+        for m in pattern.finditer(shown):
+            if rewrite is None:
+                lo = m.start()
+                got += [(lo + a, lo + b, new) for a, b, new in _stretch(key, m.group(), back, *STRETCHES[name])]
+            elif (new := rewrite(key, m, back)) is not None:
+                got.append((*m.span(), new))
+        for lo, hi, _ in got:  # what is claimed is no digit for the kinds that follow
+            shown = shown[:lo] + "x" * (hi - lo) + shown[hi:]
+        if got:
+            spans += got
+            found[name] = found.get(name, 0) + len(got)
     out, at = [], 0
     for lo, hi, new in sorted(spans):
         out += [text[at:lo], new]

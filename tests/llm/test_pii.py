@@ -75,3 +75,36 @@ def test_messy_rows(spark):
     assert pseudonyms(nothing(spark), KEY).collect() == []
     with pytest.raises(ValueError):
         pseudonyms(messy(spark), b"short")
+
+
+CARD, IBAN = "4111 1111 1111 1111", "ES9121000418450200051332"
+
+
+@pytest.mark.parametrize("text", [
+    f"{CARD} 12/27", f"{CARD} 123", f"order 12 {CARD}", f"{CARD} {CARD}", f"4000 {CARD} 12/27 123", "4111111111111111 123",
+    "4111-1111-1111-1111-123", f"{CARD} 12 {CARD} 1", f"{IBAN} {CARD}"])
+def test_cards_beside_other_digits(text):
+    new, found = pseudonymise(text, KEY)
+    alone = re.sub(r"\D", "", pseudonymise(CARD, KEY)[0])
+    n = len(re.findall("4111.?1111.?1111.?1111", text))
+    assert found["card"] == n and re.sub(r"[ -]", "", new).count(alone) == n
+    assert pseudonymise(new, KEY, back=True) == (text, found)
+
+
+@pytest.mark.parametrize("spaced", [False, True])
+@pytest.mark.parametrize("text", ["{} BIC", "{} 12", "AB12 {} EUR 100", "{} {}", "IBAN {} BIC CAIXESBB"])
+def test_ibans_beside_other_groups(text, spaced):
+    iban = " ".join(re.findall(".{4}", IBAN)) if spaced else IBAN
+    new, found = pseudonymise(text.replace("{}", iban), KEY)
+    assert found == {"iban": text.count("{}")} and new == text.replace("{}", pseudonymise(iban, KEY)[0])
+    assert pseudonymise(new, KEY, back=True)[0] == text.replace("{}", iban)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 10**11 - 1), min_size=1, max_size=3), st.lists(st.integers(0, 9999), min_size=4, max_size=4))
+def test_cards_among_groups_of_digits_come_back(bodies, between):
+    cards = [f"5500{b:011d}" for b in bodies]
+    cards = [" ".join(re.findall(".{4}", c + luhn_digit(c))) for c in cards]
+    text = " ".join(f"{n} {c}" for n, c in zip(between, cards)) + f" {between[-1]}"
+    new, found = pseudonymise(text, KEY)
+    assert found["card"] >= 1 and pseudonymise(new, KEY, back=True)[0] == text
