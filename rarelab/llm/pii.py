@@ -38,6 +38,8 @@ IBAN_SIZES = {c[:2]: int(c[2:]) for c in (
     "TR26 UA29 VA22 VG24 XK20").split()}
 _IBAN_HEAD = re.compile(r"(?<![A-Z0-9])[A-Z]{2}(?=[0-9]{2})")
 _IBAN_FORM = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+#: A country code: as printed apart, else by the plan of the ITU.
+_COUNTRY = re.compile(r"\+([0-9]{1,3}(?=[ .(-])|[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})")
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -213,8 +215,31 @@ def _phone(key: bytes, m: re.Match, back: bool) -> str | None:
     # with a country code, or the area in brackets, ten digits outside the plan are a number all the same
     if not 8 <= len(s) <= 15 or not (plan or country) or (m.group("bare") and not country and not _national(rest)):
         return None
+    return _refill(m.group(), country + _subscriber(key, country or "1", rest, back))
+
+
+def _subscriber(key: bytes, country: str, rest: str, back: bool) -> str:
+    plan = country == "1" and len(rest) == 10
     valid = None if not plan else _national if _national(rest) else lambda x: not _national(x)
-    return _refill(m.group(), country + _digits(key, "phone" + (country or "1"), rest, back, valid))
+    return _digits(key, "phone" + country, rest, back, valid)
+
+
+def _abroad(key: bytes, text: str, back: bool, free: Callable[[str], bool]) -> str:
+    country = _COUNTRY.match(text).group(1)
+    return _refill(text, country + _subscriber(key, country, re.sub(r"\D", "", text)[len(country):], back))
+
+
+def _abroad_splits(stretch: str) -> list[tuple[int, int]]:
+    """The number that starts a stretch of groups behind a plus: as many groups as 15 digits hold (ten digits
+    behind the 1), never other ones for other digits, so the way back finds the same."""
+    first = _COUNTRY.match(stretch)
+    if first is None:
+        return []
+    ends = [m.end() for m in re.finditer(r"[0-9]+\)?", stretch) if m.end() > first.end() and stretch[m.end() - 1] != ")"]
+    size = {hi: sum(c.isdigit() for c in stretch[:hi]) for hi in ends}
+    fits = [hi for hi in ends if 8 <= size[hi] <= 15]
+    exact = [hi for hi in fits if first.group(1) == "1" and size[hi] == 11]
+    return [(0, hi) for hi in (exact or fits[-1:])]
 
 
 def _us_number(s: str) -> bool:
@@ -244,16 +269,12 @@ def _ipv4(key: bytes, m: re.Match, back: bool) -> str | None:
 
 def _date(key: bytes, m: re.Match, back: bool) -> str | None:
     if m.group("y"):
-        y, mo, d, form = m.group("y"), m.group("m"), m.group("d"), "{y:04d}{s}{m:02d}{s}{d:02d}"
-        sep = m.group("s")
+        y, sep, parts, day_first, year_first = m.group("y"), m.group("s"), (m.group("m"), m.group("d")), False, True
     else:
-        y, sep = m.group("y2"), m.group("s2")
-        a, b = m.group("a"), m.group("b")
+        y, sep, parts, year_first = m.group("y2"), m.group("s2"), (m.group("a"), m.group("b")), False
         # day first where the separator is a dot or the first number can be no month
-        if sep == "." or int(a) > 12:
-            d, mo, form = a, b, "{d:02d}{s}{m:02d}{s}{y:04d}"
-        else:
-            mo, d, form = a, b, "{m:02d}{s}{d:02d}{s}{y:04d}"
+        day_first = sep == "." or int(parts[0]) > 12
+    mo, d = reversed(parts) if day_first else parts
     try:
         day = date(int(y), int(mo), int(d)).toordinal()
     except ValueError:
@@ -261,10 +282,22 @@ def _date(key: bytes, m: re.Match, back: bool) -> str | None:
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
     perm = _permutation(key, "date", LAST_DAY - FIRST_DAY + 1)
-    # a form that is read month first must stay so: its day may not make the reader take it for a month
-    valid = (lambda x: date.fromordinal(FIRST_DAY + x).day > 12) if form[1] == "d" and sep != "." else None
+    padded = all(len(p) == 2 for p in parts)
+
+    def valid(x: int) -> bool:
+        new = date.fromordinal(FIRST_DAY + x)
+        # a form that is read month first must stay so: its day may not make the reader take it for a month
+        if day_first and sep != "." and new.day <= 12:
+            return False
+        # with a part of one digit, both parts keep their number of digits
+        return padded or ((new.month > 9) == (int(mo) > 9) and (new.day > 9) == (int(d) > 9))
+
     new = date.fromordinal(FIRST_DAY + perm.apply(day - FIRST_DAY, valid, back))
-    return form.format(y=new.year, m=new.month, d=new.day, s=sep)
+    shown = [f"{new.month:0{len(mo)}d}", f"{new.day:0{len(d)}d}"]
+    if day_first:
+        shown.reverse()
+    year = f"{new.year:04d}"
+    return sep.join([year, *shown] if year_first else [*shown, year])
 
 
 def _email(key: bytes, m: re.Match, back: bool) -> str | None:
@@ -276,19 +309,21 @@ def _email(key: bytes, m: re.Match, back: bool) -> str | None:
 
 
 #: Kinds whose pattern is a stretch of groups that may hold several values, or other groups beside one.
-STRETCHES = {"iban": (_iban_splits, _iban_valid, _iban), "card": (_card_splits, _card_valid, _card)}
+STRETCHES = {"iban": (_iban_splits, _iban_valid, _iban), "card": (_card_splits, _card_valid, _card),
+             "phone": (_abroad_splits, lambda text: True, _abroad)}
 #: Kind, pattern and rewriter, in the order in which they claim a stretch of text.
 KINDS: list[tuple[str, str, Callable[[bytes, re.Match, bool], str | None] | None]] = [
     ("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])", _email),
     ("iban", r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]*(?: [A-Z0-9]+)*(?!\w)", None),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,}(?![\w-])", None),
-    ("date", r"(?<![\w./-])(?:(?P<y>\d{4})(?P<s>[-/.])(?P<m>\d{2})(?P=s)(?P<d>\d{2})"
-             r"|(?P<a>\d{2})(?P<s2>[-/.])(?P<b>\d{2})(?P=s2)(?P<y2>\d{4}))(?![\w/-])", _date),
+    # behind a plus, 15 digits or fewer are a telephone number
+    ("card", r"(?<![\w.-])(?:(?<!\+)|(?=\d{16}|(?:\d{4}[ -]){3}\d{4}))\d(?:[ -]?\d){12,}(?![\w-])", None),
+    ("date", r"(?<![\w./-])(?:(?P<y>\d{4})(?P<s>[-/.])(?P<m>\d{1,2})(?P=s)(?P<d>\d{1,2})(?:(?=T\d)|(?![\w/-]))"
+             r"|(?P<a>\d{1,2})(?P<s2>[-/.])(?P<b>\d{1,2})(?P=s2)(?P<y2>\d{4})(?![\w/-]))", _date),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _ipv4),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", _ssn),
     ("phone", r"(?<![\w+])(?:\+(?P<cc>\d{1,3})[ .-]?)?(?:\(\d{3}\)[ .-]?|(?P<bare>\d{3}[ .-]))\d{3}[ .-]?\d{4}(?![\w-])",
      _phone),
-    ("phone", r"(?<![\w+])\+(?P<cc>\d{1,3})(?P<bare>(?:[ .-]\(?\d{1,4}\)?){2,5})(?![\w-])", _phone),
+    ("phone", r"(?<![\w+])\+\d+(?:(?:[ .-]?\(\d+\)[ .-]?|[ .-])\d+)*(?![\w-])", None),
 ]
 NAMES = list(dict.fromkeys(name for name, _, _ in KINDS))
 _COMPILED = [(name, re.compile(pattern, re.ASCII), rewrite) for name, pattern, rewrite in KINDS]

@@ -108,3 +108,37 @@ def test_cards_among_groups_of_digits_come_back(bodies, between):
     text = " ".join(f"{n} {c}" for n, c in zip(between, cards)) + f" {between[-1]}"
     new, found = pseudonymise(text, KEY)
     assert found["card"] >= 1 and pseudonymise(new, KEY, back=True)[0] == text
+
+
+@pytest.mark.parametrize("text", [
+    "+14155552671", "+44 7911 123456", "+49 30 12345678", "+4930 12345678", "+44 (0)20 7946 0958", "+35312345678",
+    "+49 30 12345678 2021 2022 2023", "call +8613812345678."])
+def test_phones_with_a_country_code(text):
+    new, found = pseudonymise(text, KEY)
+    code = re.search(r"\+(1|44|49|353|86)", text).group()
+    assert found == {"phone": 1} and new != text and code in new and len(new) == len(text)
+    assert pseudonymise(new, KEY, back=True) == (text, found)
+
+
+def test_a_phone_is_one_number_in_every_form():
+    images = {re.sub(r"\D", "", pseudonymise(t, KEY)[0]) for t in ("+14155552671", "+1 415 555 2671", "+1 (415) 555-2671")}
+    assert len(images) == 1
+    assert pseudonymise("+14155552671 2021", KEY)[0] == pseudonymise("+14155552671", KEY)[0] + " 2021"
+    assert pseudonymise("+1234567", KEY) == ("+1234567", {})
+
+
+@pytest.mark.parametrize("text", ["2020-01-02T10:00:00", "3/7/1985", "7.3.1985", "3/17/1985", "17/3/1985", "12/7/1985",
+                                  "2020-1-2", "3/07/1985", "2020/11/5"])
+def test_dates_of_other_forms(text):
+    new, found = pseudonymise(text, KEY)
+    assert found == {"date": 1} and new != text
+    assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", text) and new[10:] == text[10:]
+    assert pseudonymise(new, KEY, back=True) == (text, found)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dates(date(1900, 1, 1), date(2099, 12, 31)), st.sampled_from(["{m}/{d}/{y}", "{d}.{m}.{y}", "{y}-{m}-{d}"]))
+def test_dates_without_zeros_come_back(day, form):
+    text = form.format(d=day.day, m=day.month, y=day.year)
+    new, found = pseudonymise(text, KEY)
+    assert found == {"date": 1} and len(new) == len(text) and pseudonymise(new, KEY, back=True)[0] == text
