@@ -117,10 +117,12 @@ def _nodes(width: int):
         for piece in pieces(batches):
             value, offsets = shingle_sets(column(piece, "text"), width)
             sig = signatures(value, offsets)
+            others = [c for c in piece.column_names if c not in ("doc_id", "text")]
             yield pa.RecordBatch.from_arrays([
                 column(piece, "doc_id"), pa.array(np.diff(offsets).astype(np.int64)),
                 pa.array(set_digests(value, offsets), pa.string()),
-                pa.array([row.tobytes() for row in sig], pa.binary())], ["doc_id", "n_shingles", "node", "sig"])
+                pa.array([row.tobytes() for row in sig], pa.binary()),
+                *[column(piece, c) for c in others]], ["doc_id", "n_shingles", "node", "sig", *others])
     return run
 
 
@@ -198,23 +200,14 @@ def _verifier(percent: int):
     return run
 
 
-def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, kept``.
-
-    A document's set holds the distinct ``width``-word shingles of its whole
-    text (A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``; fewer words are one
-    shingle).  Documents are linked where 100 * shared >= ``percent`` * union,
-    counted on the full sets as 64-bit hashes; equal sets are found by a
-    128-bit digest.  ``component_id`` is the smallest id that links reach,
-    ``kept`` whether it is the row's own.  Null and empty texts have no
-    shingles and link with nothing.  Rows without an id link with nothing,
-    have no component and are kept.  Rows that repeat an id are nodes of
-    their own with that id.  An empty table gives an empty result."""
-    spark = docs.sparkSession
+def _components(texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows ``doc_id, text`` and others: ``(all_rows, label)``, the rows with their node, and every node's
+    smallest ``doc_id`` and component.  Rows without a ``doc_id`` have no part in the nodes."""
+    spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    all_rows = cut_lineage(map_arrow(texts, _nodes(width), "doc_id bigint, n_shingles bigint, node string, sig binary"))
+    others = "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name not in ("doc_id", "text"))
+    all_rows = cut_lineage(map_arrow(texts, _nodes(width),
+                                     "doc_id bigint, n_shingles bigint, node string, sig binary" + others))
     live = all_rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = cut_lineage(live.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
                                                  F.first("sig").alias("sig")))
@@ -246,6 +239,25 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     reach = connected_components(links)
     label = cut_lineage(nodes.select("node", "first_id").join(reach.withColumnRenamed("id", "node"), "node", "left").select(
         "node", "first_id", F.coalesce("component", "node").alias("component")))
+    return all_rows, label
+
+
+def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """One row per input row: ``doc_id, n_shingles, component_id, kept``.
+
+    A document's set holds the distinct ``width``-word shingles of its whole
+    text (A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``; fewer words are one
+    shingle).  Documents are linked where 100 * shared >= ``percent`` * union,
+    counted on the full sets as 64-bit hashes; equal sets are found by a
+    128-bit digest.  ``component_id`` is the smallest id that links reach,
+    ``kept`` whether it is the row's own.  Null and empty texts have no
+    shingles and link with nothing.  Rows without an id link with nothing,
+    have no component and are kept.  Rows that repeat an id are nodes of
+    their own with that id.  An empty table gives an empty result."""
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    all_rows, label = _components(texts, width, percent)
+    live = all_rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     smallest = cut_lineage(label.groupBy("component").agg(F.min("first_id").alias("component_id")))
     found = label.join(smallest, "component").select("node", "component_id")
     alone = all_rows.where(F.col("node").isNull() | F.col("doc_id").isNull()).select(
@@ -257,9 +269,24 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its component, with all their columns.
-
-    Rows without an id stay.  Rows that repeat an id stay or go together."""
-    gone = near_dedup(docs, width, percent, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("gone"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"))
-    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")
+    """One row of each component with all its columns, and the rows without shingles.
+
+    Rows are linked by their texts alone, whether or not they have an id or
+    repeat one.  The row that stays has the smallest id (rows without one come
+    last); of rows that repeat it, the smallest hash of id and text; of rows
+    equal in both, any."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("id", "text"))
+    all_rows, label = _components(rows.select(F.col("key").alias("doc_id"), "text", "id"), width, percent)
+    live = all_rows.where("node IS NOT NULL").select(F.col("doc_id").alias("key"), "id", "node")
+    firsts = cut_lineage(live.groupBy("node").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")))
+    firsts = cut_lineage(label.select("node", "component").join(firsts, "node"))
+    stays = cut_lineage(firsts.groupBy("component").agg(F.min("first").alias("stays")))
+    found = firsts.join(stays, "component").select("node", F.col("stays.key").alias("stays"))
+    gone = live.join(found, "node").where("key != stays").select(F.col("key").alias("gone"))
+    left = rows.join(gone, F.col("key") == F.col("gone"), "left_anti")
+    twice = cut_lineage(live.groupBy(F.col("key").alias("twice")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    if not twice.isEmpty():
+        left = left.join(twice, F.col("key") == F.col("twice"), "left_anti").unionAll(
+            left.join(twice, F.col("key") == F.col("twice"), "left_semi").dropDuplicates(["key"]))
+    return left.select("row.*")

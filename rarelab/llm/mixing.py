@@ -9,7 +9,7 @@ spread over many tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rarelab.functions.hashing import sql_uniform, uniform
@@ -99,18 +99,25 @@ def mixed_rows(docs: DataFrame, quality: DataFrame | None = None, id_col: str =
     epoch, and once more where the middle of it lies within the rest of its
     source's target, so whole documents come nearest to the target.  Documents
     without words cost nothing and stand once for each epoch, once at least.
-    Rows that repeat id, source and size are drawn alike."""
+    Of rows that repeat id, source and size, each is drawn by itself."""
     drawn = mix(docs, quality, id_col, source_col, text_col, **options)
     once = (F.col("before") * 2 + F.col("size") <= F.col("rest") * 2).cast("int")
     copies = F.when(F.col("size") > 0, F.col("epochs") + once).otherwise(F.greatest(F.col("epochs"), F.lit(1)))
-    counts = drawn.groupBy("doc_id", "source", "size").agg(F.max(copies.cast("int")).alias("copies")).where("copies > 0")
-    counts = counts.withColumnsRenamed({"doc_id": "d", "source": "s", "size": "z"})
+    counts = (drawn.groupBy("doc_id", "source", "size")
+              .agg(F.max(copies.cast("int")).alias("copies"), F.min(copies.cast("int")).alias("fewest"),
+                   F.sum(copies.cast("int")).alias("all"), F.count(F.lit(1)).alias("n")).where("copies > 0"))
+    counts = cut_lineage(counts.withColumnsRenamed({"doc_id": "d", "source": "s", "size": "z"}))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"),
                        F.col(source_col).cast("string").alias("from"),
                        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("bigint").alias("words"))
     same = (F.col("id").eqNullSafe(F.col("d")) & F.col("from").eqNullSafe(F.col("s")) & (F.col("words") == F.col("z")))
-    return (rows.join(counts, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-            .select("row.*"))
+    out = rows.join(counts.where("fewest = copies"), same).select("row", "copies")
+    uneven = counts.where("fewest < copies")
+    if not uneven.isEmpty():  # as many of the repeated rows as the mix took once more, by the hash of the text
+        turn = F.row_number().over(Window.partitionBy("d", "s", "z").orderBy(F.xxhash64(F.col("row").getField(text_col))))
+        more = (turn <= F.col("all") - F.col("n") * F.col("fewest")).cast("int")
+        out = out.unionAll(rows.join(uneven, same).select("row", (F.col("fewest") + more).alias("copies")).where("copies > 0"))
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def sql_mix(documents: str = "documents", labels: str = "labels", weights=(5, 2, 1), share: float = 1.5,

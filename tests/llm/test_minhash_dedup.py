@@ -167,3 +167,13 @@ def test_components(spark):
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: find(x) for x in root}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_one_row_of_each_group_stays(spark):
+    t = " ".join(f"w{i}" for i in range(60))
+    near, other, lone = t + " x", " ".join(f"u{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(3, t), (5, near), (5, other), (7, lone), (7, lone + " y"), (None, lone + " z"), (None, "a b c d e f g h i j k"),
+            (None, "a b c d e f g h i j k l"), (9, "same here"), (9, "same here"), (11, None), (11, "")]
+    kept = m.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["11", "11", "3", "5", "7", "9", "None"]
+    assert {tuple(r) for r in kept} >= {(3, t), (5, other), (9, "same here")}

@@ -103,3 +103,11 @@ def test_messy_rows(spark):
     assert mix(nothing(spark)).collect() == [] and mixed_rows(nothing(spark)).collect() == []
     with pytest.raises(ValueError):
         mix(df, share=2.5)
+
+
+def test_rows_that_repeat_an_id_are_drawn_each(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", k) for k in range(20)], "doc_id bigint, text string, source string, k int")
+    out = [r["k"] for r in mixed_rows(docs, share=1.5).collect()]
+    assert len(out) == 30 and set(out) == set(range(20))
+    half = [r["k"] for r in mixed_rows(docs, share=0.5).collect()]
+    assert len(half) == len(set(half)) == 10
