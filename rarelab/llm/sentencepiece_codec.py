@@ -7,9 +7,9 @@ scores imply (a BPE model), and the fallback to byte pieces.
 
 No piece of such a model runs on from another character into a space marker, so
 a text's ids are those of its space-separated words.  Each distinct word of a
-batch is encoded once, in multithreaded batches, and compared with the
-SentencePiece library's own ids: where the two differ the library's count, and
-the document says so."""
+batch is encoded once, in batches with a thread for each core of the task
+(`spark.task.cpus`, one by default), and compared with the SentencePiece
+library's own ids: where the two differ the document says so."""
 
 from __future__ import annotations
 
@@ -20,15 +20,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
-os.environ.setdefault("RAYON_NUM_THREADS", os.environ.get("SPARK_TASK_CPUS", "1"))  # the threads of a batch
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
 
 from rarelab.llm.common import column, map_arrow, pieces
 from rarelab.llm.encoding import ranges
@@ -121,7 +120,7 @@ class SentencePieceModel:
 def merges_of(model: SentencePieceModel) -> list[tuple[str, str]]:
     """The merges of a BPE model, best first: every way to make a piece of two
     others, by the piece's score, then by its two halves' ids."""
-    ids = {p: i for i, (p, _, kind) in enumerate(model.pieces) if kind in (NORMAL, USER_DEFINED)}
+    ids = {p: i for i, (p, _, kind) in enumerate(model.pieces) if kind == NORMAL}
     found = []
     for piece, i in ids.items():
         for cut in range(1, len(piece)):
@@ -131,8 +130,26 @@ def merges_of(model: SentencePieceModel) -> list[tuple[str, str]]:
     return [(a, b) for *_, a, b in sorted(found)]
 
 
+def normaliser(model: SentencePieceModel) -> normalizers.Normalizer | None:
+    """The normaliser of a SentencePiece model."""
+    steps = []
+    if model.charsmap:
+        steps.append(normalizers.Precompiled(model.charsmap))
+    if model.squeeze:
+        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+    if model.dummy_prefix and not model.space_after:
+        steps.append(normalizers.Prepend(SPACE if model.escape else " "))
+    if model.escape:
+        steps.append(normalizers.Replace(" ", SPACE))
+    return normalizers.Sequence(steps) if steps else None
+
+
 def build(model: SentencePieceModel) -> Tokenizer:
-    """The `tokenizers` pipeline of a SentencePiece model."""
+    """The `tokenizers` pipeline of a SentencePiece model.
+
+    User-defined pieces are added tokens.  They are found in normalised text,
+    and a normaliser of the pipeline would put a marker before each, so such a
+    pipeline has none and takes text that :func:`normaliser` has been through."""
     unk = model.pieces[model.unk_id][0]
     if model.kind == UNIGRAM:
         core = models.Unigram([(p, s) for p, s, _ in model.pieces], model.unk_id, model.byte_fallback)
@@ -142,17 +159,11 @@ def build(model: SentencePieceModel) -> Tokenizer:
     else:
         raise ValueError("only unigram and BPE models are supported")
     out = Tokenizer(core)
-    steps = []
-    if model.charsmap:
-        steps.append(normalizers.Precompiled(model.charsmap))
-    if model.squeeze:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
-    if model.dummy_prefix and not model.space_after:
-        steps.append(normalizers.Prepend(SPACE if model.escape else " "))
-    if model.escape:
-        steps.append(normalizers.Replace(" ", SPACE))
-    if steps:
-        out.normalizer = normalizers.Sequence(steps)
+    own = [AddedToken(p, normalized=False) for p, _, kind in model.pieces if kind == USER_DEFINED]
+    if own:
+        out.add_tokens(own)
+    elif (steps := normaliser(model)) is not None:
+        out.normalizer = steps
     ends = [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
     if model.dummy_prefix:
         ends.append(decoders.Strip(" ", 1, 0))
@@ -160,12 +171,22 @@ def build(model: SentencePieceModel) -> Tokenizer:
     return out
 
 
+def use_cores() -> int:
+    """The threads of a batch: the cores of this task, one outside of tasks."""
+    task = TaskContext.get()
+    n = max(1, task.cpus()) if task else 1
+    os.environ["RAYON_NUM_THREADS"] = str(n)
+    os.environ["TOKENIZERS_PARALLELISM"] = "true" if n > 1 else "false"
+    return n
+
+
 class Codec:
     """Encode and decode whole texts with a SentencePiece model file's bytes."""
 
     def __init__(self, data: bytes):
         self.model = SentencePieceModel.parse(data)
         self.tokenizer = build(self.model)
+        self.before = normaliser(self.model) if any(k == USER_DEFINED for _, _, k in self.model.pieces) else None
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         m = self.model
         crossing = any(SPACE in p.lstrip(SPACE) for p, _, kind in m.pieces if kind == NORMAL)
@@ -183,15 +204,16 @@ class Codec:
 
     def _fresh(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids in turn, how many each text has, and whether the two libraries agree on it."""
+        threads = use_cores()
         ids, counts, agree = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, bool)]
         for at in range(0, len(texts), WORDS_AT_ONCE):
             part = texts[at:at + WORDS_AT_ONCE]
-            ours = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            theirs = self.library.encode(part, num_threads=1)
+            given = [self.before.normalize_str(t) for t in part] if self.before else part
+            ours = [e.ids for e in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
+            theirs = self.library.encode(part, num_threads=threads)
             same = [a == b for a, b in zip(ours, theirs, strict=True)]
-            used = [a if ok else b for a, b, ok in zip(ours, theirs, same, strict=True)]
-            count = np.fromiter(map(len, used), dtype=np.int64, count=len(part))
-            ids.append(np.fromiter((i for x in used for i in x), dtype=np.int32, count=int(count.sum())))
+            count = np.fromiter(map(len, ours), dtype=np.int64, count=len(part))
+            ids.append(np.fromiter((i for x in ours for i in x), dtype=np.int32, count=int(count.sum())))
             counts.append(count)
             agree.append(np.asarray(same, dtype=bool))
         return np.concatenate(ids), np.concatenate(counts), np.concatenate(agree)
@@ -289,8 +311,8 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     """One row per input row: ``doc_id, n_tokens, ids_crc32, parity, round_trip`` and ``ids``.
 
     ``model`` holds the model file's bytes.  A null or empty text has no ids.
-    ``parity``: the rebuilt pipeline gives the SentencePiece library's ids
-    (else the library's are returned).  ``round_trip``: decoding gives the
+    The ids are the rebuilt pipeline's; ``parity``: the SentencePiece library
+    gives the same ids.  ``round_trip``: decoding gives the
     text again, the marker character itself standing for a space.  Nothing is
     shuffled; repeated rows are encoded alike; an empty table gives an empty
     result."""

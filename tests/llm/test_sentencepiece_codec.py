@@ -96,3 +96,33 @@ def test_messy_rows(spark):
         [(r[0], (r[1] or "").replace("▁", " ")) for r in messy_rows()], key=str)
     assert m.encode(nothing(spark), DATA).collect() == []
     assert m.decode(m.encode(nothing(spark), DATA), DATA).collect() == []
+
+
+def bpe_model_with_user_pieces():
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), ("<sep>", 0.0, 4), ("ab", 0.0, 4)]
+    pieces += [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]
+    for i, p in enumerate(["▁a", "bc", "▁ab", "abc", "cab", "▁", "a", "b", "c"]):
+        pieces.append((p, -float(i), 1))
+    body = b"".join(field(1, 2, field(1, 2, p.encode()) + field(2, 5, struct.pack("<f", s)) + field(3, 0, k)) for p, s, k in pieces)
+    trainer = field(3, 0, 2) + field(35, 0, 1) + field(40, 0, 0)
+    return body + field(2, 2, trainer) + field(3, 2, field(3, 0, 1) + field(4, 0, 0) + field(5, 0, 1))
+
+
+def test_user_defined_pieces_are_tokens():
+    data = bpe_model_with_user_pieces()
+    library, c = sentencepiece.SentencePieceProcessor(model_proto=data), m.Codec(data)
+    texts = ["abc cab", "a<sep>bc", "<sep>", "a b <sep> c", "", "abcabcab ab", "ca bca"]
+    ids, at, parity = c.encode(pa.array(texts))
+    assert split(ids, at) == [library.encode(t) for t in texts] and parity.all()
+
+
+def test_the_ids_are_the_rebuilt_pipelines_own():
+    c = m.Codec(DATA)
+
+    class Other:
+        def encode(self, texts, num_threads):
+            return [[5] if "b" in t else LIBRARY.encode(t) for t in texts]
+
+    c.library = Other()
+    ids, at, parity = c.encode(pa.array(["a", "a b"]))
+    assert split(ids, at) == [LIBRARY.encode("a"), LIBRARY.encode("a b")] and parity.tolist() == [True, False]
