@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rarelab.llm import langid, sentencepiece_codec, toxicity
+from rarelab.llm.centroids import centroid_clusters, sql_clusters
 from rarelab.llm.embedding_dedup import embedding_dedup
 from rarelab.llm.exact_dedup import exact_dedup
 from rarelab.llm.minhash_dedup import near_dedup
@@ -100,3 +101,8 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_dedup")
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), threshold=0.93)
+
+
+@query("op11_centroid_clusters", sql_clusters())
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")).drop("n_verified")
