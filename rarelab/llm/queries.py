@@ -15,6 +15,7 @@ from rarelab.llm.exact_dedup import exact_dedup
 from rarelab.llm.minhash_dedup import near_dedup
 from rarelab.llm.mixing import mix, sql_mix
 from rarelab.llm.pii import pseudonyms
+from rarelab.llm.secrets import find_secrets, secret_digest
 from rarelab.llm.token_alignment import token_links
 from rarelab.llm.token_counts import length_histogram
 from rarelab.llm.token_files import read_tokens, write_tokens
@@ -113,3 +114,9 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_links(read_table(spark, sf_dir, "documents", "doc_id", "text"),
                        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_guess_cost_secrets")
+def op13_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(find_secrets(read_table(spark, sf_dir, "documents", "doc_id", "text"),
+                                      public_tokenizers.path("byte_bpe_50k.json")))
