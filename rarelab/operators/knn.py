@@ -8,39 +8,34 @@ uniform majority with ties going to the lower class.
 
 Two exact strategies:
 
-* ``sorted`` (one feature): in one dimension the k nearest rows of a query are
-  among the k nearest training rows on each side in (value, key) order - any
-  other row has k rows ahead of it in (distance, key) order.  One
-  range-partitioned running count gives every distinct query value its
-  insertion point; candidates are fetched by an equi-join on training position
-  (2k rows per value) and joined back to the queries by value.  O(n log n),
-  nothing pairwise.
-* ``blocks`` (any dimension): training rows are hashed into blocks of at most
-  ``train_block_rows`` and queries into blocks of at most
-  ``query_block_rows``; every (query block, train block) pair is one cogroup
-  whose numpy kernel computes distances chunk by chunk and emits only its local
-  top-k per query.  Work is the inherent O(n_query * n_train) of exact search;
-  memory per task is bounded by the block sizes, and the shuffle carries
-  ``k * n_train_blocks`` rows per query.
+* ``sorted`` (one feature, :mod:`rarelab.operators.knn_line`): training rows and
+  the distinct query values meet in one range shuffle; a partition answers from
+  its own sorted rows, and the few queries near its ends are completed from the
+  partitions beside it.  O(n log n), nothing pairwise.
+* ``pivots`` (any dimension, :mod:`rarelab.operators.knn_pivots`): rows belong to
+  the cells of sampled pivots; cells that the triangle inequality rules out are
+  never compared.  Without structure in the data (high dimension, noise) all
+  pairs remain, the inherent O(n_query * n_train) of exact search; memory per
+  task is bounded by the block sizes, and a query block leaves at most k rows
+  per query and training block.
 
 Both accept ``split`` columns (independent problems, e.g. cross-validation
-splits), self-exclusion (leave-one-out), and the exclusion of pairs that share
-the value of a column of few values (``exclude_col``), which scores every fold of
-a k-fold split in one pass without replicating training rows.
+splits), self-exclusion (leave-one-out), the exclusion of pairs that share the
+value of a column of few values (``exclude_col``), and training rows that list
+the values they are for (``member_col``): every fold of a k-fold split is scored
+in one pass without replicating training rows.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rarelab.operators.ordered import running_sum
-from rarelab.session import cut_lineage, expose_package
+from rarelab.operators.knn_line import line_search
+from rarelab.operators.knn_pivots import pivot_search
+from rarelab.session import cut_lineage
 
 
 # ---------------------------------------------------------------- helpers
@@ -57,184 +52,63 @@ def _dim(df: DataFrame, cols) -> int:
     return len(cols)
 
 
-# ------------------------------------------------------------- 1-D sorted path
-def _sorted_search(train: DataFrame, values: DataFrame, take: int, split: list[str], weight: float) -> DataFrame:
-    """``(split..., __v, __nb)``: the first ``take`` training rows in (distance,
-    key) order for every distinct query value - at most ``take`` structs, sorted.
-
-    Queries share their value's search, so a value held by a third of all
-    queries costs as much as any other."""
-    t = train.select(*split, "__tk", "__ty", F.col("__tx")[0].alias("__v"))
-    # queries sort before training rows of equal value: their running count of
-    # training rows is the number of training values strictly below
-    u = (values.select(*split, "__v", F.lit(0).alias("__flag"), F.lit(None).cast(t.schema["__tk"].dataType).alias("__key"),
-                       F.lit(0).cast("bigint").alias("__is_t"), F.lit(None).cast(t.schema["__ty"].dataType).alias("__ty"))
-         .unionByName(t.select(*split, "__v", F.lit(1).alias("__flag"), F.col("__tk").alias("__key"),
-                               F.lit(1).cast("bigint").alias("__is_t"), "__ty")))
-    u = running_sum(u, split, ["__v", "__flag", "__key"], ["__is_t"], materialize=False)
-    asc = u.where(F.col("__flag") == 1).select(
-        *split, (F.col("cum___is_t") - 1).alias("__pos"), F.col("__key").alias("__tk"), "__ty",
-        F.col("__v").alias("__tv"))
-    qc = u.where(F.col("__flag") == 0).select(*split, F.col("__v").alias("__qv"), F.col("cum___is_t").alias("__c"))
-    # second order for the left side: equal values keep ascending keys when read backwards
-    desc = running_sum(asc.withColumn("__one", F.lit(1).cast("bigint")), split,
-                       ["__tv", -F.col("__pos")], ["__one"]).select(
-        *split, (F.col("cum___one") - 1).alias("__pos"), "__tk", "__ty", "__tv")
-    right = qc.select(*split, "__qv", F.explode(
-        F.sequence(F.col("__c"), F.col("__c") + F.lit(take - 1))).alias("__pos"))
-    left = qc.select(*split, "__qv", F.explode(
-        F.sequence(F.col("__c") - 1, F.col("__c") - F.lit(take), F.lit(-1).cast("bigint"))).alias("__pos")).where(
-        F.col("__pos") >= 0)
-    cand = (right.join(asc, [*split, "__pos"]).unionByName(left.join(desc, [*split, "__pos"])))
-    d2 = F.lit(weight) * (F.col("__qv") - F.col("__tv")) * (F.col("__qv") - F.col("__tv"))
-    # at most 2 * take candidates per value: a bounded aggregate beats a sort-based window
-    return cand.withColumn("__d2", d2).groupBy(*split, F.col("__qv").alias("__v")).agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))), 1, take).alias("__nb"))
-
-
-# ------------------------------------------------------------ blocked kernel
-def _make_kernel(k: int, weights: np.ndarray, split: list[str], exclude_self: bool,
-                 use_ex: bool, chunk_cells: int):
-    def kernel(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
-        cols = [*split, "__qk", "__tk", "__ty", "__d2"]
-        if len(qdf) == 0 or len(tdf) == 0:
-            return pd.DataFrame({c: [] for c in cols})
-        tdf = tdf.sort_values("__tk", kind="stable")
-        tx = np.stack(tdf["__tx"].to_numpy()).astype(np.float64)
-        tk = tdf["__tk"].to_numpy()
-        ty = tdf["__ty"].to_numpy()
-        tex = tdf["__tex"].to_numpy() if use_ex else None
-        qx = np.stack(qdf["__qx"].to_numpy()).astype(np.float64)
-        qk = qdf["__qk"].to_numpy()
-        qex = qdf["__qex"].to_numpy() if use_ex else None
-        nt, dim = tx.shape
-        kk = min(k, nt)
-        step = max(1, chunk_cells // max(nt, 1))
-        out_q, out_t, out_d = [], [], []
-        for s in range(0, len(qx), step):
-            qc = qx[s:s + step]
-            d = np.zeros((len(qc), nt))
-            for j in range(dim):  # sequential sum over dimensions, as SQL does
-                diff = qc[:, j, None] - tx[None, :, j]
-                d += (diff * diff) * weights[j]
-            if exclude_self:
-                d[qk[s:s + step, None] == tk[None, :]] = np.inf
-            if use_ex:
-                d[qex[s:s + step, None] == tex[None, :]] = np.inf
-            if kk < nt:
-                kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-                rows, cols_ = np.nonzero(d <= kth[:, None])
-            else:
-                rows, cols_ = np.nonzero(np.ones_like(d, dtype=bool))
-            vals = d[rows, cols_]
-            # order by (query, distance, key position): train is sorted by key
-            o = np.lexsort((cols_, vals, rows))
-            rows, cols_, vals = rows[o], cols_[o], vals[o]
-            first = np.searchsorted(rows, rows, side="left")
-            keep = (np.arange(len(rows)) - first) < kk
-            keep &= np.isfinite(vals)
-            out_q.append(qk[s:s + step][rows[keep]])
-            out_t.append(cols_[keep])
-            out_d.append(vals[keep])
-        qi = np.concatenate(out_q)
-        ti = np.concatenate(out_t)
-        res = pd.DataFrame({"__qk": qi, "__tk": tk[ti], "__ty": ty[ti], "__d2": np.concatenate(out_d)})
-        for c in split:
-            res.insert(0, c, qdf[c].iloc[0])
-        return res[cols]
-    return kernel
-
-
-def _blocked_search(train: DataFrame, query: DataFrame, k: int, split: list[str], exclude_self: bool,
-                    exclude_col: str | None, weights: np.ndarray, train_block_rows: int,
-                    query_block_rows: int, chunk_cells: int) -> DataFrame:
-    spark = train.sparkSession
-    if split:
-        nt = train.groupBy(*split).count().agg(F.max("count")).first()[0] or 0
-        nq = query.groupBy(*split).count().agg(F.max("count")).first()[0] or 0
-    else:
-        nt, nq = train.count(), query.count()
-    tb = max(1, math.ceil(nt / train_block_rows))
-    qb = max(1, math.ceil(nq / query_block_rows))
-    t = train.select(*split, "__tk", "__ty", "__tx", *(["__tex"] if exclude_col else []),
-                     F.pmod(F.xxhash64("__tk"), F.lit(tb)).cast("int").alias("__tb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(qb - 1))).alias("__qb"))
-    q = query.select(*split, "__qk", "__qx", *(["__qex"] if exclude_col else []),
-                     F.pmod(F.xxhash64("__qk"), F.lit(qb)).cast("int").alias("__qb"),
-                     F.explode(F.sequence(F.lit(0), F.lit(tb - 1))).alias("__tb"))
-    fields = [train.schema[c] for c in split] + [
-        T.StructField("__qk", query.schema["__qk"].dataType),
-        T.StructField("__tk", train.schema["__tk"].dataType),
-        T.StructField("__ty", train.schema["__ty"].dataType),
-        T.StructField("__d2", T.DoubleType())]
-    expose_package(train.sparkSession)
-    kernel = _make_kernel(k, weights, split, exclude_self, exclude_col is not None, chunk_cells)
-    return (q.groupBy(*split, "__qb", "__tb").cogroup(t.groupBy(*split, "__qb", "__tb"))
-            .applyInPandas(kernel, T.StructType(fields)))
-
-
 # ------------------------------------------------------------------ public API
 def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str = "entity_id",
                   label: str = "label", query_key: str | None = None, split=None,
                   weights=None, exclude_self: bool = False, exclude_col: str | None = None,
-                  method: str = "auto", train_block_rows: int = 20000, query_block_rows: int = 20000,
-                  chunk_cells: int = 2_000_000, as_arrays: bool = False) -> DataFrame:
+                  member_col: str | None = None, method: str = "auto", train_block_rows: int = 20000,
+                  query_block_rows: int = 20000, as_arrays: bool = False, counter=None) -> DataFrame:
     """The k nearest training rows of every query row, exactly.
 
     ``features``: a list of numeric columns or one array column.  Returns
     ``(split..., query_key, neighbor_key, neighbor_label, distance, rank)``,
     rank 1..k in (distance, neighbour key) order.  Training rows and queries
-    with a null or NaN feature are left out.  With ``as_arrays`` one row per query, ``(split..., query_key, neighbors)`` holding the same k
-    structs in rank order (bounded by k)."""
+    with a null or NaN feature are left out.  With ``exclude_col`` a query and a
+    training row that share its value are no pair; with ``member_col`` as well
+    (an array column of the training rows) a training row is for the queries
+    whose ``exclude_col`` it lists.  With ``as_arrays`` one row per query, ``(split..., query_key, neighbors)``
+    holding the same k structs in rank order (bounded by k).  ``counter``: an
+    accumulator of the distances that the pivots method computes."""
     split = [split] if isinstance(split, str) else list(split or [])
     query_key = query_key or key
     dim = _dim(train, features)
     w = np.ones(dim) if weights is None else np.asarray(weights, dtype=float)
     if method == "auto":
-        method = "sorted" if dim == 1 and (exclude_col is None or split) else "blocks"
+        method = "sorted" if dim == 1 else "pivots"
+    if method not in ("sorted", "pivots") or method == "sorted" and dim != 1:
+        raise ValueError(f"no method {method!r} for {dim} features")
+    mode = "own" if exclude_col is None else "others" if member_col is None else "listed"
     if train is query and query_key == key:
         # self-search (leave-one-out, SMOTE neighbours): materialise the rows once
         fcols = [features] if isinstance(features, str) else list(features)
         train = query = cut_lineage(train.select(*split, key, label, *fcols,
-                                                 *([exclude_col] if exclude_col else [])))
+                                                 *([exclude_col] if exclude_col else []), *([member_col] if member_col else [])))
+    of_train = F.lit(None).cast("int") if mode == "own" else F.col(member_col or exclude_col)
+    of_query = F.lit(None).cast("int") if mode == "own" else F.col(exclude_col)
     t = train.select(*split, F.col(key).alias("__tk"), F.col(label).alias("__ty"),
-                     _feature_array(features).alias("__tx"),
-                     *([F.col(exclude_col).alias("__tex")] if exclude_col else []))
-    q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"),
-                     *([F.col(exclude_col).alias("__qex")] if exclude_col else []))
+                     _feature_array(features).alias("__tx"), of_train.alias("__tc"))
+    q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"), of_query.alias("__qc"))
     # a row with a null or NaN feature has no distances: it is neither found nor searched for
     whole = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x))
     t, q = t.where(whole("__tx")), q.where(whole("__qx"))
-    # each side is read several times (counts, positions, candidates)
+    # each side is read several times (counts, samples, the search)
     if train is not query:
         t, q = cut_lineage(t), cut_lineage(q)
     if method == "sorted":
-        if dim != 1 or (exclude_col and not split):
-            raise ValueError("the sorted method needs one feature, and a split beside exclude_col")
-        take = k + 1 if exclude_self else k
-        qv = q.select(*split, "__qk", *(["__qex"] if exclude_col else []), F.col("__qx")[0].alias("__v"))
-        if exclude_col:
-            # every class of exclude_col (a fold, say) has a list of its own; a query merges the others' lists,
-            # so no training row is copied
-            each = qv.select(*split, "__v").distinct().join(t.select(*split, "__tex").distinct(), split)
-            lists = _sorted_search(t, each, take, [*split, "__tex"], float(w[0]))
-            own = [*split, "__v", "__qex"]
-            lists = (qv.select(*own).distinct().join(lists, [*split, "__v"])
-                     .where(~F.col("__tex").eqNullSafe(F.col("__qex"))).groupBy(*own)
-                     .agg(F.slice(F.array_sort(F.flatten(F.collect_list("__nb"))), 1, take).alias("__nb")))
-            arrays = qv.join(lists, own)
-        else:
-            lists = _sorted_search(t, qv.select(*split, "__v").distinct(), take, split, float(w[0]))
-            arrays = qv.join(lists, [*split, "__v"])
+        qv = q.select(*split, "__qk", F.col("__qx")[0].alias("__v"), F.col("__qc").alias("__c"))
+        line = t.select(*split, F.col("__tx")[0].alias("__v"), "__tk", "__ty", "__tc")
+        lists = line_search(line, qv.select(*split, "__c", "__v").distinct(), k + exclude_self, split, float(w[0]), mode)
+        lists = lists.select(*[F.col(s).alias(f"__l_{s}") for s in split], F.col("__c").alias("__l_c"), F.col("__v").alias("__l_v"), "__nb")
+        same = (F.col("__v") == F.col("__l_v")) & F.col("__c").eqNullSafe(F.col("__l_c"))
+        for s in split:
+            same = same & (F.col(s) == F.col(f"__l_{s}"))
+        arrays = qv.join(lists, same)
         if exclude_self:
             arrays = arrays.withColumn("__nb", F.slice(F.filter("__nb", lambda n: n["__tk"] != F.col("__qk")), 1, k))
         arrays = arrays.select(*split, "__qk", "__nb")
-    elif method == "blocks":
-        cand = _blocked_search(t, q, k, split, exclude_self, exclude_col, w,
-                               train_block_rows, query_block_rows, chunk_cells)
     else:
-        raise ValueError(f"unknown method {method!r}")
-    if method == "blocks":
+        cand = pivot_search(t, q, k, split, exclude_self, mode, w, train_block_rows, query_block_rows, counter)
+    if method == "pivots":
         # candidates grow with the number of train blocks: windowed top-k,
         # planned with a partial WindowGroupLimit before the shuffle
         win = Window.partitionBy(*split, "__qk").orderBy("__d2", "__tk")

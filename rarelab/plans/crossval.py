@@ -37,7 +37,7 @@ def cv_knn_sweep(folds: DataFrame, n_splits: int, features, ks: list[int], key:
         # one search per repeat with same-fold pairs masked: no training row is copied
         rows = folds.select("repeat", "fold", key, label, *feats)
         nb = knn_neighbors(rows, rows, features, max(ks), key=key, label=label, split="repeat", weights=weights,
-                           exclude_col="fold", method="blocks")
+                           exclude_col="fold")
         test = folds.select("repeat", key, label, (F.col("repeat") * n_splits + F.col("fold")).alias("split_id"))
         preds = knn_k_sweep(nb, ks, key, "repeat").join(test, ["repeat", key])
         return metrics.accuracy(preds, label, "pred", by=["split_id", "k"])

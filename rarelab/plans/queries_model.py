@@ -140,7 +140,7 @@ def q_knn_holdout_2d(spark, sf_dir):
     t = holdout_split(_train(spark, sf_dir).select("entity_id", "label", *feats), "entity_id", 0.2, HOLDOUT_SEED)
     train, test = t.where(~F.col("is_test")), t.where(F.col("is_test"))
     model = KnnModel(train, feats, k=3, weights=scaling_weights(train, feats))
-    return rounded(model.transform(test, method="blocks").select("entity_id", "label", "pred", "proba"))
+    return rounded(model.transform(test).select("entity_id", "label", "pred", "proba"))
 
 
 @register("knn_embeddings", with_ctes("""

@@ -16,7 +16,7 @@ from rarelab.operators.splits import fold_of, holdout_split, stratified_folds
 NAN = float("nan")
 
 
-@pytest.mark.parametrize("method", ["sorted", "blocks"])
+@pytest.mark.parametrize("method", ["sorted", "pivots"])
 def test_null_features_are_neither_found_nor_answered(spark, method):
     tr = spark.createDataFrame([(1, True, None), (2, False, 5.0), (3, True, 6.0), (4, False, NAN), (5, True, 9.0)],
                                "entity_id long, label boolean, x double")
@@ -30,7 +30,7 @@ def test_string_keys_and_ties_on_both_paths(spark, exclude):
     rows = [(f"k{i:03d}", i % 3 == 0, float(i % 7)) for i in range(60)]
     df = spark.createDataFrame(rows, "entity_id string, label boolean, x double")
     out = [sorted((r["entity_id"], r["neighbor_key"], r["rank"]) for r in
-                  knn_neighbors(df, df, ["x"], 4, exclude_self=exclude, method=m).collect()) for m in ("sorted", "blocks")]
+                  knn_neighbors(df, df, ["x"], 4, exclude_self=exclude, method=m).collect()) for m in ("sorted", "pivots")]
     assert out[0] == out[1] and len(out[0]) == 240
 
 
@@ -39,7 +39,7 @@ def test_excluded_folds_on_both_paths(spark):
     rows = [(r, i, i % 4, rng.random() < 0.3, float(rng.randrange(15))) for r in range(2) for i in range(120)]
     df = spark.createDataFrame(rows, "repeat int, entity_id long, fold int, label boolean, x double")
     out = [sorted((r["repeat"], r["entity_id"], r["neighbor_key"], r["rank"]) for r in knn_neighbors(
-        df, df, ["x"], 6, split="repeat", exclude_col="fold", method=m).collect()) for m in ("sorted", "blocks")]
+        df, df, ["x"], 6, split="repeat", exclude_col="fold", method=m).collect()) for m in ("sorted", "pivots")]
     assert out[0] == out[1] and len(out[0]) == 2 * 120 * 6
 
 

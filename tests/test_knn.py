@@ -30,7 +30,7 @@ def test_strategies_match_brute_force(spark):
     df = _data(spark)
     tr, qu = df.where("entity_id % 3 <> 0"), df.where("entity_id % 3 = 0")
     trr, qur = tr.collect(), qu.collect()
-    for cols, method in ((["a"], "sorted"), (["a"], "blocks"), (["a", "b"], "blocks")):
+    for cols, method in ((["a"], "sorted"), (["a"], "pivots"), (["a", "b"], "pivots")):
         nb = knn_neighbors(tr, qu, cols, 7, method=method, train_block_rows=50, query_block_rows=30)
         got = {(r["entity_id"], r["neighbor_key"], r["rank"]) for r in nb.collect()}
         assert got == _brute(trr, qur, cols, 7), (cols, method)
@@ -39,7 +39,7 @@ def test_strategies_match_brute_force(spark):
 def test_weighted_and_leave_one_out(spark):
     df = _data(spark, 200, 1)
     rows = df.collect()
-    nb = knn_neighbors(df, df, ["a", "b"], 5, weights=[0.5, 3.0], exclude_self=True, method="blocks",
+    nb = knn_neighbors(df, df, ["a", "b"], 5, weights=[0.5, 3.0], exclude_self=True, method="pivots",
                        train_block_rows=64)
     got = {(r["entity_id"], r["neighbor_key"], r["rank"]) for r in nb.collect()}
     assert got == _brute(rows, rows, ["a", "b"], 5, [0.5, 3.0], self_ex=True)
@@ -100,7 +100,7 @@ def test_cv_fold_exclusion_equals_replication(spark):
     fast = {(r["split_id"], r["entity_id"]): (r["pred"], r["proba"])
             for r in cv_knn_predictions(folds, 5, ["a", "b"], 5).collect()}
     train, test = split_frames(folds, 5)
-    nb = knn_neighbors(train, test, ["a", "b"], 5, split="split_id", method="blocks")
+    nb = knn_neighbors(train, test, ["a", "b"], 5, split="split_id", method="pivots")
     slow = {(r["split_id"], r["entity_id"]): (r["pred"], r["proba"])
             for r in knn_vote(nb, "entity_id", "split_id").collect()}
     assert fast == slow and len(fast) == 400
