@@ -33,15 +33,21 @@ CELLS = 2_000_000  # distances held at once
 
 
 def sample_pivots(train: DataFrame, n: int, weights: np.ndarray) -> np.ndarray:
-    """Half the square root of ``n`` training vectors, :data:`MOST_PIVOTS` at most, chosen by a hash of the
-    key, scaled by the weights and in order along the direction of their largest spread."""
-    m = min(MOST_PIVOTS, max(1, math.ceil(math.sqrt(n) / 2)))
-    rows = train.select("__tx", F.xxhash64("__tk").alias("h")).orderBy("h").limit(m).collect()
+    """The square root of ``n`` training vectors, :data:`MOST_PIVOTS` at most, scaled by the weights: of four times as
+    many that a hash of the key chooses, each the farthest from those before it, so that every cluster of
+    the sample has one.  They come in order along the direction of their largest spread."""
+    m = min(MOST_PIVOTS, max(1, math.ceil(math.sqrt(n))))
+    rows = train.select("__tx", F.xxhash64("__tk").alias("h")).orderBy("h").limit(4 * m).collect()
     p = np.unique(np.asarray([r["__tx"] for r in rows], dtype=np.float64) * np.sqrt(weights), axis=0)
+    if not np.isfinite(p).all():
+        return p[:m]
+    chosen, gap = [0], ((p - p[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(m, len(p)):
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, ((p - p[chosen[-1]]) ** 2).sum(axis=1))
+    p = p[chosen]
     centred = p - p.mean(axis=0)
-    if np.isfinite(centred).all():
-        p = p[np.argsort(centred @ np.linalg.svd(centred, full_matrices=False)[2][0], kind="stable")]
-    return p
+    return p[np.argsort(centred @ np.linalg.svd(centred, full_matrices=False)[2][0], kind="stable")]
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:

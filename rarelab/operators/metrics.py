@@ -117,6 +117,11 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "score", by=None
     per_score = pred.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(
         *by, F.col(score).cast("double").alias("__s")).agg(
         F.count(F.when(y, 1)).alias("pos"), F.count(F.when(~y, 1)).alias("neg"))
+    return auc_of_counts(per_score, by)
+
+
+def auc_of_counts(per_score: DataFrame, by: list[str]) -> DataFrame:
+    """I8 from ``(by..., __s, pos, neg)``, one row per group and distinct score."""
     cum = running_sum(per_score, by, ["__s"], ["neg"])  # materialises the per-score table
     contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg") + 0.5 * F.col("neg"))
     aggs = [F.try_divide(F.sum(contrib), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc")]

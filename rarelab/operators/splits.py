@@ -2,8 +2,8 @@
 
 All randomness is key-hashed (:mod:`rarelab.functions.hashing`): a split is a
 pure function of (seed, key), independent of partitioning and reproducible in
-SQL.  No global window is used: exact cuts are order statistics found by
-narrowing brackets, class ranks come from range-partitioned running sums.
+SQL.  No global window is used: exact cuts are read off a verified bracket of
+the hash, class ranks come from range-partitioned running sums.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rarelab.functions.hashing import hash_string, uniform
-from rarelab.functions.quantile import order_statistics
+from rarelab.functions.hashing import hash_string
+from rarelab.operators.cuts import before_cut, hash_cuts
 from rarelab.operators.ordered import running_sum
 from rarelab.session import cut_lineage
 
@@ -23,22 +23,17 @@ def holdout_split(df: DataFrame, key: str, test_size: float, seed: int,
                   name: str = "is_test") -> DataFrame:
     """G1: shuffled, unstratified holdout of exact size ``ceil(n * test_size)``.
 
-    Test rows are the first ones in (md5(seed:key), key) order.  The cut is the
-    exact order statistic of the hash's leading 52 bits; only rows that tie
-    with it there are ordered further."""
+    Test rows are the first ones in (md5(seed:key), key) order.  After the count,
+    one scan finds the cut (:func:`rarelab.operators.cuts.hash_cuts`); the result
+    is a condition on the rows, read with them."""
     n = df.count()
     n_test = min(n, math.ceil(test_size * n))
-    if n_test == 0:
-        return df.withColumn(name, F.lit(False))
-    if n_test == n:
-        return df.withColumn(name, F.lit(True))
-    h, u = F.md5(hash_string(seed, key)), uniform(seed, key)
-    cut = order_statistics(df, u, [n_test - 1], n)[n_test - 1]
-    before = df.where(u < F.lit(cut)).count()
-    last = (df.where(u == F.lit(cut)).select(h.alias("h"), F.col(key).alias("k")).orderBy("h", "k")
-            .offset(n_test - 1 - before).limit(1).first())
-    in_order = (h < F.lit(last["h"])) | ((h == F.lit(last["h"])) & (F.col(key) <= F.lit(last["k"])))
-    return df.withColumn(name, (u < F.lit(cut)) | ((u == F.lit(cut)) & in_order))
+    if n_test in (0, n):
+        return df.withColumn(name, F.lit(n_test > 0))
+    h = F.md5(hash_string(seed, key))
+    want = df.sparkSession.createDataFrame([(n, n_test)], "n bigint, take bigint")
+    cut = hash_cuts(df.select(h.alias("__h"), F.col(key).alias("__k")), [], want).first()
+    return df.withColumn(name, before_cut(h, F.col(key), F.lit(cut["__cut_h"]), F.lit(cut["__cut_k"])))
 
 
 def class_table(df: DataFrame, label: str, key: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Cross-validation, cohort scoring and parameter sweeps (inventory H7, I9,
 I10, I12, J1-J5).
 
-A split is a column, not a loop: ``split_id = repeat * n_splits + fold``.  Test
-rows carry their own split id; training rows are replicated to every split of
-their repeat except their own fold.  Resampling, neighbour search, model fits
-and scoring are all keyed by ``split_id``, so 30 splits are one Spark job.
+A split is a column, not a loop: ``split_id = repeat * n_splits + fold``.  No
+training row is copied for its splits: a search leaves out the rows of the
+query's own fold, and a resampled training row lists the (configuration, fold)
+pairs that it trains for.  Test rows of equal features, fold and repeat share
+their prediction, so each such set is scored once, with the numbers of its
+positive and negative rows.
 """
 
 from __future__ import annotations
@@ -13,19 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rarelab.operators import metrics
-from rarelab.session import cut_lineage
 from rarelab.operators.knn import knn_k_sweep, knn_neighbors, knn_vote
-
-
-def split_frames(folds: DataFrame, n_splits: int, split: str = "split_id",
-                 repeat: str = "repeat", fold: str = "fold") -> tuple[DataFrame, DataFrame]:
-    """(train, test) keyed by ``split``.  Each row trains in ``n_splits - 1``
-    splits of its repeat and is tested in one."""
-    test = folds.withColumn(split, F.col(repeat) * n_splits + F.col(fold))
-    others = F.filter(F.sequence(F.lit(0), F.lit(n_splits - 1)), lambda g: g != F.col(fold))
-    train = folds.withColumn("__g", F.explode(others)).withColumn(
-        split, F.col(repeat) * n_splits + F.col("__g")).drop("__g")
-    return train, test
+from rarelab.operators.logistic import fit_logistic_groups, predict_groups
+from rarelab.operators.resample import resampled_members
+from rarelab.session import cut_lineage
 
 
 def cv_knn_sweep(folds: DataFrame, n_splits: int, features, ks: list[int], key: str = "entity_id",
@@ -70,26 +63,17 @@ def best_param(summary: DataFrame, param: str = "k") -> DataFrame:
 
 
 def cv_knn_predictions(folds: DataFrame, n_splits: int, features, k: int, key: str = "entity_id",
-                       label: str = "label", weights=None, train_transform=None) -> DataFrame:
-    """Out-of-fold kNN predictions ``(split_id, key, label, pred,
-    proba)``.  ``train_transform(train_df) -> train_df`` resamples the
-    training side per split (it must keep ``split_id``); test rows are never
-    touched."""
-    if train_transform is None:
-        # no resampling: one search per repeat with same-fold pairs left out -
-        # every fold of the repeat is scored at once and no training row is copied
-        rows = folds.select("repeat", "fold", key, label, *([features] if isinstance(features, str) else features))
-        nb = knn_neighbors(rows, rows, features, k, key=key, label=label, split="repeat", weights=weights,
-                           exclude_col="fold")
-        votes = knn_vote(nb, key, "repeat")
-        test = folds.select("repeat", "fold", key, label).withColumn(
-            "split_id", F.col("repeat") * n_splits + F.col("fold"))
-        return cut_lineage(test.join(votes, ["repeat", key], "left").select("split_id", key, label, "pred", "proba"))
-    train, test = split_frames(folds, n_splits)
-    nb = knn_neighbors(train_transform(train), test, features, k, key=key, label=label, split="split_id", weights=weights)
-    votes = knn_vote(nb, key, "split_id")
+                       label: str = "label", weights=None) -> DataFrame:
+    """Out-of-fold kNN predictions ``(split_id, key, label, pred, proba)``: one search per repeat
+    with same-fold pairs left out."""
+    rows = folds.select("repeat", "fold", key, label, *([features] if isinstance(features, str) else features))
+    nb = knn_neighbors(rows, rows, features, k, key=key, label=label, split="repeat", weights=weights,
+                       exclude_col="fold")
+    votes = knn_vote(nb, key, "repeat")
+    test = folds.select("repeat", "fold", key, label).withColumn(
+        "split_id", F.col("repeat") * n_splits + F.col("fold"))
     # one row per test row and split, scored by several metrics: materialise once
-    return cut_lineage(test.select("split_id", key, label).join(votes, ["split_id", key], "left"))
+    return cut_lineage(test.join(votes, ["repeat", key], "left").select("split_id", key, label, "pred", "proba"))
 
 
 def split_scores(preds: DataFrame, label: str = "label") -> DataFrame:
@@ -109,34 +93,62 @@ def score_summary(scores: DataFrame, cols=("accuracy", "roc_auc")) -> DataFrame:
     return out.withColumn("error", 1.0 - F.col("mean_accuracy")) if "accuracy" in cols else out
 
 
-def resampler(features: list[str], over_ratio=None, over_k: int = 5, under_ratio=None,
-              seed: int = 42, label: str = "label", key: str = "entity_id", smote_on: bool = True,
-              neighbors: DataFrame | None = None):
-    """H7: a fit-time-only resampling step for :func:`cv_knn_predictions` /
-    :func:`cv_logistic` - SMOTE (``over_ratio``, None = balance) then optional
-    under-sampling, per ``split_id``."""
-    from rarelab.operators.resample import resample_grid, undersample
-
-    def step(train: DataFrame) -> DataFrame:
-        t = train.select("split_id", key, label, *features)
-        if not smote_on:
-            return undersample(t, under_ratio, label, key, seed, "split_id") if under_ratio is not None else t
-        cfg = {"over_ratio": over_ratio, "over_k": over_k, "under_ratio": under_ratio}
-        return resample_grid(t, features, [cfg], label, key, seed, "split_id", neighbors=neighbors).drop("config")
-    return step
-
-
-def cv_logistic(folds: DataFrame, n_splits: int, features: list[str], label: str = "label",
-                key: str = "entity_id", C: float = 1.0, train_transform=None) -> DataFrame:
-    """I9 for L2 logistic regression: every split's model in one batched
-    Newton fit; out-of-fold ``(split_id, key, label, pred, proba)``."""
-    from rarelab.operators.logistic import fit_logistic_groups, predict_groups
-    train, test = split_frames(folds, n_splits)
-    if train_transform is not None:
-        train = train_transform(train)
-    coefs = fit_logistic_groups(train, features, label, ["split_id"], C=C)
-    preds = predict_groups(coefs, test.select("split_id", key, label, *features), features, ["split_id"])
-    return cut_lineage(preds.select("split_id", key, label, "pred", "proba"))
+def _test_sets(folds: DataFrame, n_splits: int, features: list[str], label: str, n_configs: int) -> DataFrame:
+    """Test rows of equal features as one: ``(repeat, fold, features..., __pos, __neg, config, __in, __pair)``, once
+    per configuration; ``__in`` is the member of the training rows, ``__pair`` a key."""
+    y = F.col(label).cast("boolean")
+    sets = folds.groupBy("repeat", "fold", *[F.col(f).cast("double").alias(f) for f in features]).agg(
+        F.count(F.when(y, 1)).alias("__pos"), F.count(F.when(~y, 1)).alias("__neg"))
+    sets = sets.withColumn("config", F.explode(F.sequence(F.lit(0), F.lit(n_configs - 1))))
+    sets = sets.withColumn("__in", (F.col("config") * F.lit(n_splits) + F.col("fold")).cast("int"))
+    return cut_lineage(sets.withColumn("__pair", F.concat_ws(":", "__in", *features)))
+
+
+def _set_scores(preds: DataFrame, n_splits: int) -> DataFrame:
+    """``(config, split_id, accuracy, n, error, roc_auc)`` of scored sets of test rows; a set without a prediction is wrong."""
+    by = ["config", "split_id"]
+    preds = cut_lineage(preds.withColumn("split_id", F.col("repeat") * n_splits + F.col("fold")).select(
+        *by, "pred", "proba", "__pos", "__neg"))
+    right = F.coalesce(F.sum(F.when(F.col("pred"), F.col("__pos")).when(~F.col("pred"), F.col("__neg"))), F.lit(0))
+    n = F.sum(F.col("__pos") + F.col("__neg"))
+    acc = preds.groupBy(*by).agg((right / n).alias("accuracy"), n.alias("n")).withColumn("error", 1.0 - F.col("accuracy"))
+    counts = preds.where(F.col("proba").isNotNull()).groupBy(*by, F.col("proba").alias("__s")).agg(
+        F.sum("__pos").alias("pos"), F.sum("__neg").alias("neg"))
+    return acc.join(metrics.auc_of_counts(counts, by), by)
+
+
+def cv_knn_scores(folds: DataFrame, n_splits: int, features: list[str], k: int, configs: list[dict] | None = None,
+                  seed: int = 42, key: str = "entity_id", label: str = "label", weights=None) -> DataFrame:
+    """``(config, split_id, accuracy, n, error, roc_auc)`` of a kNN classifier on every split; with ``configs``
+    (see :func:`rarelab.operators.resample.resampled_members`) on resampled training rows, once per
+    configuration.  Test rows are never resampled."""
+    sets = _test_sets(folds, n_splits, features, label, len(configs or [None]))
+    if configs is None:
+        train = folds.select("repeat", key, label, *features, F.col("fold").alias("__in"))
+        nb = knn_neighbors(train, sets, features, k, key=key, label=label, query_key="__pair", split="repeat",
+                           weights=weights, exclude_col="__in")
+    else:
+        train = resampled_members(folds, n_splits, features, configs, label, key, seed)
+        nb = knn_neighbors(train, sets, features, k, key=key, label=label, query_key="__pair", split="repeat",
+                           weights=weights, exclude_col="__in", member_col="__in")
+    votes = knn_vote(nb, "__pair", "repeat")
+    return _set_scores(sets.join(votes, ["repeat", "__pair"], "left"), n_splits)
+
+
+def cv_logistic_scores(folds: DataFrame, n_splits: int, features: list[str], configs: list[dict] | None = None,
+                       seed: int = 42, key: str = "entity_id", label: str = "label", C: float = 1.0) -> DataFrame:
+    """I9 for L2 logistic regression, as :func:`cv_knn_scores`: the models of all configurations and splits in
+    one batched Newton fit.  A row is counted for every model that it trains, equal rows of a model as one;
+    it is not written down for each."""
+    sets = _test_sets(folds, n_splits, features, label, len(configs or [None]))
+    if configs is None:
+        others = F.filter(F.sequence(F.lit(0), F.lit(n_splits - 1)), lambda f: f != F.col("fold"))
+        train = folds.withColumn("__in", others)
+    else:
+        train = resampled_members(folds, n_splits, features, configs, label, key, seed)
+    train = train.select("repeat", label, *features, F.explode("__in").alias("__in"))
+    coefs = fit_logistic_groups(train, features, label, ["repeat", "__in"], C=C)
+    return _set_scores(predict_groups(coefs, sets, features, ["repeat", "__in"]), n_splits)
 
 
 def sweep_resampled(folds: DataFrame, n_splits: int, features: list[str], configs: list[dict],
@@ -146,31 +158,14 @@ def sweep_resampled(folds: DataFrame, n_splits: int, features: list[str], config
     resampling configuration ``{"param", "over_ratio", "over_k",
     "under_ratio"}``.
 
-    The configuration is a key column: one batched resampling pass builds the
-    training rows of every (config, split) - minority index, neighbour list
-    and majority ranking are shared - and one neighbour search (or one batched
-    logistic fit) and one AUC pass run grouped by ``(config, split_id)``."""
-    from rarelab.operators.logistic import fit_logistic_groups, predict_groups
-    from rarelab.operators.resample import resample_grid
-    train, test = split_frames(folds, n_splits)
-    grid = resample_grid(train.select("split_id", key, label, *features), features, configs, label, key, seed,
-                         "split_id")
-    cfg = folds.sparkSession.createDataFrame(
-        [(i, float(c["param"])) for i, c in enumerate(configs)], "config int, param double")
-    queries = test.select("split_id", key, label, *features).withColumn(
-        "config", F.explode(F.sequence(F.lit(0), F.lit(len(configs) - 1))))
-    groups = ["config", "split_id"]
+    The configuration is part of what a training row lists and a test set asks for:
+    one resampling pass, one neighbour search (or one batched logistic fit) and one AUC pass serve them all."""
     if model == "knn":
-        nb = knn_neighbors(grid, queries, features, k, key=key, label=label, split=groups)
-        votes = knn_vote(nb, key, groups)
-        preds = queries.select(*groups, key, label).join(votes, [*groups, key], "left")
+        per_split = cv_knn_scores(folds, n_splits, features, k, configs, seed, key, label)
     else:
-        coefs = fit_logistic_groups(grid, features, label, groups)
-        preds = predict_groups(coefs, queries, features, groups).select(*groups, key, label, "pred", "proba")
-    preds = cut_lineage(preds)
-    acc = metrics.accuracy(preds, label, "pred", by=groups).select(*groups, "accuracy")
-    auc = metrics.roc_auc(preds, label, "proba", by=groups)
-    per_split = acc.join(auc, groups)
+        per_split = cv_logistic_scores(folds, n_splits, features, configs, seed, key, label)
+    cfg = folds.sparkSession.createDataFrame(
+        [(i, float(c["param"])) for i, c in enumerate(configs)], "config int, param double")
     summary = per_split.groupBy("config").agg(
         F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"),
         F.avg("roc_auc").alias("mean_roc_auc"), F.stddev_pop("roc_auc").alias("std_roc_auc"))

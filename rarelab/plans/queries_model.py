@@ -373,13 +373,14 @@ def _cv_folds(spark, sf_dir):
     return stratified_folds(t, "label", "entity_id", CV_SPLITS, seed=FOLD_SEED, n_repeats=CV_REPEATS)
 
 
+def _config(resample: tuple) -> dict:
+    return dict(zip(("over_ratio", "over_k", "under_ratio"), resample, strict=True))
+
+
 def _cv_scores(spark, sf_dir, resample=None):
-    from rarelab.plans.crossval import cv_knn_predictions, resampler, split_scores
-    step = None
-    if resample is not None:
-        step = resampler(["n_orders"], resample[0], resample[1], resample[2], SMOTE_SEED)
-    preds = cv_knn_predictions(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], 5, train_transform=step)
-    return split_scores(preds)
+    from rarelab.plans.crossval import cv_knn_scores
+    scores = cv_knn_scores(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], 5, [_config(resample)] if resample else None, SMOTE_SEED)
+    return scores.select("split_id", "accuracy", "roc_auc")
 
 
 @register("cv_scores", with_ctes(*CV_BASE, *_cv_ctes("a", 5), body="""
@@ -701,9 +702,9 @@ LOGIT_CV = {"logistic_cv": None, "logistic_smote_cv": (0.1, 5, 0.5), "logistic_b
 def _logit_cv_query(name: str, resample: tuple | None) -> None:
     @register(name, with_ctes(*CV_BASE, *_logit_cv_ctes("a", resample), body=f"SELECT {CV_COLS} FROM summary_a"))
     def q(spark, sf_dir):
-        from rarelab.plans.crossval import cv_logistic, resampler, score_summary, split_scores
-        step = resampler(["n_orders"], *resample, SMOTE_SEED) if resample else None
-        return rounded(score_summary(split_scores(cv_logistic(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], train_transform=step))))
+        from rarelab.plans.crossval import cv_logistic_scores, score_summary
+        configs = [_config(resample)] if resample else None
+        return rounded(score_summary(cv_logistic_scores(_cv_folds(spark, sf_dir), CV_SPLITS, ["n_orders"], configs, SMOTE_SEED)))
 
 
 for _name, _resample in LOGIT_CV.items():

@@ -1,4 +1,6 @@
 """Nulls, ties, clashing names, small constants: answers that must not depend on the path or the size."""
+import hashlib
+import hashlib
 import random
 
 import numpy as np
@@ -127,11 +129,11 @@ def test_synthetic_rows_over_many_chunks(spark, monkeypatch):
 def test_holdout_ties_at_the_cut(spark, monkeypatch):
     import rarelab.operators.splits as splits
     df = spark.range(500).withColumnRenamed("id", "entity_id")
-    want = {r[0] for r in holdout_split(df, "entity_id", 0.3, 2).where("is_test").collect()}
-    # leading bits that tie: the digest itself decides
-    monkeypatch.setattr(splits, "uniform", lambda seed, key: F.floor(
-        F.conv(F.substring(F.md5(splits.hash_string(seed, key)), 1, 1), 16, 10).cast("double")))
-    assert {r[0] for r in holdout_split(df, "entity_id", 0.3, 2).where("is_test").collect()} == want
+    # digests that repeat: the key decides
+    monkeypatch.setattr(splits, "hash_string", lambda seed, key: (F.col(key) % 3).cast("string"))
+    digest = {k: hashlib.md5(str(k).encode()).hexdigest() for k in range(3)}
+    want = sorted(range(500), key=lambda i: (digest[i % 3], i))[:150]
+    assert {r[0] for r in holdout_split(df, "entity_id", 0.3, 2).where("is_test").collect()} == set(want)
 
 
 def test_scale_scopes(spark):
@@ -167,13 +169,12 @@ def test_grouped_logistic_on_two_features(spark):
 
 
 def test_logistic_cv_and_sweep_agree(spark):
-    from rarelab.plans.crossval import cv_logistic, resampler, score_summary, split_scores, sweep_resampled
+    from rarelab.plans.crossval import cv_logistic_scores, score_summary, sweep_resampled
     rng = np.random.default_rng(4)
     rows = [(i, bool(i % 6 == 0), float(rng.normal(2.0 * (i % 6 == 0)))) for i in range(240)]
     df = spark.createDataFrame(rows, "entity_id long, label boolean, x double")
     folds = stratified_folds(df, "label", "entity_id", 3, seed=1, n_repeats=2)
-    step = resampler(["x"], 0.4, 3, 0.8, 42)
-    one = score_summary(split_scores(cv_logistic(folds, 3, ["x"], train_transform=step))).first()
+    one = score_summary(cv_logistic_scores(folds, 3, ["x"], [dict(over_ratio=0.4, over_k=3, under_ratio=0.8)], 42)).first()
     sweep = sweep_resampled(folds, 3, ["x"], [dict(param=1, over_ratio=0.4, over_k=3, under_ratio=0.8)], model="logistic").first()
     assert one["mean_roc_auc"] == pytest.approx(sweep["mean_roc_auc"]) and one["error"] == pytest.approx(1 - one["mean_accuracy"])
     assert one["mean_roc_auc"] > 0.8

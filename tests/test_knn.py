@@ -94,13 +94,90 @@ def test_array_form_equals_long_form(spark):
 
 def test_cv_fold_exclusion_equals_replication(spark):
     from rarelab.operators.splits import stratified_folds
-    from rarelab.plans.crossval import cv_knn_predictions, split_frames
+    from rarelab.plans.crossval import cv_knn_predictions
     df = _data(spark, 200, 5)
     folds = stratified_folds(df, "label", "entity_id", 5, seed=3, n_repeats=2)
     fast = {(r["split_id"], r["entity_id"]): (r["pred"], r["proba"])
             for r in cv_knn_predictions(folds, 5, ["a", "b"], 5).collect()}
-    train, test = split_frames(folds, 5)
+    test = folds.withColumn("split_id", F.col("repeat") * 5 + F.col("fold"))
+    train = folds.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(4)))).where("g <> fold").withColumn(
+        "split_id", F.col("repeat") * 5 + F.col("g"))
     nb = knn_neighbors(train, test, ["a", "b"], 5, split="split_id", method="pivots")
     slow = {(r["split_id"], r["entity_id"]): (r["pred"], r["proba"])
             for r in knn_vote(nb, "entity_id", "split_id").collect()}
     assert fast == slow and len(fast) == 400
+
+
+def _members(spark, n, seed, cols=2):
+    """Rows that each train for some of four classes, integer features with many ties."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, bool(rng.random() < 0.3), *(float(x) for x in rng.integers(0, 9, cols)), int(i % 4),
+             [int(c) for c in range(4) if rng.random() < 0.6]) for i in range(n)]
+    names = "abc"[:cols]
+    return spark.createDataFrame(rows, "entity_id long, label boolean, " + ", ".join(f"{c} double" for c in names)
+                                 + ", cls int, listed array<int>"), rows, list(names)
+
+
+def test_listed_and_excluded_training_rows(spark):
+    for method, cols in (("sorted", 1), ("pivots", 1), ("pivots", 2)):
+        df, rows, names = _members(spark, 250, 8, cols)
+        for member in ("listed", None):
+            nb = knn_neighbors(df, df, names, 4, exclude_col="cls", member_col=member, method=method,
+                               train_block_rows=40, query_block_rows=60)
+            got = {(r["entity_id"], r["neighbor_key"], r["rank"]) for r in nb.collect()}
+            want = set()
+            for q in rows:
+                ok = [t for t in rows if (q[-2] in t[-1] if member else q[-2] != t[-2])]
+                near = sorted((sum((a - b) ** 2 for a, b in zip(q[2:2 + cols], t[2:2 + cols])), t[0]) for t in ok)[:4]
+                want |= {(q[0], key, rank + 1) for rank, (_, key) in enumerate(near)}
+            assert got == want, (method, cols, member)
+
+
+def test_line_search_over_partitions_of_one_value(spark):
+    """A third of the rows share a value, so its run fills several partitions; others hold a handful."""
+    rng = np.random.default_rng(9)
+    rows = [(i, bool(i % 3), 5.0 if i % 3 == 0 else float(rng.normal(5, 0.01) if i % 3 == 1 else rng.integers(-50, 50)), 0.0)
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "entity_id long, label boolean, a double, b double")
+    tr, qu = df.where("entity_id % 5 <> 0"), df.where("entity_id % 5 = 0 OR entity_id < 40")
+    trr, qur = tr.collect(), qu.collect()
+    for k in (1, 3, 60):
+        got = {(r["entity_id"], r["neighbor_key"], r["rank"]) for r in knn_neighbors(tr, qu, ["a"], k).collect()}
+        assert got == _brute(trr, qur, ["a"], k)
+    words = tr.withColumn("entity_id", F.format_string("k%04d", "entity_id"))
+    got = {(r["entity_id"], int(r["neighbor_key"][1:]), r["rank"]) for r in knn_neighbors(
+        words, qu.withColumnRenamed("entity_id", "q"), ["a"], 3, query_key="q").withColumnRenamed("q", "entity_id").collect()}
+    assert got == _brute(trr, qur, ["a"], 3)
+
+
+def test_pivots_prune_and_lose_nothing(spark):
+    """Clustered vectors: far fewer distances than pairs, the same neighbours; noise: the same neighbours."""
+    rng = np.random.default_rng(10)
+    centres = rng.standard_normal((12, 6)) * 10
+    for spread, bound in ((0.3, 0.2), (30.0, 1.01)):
+        rows = [(i, bool(i % 2), (centres[i % 12] + spread * rng.standard_normal(6)).tolist()) for i in range(600)]
+        rows += [(600 + i, True, rows[0][2]) for i in range(150)]  # one vector many times
+        df = spark.createDataFrame(rows, "entity_id long, label boolean, v array<double>")
+        counter = spark.sparkContext.accumulator(0)
+        nb = knn_neighbors(df, df, "v", 5, exclude_self=True, train_block_rows=150, query_block_rows=200, counter=counter)
+        got = {(r["entity_id"], r["neighbor_key"], r["rank"]) for r in nb.collect()}
+        x = np.array([r[2] for r in rows])
+        want = set()
+        for i in range(len(rows)):
+            d = np.zeros(len(rows))
+            for j in range(6):
+                d += (x[i, j] - x[:, j]) ** 2
+            d[i] = np.inf
+            want |= {(i, int(t), rank + 1) for rank, t in enumerate(np.lexsort((np.arange(len(rows)), d))[:5])}
+        assert got == want and counter.value <= bound * len(rows) ** 2, counter.value / len(rows) ** 2
+
+
+def test_pivots_without_rows_or_neighbours(spark):
+    df, _, _ = _members(spark, 30, 1)
+    assert knn_neighbors(df.limit(0), df, ["a", "b"], 3).collect() == []
+    assert knn_neighbors(df, df.limit(0), ["a", "b"], 3).collect() == []
+    few = knn_neighbors(df.where("entity_id < 2"), df, ["a", "b"], 5)
+    assert few.count() == 60 and knn_neighbors(df.where("entity_id < 2"), df, ["a"], 5).count() == 60
+    alone = df.withColumn("cls", F.lit(1))
+    assert knn_neighbors(alone, alone, ["a", "b"], 3, exclude_col="cls").collect() == []
+    assert knn_neighbors(alone, alone, ["a"], 3, exclude_col="cls").collect() == []

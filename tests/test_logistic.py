@@ -60,3 +60,28 @@ def test_proba_columns(spark):
     out = fit_logistic(df, ["x"]).transform(df).select(
         (F.abs(F.col("proba") + F.col("proba_negative") - 1) < 1e-12).alias("ok"), "pred", "proba").collect()
     assert all(r["ok"] and r["pred"] == (r["proba"] > 0.5) for r in out)
+
+
+def test_many_groups_and_features(spark):
+    """Each group's model equals a Newton fit of its own; one group holds most rows, one has a constant feature."""
+    from rarelab.operators.logistic import fit_logistic_groups
+    rng = np.random.default_rng(12)
+    d, rows = 12, []
+    for g in range(40):
+        n = 6000 if g == 7 else 30
+        x = rng.standard_normal((n, d)) * (0 if g == 3 else 1)
+        y = rng.random(n) < 1 / (1 + np.exp(-(x @ np.linspace(-1, 1, d))))
+        rows += [(f"g{g}" if g else None, bool(t), *map(float, r)) for r, t in zip(x, y)]
+    rows += [("g1", None, *[0.0] * d), ("g1", True, *[None] * d)]  # left out
+    names = [f"f{i}" for i in range(d)]
+    df = spark.createDataFrame(rows, "seg string, label boolean, " + ", ".join(f"{n} double" for n in names))
+    got = {r["seg"]: np.array(r[1:]) for r in fit_logistic_groups(df, names, "label", ["seg"], C=0.7).collect()}
+    assert len(got) == 40
+    for seg in (None, "g1", "g3", "g7", "g20"):
+        mine = [r for r in rows if r[0] == seg and None not in r[1:]]
+        X, t = np.array([[1.0, *r[2:]] for r in mine]), np.array([r[1] for r in mine], float)
+        w, pen = np.zeros(d + 1), np.diag([0.0] + [1.0] * d)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-X @ w))
+            w -= np.linalg.solve(0.7 * (X * (p * (1 - p))[:, None]).T @ X + pen, 0.7 * X.T @ (p - t) + pen @ w)
+        assert got[seg] == pytest.approx(w, abs=1e-6)

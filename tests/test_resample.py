@@ -1,8 +1,12 @@
 """Resampling: worked counts, segment property, refusal of impossible targets."""
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rarelab.operators import resample
+from rarelab.operators.cuts import hash_cuts
 from rarelab.operators.resample import over_under, smote, undersample
+from rarelab.operators.splits import stratified_folds
 
 
 def _frame(spark, n_maj=735, n_min=65):
@@ -80,3 +84,47 @@ def test_grid_equals_per_config(spark):
         a = sorted(tuple(r) for r in grid.where(F.col("config") == i).select(*cols).collect())
         b = sorted(tuple(r) for r in one.select(*cols).collect())
         assert a == b, i
+
+
+def test_members_equal_resampled_copies(spark):
+    """What rows list is what resampling copied training rows gives, for every configuration and split."""
+    rng = np.random.default_rng(6)
+    rows = [(i, bool(i % 5 == 0), float(rng.integers(0, 15)), float(rng.normal())) for i in range(150)]
+    df = spark.createDataFrame(rows, "entity_id long, label boolean, x double, z double")
+    folds = stratified_folds(df, "label", "entity_id", 4, seed=2, n_repeats=2)
+    copies = folds.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(3)))).where("g <> fold").withColumn(
+        "split_id", F.col("repeat") * 4 + F.col("g"))
+    configs = [dict(over_ratio=0.4, over_k=3, under_ratio=0.9), dict(over_ratio=None, over_k=4, under_ratio=None),
+               dict(over_ratio=0.5, over_k=1, under_ratio=0.6)]
+    for features in (["x"], ["x", "z"]):
+        want = resample.resample_grid(copies, features, configs, seed=7, split="split_id")
+        want = {(r["config"], r["split_id"], r["entity_id"], r["label"], *(round(r[f], 9) for f in features)) for r in want.collect()}
+        got = set()
+        for r in resample.resampled_members(folds, 4, features, configs, seed=7).collect():
+            for m in r["__in"]:
+                row = (m // 4, r["repeat"] * 4 + m % 4, r["entity_id"], r["label"], *(round(r[f], 9) for f in features))
+                assert row not in got
+                got.add(row)
+        assert got == want
+    members = resample.resampled_members(folds, 4, ["x"], configs[:1], seed=7)
+    assert members.where("entity_id >= 0").count() <= 300  # a row once per repeat
+
+
+def test_members_refuse_as_resampling_does(spark):
+    df = spark.createDataFrame([(i, i < 8, float(i)) for i in range(60)], "entity_id long, label boolean, x double")
+    folds = stratified_folds(df, "label", "entity_id", 4)
+    for config, message in ((dict(over_ratio=0.01), "remove minority"), (dict(over_ratio=0.5, over_k=9), "more minority"),
+                            (dict(over_ratio=0.5, under_ratio=0.1), "cannot be met")):
+        with pytest.raises(ValueError, match=message):
+            resample.resampled_members(folds, 4, ["x"], [config])
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_hash_cuts_are_exact(spark, distinct):
+    """Unique keys, and keys that repeat so that the bracket fails and is widened."""
+    rows = [(g, i if distinct else i % 2) for g in range(3) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, __k long").withColumn("__h", F.md5(F.concat_ws(":", "g", "__k")))
+    want = spark.createDataFrame([(0, 400, 1), (1, 400, 200), (2, 400, 400), (3, 0, 0)], "g int, n long, take long")
+    cuts = {r["g"]: (r["__cut_h"], r["__cut_k"]) for r in hash_cuts(df, ["g"], want).collect()}
+    ordered = {g: sorted((r["__h"], r["__k"]) for r in df.where(F.col("g") == g).collect()) for g in range(3)}
+    assert cuts == {0: ordered[0][0], 1: ordered[1][199], 2: ordered[2][399]}
