@@ -201,13 +201,14 @@ def _verifier(percent: int):
 
 
 def _components(texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Of rows ``doc_id, text`` and others: ``(all_rows, label)``, the rows with their node, and every node's
-    smallest ``doc_id`` and component.  Rows without a ``doc_id`` have no part in the nodes."""
+    """Of rows ``doc_id`` (any type that sorts), ``text`` and others: ``(all_rows, label)``, the rows with their node, and
+    every node's smallest ``doc_id`` and component.  Rows without a ``doc_id`` have no part in the nodes."""
     spark = texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     others = "".join(f", {f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name not in ("doc_id", "text"))
+    of_id = texts.schema["doc_id"].dataType.simpleString()
     all_rows = cut_lineage(map_arrow(texts, _nodes(width),
-                                     "doc_id bigint, n_shingles bigint, node string, sig binary" + others))
+                                     f"doc_id {of_id}, n_shingles bigint, node string, sig binary" + others))
     live = all_rows.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     nodes = cut_lineage(live.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"),
                                                  F.first("sig").alias("sig")))
@@ -276,7 +277,8 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     last); of rows that repeat it, the smallest hash of id and text; of rows
     equal in both, any."""
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("key", F.xxhash64("id", "text"))
+    named = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("none")), F.coalesce("text", F.lit("")))
+    rows = rows.withColumn("key", F.unhex(F.sha2(named, 256)))
     all_rows, label = _components(rows.select(F.col("key").alias("doc_id"), "text", "id"), width, percent)
     live = all_rows.where("node IS NOT NULL").select(F.col("doc_id").alias("key"), "id", "node")
     firsts = cut_lineage(live.groupBy("node").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first")))

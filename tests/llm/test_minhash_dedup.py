@@ -177,3 +177,15 @@ def test_one_row_of_each_group_stays(spark):
     kept = m.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["11", "11", "3", "5", "7", "9", "None"]
     assert {tuple(r) for r in kept} >= {(3, t), (5, other), (9, "same here")}
+
+
+def test_rows_whose_64_bit_hashes_are_equal_stay(spark, monkeypatch):
+    """With one 64-bit hash for everything no row is taken for another."""
+    rng = random.Random(31)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(400)], k=60)) for _ in range(6)]
+    texts += [texts[0] + " more", "", None, "short one"]  # a near copy of the first, and texts on their own
+    rows = [(i + 1, t, None, None, None) for i, t in enumerate(texts)] + [(1, texts[0], None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    monkeypatch.setattr(m.F, "xxhash64", lambda *cols: m.F.lit(7).cast("bigint"))
+    kept = sorted(r["doc_id"] for r in m.keep_one(df).collect())
+    assert kept == [1, 2, 3, 4, 5, 6, 8, 9, 10]
