@@ -1,6 +1,5 @@
 """Nulls, ties, clashing names, small constants: answers that must not depend on the path or the size."""
 import hashlib
-import hashlib
 import random
 
 import numpy as np
