@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rarelab.functions.comoments import pair_correlations
 from rarelab.functions.quantile import exact_percentiles
 from rarelab.session import cut_lineage
 
@@ -86,27 +87,13 @@ def correlation_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise-complete Pearson r for every ordered pair, long form
     ``(feature_a, feature_b, r)``.
 
-    Each row is exploded into its unordered column pairs (rows where either
-    value is null drop out of that pair only), and one small aggregate per
-    pair - ``covar_pop / (stddev_pop * stddev_pop)`` - runs with partial
-    aggregation, so every task holds one buffer per pair.  A constant column
-    gives NULL (``try_divide``) instead of an ANSI division error."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    x = [F.col(c).cast("double") for c in cols]
-    exploded = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), x[i].alias("a"), x[j].alias("b"))
-        for i, j in pairs]))).where(F.col("a").isNotNull() & F.col("b").isNotNull())
-    r = exploded.groupBy("i", "j").agg(
-        F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("r"))
-    # pairs with no complete row still appear, with r NULL
-    grid = df.sparkSession.createDataFrame(pairs, "i int, j int")
-    r = grid.join(r, ["i", "j"], "left")
+    A pair is computed over the rows that have both values.  A task sends one
+    state of co-moments, whatever its rows and columns
+    (:mod:`rarelab.functions.comoments`).  A constant column and a pair without
+    rows give NULL."""
     names = F.array(*[F.lit(c) for c in cols])
-    both = r.select(F.explode(F.array(
-        F.struct(F.col("i").alias("a"), F.col("j").alias("b"), "r"),
-        F.struct(F.col("j").alias("a"), F.col("i").alias("b"), "r"))).alias("p")).distinct()
-    return both.select(F.element_at(names, F.col("p.a") + 1).alias("feature_a"),
-                       F.element_at(names, F.col("p.b") + 1).alias("feature_b"), F.col("p.r").alias("r"))
+    return pair_correlations(df, cols).select(F.get(names, F.col("i")).alias("feature_a"),
+                                              F.get(names, F.col("j")).alias("feature_b"), "r")
 
 
 def label_correlation(df: DataFrame, cols: list[str], label: str) -> DataFrame:
