@@ -42,7 +42,12 @@ from rarelab.session import cut_lineage
 def _feature_array(cols) -> F.Column:
     if isinstance(cols, str):
         return F.col(cols).cast("array<double>")
-    return F.array(*[F.col(c).cast("double") for c in cols])
+    return F.array(*[F.col(c).cast("double") for c in cols]).cast("array<double>")
+
+
+def _code_array(cols: list[str]) -> F.Column:
+    """Level codes, -1 where there is none."""
+    return F.array(*[F.coalesce(F.col(c).cast("bigint"), F.lit(-1)) for c in cols]).cast("array<bigint>")
 
 
 def _dim(df: DataFrame, cols) -> int:
@@ -56,7 +61,7 @@ def _dim(df: DataFrame, cols) -> int:
 def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str = "entity_id",
                   label: str = "label", query_key: str | None = None, split=None,
                   weights=None, exclude_self: bool = False, exclude_col: str | None = None,
-                  member_col: str | None = None, method: str = "auto", train_block_rows: int = 20000,
+                  member_col: str | None = None, codes: list[str] | None = None, code_weights=None, method: str = "auto", train_block_rows: int = 20000,
                   query_block_rows: int = 20000, as_arrays: bool = False, counter=None) -> DataFrame:
     """The k nearest training rows of every query row, exactly.
 
@@ -66,28 +71,34 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     with a null or NaN feature are left out.  With ``exclude_col`` a query and a
     training row that share its value are no pair; with ``member_col`` as well
     (an array column of the training rows) a training row is for the queries
-    whose ``exclude_col`` it lists.  With ``as_arrays`` one row per query, ``(split..., query_key, neighbors)``
+    whose ``exclude_col`` it lists.  ``codes``: columns of level codes
+    (:func:`rarelab.operators.sparse.encode_levels`) that count as their one-hot columns, whatever the number of
+    levels, null or negative as none.  With ``as_arrays`` one row per query, ``(split..., query_key, neighbors)``
     holding the same k structs in rank order (bounded by k).  ``counter``: an
     accumulator of the distances that the pivots method computes."""
     split = [split] if isinstance(split, str) else list(split or [])
     query_key = query_key or key
     dim = _dim(train, features)
     w = np.ones(dim) if weights is None else np.asarray(weights, dtype=float)
+    codes = list(codes or [])
+    cw = np.ones(len(codes)) if code_weights is None else np.asarray(code_weights, dtype=float)
     if method == "auto":
-        method = "sorted" if dim == 1 else "pivots"
-    if method not in ("sorted", "pivots") or method == "sorted" and dim != 1:
+        method = "sorted" if dim == 1 and not codes else "pivots"
+    if method not in ("sorted", "pivots") or method == "sorted" and (dim != 1 or codes):
         raise ValueError(f"no method {method!r} for {dim} features")
     mode = "own" if exclude_col is None else "others" if member_col is None else "listed"
     if train is query and query_key == key:
         # self-search (leave-one-out, SMOTE neighbours): materialise the rows once
         fcols = [features] if isinstance(features, str) else list(features)
         train = query = cut_lineage(train.select(*split, key, label, *fcols,
-                                                 *([exclude_col] if exclude_col else []), *([member_col] if member_col else [])))
+                                                 *([exclude_col] if exclude_col else []), *([member_col] if member_col else []),
+                                                 *codes))
     of_train = F.lit(None).cast("int") if mode == "own" else F.col(member_col or exclude_col)
     of_query = F.lit(None).cast("int") if mode == "own" else F.col(exclude_col)
     t = train.select(*split, F.col(key).alias("__tk"), F.col(label).alias("__ty"),
-                     _feature_array(features).alias("__tx"), of_train.alias("__tc"))
-    q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"), of_query.alias("__qc"))
+                     _feature_array(features).alias("__tx"), _code_array(codes).alias("__tz"), of_train.alias("__tc"))
+    q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"),
+                     _code_array(codes).alias("__qz"), of_query.alias("__qc"))
     # a row with a null or NaN feature has no distances: it is neither found nor searched for
     whole = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x))
     t, q = t.where(whole("__tx")), q.where(whole("__qx"))
@@ -107,7 +118,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
             arrays = arrays.withColumn("__nb", F.slice(F.filter("__nb", lambda n: n["__tk"] != F.col("__qk")), 1, k))
         arrays = arrays.select(*split, "__qk", "__nb")
     else:
-        cand = pivot_search(t, q, k, split, exclude_self, mode, w, train_block_rows, query_block_rows, counter)
+        cand = pivot_search(t, q, k, split, exclude_self, mode, w, cw, train_block_rows, query_block_rows, counter)
     if method == "pivots":
         # candidates grow with the number of train blocks: windowed top-k,
         # planned with a partial WindowGroupLimit before the shuffle

@@ -11,7 +11,11 @@ visited in order of distance, and each query's own k-th distance so far drops
 further cells and, by their distance to the pivot, single rows.
 
 The pivots decide how much is computed, never what is found: all bounds leave
-room for rounding, and distances are summed dimension by dimension."""
+room for rounding, and distances are summed dimension by dimension.
+
+Beside its numbers a row may have level codes, each standing for the one-hot
+row of a column of any number of levels (a negative code for the row of zeros):
+two levels differ in two places, a level and none in one."""
 
 from __future__ import annotations
 
@@ -32,50 +36,85 @@ ROOM = 1e-9  # of the distances in a bound
 CELLS = 2_000_000  # distances held at once
 
 
-def sample_pivots(train: DataFrame, n: int, weights: np.ndarray) -> np.ndarray:
-    """The square root of ``n`` training vectors, :data:`MOST_PIVOTS` at most, scaled by the weights: of four times as
+class Points:
+    """Scaled numbers and level codes of rows."""
+
+    def __init__(self, numbers: np.ndarray, codes: np.ndarray, weights: np.ndarray, code_weights: np.ndarray):
+        self.x, self.z = numbers * np.sqrt(weights), codes
+        self.weights, self.code_weights = weights, code_weights
+
+    def __len__(self) -> int:
+        return len(self.x)
+
+    def take(self, at) -> Points:
+        out = object.__new__(Points)
+        out.x, out.z, out.weights, out.code_weights = self.x[at], self.z[at], self.weights, self.code_weights
+        return out
+
+    def to(self, one: Points) -> np.ndarray:
+        """Distances to a single point, or to as many points row by row."""
+        apart = (self.z != one.z) * ((self.z >= 0).astype(np.float64) + (one.z >= 0))
+        return np.sqrt(((self.x - one.x) ** 2).sum(axis=1) + apart @ self.code_weights)
+
+    def nearest(self, pivots: Points) -> np.ndarray:
+        """The nearest pivot of each, but for rounding."""
+        far = (pivots.x ** 2).sum(axis=1) - 2 * (self.x @ pivots.x.T)
+        return (far + code_gaps(self.z, pivots.z, self.code_weights)).argmin(axis=1)
+
+
+def code_gaps(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The level codes' part of the squared distances between all rows of ``a`` and ``b``."""
+    out = np.zeros((len(a), len(b)))
+    for j, w in enumerate(weights):
+        left, right = a[:, j, None], b[None, :, j]
+        out += w * ((left != right) * ((left >= 0).astype(np.float64) + (right >= 0)))
+    return out
+
+
+def sample_pivots(train: DataFrame, n: int, weights: np.ndarray, code_weights: np.ndarray) -> Points:
+    """The square root of ``n`` training rows, :data:`MOST_PIVOTS` at most: of four times as
     many that a hash of the key chooses, each the farthest from those before it, so that every cluster of
-    the sample has one.  They come in order along the direction of their largest spread."""
+    the sample has one.  They come in order along the direction of the numbers' largest spread."""
     m = min(MOST_PIVOTS, max(1, math.ceil(math.sqrt(n))))
-    rows = train.select("__tx", F.xxhash64("__tk").alias("h")).orderBy("h").limit(4 * m).collect()
-    p = np.unique(np.asarray([r["__tx"] for r in rows], dtype=np.float64) * np.sqrt(weights), axis=0)
-    if not np.isfinite(p).all():
-        return p[:m]
-    chosen, gap = [0], ((p - p[0]) ** 2).sum(axis=1)
+    rows = train.select("__tx", "__tz", F.xxhash64("__tk").alias("h")).orderBy("h").limit(4 * m).collect()
+    x = np.asarray([r["__tx"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    z = np.asarray([r["__tz"] for r in rows], dtype=np.int64).reshape(len(rows), -1)
+    p = Points(x, z, weights, code_weights)
+    p = p.take(np.unique(np.hstack((p.x, p.z)), axis=0, return_index=True)[1])
+    if not np.isfinite(p.x).all():
+        return p.take(slice(m))
+    chosen, gap = [0], p.to(p.take([0]))
     while len(chosen) < min(m, len(p)):
         chosen.append(int(gap.argmax()))
-        gap = np.minimum(gap, ((p - p[chosen[-1]]) ** 2).sum(axis=1))
-    p = p[chosen]
-    centred = p - p.mean(axis=0)
-    return p[np.argsort(centred @ np.linalg.svd(centred, full_matrices=False)[2][0], kind="stable")]
+        gap = np.minimum(gap, p.to(p.take(chosen[-1:])))
+    p = p.take(chosen)
+    if p.x.shape[1] == 0:
+        return p
+    centred = p.x - p.x.mean(axis=0)
+    return p.take(np.argsort(centred @ np.linalg.svd(centred, full_matrices=False)[2][0], kind="stable"))
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
-    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+def _matrix(vectors: pa.Array, kind) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(vectors), -1)
 
 
-def _placer(pivots: np.ndarray, weights: np.ndarray, vector: str):
+def _placer(pivots: Points, numbers: str, codes: str):
     """Append the nearest pivot's number and the distance to it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        norm = (pivots ** 2).sum(axis=1)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = _matrix(batch.column(vector)) * np.sqrt(weights)
-            cell = (norm - 2 * (x @ pivots.T)).argmin(axis=1)
-            r = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(r)],
+            rows = Points(_matrix(batch.column(numbers), np.float64), _matrix(batch.column(codes), np.int64),
+                          pivots.weights, pivots.code_weights)
+            cell = rows.nearest(pivots)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(rows.to(pivots.take(cell)))],
                                              [*batch.schema.names, "__cell", "__r"])
     return run
 
 
-def _placed(df: DataFrame, pivots: np.ndarray, weights: np.ndarray, vector: str) -> DataFrame:
+def _placed(df: DataFrame, pivots: Points, numbers: str, codes: str) -> DataFrame:
     schema = T.StructType([*df.schema.fields, T.StructField("__cell", T.IntegerType()), T.StructField("__r", T.DoubleType())])
-    return df.mapInArrow(_placer(pivots, weights, vector), schema)
-
-
-def _between(pivots: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.stack([((pivots - p) ** 2).sum(axis=1) for p in pivots]))
+    return df.mapInArrow(_placer(pivots, numbers, codes), schema)
 
 
 def _packed(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,12 +134,12 @@ def _packed(rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first, blocks
 
 
-def _planner(pivots: np.ndarray, split: list[str], need: int, mode: str, query_size: int, train_size: int, names: list[str]):
+def _planner(pivots: Points, split: list[str], need: int, mode: str, query_size: int, train_size: int, names: list[str]):
     """Of one split: where cells go (``q``, ``t``), how far a cell's neighbours can be, and the cells it needs (``p``)."""
     def plan(queries: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(train):
             return pd.DataFrame(columns=names)
-        m, between = len(pivots), _between(pivots)
+        m, between = len(pivots), np.stack([pivots.to(pivots.take([i])) for i in range(len(pivots))])
         own = [queries[s].iloc[0] for s in split]
         whole = train[train["__all"]]
         rows, radius = np.zeros(m), np.full(m, -np.inf)
@@ -148,15 +187,16 @@ def _best(line: np.ndarray, at: np.ndarray, d2: np.ndarray, k: int) -> np.ndarra
     return order[np.arange(len(order)) - first < k]
 
 
-def _kernel(pivots: np.ndarray, k: int, weights: np.ndarray, split: list[str], exclude_self: bool, mode: str, counter):
+def _kernel(pivots: Points, k: int, split: list[str], exclude_self: bool, mode: str, counter):
     columns = [*split, "__qk", "__tk", "__ty", "__d2"]
 
     def kernel(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
         if len(qdf) == 0 or len(tdf) == 0:
             return pd.DataFrame({c: [] for c in columns})
         tdf = tdf.sort_values("__tk", kind="stable", ignore_index=True)
-        tx, tk, ty = np.stack(tdf["__tx"].to_numpy()).astype(np.float64), tdf["__tk"].to_numpy(), tdf["__ty"].to_numpy()
-        qx, qk, rq = np.stack(qdf["__qx"].to_numpy()).astype(np.float64), qdf["__qk"].to_numpy(), qdf["__r"].to_numpy()
+        tx, tk, ty = np.stack(tdf["__tx"].to_numpy()).astype(np.float64).reshape(len(tdf), -1), tdf["__tk"].to_numpy(), tdf["__ty"].to_numpy()
+        tz, qz = (np.stack(c.to_numpy()).astype(np.int64).reshape(len(c), -1) for c in (tdf["__tz"], qdf["__qz"]))
+        qx, qk, rq = np.stack(qdf["__qx"].to_numpy()).astype(np.float64).reshape(len(qdf), -1), qdf["__qk"].to_numpy(), qdf["__r"].to_numpy()
         t_class = tdf["__tc"].to_numpy() if mode == "others" else None
         q_code, q_names = pd.factorize(qdf["__qc"], use_na_sentinel=False) if mode != "own" else (np.zeros(len(qdf), int), [None])
         cells = []
@@ -168,7 +208,7 @@ def _kernel(pivots: np.ndarray, k: int, weights: np.ndarray, split: list[str], e
             for code, inside in _groups(q_code[whole]):
                 mine = whole[inside]
                 limit = qdf["__theta"].to_numpy()[mine].copy()
-                gaps = np.sqrt(((pivots[[j for j, *_ in cells]] - pivots[i]) ** 2).sum(axis=1))
+                gaps = pivots.take([j for j, *_ in cells]).to(pivots.take([i]))
                 line, place, value = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
                 if mode == "others":
                     other = ~np.asarray([_same(c, q_names[code]) for c in t_class])
@@ -196,7 +236,9 @@ def _kernel(pivots: np.ndarray, k: int, weights: np.ndarray, split: list[str], e
                         d = np.zeros((len(some), len(part)))
                         for dim in range(tx.shape[1]):  # dimension by dimension, as SQL sums
                             diff = qx[mine[some], dim, None] - tx[None, part, dim]
-                            d += (diff * diff) * weights[dim]
+                            d += (diff * diff) * pivots.weights[dim]
+                        if qz.shape[1]:
+                            d += code_gaps(qz[mine[some]], tz[part], pivots.code_weights)
                         if exclude_self:
                             d[qk[mine[some], None] == tk[None, part]] = np.inf
                         top = np.full(len(some), np.inf)
@@ -226,12 +268,13 @@ def _same(a, b) -> bool:
 
 
 def pivot_search(train: DataFrame, query: DataFrame, k: int, split: list[str], exclude_self: bool, mode: str,
-                 weights: np.ndarray, train_block_rows: int, query_block_rows: int, counter=None) -> DataFrame:
+                 weights: np.ndarray, code_weights: np.ndarray, train_block_rows: int, query_block_rows: int,
+                 counter=None) -> DataFrame:
     """Candidates ``(split..., __qk, __tk, __ty, __d2)``: the ``k`` nearest training rows of every query are among
     them, at most ``k`` from each training block.
 
-    ``train``: ``(split..., __tk, __ty, __tx, __tc)``, ``query``: ``(split..., __qk, __qx, __qc)``, written down, vectors of one
-    length without nulls.  ``mode`` as in :func:`rarelab.operators.knn_line.line_search`.  ``counter``: an
+    ``train``: ``(split..., __tk, __ty, __tx, __tz, __tc)``, ``query``: ``(split..., __qk, __qx, __qz, __qc)``, written down;
+    vectors of numbers and of level codes, each of one length, without nulls.  ``mode`` as in :func:`rarelab.operators.knn_line.line_search`.  ``counter``: an
     accumulator of the distances computed."""
     spark = train.sparkSession
     names = [*split, "__qk", "__tk", "__ty", "__d2"]
@@ -242,8 +285,8 @@ def pivot_search(train: DataFrame, query: DataFrame, k: int, split: list[str], e
     if n == 0:
         return spark.createDataFrame([], schema)
     expose_package(spark)
-    pivots = sample_pivots(train, n, weights)
-    t, q = _placed(train, pivots, weights, "__tx"), _placed(query, pivots, weights, "__qx")
+    pivots = sample_pivots(train, n, weights, code_weights)
+    t, q = _placed(train, pivots, "__tx", "__tz"), _placed(query, pivots, "__qx", "__qz")
 
     # one row per split, class and cell
     stats = [F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__far")]
@@ -289,6 +332,6 @@ def pivot_search(train: DataFrame, query: DataFrame, k: int, split: list[str], e
     pair = needed.select(*[F.col(s).alias(f"__e{s}") for s in split], F.col("__qb").alias("__eq"), F.col("__tb").alias("__et"))
     t = on(t, pair, "__e", ("__tb", "__et")).withColumnRenamed("__eq", "__qb")
     q = on(q, pair, "__e", ("__qb", "__eq")).withColumnRenamed("__et", "__tb")
-    kernel = _kernel(pivots, k, weights, split, exclude_self, mode, counter)
+    kernel = _kernel(pivots, k, split, exclude_self, mode, counter)
     keys = [*split, "__qb", "__tb"]
     return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInPandas(kernel, schema).select(*names)

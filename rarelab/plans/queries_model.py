@@ -589,22 +589,47 @@ FINAL_SEED, FINAL_TEST = 0, 0.2
 FINAL = {"knn": dict(over_ratio=0.1, over_k=6, under_ratio=1.0), "logistic": dict(over_ratio=0.1, over_k=5, under_ratio=0.7)}
 
 
-def _final_predictions(spark, sf_dir, model: str):
-    """``(entity_id, cohort, label, pred)`` on the holdout's test part and the later cohorts."""
+_STORES: dict = {}  # session and state of the source files -> the folder of their models
+
+
+def _final_split(spark, sf_dir):
+    from rarelab.operators.splits import holdout_split
+    return holdout_split(_train(spark, sf_dir).select("entity_id", "label", "n_orders"), "entity_id", FINAL_TEST, FINAL_SEED)
+
+
+def _store(spark, sf_dir, model: str) -> str:
+    """The folder that holds the final model, which is fitted and stored at its first use in a session."""
+    import uuid
     from rarelab.operators.knn import KnnModel
     from rarelab.operators.logistic import fit_logistic
+    from rarelab.operators.model_store import save_model
     from rarelab.operators.resample import over_under
-    from rarelab.operators.splits import holdout_split
-    from rarelab.session import cut_lineage
-    c = FINAL[model]
-    t = cut_lineage(holdout_split(_train(spark, sf_dir).select("entity_id", "label", "n_orders"), "entity_id", FINAL_TEST, FINAL_SEED))
-    fit_on = cut_lineage(over_under(t.where(~F.col("is_test")), ["n_orders"], c["over_ratio"], c["under_ratio"], k=c["over_k"],
-                                    seed=SMOTE_SEED))
-    cohorts = fx.entity_features(spark, sf_dir).where(F.col("generation") > 6).select(
+    from rarelab.session import cut_lineage, ensure_checkpoint_dir
+    key = (spark.conf.get("spark.app.id", None) or id(spark), fx.source_state(spark, sf_dir))
+    root, names = _STORES.setdefault(key, (f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}", set()))
+    if model not in names:
+        c = FINAL[model]
+        t = cut_lineage(_final_split(spark, sf_dir))
+        fit_on = cut_lineage(over_under(t.where(~F.col("is_test")), ["n_orders"], c["over_ratio"], c["under_ratio"],
+                                        k=c["over_k"], seed=SMOTE_SEED))
+        fitted = KnnModel(fit_on, ["n_orders"], k=5) if model == "knn" else fit_logistic(fit_on, ["n_orders"])
+        save_model(fitted, root, f"final_{model}", 1, spark=spark)
+        names.add(model)
+    return root
+
+
+def _later_cohorts(spark, sf_dir):
+    return fx.entity_features(spark, sf_dir).where(F.col("generation") > 6).select(
         "entity_id", F.col("generation").cast("string").alias("cohort"), "label", "n_orders")
-    rows = t.where("is_test").select("entity_id", F.lit("test").alias("cohort"), "label", "n_orders").unionByName(cohorts)
-    fitted = KnnModel(fit_on, ["n_orders"], k=5) if model == "knn" else fit_logistic(fit_on, ["n_orders"])
-    return fitted.transform(rows).select("entity_id", "cohort", "label", "pred")
+
+
+def _final_predictions(spark, sf_dir, model: str):
+    """``(entity_id, cohort, label, pred)`` of the stored model on the holdout's test part and the later cohorts."""
+    from rarelab.operators.model_store import load_model
+    rows = _final_split(spark, sf_dir).where("is_test").select("entity_id", F.lit("test").alias("cohort"), "label", "n_orders")
+    rows = rows.unionByName(_later_cohorts(spark, sf_dir))
+    stored = load_model(spark, _store(spark, sf_dir, model), f"final_{model}")
+    return stored.transform(rows).select("entity_id", "cohort", "label", "pred")
 
 
 def _final_ctes(model: str) -> list[str]:
@@ -687,6 +712,34 @@ def q_resampled_fit(spark, sf_dir):
     return _both_final(spark, sf_dir)
 
 
+@register("stored_model_cohorts", with_ctes(*BOTH_CTES, body="""
+SELECT 'final_knn' AS model, 1 AS version, generation, entity_id, label, knn_pred AS pred FROM both_fits UNION ALL
+SELECT 'final_logistic', 1, generation, entity_id, label, logit_pred FROM both_fits"""))
+def q_stored_model_cohorts(spark, sf_dir):
+    """Cohorts 7 and 8 scored by the models as they are stored, each read by its name."""
+    from rarelab.operators.model_store import load_model
+    out = []
+    for model in FINAL:
+        stored = load_model(spark, _store(spark, sf_dir, model), f"final_{model}")
+        scored = stored.transform(_later_cohorts(spark, sf_dir))
+        out.append(scored.select(F.lit(stored.row["name"]).alias("model"), F.lit(stored.row["version"]).alias("version"),
+                                 F.col("cohort").cast("int").alias("generation"), "entity_id", "label", "pred"))
+    return out[0].unionByName(out[1])
+
+
+@register("model_table", with_ctes(*FINAL_BASE, *_final_ctes("knn"), *_final_ctes("logistic"), body=f"""
+SELECT 'final_knn' AS model, 1 AS version, 'knn' AS kind, 5 AS k, count(*) AS n_rows, CAST(NULL AS DOUBLE) AS intercept,
+       CAST(NULL AS DOUBLE) AS coef FROM fit_knn UNION ALL
+SELECT 'final_logistic', 1, 'logistic', NULL, NULL, round(b0, {LOGIT_DIGITS}), round(b1, {LOGIT_DIGITS}) FROM th_logistic"""))
+def q_model_table(spark, sf_dir):
+    """The stored models' own table: kind, parameters and the size of the training rows referred to."""
+    from rarelab.operators.model_store import stored_models
+    for model in FINAL:
+        root = _store(spark, sf_dir, model)
+    return rounded(stored_models(spark, root).select(F.col("name").alias("model"), "version", "kind", "k", "n_rows", "intercept",
+                                                     F.get("coefficients", F.lit(0)).alias("coef")), LOGIT_DIGITS)
+
+
 @register("knn_logit_agreement", with_ctes(*BOTH_CTES, body="""
 SELECT generation AS cohort, knn_pred, logit_pred, count(*) AS count FROM both_fits GROUP BY ALL"""))
 def q_knn_logit_agreement(spark, sf_dir):

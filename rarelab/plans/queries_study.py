@@ -204,3 +204,76 @@ FROM nb GROUP BY qk""")
 
 for _name, _feats in NULL_FEATURES.items():
     _null_query(_name, _feats)
+
+
+# ------------------------------------------------ columns of any number of levels (F1, F4 with H1, H4)
+def _favourite_parts(spark, sf_dir):
+    """The fixture's entities with the part of their dearest line, a column of about as many levels as there are parts."""
+    from rarelab.sources.tables import read_table
+    lines = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    dearest = F.struct("l_extendedprice", "l_orderkey", "l_linenumber")
+    best = lines.groupBy("l_orderkey").agg(F.max_by("l_partkey", dearest).alias("part"), F.max(dearest).alias("line"))
+    best = best.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey").agg(
+        F.max_by("part", "line").alias("favourite_part"))
+    ef = fx.entity_features(spark, sf_dir)
+    return ef.join(best, F.col("entity_id") == F.col("o_custkey"), "left").select(
+        "entity_id", "generation", "label", "n_orders", "category_1", "favourite_part")
+
+
+def _level_gap(col: str) -> str:
+    return f"(CASE WHEN q.{col} IS NOT DISTINCT FROM t.{col} THEN 0 WHEN q.{col} IS NULL OR t.{col} IS NULL THEN 1 ELSE 2 END)"
+
+
+@register("knn_level_codes", with_ctes(fx.ENTITY_SQL, """
+fav AS (SELECT o_custkey AS fk, first(l_partkey ORDER BY l_extendedprice DESC, l_orderkey DESC, l_linenumber DESC) AS part
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey)""", """
+ent AS (SELECT entity_id, generation, label, n_orders, category_1, part FROM entity_features LEFT JOIN fav ON entity_id = fk)""", f"""
+nb AS (SELECT q.entity_id AS qk, t.label AS ty,
+              (q.n_orders - t.n_orders) * (q.n_orders - t.n_orders) + {_level_gap('category_1')} + {_level_gap('part')} AS d2,
+              row_number() OVER (PARTITION BY q.entity_id ORDER BY (q.n_orders - t.n_orders) * (q.n_orders - t.n_orders)
+                                 + {_level_gap('category_1')} + {_level_gap('part')}, t.entity_id) AS rank
+       FROM ent q, ent t WHERE q.generation > 6 AND t.generation <= 6 QUALIFY rank <= 5)""",
+    "votes AS (SELECT qk, count(*) FILTER (WHERE ty) AS pos, count(*) AS n FROM nb GROUP BY qk)", body="""
+SELECT entity_id, generation, label, pos * 2 > n AS pred, round(pos / n, 6) AS proba FROM ent JOIN votes ON entity_id = qk"""))
+def q_knn_level_codes(spark, sf_dir):
+    """H1 on a number and two one-hot columns, one of them as wide as there are parts: the later cohorts against
+    the training rows, by level codes."""
+    from rarelab.operators.knn import knn_neighbors, knn_vote
+    from rarelab.operators.sparse import encode_levels, level_table
+    from rarelab.session import cut_lineage
+    cols = ["category_1", "favourite_part"]
+    ent = cut_lineage(_favourite_parts(spark, sf_dir))
+    ent = encode_levels(ent, cols, level_table(ent, cols))
+    query = ent.where(F.col("generation") > 6)
+    nb = knn_neighbors(ent.where(F.col("generation") <= 6), query, ["n_orders"], 5, codes=[f"{c}_code" for c in cols])
+    return rounded(query.select("entity_id", "generation", "label").join(knn_vote(nb), "entity_id"))
+
+
+SPARSE_STEPS, SPARSE_DIGITS = 12, 4
+
+
+def _sparse_newton_sql() -> str:
+    """Newton steps of an L2 logistic model with one weight per level: the Hessian is diagonal but for the
+    intercept's row, so its step is solved first."""
+    steps = ["""
+it_0 AS MATERIALIZED (SELECT l_partkey AS lev, count(*) AS n, CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS y,
+         CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS w FROM lineitem GROUP BY l_partkey)"""]
+    for i in range(SPARSE_STEPS):
+        steps.append(f"""
+e_{i} AS MATERIALIZED (SELECT *, w + n * p - y AS g, n * p * (1 - p) AS c, n * p - y AS r
+         FROM (SELECT *, 1 / (1 + exp(-(b + w))) AS p FROM it_{i})),
+s_{i} AS (SELECT -(sum(r) - sum(c * g / (1 + c))) / (sum(c) - sum(c * c / (1 + c))) AS db FROM e_{i}),
+it_{i + 1} AS MATERIALIZED (SELECT lev, n, y, b + db AS b, w - (g + c * db) / (1 + c) AS w FROM e_{i}, s_{i})""")
+    return with_ctes(*steps, body=f"""
+SELECT CAST(lev AS VARCHAR) AS level, round(w, {SPARSE_DIGITS}) AS coef, round(b, {SPARSE_DIGITS}) AS intercept FROM it_{SPARSE_STEPS}""")
+
+
+@register("logistic_level_weights", _sparse_newton_sql())
+def q_logistic_level_weights(spark, sf_dir):
+    """H4 with one dummy per part over all order lines: is a line returned?  Every level's weight."""
+    from rarelab.operators.sparse import fit_level_logistic
+    from rarelab.sources.tables import read_table
+    lines = read_table(spark, sf_dir, "lineitem", "l_partkey", "l_returnflag").withColumn("label", F.col("l_returnflag") == "R")
+    model = fit_level_logistic(lines, "l_partkey")
+    return rounded(model.weights.select("level", F.col("w").alias("coef"), F.lit(model.intercept).alias("intercept")), SPARSE_DIGITS)
