@@ -6,9 +6,15 @@ its form, validated, and replaced by the image of a permutation of all values of
 that form.  The permutation depends on the key and the kind alone, so equal
 values get equal pseudonyms in every document, different values different ones,
 and whoever holds the key can go back.  Values that are not valid after a round
-of the permutation are walked on until they are (cycle walking), and check
-digits are recomputed, so a card number stays one that passes its test and a
-date stays a date.  Punctuation, spacing and letter case stay in place."""
+of the permutation are walked on until they are (cycle walking), so a date stays
+a date.  Punctuation, spacing and letter case stay in place.
+
+Cards and IBANs may stand beside other groups of digits, so which groups are one
+is read off the checks of all windows of groups.  Their permutations keep what
+each group adds to those checks (for cards the Luhn sums of the group at an even
+and at an odd place, for IBANs the group modulo 97): whatever is replaced, every
+window passes or fails as before.  So a value has one pseudonym in every
+neighbourhood, and the way back finds the same windows."""
 
 from __future__ import annotations
 
@@ -19,6 +25,7 @@ from datetime import date
 from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -28,14 +35,15 @@ from rarelab.llm.common import column, map_arrow, pieces
 
 ROUNDS = 8
 #: Digits in the groups of printed card numbers; the first two come before longer ones.
-CARD_FORMS = [(4, 4, 4, 4), (4, 6, 5), (4, 4, 4, 4, 3), (6, 13), (4, 4, 4, 4, 2), (8, 8), (5, 5, 5), (4, 6, 4), (4, 4, 5),
-              (4, 3, 3, 3)]
+CARD_FORMS = [(4, 4, 4, 4), (4, 6, 5), (4, 4, 4, 4, 3), (6, 13), (4, 4, 4, 4, 2), (8, 8), (5, 5, 5), (4, 6, 4), (4, 4, 5)]
+_FORMS_FROM = {first: [f for f in CARD_FORMS if f[0] == first] for first in {f[0] for f in CARD_FORMS}}
 #: Characters of an IBAN by country.
 IBAN_SIZES = {c[:2]: int(c[2:]) for c in (
     "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 "
     "FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
     "MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 TN24 "
     "TR26 UA29 VA22 VG24 XK20").split()}
+_DIGITS, _GROUPS = re.compile("[0-9]+"), re.compile("[A-Z0-9]+")
 _IBAN_HEAD = re.compile(r"(?<![A-Z0-9])[A-Z]{2}(?=[0-9]{2})")
 _IBAN_FORM = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
 #: A country code: as printed apart, else by the plan of the ITU.
@@ -105,31 +113,86 @@ def luhn_digit(body: str) -> str:
     return str(-total % 10)
 
 
-def _card_valid(text: str) -> bool:
-    s = re.sub(r"[ -]", "", text)
-    return len(set(s)) > 1 and luhn_digit(s[:-1]) == s[-1]
-
-
-def _card(key: bytes, text: str, back: bool, free: Callable[[str], bool]) -> str:
-    s = re.sub(r"[ -]", "", text)
-    new = lambda x: _refill(text, x + luhn_digit(x))
-    return new(_digits(key, "card", s[:-1], back, lambda x: _card_valid(new(x)) and free(new(x))))
+@lru_cache(1 << 16)
+def _luhn_sums(group: str) -> tuple[int, int]:
+    """What a group adds to a Luhn sum where its last digit counts once, and where it counts twice."""
+    sums = [0, 0]
+    for i, c in enumerate(reversed(group)):
+        d = int(c)
+        twice = 2 * d - 9 * (d > 4)
+        sums[i % 2] += d
+        sums[1 - i % 2] += twice
+    return sums[0] % 10, sums[1] % 10
+
+
+def _card_valid(groups: list[str]) -> bool:
+    """The Luhn test over whole groups; zeros alone are no card."""
+    total = odd = 0
+    for g in reversed(groups):
+        total += _luhn_sums(g)[odd]
+        odd ^= len(g) & 1
+    return total % 10 == 0 and any(g.strip("0") for g in groups)
+
+
+@lru_cache(32)
+def _card_cuts(n: int) -> tuple[int, ...]:
+    """The edges inside a card of ``n`` digits that any of its printed forms has; else every fourth."""
+    forms = [f for f in CARD_FORMS if sum(f) == n]
+    edges = {sum(f[:i]) for f in forms for i in range(1, len(f))} | (set() if n in (14, 15) else set(range(4, n, 4)))
+    return tuple(sorted(edges))
+
+
+@lru_cache(8)
+def _card_classes(size: int) -> tuple[list[int], dict[tuple[int, int], list[int]]]:
+    """For groups of ``size`` digits but zero: each one's place among those with the same Luhn sums, and these."""
+    place, members = [-1] * 10 ** size, {}
+    for x in range(1, 10 ** size):
+        alike = members.setdefault(_luhn_sums.__wrapped__(f"{x:0{size}d}"), [])
+        place[x] = len(alike)
+        alike.append(x)
+    return place, members
+
+
+def _card(key: bytes, text: str, back: bool) -> str:
+    """Each group between :func:`_card_cuts` becomes another with its Luhn sums, all of them permuted together;
+    a group of zeros stays one."""
+    s = "".join(c for c in text if c.isdigit())
+    edges = (0, *_card_cuts(len(s)), len(s))
+    parts = [s[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    live = [p for p in parts if p.strip("0")]
+    alike = [_card_classes(len(p))[1][_luhn_sums(p)] for p in live]
+    x, total = 0, 1
+    for p, m in zip(live, alike, strict=True):
+        x, total = x * len(m) + _card_classes(len(p))[0][int(p)], total * len(m)
+    kind = "card" + ",".join(f"{len(p)}.{_luhn_sums(p) if p.strip('0') else 0}" for p in parts)
+    x = _permutation(key, kind, total).apply(x, None, back)
+    new = []
+    for p, m in zip(reversed(live), reversed(alike), strict=True):
+        x, r = divmod(x, len(m))
+        new.append(f"{m[r]:0{len(p)}d}")
+    return _refill(text, "".join(new.pop() if p.strip("0") else p for p in parts))
 
 
 def _card_splits(stretch: str) -> list[tuple[int, int]]:
-    """Where cards may stand in a stretch of digit groups, the likeliest first: printed forms between any two
-    edges of groups (a known form, so digits beside a card do not change what is taken), then all of it."""
-    groups = [m.span() for m in re.finditer("[0-9]+", stretch)]
-    found = []
-    for i in range(len(groups)):
-        sizes: tuple[int, ...] = ()
-        for lo, hi in groups[i:]:
-            sizes += (hi - lo,)
-            if sum(sizes) > 19:
-                break
-            form = 0 if len(sizes) == 1 or sizes in CARD_FORMS[:2] else 1 if sizes in CARD_FORMS else 2
-            if sum(sizes) >= 13 and (form < 2 or len(sizes) == len(groups)):
-                found.append((form, -sum(sizes), groups[i][0], hi))
+    """The cards in a stretch of digit groups, the likeliest first: printed forms between any two
+    edges of groups (a known form, so digits beside a card do not change what is taken).  Only a stretch whose
+    groups have no such form anywhere may be a card as a whole."""
+    groups = [(m.group(), m.start(), m.end()) for m in _DIGITS.finditer(stretch)]
+    texts, sizes = [g for g, _, _ in groups], [len(g) for g, _, _ in groups]
+    found, known = [], False
+    for i, size in enumerate(sizes):
+        forms = _FORMS_FROM.get(size, ())
+        if 13 <= size <= 19:
+            forms = [(size,), *forms]
+        for form in forms:
+            j = i + len(form)
+            if tuple(sizes[i:j]) == form:
+                known = True
+                if _card_valid(texts[i:j]):
+                    first = len(form) == 1 or form in CARD_FORMS[:2]
+                    found.append((not first, -sum(form), groups[i][1], groups[j - 1][2]))
+    if not known and len(groups) > 1 and 13 <= sum(sizes) <= 19 and _card_valid(texts):
+        found.append((False, 0, 0, len(stretch)))
     return [(lo, hi) for _, _, lo, hi in sorted(found)]
 
 
@@ -158,47 +221,72 @@ def _iban_valid(text: str) -> bool:
     return 15 <= len(s) <= 34 and _iban_remainder(s) == 1 and 2 <= int(s[2:4]) <= 98
 
 
-def _iban(key: bytes, text: str, back: bool, free: Callable[[str], bool]) -> str:
+@lru_cache(32)
+def _iban_classes(shape: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Groups of a shape (``d`` digit, ``a`` letter) by number: their residues modulo 97 as an IBAN reads them, the
+    groups in order of residue, and where each residue starts there."""
+    value = np.zeros(1, dtype=np.int64)
+    for c in shape:
+        one = np.arange(10) if c == "d" else np.arange(10, 36)
+        value = (value[:, None] * (10 if c == "d" else 100) + one).ravel() % 97
+    order = np.argsort(value, kind="stable")
+    return value, order, np.searchsorted(value[order], np.arange(98))
+
+
+def _iban(key: bytes, text: str, back: bool) -> str:
+    """Every group of four behind the first becomes another of its shape and residue modulo 97, all of them
+    permuted together; so the check digits stay right.  A group that could start an IBAN stays as it is."""
     s = text.replace(" ", "")
-    while True:
-        account = _mixed(key, "iban" + s[:2], s[4:], back)
-        s = f"{s[:2]}{98 - _iban_remainder(s[:2] + '00' + account):02d}{account}"
-        if free(_refill(text, s)):
-            return _refill(text, s)
+    parts = [s[i:i + 4] for i in range(4, len(s), 4)]
+    live, x, total = [], 0, 1
+    for p in parts:
+        shape = "".join("d" if c.isdigit() else "a" for c in p)
+        if shape == "aadd":
+            live.append(None)
+            continue
+        number = 0
+        for c in p:
+            number = number * (10 if c.isdigit() else 26) + (int(c) if c.isdigit() else ord(c) - 65)
+        value, order, starts = _iban_classes(shape)
+        lo, hi = starts[value[number]], starts[value[number] + 1]
+        live.append((shape, order[lo:hi], int(value[number])))
+        x, total = x * int(hi - lo) + int(np.searchsorted(order[lo:hi], number)), total * int(hi - lo)
+    kind = f"iban{s[:4]}" + ",".join("=" + p if v is None else f"{v[0]}{v[2]}" for p, v in zip(parts, live, strict=True))
+    x = _permutation(key, kind, total).apply(x, None, back)
+    new = []
+    for p, v in zip(reversed(parts), reversed(live), strict=True):
+        if v is not None:
+            x, r = divmod(x, len(v[1]))
+            number, p = int(v[1][r]), ""
+            for c in reversed(v[0]):
+                number, d = divmod(number, 10 if c == "d" else 26)
+                p = (str(d) if c == "d" else chr(65 + d)) + p
+        new.append(p)
+    return _refill(text, s[:4] + "".join(reversed(new)))
 
 
 def _iban_splits(stretch: str) -> list[tuple[int, int]]:
-    """Where IBANs may stand in a stretch of groups: of their country's length first, then the longest."""
-    ends = [m.end() for m in re.finditer("[A-Z0-9]+", stretch)]
+    """The IBANs in a stretch of groups: of their country's length first, then the longest."""
+    ends = [m.end() for m in _GROUPS.finditer(stretch)]
     found = []
     for m in _IBAN_HEAD.finditer(stretch):
-        for hi in ends[bisect_right(ends, m.start()):]:
+        at = bisect_right(ends, m.start())
+        for hi in ends[at:at + 12]:  # a whole IBAN has nine groups at most
             if hi - m.start() > 45:
                 break
-            if _IBAN_FORM.fullmatch(stretch, m.start(), hi):
+            if _IBAN_FORM.fullmatch(stretch, m.start(), hi) and _iban_valid(stretch[m.start():hi]):
                 size = hi - m.start() - stretch.count(" ", m.start(), hi)
                 found.append((IBAN_SIZES.get(m.group()) != size, -size, m.start(), hi))
     return [(lo, hi) for _, _, lo, hi in sorted(found)]
 
 
-def _stretch(key: bytes, stretch: str, back: bool, splits, valid, rewrite) -> list[tuple[int, int, str]]:
-    """The values inside a stretch of groups and what replaces them: in the order of ``splits``, all that are
-    valid and free.  A value is walked on while a split that comes before its own would become valid, so that
-    the way back finds the same values."""
-    order = splits(stretch)
-    taken: list[tuple[int, int, list[tuple[int, int]]]] = []
-    for k, (lo, hi) in enumerate(order):
-        if valid(stretch[lo:hi]) and not any(lo < b and a < hi for a, b, _ in taken):
-            rivals = [(a, b) for a, b in order[:k] if a < hi and lo < b
-                      and not any(a < d and c < b for c, d, _ in taken)]
-            taken.append((lo, hi, rivals))
-    out = []
-    for lo, hi, rivals in reversed(taken) if back else taken:
-        put = lambda new: stretch[:lo] + new + stretch[hi:]  # noqa: B023, E731
-        free = lambda new: not any(valid(put(new)[a:b]) for a, b in rivals)  # noqa: B023, E731
-        new = rewrite(key, stretch[lo:hi], back, free)
-        stretch = put(new)
-        out.append((lo, hi, new))
+def _stretch(key: bytes, stretch: str, back: bool, splits, rewrite) -> list[tuple[int, int, str]]:
+    """The values inside a stretch of groups and what replaces them: in the order of ``splits``, all that are free."""
+    used, out = bytearray(len(stretch)), []
+    for lo, hi in splits(stretch):
+        if not any(used[lo:hi]):
+            used[lo:hi] = b"\1" * (hi - lo)
+            out.append((lo, hi, rewrite(key, stretch[lo:hi], back)))
     return out
 
 
@@ -224,7 +312,7 @@ def _subscriber(key: bytes, country: str, rest: str, back: bool) -> str:
     return _digits(key, "phone" + country, rest, back, valid)
 
 
-def _abroad(key: bytes, text: str, back: bool, free: Callable[[str], bool]) -> str:
+def _abroad(key: bytes, text: str, back: bool) -> str:
     country = _COUNTRY.match(text).group(1)
     return _refill(text, country + _subscriber(key, country, re.sub(r"\D", "", text)[len(country):], back))
 
@@ -309,8 +397,7 @@ def _email(key: bytes, m: re.Match, back: bool) -> str | None:
 
 
 #: Kinds whose pattern is a stretch of groups that may hold several values, or other groups beside one.
-STRETCHES = {"iban": (_iban_splits, _iban_valid, _iban), "card": (_card_splits, _card_valid, _card),
-             "phone": (_abroad_splits, lambda text: True, _abroad)}
+STRETCHES = {"iban": (_iban_splits, _iban), "card": (_card_splits, _card), "phone": (_abroad_splits, _abroad)}
 #: Kind, pattern and rewriter, in the order in which they claim a stretch of text.
 KINDS: list[tuple[str, str, Callable[[bytes, re.Match, bool], str | None] | None]] = [
     ("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![\w-])", _email),
@@ -345,9 +432,13 @@ def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, dict[s
                 got += [(lo + a, lo + b, new) for a, b, new in _stretch(key, m.group(), back, *STRETCHES[name])]
             elif (new := rewrite(key, m, back)) is not None:
                 got.append((*m.span(), new))
-        for lo, hi, _ in got:  # what is claimed is no digit for the kinds that follow
-            shown = shown[:lo] + "x" * (hi - lo) + shown[hi:]
         if got:
+            # what is claimed is no digit for the kinds that follow
+            parts, at = [], 0
+            for lo, hi, _ in sorted(got):
+                parts += [shown[at:lo], "x" * (hi - lo)]
+                at = hi
+            shown = "".join([*parts, shown[at:]])
             spans += got
             found[name] = found.get(name, 0) + len(got)
     out, at = [], 0

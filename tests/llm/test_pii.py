@@ -1,11 +1,13 @@
+import random
 import re
+import time
 from datetime import date
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rarelab.llm.pii import (NAMES, Permutation, _iban_remainder, luhn_digit, pseudonymise, pseudonyms)
+from rarelab.llm.pii import (CARD_FORMS, NAMES, Permutation, _iban_remainder, luhn_digit, pseudonymise, pseudonyms)
 from tests.llm.messy import messy, messy_rows, nothing
 
 KEY = b"a key of some length"
@@ -142,3 +144,75 @@ def test_dates_without_zeros_come_back(day, form):
     text = form.format(d=day.day, m=day.month, y=day.year)
     new, found = pseudonymise(text, KEY)
     assert found == {"date": 1} and len(new) == len(text) and pseudonymise(new, KEY, back=True)[0] == text
+
+
+def passes(groups):
+    """The Luhn test, and not zeros alone."""
+    digits = "".join(groups)
+    return luhn_digit(digits[:-1]) == digits[-1] and set(digits) != {"0"}
+
+
+def test_random_cards_in_random_neighbourhoods():
+    """A card has the pseudonym that it has alone, but where groups beside it make another window pass the test
+    too, which the digits cannot tell from the card; whatever is taken comes back."""
+    rng, linked, unclear = random.Random(5), 0, 0
+    for _ in range(3000):
+        form = rng.choice([*CARD_FORMS, (16,), (15,), (13,), (19,)])
+        body = "".join(rng.choices("0123456789", k=sum(form) - 1))
+        card = body + luhn_digit(body)
+        shown = [card[sum(form[:i]):sum(form[:i + 1])] for i in range(len(form))]
+        side = lambda: [str(rng.randrange(10 ** rng.randint(1, 4))) for _ in range(rng.randint(0, 3))]  # noqa: B023, E731
+        left, right = side(), side()
+        groups = [*left, *shown, *right]
+        text, alone = " ".join(groups), pseudonymise(" ".join(shown), KEY)
+        new, _ = pseudonymise(text, KEY)
+        assert pseudonymise(new, KEY, back=True)[0] == text
+        assert alone[1] == ({"card": 1} if set(card) != {"0"} else {})
+        rivals = [(i, f) for i in range(len(groups)) for f in CARD_FORMS
+                  if tuple(map(len, groups[i:i + len(f)])) == f and passes(groups[i:i + len(f)])
+                  and i < len(left) + len(shown) and i + len(f) > len(left) and (i, f) != (len(left), form)]
+        if rivals:
+            unclear += 1
+        else:
+            assert new.split(" ")[len(left):len(left) + len(shown)] == alone[0].split(" ")
+            linked += 1
+    assert unclear < 0.03 * linked
+
+
+def test_one_card_in_every_form_and_different_cards_apart():
+    images = {re.sub(r"\D", "", pseudonymise(t, KEY)[0]) for t in (
+        "4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111", "41111111 11111111")}
+    assert len(images) == 1 and images != {"4111111111111111"}
+    rng = random.Random(6)
+    bodies = {"".join(rng.choices("0123456789", k=15)) for _ in range(3000)}
+    cards = [b + luhn_digit(b) for b in bodies]
+    new = [pseudonymise(c, KEY)[0] for c in cards]
+    assert len(set(new)) == len(cards) and all(luhn_digit(c[:-1]) == c[-1] for c in new)
+    assert sum(a == b for a, b in zip(cards, new)) < 5
+
+
+def test_random_ibans_in_random_neighbourhoods():
+    rng = random.Random(7)
+    sizes = {"DE": 22, "GB": 22, "FR": 27, "NO": 15, "MT": 31, "ES": 24}
+    for _ in range(1000):
+        country = rng.choice(list(sizes))
+        account = "".join(rng.choices("0123456789" if country in ("DE", "ES", "NO") else "0123456789ABCXYZ", k=sizes[country] - 4))
+        iban = f"{country}{98 - _iban_remainder(country + '00' + account):02d}{account}"
+        if rng.random() < 0.5:
+            iban = " ".join(iban[i:i + 4] for i in range(0, len(iban), 4))
+        alone, found = pseudonymise(iban, KEY)
+        assert found == {"iban": 1} and _iban_remainder(alone.replace(" ", "")) == 1
+        text = " ".join([*rng.choices(["AB12", "2021", "EUR", "X9", "no"], k=2), iban, *rng.choices(["12", "BIC", "on", "2021"], k=2)])
+        new, _ = pseudonymise(text, KEY)
+        assert alone in new and pseudonymise(new, KEY, back=True)[0] == text
+
+
+def test_long_numeric_tables_take_linear_time():
+    def seconds(n):
+        text = " ".join(f"{(i * 7919) % 10000:04d}" for i in range(n)) + " DE89 3704 0044 0532 0130 00" * (n // 100)
+        started = time.time()
+        new, found = pseudonymise(text, KEY)
+        assert found["card"] > 0 and found["iban"] == n // 100 and len(new) == len(text)
+        return time.time() - started
+    seconds(500)
+    assert seconds(80_000) < 12 * max(seconds(20_000), 0.05)
