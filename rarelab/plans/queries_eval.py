@@ -54,6 +54,27 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, ENTITY_CSV_SCHEMA)
 
 
+@register("csv_rejected", """
+SELECT o_orderkey, o_totalprice, FALSE AS rejected FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' UNION ALL
+SELECT o_orderkey, NULL, TRUE FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW'""")
+def q_csv_rejected(spark, sf_dir):
+    """A1 over an export with bad lines: orders of one status without a number for a price, those of one priority
+    with a field too many.  Rows and rejected lines, told apart by the reader."""
+    from rarelab.sources.csv import read_csv_apart
+    path = _scratch(spark, "mixed_csv")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("unknown")).otherwise(F.col("o_totalprice").cast("string"))
+    more = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(",late")).otherwise(F.lit(""))
+    line = F.concat(F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", price), more)
+    o.select(line.alias("value")).write.mode("overwrite").text(path)
+    rows, rejected = read_csv_apart(spark, path, T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DoubleType())]), header=False)
+    lost = rejected.select(F.split("line", ",")[0].cast("bigint").alias("o_orderkey"), F.lit(None).cast("double").alias("o_totalprice"),
+                           F.lit(True).alias("rejected"))
+    return rounded(rows.select("o_orderkey", "o_totalprice", F.lit(False).alias("rejected")).unionByName(lost))
+
+
 # ------------------------------------------------------------------ A2
 @register("saved_index_csv", with_ctes(fx.ENTITY_SQL, body="""
 SELECT entity_id, generation, n_orders, label FROM entity_features"""))
