@@ -136,9 +136,11 @@ def _card_valid(groups: list[str]) -> bool:
 
 @lru_cache(32)
 def _card_cuts(n: int) -> tuple[int, ...]:
-    """The edges inside a card of ``n`` digits that any of its printed forms has; else every fourth."""
-    forms = [f for f in CARD_FORMS if sum(f) == n]
-    edges = {sum(f[:i]) for f in forms for i in range(1, len(f))} | (set() if n in (14, 15) else set(range(4, n, 4)))
+    """The edges inside a card of ``n`` digits that any of its printed forms has, else every fourth; six digits
+    between two of them are halved, so that the classes stay small."""
+    edges = {sum(f[:i]) for f in CARD_FORMS if sum(f) == n for i in range(1, len(f))} or set(range(4, n, 4))
+    ends = sorted({0, n} | edges)
+    edges |= {(a + b) // 2 for a, b in zip(ends[:-1], ends[1:], strict=True) if b - a > 5}
     return tuple(sorted(edges))
 
 
