@@ -102,10 +102,10 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     # a row with a null or NaN feature has no distances: it is neither found nor searched for
     whole = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x))
     t, q = t.where(whole("__tx")), q.where(whole("__qx"))
-    # each side is read several times (counts, samples, the search)
-    if train is not query:
-        t, q = cut_lineage(t), cut_lineage(q)
     if method == "sorted":
+        # each side is read several times (counts, samples, the search)
+        if train is not query:
+            t, q = cut_lineage(t), cut_lineage(q)
         qv = q.select(*split, "__qk", F.col("__qx")[0].alias("__v"), F.col("__qc").alias("__c"))
         line = t.select(*split, F.col("__tx")[0].alias("__v"), "__tk", "__ty", "__tc")
         lists = line_search(line, qv.select(*split, "__c", "__v").distinct(), k + exclude_self, split, float(w[0]), mode)
@@ -118,27 +118,55 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
             arrays = arrays.withColumn("__nb", F.slice(F.filter("__nb", lambda n: n["__tk"] != F.col("__qk")), 1, k))
         arrays = arrays.select(*split, "__qk", "__nb")
     else:
-        cand = pivot_search(t, q, k, split, exclude_self, mode, w, cw, train_block_rows, query_block_rows, counter)
-    if method == "pivots":
-        # candidates grow with the number of train blocks: windowed top-k,
-        # planned with a partial WindowGroupLimit before the shuffle
-        win = Window.partitionBy(*split, "__qk").orderBy("__d2", "__tk")
-        top = cand.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= k)
-        if as_arrays:
-            arrays = top.groupBy(*split, "__qk").agg(
-                F.array_sort(F.collect_list(F.struct("__d2", "__tk", "__ty"))).alias("__nb"))
+        arrays = _by_pivots(t, q, k, split, exclude_self, mode, w, cw, train_block_rows, query_block_rows, counter)
     if as_arrays:
         return arrays.select(*split, F.col("__qk").alias(query_key), F.transform("__nb", lambda n: F.struct(
             n["__tk"].alias("neighbor_key"), n["__ty"].alias("neighbor_label"),
             F.sqrt(n["__d2"]).alias("distance"))).alias("neighbors"))
-    if method == "sorted":
-        top = (arrays.select(*split, "__qk", F.posexplode("__nb").alias("__p", "__n"))
-               .select(*split, "__qk", "__n.__tk", "__n.__ty", "__n.__d2", (F.col("__p") + 1).alias("rank")))
+    top = (arrays.select(*split, "__qk", F.posexplode("__nb").alias("__p", "__n"))
+           .select(*split, "__qk", "__n.__tk", "__n.__ty", "__n.__d2", (F.col("__p") + 1).alias("rank")))
     return top.select(*split, F.col("__qk").alias(query_key), F.col("__tk").alias("neighbor_key"),
                       F.col("__ty").alias("neighbor_label"), F.sqrt("__d2").alias("distance"),
                       F.col("rank").cast("int").alias("rank"))
 
 
+def _by_pivots(t: DataFrame, q: DataFrame, k: int, split: list[str], exclude_self: bool, mode: str, w, cw,
+               train_block_rows: int, query_block_rows: int, counter) -> DataFrame:
+    """``(split..., __qk, __nb)`` of the pivots method: equal queries are one search, and of equal training rows
+    only those that an answer can hold are searched: the first by key, as many as a query asks for (of
+    each class, where queries leave out one)."""
+    t, q = cut_lineage(t), cut_lineage(q)
+    first = lambda nb, n: F.slice(F.array_sort(F.flatten(F.collect_list(nb))), 1, n)
+    if exclude_self:
+        known = t.where(F.col("__tk").isNotNull()).groupBy(*split, "__tk").agg(F.count(F.lit(1)).alias("n"))
+        if not known.where("n > 1").isEmpty():
+            # a query leaves out as many rows as have its key
+            cand = pivot_search(t, q, k, split, True, mode, w, cw, train_block_rows, query_block_rows, counter)
+            return cand.groupBy(*split, "__qk").agg(first("__nb", k).alias("__nb"))
+    take = k + exclude_self
+    if mode != "listed":
+        among = Window.partitionBy(*split, "__tx", "__tz", *(["__tc"] if mode == "others" else [])).orderBy(F.col("__tk").asc_nulls_last())
+        t = cut_lineage(t.withColumn("__at", F.row_number().over(among)).where(F.col("__at") <= take).drop("__at"))
+    at = [*split, "__qx", "__qz", "__qc"]
+    points = cut_lineage(q.select(*at).distinct().withColumn("__qk", F.monotonically_increasing_id()))
+    cand = pivot_search(t, points, take, split, False, mode, w, cw, train_block_rows, query_block_rows, counter)
+    lists = cand.groupBy(*split, "__qk").agg(first("__nb", take).alias("__nb"))
+    lists = lists.select(F.col("__qk").alias("__l_k"), "__nb").join(
+        points.select(F.col("__qk").alias("__l_k"), *[F.col(c).alias(f"__l_{c}") for c in at]), "__l_k")
+    same = F.lit(True)
+    for c in at:
+        same = same & F.col(c).eqNullSafe(F.col(f"__l_{c}"))
+    arrays = q.join(lists, same)
+    if exclude_self:
+        others = F.filter("__nb", lambda n: F.coalesce(n["__tk"] != F.col("__qk"), F.lit(True)))
+        arrays = arrays.withColumn("__nb", F.slice(others, 1, k))
+    arrays = arrays.select(*split, "__qk", "__nb")
+    if q.groupBy(*split, "__qk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return arrays
+    # queries of one key are answered together
+    return arrays.groupBy(*split, "__qk").agg(first("__nb", k).alias("__nb"))
+
+
 def knn_vote(neighbors: DataFrame, query_key: str = "entity_id", split=None, k: int | None = None,
              positive=True) -> DataFrame:
     """H1, H2: majority vote (ties to the lower class) and the share of
@@ -167,7 +195,7 @@ def knn_k_sweep(neighbors: DataFrame, ks: list[int], query_key: str = "entity_id
     split = [split] if isinstance(split, str) else list(split or [])
     few = F.raise_error(F.concat(F.lit("fewer neighbours than k = "), F.lit(str(max(ks)))))
     if "neighbors" in neighbors.columns:
-        labels = F.transform("neighbors", lambda n: n["neighbor_label"].cast("int"))
+        labels = F.transform("neighbors", lambda n: F.coalesce(n["neighbor_label"].cast("int"), F.lit(0)))
         labels = F.when(F.size("neighbors") >= max(ks), labels).otherwise(few)
         per_k = F.array(*[F.struct(F.lit(k).alias("k"), F.aggregate(
             F.slice(labels, 1, k), F.lit(0), lambda acc, x: acc + x).alias("pos")) for k in ks])

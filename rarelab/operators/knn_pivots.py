@@ -28,12 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from rarelab.operators.knn_line import _codes as coded
 from rarelab.session import cut_lineage, expose_package
 
 MOST_PIVOTS = 1024
 ROOM = 1e-9  # of the distances in a bound
 CELLS = 2_000_000  # distances held at once
+BATCH_ROWS = 2048  # training rows of near cells that are compared together
 
 
 class Points:
@@ -106,7 +109,8 @@ def _placer(pivots: Points, numbers: str, codes: str):
                 continue
             rows = Points(_matrix(batch.column(numbers), np.float64), _matrix(batch.column(codes), np.int64),
                           pivots.weights, pivots.code_weights)
-            cell = rows.nearest(pivots)
+            step = max(1, CELLS // len(pivots))
+            cell = np.concatenate([rows.take(slice(a, a + step)).nearest(pivots) for a in range(0, len(rows), step)])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(rows.to(pivots.take(cell)))],
                                              [*batch.schema.names, "__cell", "__r"])
     return run
@@ -180,113 +184,156 @@ def _groups(values: np.ndarray) -> Iterator[tuple[object, np.ndarray]]:
         yield values[order[lo]], order[lo:hi]
 
 
-def _best(line: np.ndarray, at: np.ndarray, d2: np.ndarray, k: int) -> np.ndarray:
-    """Which candidates are among the first ``k`` of their line in (distance, row) order, in that order."""
-    order = np.lexsort((at, d2, line))
-    first = np.searchsorted(line[order], line[order], side="left")
-    return order[np.arange(len(order)) - first < k]
-
-
-def _kernel(pivots: Points, k: int, split: list[str], exclude_self: bool, mode: str, counter):
-    columns = [*split, "__qk", "__tk", "__ty", "__d2"]
+def _first(d: np.ndarray, k: int) -> np.ndarray:
+    """Which candidates are among the first ``k`` of their line in (distance, column) order."""
+    if d.shape[1] <= k:
+        return np.isfinite(d)
+    top = np.partition(d, k - 1, axis=1)[:, k - 1, None]
+    keep, level = d < top, d == top
+    missing = k - keep.sum(axis=1)
+    tied = np.flatnonzero(level.sum(axis=1) > missing)
+    if len(tied):
+        level[tied] &= np.cumsum(level[tied], axis=1, dtype=np.int32) <= missing[tied, None]
+    return (keep | level) & np.isfinite(d)
+
+
+def _kernel(pivots: Points, k: int, split: list[str], exclude_self: bool, mode: str, counter, schema: pa.Schema):
+    def distances(q: Points, t: Points) -> np.ndarray:
+        """Squared, dimension by dimension, as SQL sums."""
+        d = np.zeros((len(q), len(t)))
+        for dim in range(t.x.shape[1]):
+            diff = q.x[:, dim, None] - t.x[None, :, dim]
+            d += (diff * diff) * pivots.weights[dim]
+        return d + code_gaps(q.z, t.z, pivots.code_weights) if t.z.shape[1] else d
+
+    def raw(table: pa.Table, numbers: str, codes: str) -> Points:
+        out = object.__new__(Points)  # unscaled
+        out.x, out.z = (_matrix(table.column(c).combine_chunks(), kind) for c, kind in ((numbers, np.float64), (codes, np.int64)))
+        out.weights, out.code_weights = pivots.weights, pivots.code_weights
+        return out
 
-    def kernel(qdf: pd.DataFrame, tdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qdf) == 0 or len(tdf) == 0:
-            return pd.DataFrame({c: [] for c in columns})
-        tdf = tdf.sort_values("__tk", kind="stable", ignore_index=True)
-        tx, tk, ty = np.stack(tdf["__tx"].to_numpy()).astype(np.float64).reshape(len(tdf), -1), tdf["__tk"].to_numpy(), tdf["__ty"].to_numpy()
-        tz, qz = (np.stack(c.to_numpy()).astype(np.int64).reshape(len(c), -1) for c in (tdf["__tz"], qdf["__qz"]))
-        qx, qk, rq = np.stack(qdf["__qx"].to_numpy()).astype(np.float64).reshape(len(qdf), -1), qdf["__qk"].to_numpy(), qdf["__r"].to_numpy()
-        t_class = tdf["__tc"].to_numpy() if mode == "others" else None
-        q_code, q_names = pd.factorize(qdf["__qc"], use_na_sentinel=False) if mode != "own" else (np.zeros(len(qdf), int), [None])
+    def kernel(queries: pa.Table, train: pa.Table) -> pa.Table:
+        if queries.num_rows == 0 or train.num_rows == 0:
+            return schema.empty_table()
+        train = train.sort_by("__tk")  # a row's number is its place among the keys
+        t, q = raw(train, "__tx", "__tz"), raw(queries, "__qx", "__qz")
+        rq, theta = (queries.column(c).to_numpy() for c in ("__r", "__theta"))
+        t_r, own = train.column("__r").to_numpy(), None
+        if mode == "others":
+            (t_class, q_class), _ = coded([train.column("__tc"), queries.column("__qc")])
+        elif mode == "listed":
+            belongs = train.column("__tc").combine_chunks()
+            entries = np.repeat(np.arange(len(t)), belongs.value_lengths().fill_null(0).to_numpy())
+            (t_class, q_class), _ = coded([belongs.flatten(), queries.column("__qc")])
+        else:
+            q_class = np.zeros(len(q), np.int64)
+        if exclude_self:
+            # a key that is null is nobody's
+            (t_key, q_key), _ = coded([train.column("__tk"), queries.column("__qk")])
+            q_key = np.where(queries.column("__qk").combine_chunks().is_null().to_numpy(zero_copy_only=False), -1, q_key)
         cells = []
-        for j, at in _groups(tdf["__cell"].to_numpy()):
-            at = at[np.argsort(tdf["__r"].to_numpy()[at], kind="stable")]
-            cells.append((j, at, tdf["__r"].to_numpy()[at]))
+        for j, at in _groups(train.column("__cell").to_numpy()):
+            at = at[np.argsort(t_r[at], kind="stable")]
+            cells.append((j, at, t_r[at]))
+        centres = pivots.take([j for j, *_ in cells])
+        batch = max(BATCH_ROWS, 2 * k)
         pairs, found = 0, []
-        for i, whole in _groups(qdf["__cell"].to_numpy().astype(np.int64)):
-            for code, inside in _groups(q_code[whole]):
+        for i, whole in _groups(queries.column("__cell").to_numpy().astype(np.int64)):
+            gaps = centres.to(pivots.take([i]))
+            nearest_first = np.argsort(gaps, kind="stable")
+            for code, inside in _groups(q_class[whole]):
                 mine = whole[inside]
-                limit = qdf["__theta"].to_numpy()[mine].copy()
-                gaps = pivots.take([j for j, *_ in cells]).to(pivots.take([i]))
-                line, place, value = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+                limit, near = theta[mine].copy(), np.full((len(mine), k), np.inf)
+                place = np.full((len(mine), k), len(t))
                 if mode == "others":
-                    other = ~np.asarray([_same(c, q_names[code]) for c in t_class])
+                    own = t_class != code
                 elif mode == "listed":
-                    other = np.asarray([q_names[code] in c for c in tdf["__tc"]])
-                for n in np.argsort(gaps, kind="stable"):
-                    gap, (_, at, rt) = gaps[n], cells[n]
-                    room = ROOM * (gap + rq[mine] + rt[-1])
-                    live = np.flatnonzero(~(gap - rq[mine] - rt[-1] - room > limit))
-                    if not len(live):
+                    own = np.zeros(len(t), bool)
+                    own[entries[t_class == code]] = True
+                held, size, live = [], 0, np.zeros(len(mine), bool)
+                for n in [*nearest_first, None]:
+                    if n is not None:
+                        gap, (_, at, rt) = gaps[n], cells[n]
+                        room = ROOM * (gap + rq[mine] + rt[-1])
+                        reached = ~(gap - rq[mine] - rt[-1] - room > limit)
+                        if not reached.any():
+                            continue
+                        # |d(q, pivot) - r| <= d(q, row): rows whose distance to their pivot is out of reach
+                        far = (rq[mine] + limit + room)[reached].max()
+                        part = at
+                        if np.isfinite(far):
+                            part = at[np.searchsorted(rt, gap - far):np.searchsorted(rt, gap + far, side="right")]
+                        part = part if own is None else part[own[part]]
+                        if not len(part):
+                            continue
+                        held.append(part)
+                        size += len(part)
+                        live |= reached
+                        if size < batch:
+                            continue
+                    if not held:
                         continue
-                    # |d(q, pivot) - r| <= d(q, row): rows whose distance to their pivot is out of reach
-                    far = (rq[mine][live] + limit[live] + room[live]).max()
-                    part = at
-                    if np.isfinite(far):
-                        part = at[np.searchsorted(rt, gap - far):np.searchsorted(rt, gap + far, side="right")]
-                    if mode != "own":
-                        part = part[other[part]]
-                    if not len(part):
-                        continue
-                    pairs += len(live) * len(part)
-                    step = max(1, CELLS // len(part))
-                    for s in range(0, len(live), step):
-                        some = live[s:s + step]
-                        d = np.zeros((len(some), len(part)))
-                        for dim in range(tx.shape[1]):  # dimension by dimension, as SQL sums
-                            diff = qx[mine[some], dim, None] - tx[None, part, dim]
-                            d += (diff * diff) * pivots.weights[dim]
-                        if qz.shape[1]:
-                            d += code_gaps(qz[mine[some]], tz[part], pivots.code_weights)
+                    cols, lines = np.sort(np.concatenate(held)), np.flatnonzero(live)
+                    there = t.take(cols)
+                    pairs += len(lines) * len(cols)
+                    step = max(1, CELLS // max(len(cols), 2 * k))
+                    for s in range(0, len(lines), step):
+                        some = lines[s:s + step]
+                        d = distances(q.take(mine[some]), there)
                         if exclude_self:
-                            d[qk[mine[some], None] == tk[None, part]] = np.inf
-                        top = np.full(len(some), np.inf)
-                        if len(part) > k:
-                            top = np.partition(d, k - 1, axis=1)[:, k - 1]
-                        a, b = np.nonzero((d <= top[:, None]) & np.isfinite(d))
-                        line, place = np.concatenate((line, some[a])), np.concatenate((place, part[b]))
-                        value = np.concatenate((value, d[a, b]))
-                    keep = _best(line, place, value, k)
-                    line, place, value = line[keep], place[keep], value[keep]
-                    count = np.bincount(line, minlength=len(mine))
-                    full = np.flatnonzero(count >= k)
-                    limit[full] = np.minimum(limit[full], np.sqrt(value[np.cumsum(count)[full] - 1]) * (1 + ROOM))
-                found.append((mine[line], place, value))
+                            d[q_key[mine[some], None] == t_key[None, cols]] = np.inf
+                        d[d > (limit[some] * limit[some] * (1 + 4 * ROOM))[:, None]] = np.inf
+                        a, b = np.nonzero(_first(d, k))
+                        if not len(a):
+                            continue
+                        # the new ones of a line beside those that it has
+                        count = np.bincount(a, minlength=len(some))
+                        more = int(count.max())
+                        slot = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+                        both_d, both_p = np.full((len(some), k + more), np.inf), np.full((len(some), k + more), len(t))
+                        both_d[:, :k], both_p[:, :k] = near[some], place[some]
+                        both_d[a, k + slot], both_p[a, k + slot] = d[a, b], cols[b]
+                        best = np.lexsort((both_p, both_d), axis=1)[:, :k]
+                        near[some], place[some] = np.take_along_axis(both_d, best, axis=1), np.take_along_axis(both_p, best, axis=1)
+                        limit[some] = np.minimum(limit[some], np.sqrt(near[some, -1]) * (1 + ROOM))
+                    held, size, live = [], 0, np.zeros(len(mine), bool)
+                full = np.flatnonzero(place[:, 0] < len(t))
+                place, near = place[full], near[full]
+                there = place < len(t)
+                found.append((mine[full], there.sum(axis=1), place[there], near[there]))
         if counter is not None:
             counter.add(pairs)
-        q, t, value = (np.concatenate(x) for x in zip(*found, strict=True))
-        out = pd.DataFrame({"__qk": qk[q], "__tk": tk[t], "__ty": ty[t], "__d2": value})
-        for s in split:
-            out[s] = qdf[s].iloc[0]
-        return out[columns]
+        line, count, at, value = (np.concatenate(x) for x in zip(*found, strict=True))
+        rows = train.select(["__tk", "__ty"]).take(pa.array(at))
+        items = pa.StructArray.from_arrays([pa.array(value), *[rows.column(c).combine_chunks() for c in ("__tk", "__ty")]], ["__d2", "__tk", "__ty"])
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)), items)
+        cols = {c: queries.column(c).combine_chunks().take(pa.array(line)) for c in [*split, "__qk"]} | {"__nb": lists}
+        return pa.table([cols[f.name].cast(f.type) for f in schema], schema=schema)
     return kernel
 
 
-def _same(a, b) -> bool:
-    return (pd.isna(a) and pd.isna(b)) or a == b
-
-
 def pivot_search(train: DataFrame, query: DataFrame, k: int, split: list[str], exclude_self: bool, mode: str,
                  weights: np.ndarray, code_weights: np.ndarray, train_block_rows: int, query_block_rows: int,
                  counter=None) -> DataFrame:
-    """Candidates ``(split..., __qk, __tk, __ty, __d2)``: the ``k`` nearest training rows of every query are among
-    them, at most ``k`` from each training block.
+    """Candidates ``(split..., __qk, __nb)``: the ``k`` nearest training rows of every query are among those of its
+    arrays of ``(__d2, __tk, __ty)``, one from each training block that it meets, of at most ``k`` each.
 
     ``train``: ``(split..., __tk, __ty, __tx, __tz, __tc)``, ``query``: ``(split..., __qk, __qx, __qz, __qc)``, written down;
     vectors of numbers and of level codes, each of one length, without nulls.  ``mode`` as in :func:`rarelab.operators.knn_line.line_search`.  ``counter``: an
     accumulator of the distances computed."""
     spark = train.sparkSession
-    names = [*split, "__qk", "__tk", "__ty", "__d2"]
+    names = [*split, "__qk", "__nb"]
+    near = T.StructType([T.StructField("__d2", T.DoubleType()), T.StructField("__tk", train.schema["__tk"].dataType),
+                         T.StructField("__ty", train.schema["__ty"].dataType)])
     schema = T.StructType([*[train.schema[s] for s in split], T.StructField("__qk", query.schema["__qk"].dataType),
-                           T.StructField("__tk", train.schema["__tk"].dataType),
-                           T.StructField("__ty", train.schema["__ty"].dataType), T.StructField("__d2", T.DoubleType())])
+                           T.StructField("__nb", T.ArrayType(near))])
     n = train.count()
     if n == 0:
         return spark.createDataFrame([], schema)
     expose_package(spark)
     pivots = sample_pivots(train, n, weights, code_weights)
-    t, q = _placed(train, pivots, "__tx", "__tz"), _placed(query, pivots, "__qx", "__qz")
+    # placed once: the counts and the search read it
+    t, q = (cut_lineage(_placed(df, pivots, x, z)) for df, x, z in ((train, "__tx", "__tz"), (query, "__qx", "__qz")))
 
     # one row per split, class and cell
     stats = [F.count(F.lit(1)).alias("__n"), F.max("__r").alias("__far")]
@@ -332,6 +379,6 @@ def pivot_search(train: DataFrame, query: DataFrame, k: int, split: list[str], e
     pair = needed.select(*[F.col(s).alias(f"__e{s}") for s in split], F.col("__qb").alias("__eq"), F.col("__tb").alias("__et"))
     t = on(t, pair, "__e", ("__tb", "__et")).withColumnRenamed("__eq", "__qb")
     q = on(q, pair, "__e", ("__qb", "__eq")).withColumnRenamed("__et", "__tb")
-    kernel = _kernel(pivots, k, split, exclude_self, mode, counter)
+    kernel = _kernel(pivots, k, split, exclude_self, mode, counter, to_arrow_schema(schema))
     keys = [*split, "__qb", "__tb"]
-    return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInPandas(kernel, schema).select(*names)
+    return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInArrow(kernel, schema).select(*names)

@@ -181,3 +181,29 @@ def test_pivots_without_rows_or_neighbours(spark):
     alone = df.withColumn("cls", F.lit(1))
     assert knn_neighbors(alone, alone, ["a", "b"], 3, exclude_col="cls").collect() == []
     assert knn_neighbors(alone, alone, ["a"], 3, exclude_col="cls").collect() == []
+
+
+def test_equal_rows_are_compared_once(spark):
+    """Rows of few different points: the distances computed follow the points, not the pairs of rows, and a
+    training block of equal rows leaves k of them."""
+    rng = np.random.default_rng(11)
+    rows = [(i, bool(i % 3 == 0), float(rng.integers(0, 4)), float(rng.integers(0, 3)), i % 5) for i in range(3000)]
+    df = spark.createDataFrame(rows, "entity_id long, label boolean, a double, b double, cls int")
+    tr, qu = df.where("entity_id % 2 = 0"), df.where("entity_id % 2 = 1")
+    counter = spark.sparkContext.accumulator(0)
+    got = {(r["entity_id"], r["neighbor_key"], r["rank"]) for r in knn_neighbors(tr, qu, ["a", "b"], 4, counter=counter).collect()}
+    assert got == _brute(tr.collect(), qu.collect(), ["a", "b"], 4)
+    assert counter.value <= 12 * 12 * 4  # 12 points, four rows of each
+    nb = knn_neighbors(df, df, ["a", "b"], 4, exclude_col="cls", counter=counter, as_arrays=True).collect()
+    for r in nb[::97]:
+        q = rows[r["entity_id"]]
+        near = sorted(((q[2] - t[2]) ** 2 + (q[3] - t[3]) ** 2, t[0]) for t in rows if t[4] != q[4])[:4]
+        assert [n["neighbor_key"] for n in r["neighbors"]] == [key for _, key in near]
+    assert len(nb) == 3000 and counter.value <= 12 * 12 * 4 + 60 * 12 * 20
+
+
+def test_queries_of_one_key_are_answered_together(spark):
+    tr = spark.createDataFrame([(i, True, float(i), 0.0) for i in range(9)], "entity_id long, label boolean, a double, b double")
+    qu = spark.createDataFrame([(1, 0.0, 0.0), (1, 8.0, 0.0), (None, 4.0, 0.0)], "entity_id long, a double, b double")
+    got = {(r["entity_id"], r["neighbor_key"]) for r in knn_neighbors(tr, qu, ["a", "b"], 2).collect()}
+    assert got == {(1, 0), (1, 8), (None, 4), (None, 3)}
