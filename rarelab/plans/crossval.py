@@ -26,23 +26,25 @@ def cv_knn_sweep(folds: DataFrame, n_splits: int, features, ks: list[int], key:
     """Per (split, k): accuracy of a kNN classifier, every k from one
     neighbour search of depth ``max(ks)``."""
     feats = [features] if isinstance(features, str) else list(features)
-    if isinstance(features, str) or len(feats) > 1:
-        # one search per repeat with same-fold pairs masked: no training row is copied
+    several = isinstance(features, str) or len(feats) > 1
+    if several and not folds.groupBy("repeat", key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        # rows of one key are answered together: one search per repeat with same-fold pairs masked
         rows = folds.select("repeat", "fold", key, label, *feats)
         nb = knn_neighbors(rows, rows, features, max(ks), key=key, label=label, split="repeat", weights=weights,
-                           exclude_col="fold")
+                           exclude_col="fold", as_arrays=True)
         test = folds.select("repeat", key, label, (F.col("repeat") * n_splits + F.col("fold")).alias("split_id"))
         preds = knn_k_sweep(nb, ks, key, "repeat").join(test, ["repeat", key])
         return metrics.accuracy(preds, label, "pred", by=["split_id", "k"])
-    # one feature: rows of equal value and fold share their neighbours, so these pairs are searched and weighted
-    # with the labels that have them
-    x, y = F.col(feats[0]).cast("double"), F.col(label)
-    values = cut_lineage(folds.groupBy("repeat", "fold", x.alias("__x")).agg(
+    # rows of equal features and fold share their neighbours, so these sets are searched and weighted
+    # with the labels that have them; no training row is copied
+    y = F.col(label)
+    named = [F.col(c) if isinstance(features, str) else F.col(c).cast("double").alias(c) for c in feats]
+    values = cut_lineage(folds.groupBy("repeat", "fold", *named).agg(
         F.count(F.when(y, 1)).alias("__pos"), F.count(F.when(~y, 1)).alias("__neg"))
-        .withColumn("__pair", F.concat_ws(":", "fold", "__x")))
-    train = folds.select("repeat", "fold", key, label, x.alias("__x"))
-    nb = knn_neighbors(train, values, ["__x"], max(ks), key=key, label=label, query_key="__pair", split="repeat",
-                       weights=weights, exclude_col="fold")
+        .withColumn("__pair", F.monotonically_increasing_id()))
+    train = folds.select("repeat", "fold", key, label, *named)
+    nb = knn_neighbors(train, values, features, max(ks), key=key, label=label, query_key="__pair", split="repeat",
+                       weights=weights, exclude_col="fold", as_arrays=True)
     values = values.withColumn("split_id", F.col("repeat") * n_splits + F.col("fold"))
     hits = knn_k_sweep(nb, ks, "__pair", "repeat").join(values, ["repeat", "__pair"])
     right, n = F.sum(F.when(F.col("pred"), F.col("__pos")).otherwise(F.col("__neg"))), F.sum(F.col("__pos") + F.col("__neg"))
