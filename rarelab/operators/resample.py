@@ -28,7 +28,7 @@ from rarelab.operators.knn import knn_neighbors
 from rarelab.operators.ordered import running_sum
 from rarelab.session import cut_lineage
 
-CHUNK = 100_000  # synthetic rows that one row of the plan expands to
+CHUNK = 10_000  # synthetic rows that one row of the plan expands to
 
 
 def _split_list(split):
@@ -76,7 +76,8 @@ def _numbered(plan: DataFrame) -> DataFrame:
     are cut into chunks that are dealt out before they expand."""
     chunks = plan.where("n_new > 0").withColumn("__c", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.col("n_new") - 1, F.lit(CHUNK).cast("bigint"))))
-    dealt = chunks.repartition(F.xxhash64(*[c for c in chunks.columns]))
+    # a number of partitions of its own: Spark would put so few small rows into one task
+    dealt = chunks.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*chunks.columns))
     return dealt.withColumn("__j", F.explode(F.sequence(
         F.col("__c"), F.least(F.col("__c") + F.lit(CHUNK - 1), F.col("n_new") - 1)))).drop("__c")
 
@@ -132,7 +133,8 @@ def synthetic_points(plan: DataFrame, bases: DataFrame, split: list[str], seed:
                            "__r": F.pmod(F.col("__d"), F.col("__k")).cast("int")})
     near = F.get(F.col("__near"), F.col("__r"))
     point = F.zip_with("__base", near, lambda b, n: b + F.col("__gap") * (n - b))
-    pts = syn.join(bases, [*split, "__i"]).withColumn("__point", point)
+    # Spark takes the exploded counts for a few rows: neither side may be sent to every task
+    pts = syn.join(bases.hint("merge"), [*split, "__i"]).withColumn("__point", point)
     return pts.drop("n_min", "n_maj", "n_new", "__k", "__d", "__gap", "__i", "__r", "__base", "__near")
 
 
