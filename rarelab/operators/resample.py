@@ -328,13 +328,17 @@ def resampled_members(folds: DataFrame, n_splits: int, features: list[str], conf
         kept = majority.withColumn("__in", F.flatten(F.transform(listed, lambda c: F.transform(others, lambda f: member(c, f)))))
     else:
         groups = ["config", "split_id"]
-        cuts = hash_cuts(hashed.withColumn("config", F.explode(listed)), groups, plan.select(*groups, F.col("n_maj").alias("n"), "take"))
-        # at most n_splits * configs structs a repeat
-        table = cuts.groupBy(F.floor(F.col("split_id") / n_splits).cast("int").alias("repeat")).agg(
-            F.collect_list(F.struct("config", (F.col("split_id") % n_splits).alias("of"), "split_id", "__cut_h", "__cut_k")).alias("__cuts"))
-        own = lambda c: F.md5(F.concat_ws(":", F.lit(str(seed)), c["split_id"].cast("string"), F.col(key).cast("string")))
-        stays = F.filter("__cuts", lambda c: (c["of"] != F.col("fold")) & before_cut(own(c), F.col(key), c["__cut_h"], c["__cut_k"]))
-        kept = majority.join(table, "repeat").withColumn("__in", F.transform(stays, lambda c: member(c["config"], c["of"])))
+        cuts = hash_cuts(hashed, groups, plan.select(*groups, F.col("n_maj").alias("n"), "take"), ["split_id"])
+        # at most n_splits * configs structs a repeat; a row is hashed once for each fold
+        table = cuts.groupBy("split_id").agg(F.collect_list(F.struct("config", "__cut_h", "__cut_k")).alias("cuts"))
+        table = table.groupBy(F.floor(F.col("split_id") / n_splits).cast("int").alias("repeat")).agg(
+            F.collect_list(F.struct((F.col("split_id") % n_splits).alias("of"), "split_id", "cuts")).alias("__cuts"))
+        own = F.transform(F.filter("__cuts", lambda c: c["of"] != F.col("fold")), lambda c: F.struct(
+            c["of"].alias("of"), c["cuts"].alias("cuts"),
+            F.md5(F.concat_ws(":", F.lit(str(seed)), c["split_id"].cast("string"), F.col(key).cast("string"))).alias("h")))
+        stays = F.transform(own, lambda s: F.transform(
+            F.filter(s["cuts"], lambda c: before_cut(s["h"], F.col(key), c["__cut_h"], c["__cut_k"])), lambda c: member(c["config"], s["of"])))
+        kept = majority.join(table, "repeat").withColumn("__in", F.flatten(stays))
         kept = kept.where(F.size("__in") > 0)
     original = folds.where(F.col(label) == F.lit(mino)).withColumn(
         "__in", F.flatten(F.transform(listed, lambda c: F.transform(others, lambda f: member(c, f)))))

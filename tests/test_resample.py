@@ -128,3 +128,26 @@ def test_hash_cuts_are_exact(spark, distinct):
     cuts = {r["g"]: (r["__cut_h"], r["__cut_k"]) for r in hash_cuts(df, ["g"], want).collect()}
     ordered = {g: sorted((r["__h"], r["__k"]) for r in df.where(F.col("g") == g).collect()) for g in range(3)}
     assert cuts == {0: ordered[0][0], 1: ordered[1][199], 2: ordered[2][399]}
+
+
+def test_draws_are_not_sent_to_every_task(spark):
+    """Counts that expand look like a few rows to Spark; the points drawn must not be broadcast."""
+    plan = spark.createDataFrame([(0, 40, 50_000, 3)], "split_id int, n_min bigint, n_new bigint, __k int")
+    bases = spark.range(40).select(F.lit(0).alias("split_id"), F.col("id").alias("__i"), F.array(F.col("id").cast("double")).alias("__base"),
+                                   F.array_repeat(F.array(F.lit(1.0)), 3).alias("__near"))
+    points = resample.synthetic_points(plan, bases, ["split_id"], 1)
+    assert points.count() == 50_000
+    assert "Broadcast" not in points._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hash_cuts_of_groups_that_share_rows(spark):
+    """Several cuts of the same rows, found without a copy of the rows for each; brackets that overlap or fail."""
+    for distinct in (True, False):
+        rows = spark.createDataFrame([(s, i if distinct else i % 2) for s in range(3) for i in range(400)], "s int, __k long").withColumn(
+            "__h", F.md5(F.concat_ws(":", "s", "__k")))
+        takes = [(c, s, 400, t) for s in range(3) for c, t in enumerate((1, 150, 155, 200, 399, 400, 0))]
+        want = spark.createDataFrame(takes, "config int, s int, n long, take long")
+        copies = rows.withColumn("config", F.explode(F.sequence(F.lit(0), F.lit(6))))
+        one = {tuple(r) for r in hash_cuts(copies, ["config", "s"], want).select("config", "s", "__cut_h", "__cut_k").collect()}
+        shared = {tuple(r) for r in hash_cuts(rows, ["config", "s"], want, ["s"]).select("config", "s", "__cut_h", "__cut_k").collect()}
+        assert one == shared and len(one) == 18
