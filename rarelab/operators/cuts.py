@@ -30,7 +30,8 @@ def _listed_within(rows: DataFrame, within: list[str], group: list[str], bracket
     table = b.groupBy(*within).agg(F.collect_list(F.struct(*extra, "__lo", "__hi", "__take")).alias("__all"))
     on = lambda df, other: _joined(df, other, within)
     u = F.col("__u")
-    placed = on(rows, table).withColumn("__u", _leading(F.col("__h")))
+    # few rows of a caller's own groups; rows meet them where they lie, not in a task per group
+    placed = on(rows, F.broadcast(table)).withColumn("__u", _leading(F.col("__h")))
     holding = F.filter("__all", lambda c: (u >= c["__lo"]) & (u < c["__hi"]))
     # the brackets that begin at or before the row number the stretch between two beginnings that it is in
     begun = F.size(F.filter("__all", lambda c: u >= c["__lo"]))

@@ -338,7 +338,8 @@ def resampled_members(folds: DataFrame, n_splits: int, features: list[str], conf
             F.md5(F.concat_ws(":", F.lit(str(seed)), c["split_id"].cast("string"), F.col(key).cast("string"))).alias("h")))
         stays = F.transform(own, lambda s: F.transform(
             F.filter(s["cuts"], lambda c: before_cut(s["h"], F.col(key), c["__cut_h"], c["__cut_k"])), lambda c: member(c["config"], s["of"])))
-        kept = majority.join(table, "repeat").withColumn("__in", F.flatten(stays))
+        # one row per repeat: joined by key, as many tasks as there are repeats would hash all rows
+        kept = majority.join(F.broadcast(table), "repeat").withColumn("__in", F.flatten(stays))
         kept = kept.where(F.size("__in") > 0)
     original = folds.where(F.col(label) == F.lit(mino)).withColumn(
         "__in", F.flatten(F.transform(listed, lambda c: F.transform(others, lambda f: member(c, f)))))

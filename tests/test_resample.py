@@ -151,3 +151,13 @@ def test_hash_cuts_of_groups_that_share_rows(spark):
         one = {tuple(r) for r in hash_cuts(copies, ["config", "s"], want).select("config", "s", "__cut_h", "__cut_k").collect()}
         shared = {tuple(r) for r in hash_cuts(rows, ["config", "s"], want, ["s"]).select("config", "s", "__cut_h", "__cut_k").collect()}
         assert one == shared and len(one) == 18
+
+
+def test_cuts_meet_the_rows_where_they_lie(spark):
+    """Joined by repeat (or split), as many tasks as there are repeats would hash every majority row."""
+    df = spark.createDataFrame([(i, i < 20, float(i)) for i in range(200)], "entity_id long, label boolean, x double")
+    folds = stratified_folds(df, "label", "entity_id", 4, n_repeats=2, seed=1)
+    members = resample.resampled_members(folds, 4, ["x"], [dict(over_ratio=0.2, over_k=3, under_ratio=0.5)])
+    plan = members._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line and "repeat#" in line]
+    assert any("broadcast" in line for line in joins), plan
