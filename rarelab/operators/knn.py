@@ -19,7 +19,10 @@ Two exact strategies:
   task is bounded by the block sizes, and a query block leaves at most k rows
   per query and training block.
 
-Both accept ``split`` columns (independent problems, e.g. cross-validation
+Rows of level codes and one number at most, searched without classes, need no pairs either
+(:mod:`rarelab.operators.knn_codes`): a line per level, and one of all levels.
+
+All accept ``split`` columns (independent problems, e.g. cross-validation
 splits), self-exclusion (leave-one-out), the exclusion of pairs that share the
 value of a column of few values (``exclude_col``), and training rows that list
 the values they are for (``member_col``): every fold of a k-fold split is scored
@@ -33,6 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rarelab.operators.knn_codes import code_search
 from rarelab.operators.knn_line import line_search
 from rarelab.operators.knn_pivots import pivot_search
 from rarelab.session import cut_lineage
@@ -149,7 +153,10 @@ def _by_pivots(t: DataFrame, q: DataFrame, k: int, split: list[str], exclude_sel
         t = cut_lineage(t.withColumn("__at", F.row_number().over(among)).where(F.col("__at") <= take).drop("__at"))
     at = [*split, "__qx", "__qz", "__qc"]
     points = cut_lineage(q.select(*at).distinct().withColumn("__qk", F.monotonically_increasing_id()))
-    cand = pivot_search(t, points, take, split, False, mode, w, cw, train_block_rows, query_block_rows, counter)
+    if mode == "own" and len(cw) and len(w) < 2 and (w > 0).all() and (cw >= 0).all():
+        cand = code_search(t, points, take, split, w, cw)
+    else:
+        cand = pivot_search(t, points, take, split, False, mode, w, cw, train_block_rows, query_block_rows, counter)
     lists = cand.groupBy(*split, "__qk").agg(first("__nb", take).alias("__nb"))
     lists = lists.select(F.col("__qk").alias("__l_k"), "__nb").join(
         points.select(F.col("__qk").alias("__l_k"), *[F.col(c).alias(f"__l_{c}") for c in at]), "__l_k")

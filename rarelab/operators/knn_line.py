@@ -60,19 +60,20 @@ class _Ordered:
         return self.forward[lo:hi], self.backward[lo:hi]
 
 
-def _nearest(v: np.ndarray, forward: np.ndarray, backward: np.ndarray, x: np.ndarray, key: np.ndarray, take: int,
-             weight: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each value the ``take`` nearest rows (-1: none), the farthest's distance, and how many rows are not below it."""
-    n, below = len(forward), np.searchsorted(x[forward], v, side="left")
-    steps = np.arange(take)
-    right, left = below[:, None] + steps, (n - below)[:, None] + steps
-    at = np.concatenate((np.where(right < n, forward[np.minimum(right, n - 1)], -1),
-                         np.where(left < n, backward[np.minimum(left, n - 1)], -1)), axis=1) if n else np.full((len(v), take), -1)
+def _nearest(v: np.ndarray, forward: np.ndarray, backward: np.ndarray, lo: np.ndarray, hi: np.ndarray, below: np.ndarray,
+             x: np.ndarray, key: np.ndarray, take: int, weight: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each value the ``take`` nearest rows (-1: none), the farthest's distance, and how many rows are not below it.
+    Its group is ``lo`` to ``hi`` of both orders, ``below`` the first place of ``forward`` that is not below it."""
+    steps, above = np.arange(take), hi - below
+    right, left = below[:, None] + steps, (lo + above)[:, None] + steps
+    n = len(forward)
+    at = np.concatenate((np.where(right < hi[:, None], forward[np.minimum(right, n - 1)], -1),
+                         np.where(left < hi[:, None], backward[np.minimum(left, n - 1)], -1)), axis=1) if n else np.full((len(v), take), -1)
     diff = v[:, None] - x[at] if len(x) else np.zeros(at.shape)
     d2 = weight * diff * diff
     first = np.lexsort((key[at] if len(key) else at, d2, at < 0), axis=1)[:, :take]
     at, d2 = np.take_along_axis(at, first, axis=1), np.take_along_axis(d2, first, axis=1)
-    return at, np.where(at[:, -1] >= 0, d2[:, -1], np.inf), n - below
+    return at, np.where(at[:, -1] >= 0, d2[:, -1], np.inf), above
 
 
 def _kernel(split: list[str], take: int, weight: float, mode: str, schema: pa.Schema):
@@ -108,11 +109,13 @@ def _kernel(split: list[str], take: int, weight: float, mode: str, schema: pa.Sc
         classes = len(names)
         by_class = _Ordered(entries, t_sid[entries] * classes + t_class, x, key)
         by_split = _Ordered(every, t_sid, x, key) if mode == "others" else by_class
-        low, high = table.column("__v").to_numpy().min(), table.column("__v").to_numpy().max()
-        lows, highs = {}, {}  # of each split: another split's rows say nothing of where this one's go on
-        both = np.concatenate((x, v)), np.concatenate((t_sid, q_sid))
-        for s in np.unique(both[1]):
-            lows[s], highs[s] = both[0][both[1] == s].min(), both[0][both[1] == s].max()
+        # the farthest values of each split here: another split's rows say nothing of where this one's go on
+        both_v, both_s = np.concatenate((x, v)), np.concatenate((t_sid, q_sid))
+        lows, highs = np.full(sid.max() + 1, np.inf), np.full(sid.max() + 1, -np.inf)
+        np.minimum.at(lows, both_s, both_v)
+        np.maximum.at(highs, both_s, both_v)
+        # rows come in the order of their splits: only the first and the last split can go on in other partitions
+        first, last = sid[0], sid[-1]
 
         def batch(kind, source, at, c, value, side, near):
             n = len(at)
@@ -121,28 +124,45 @@ def _kernel(split: list[str], take: int, weight: float, mode: str, schema: pa.Sc
                      "__c": names.take(pa.array(c)), "__v": value, "__side": side, "__nb": near}
             return pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in schema], schema=schema)
 
+        def answers(mine, at, far, above):
+            s = q_sid[mine]
+            # strictly farther than the farthest found: nothing beyond that end can belong to the answer
+            to_high, to_low = highs[s] - v[mine], v[mine] - lows[s]
+            open_ = (s == last) & (above < take) & ~(weight * to_high * to_high > far) | (s == first) & ~(weight * to_low * to_low > far)
+            return batch(np.where(open_, OPEN, DONE), asks, mine, q_class[mine], pa.array(v[mine]),
+                         pa.nulls(len(mine), pa.int32()), lists(at, rows))
+
         group = q_sid * classes + q_class
-        by_group = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[by_group], np.unique(group), side="left").tolist() + [len(group)]
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            s, c = q_sid[by_group[lo]], q_class[by_group[lo]]
-            forward, backward = by_split.of(s) if mode == "others" else by_class.of(s * classes + c)
-            if mode == "others":
+        step = max(1, CELLS // (2 * take))
+        if mode == "others":
+            by_group = np.argsort(group, kind="stable")
+            cuts = np.searchsorted(group[by_group], np.unique(group), side="left").tolist() + [len(group)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                s, c = q_sid[by_group[lo]], q_class[by_group[lo]]
+                forward, backward = by_split.of(s)
                 forward, backward = forward[t_class[forward] != c], backward[t_class[backward] != c]
-            step = max(1, CELLS // (2 * take))
-            for a in range(lo, hi, step):
-                mine = by_group[a:min(a + step, hi)]
-                at, far, above = _nearest(v[mine], forward, backward, x, key, take, weight)
-                # strictly farther than the farthest found: nothing beyond that end can belong to the answer
-                to_high, to_low = highs[s] - v[mine], v[mine] - lows[s]
-                open_ = ((above < take) & ~(weight * to_high * to_high > far)) | ~(weight * to_low * to_low > far)
-                yield batch(np.where(open_, OPEN, DONE), asks, mine, np.full(len(mine), c),
-                            pa.array(v[mine]), pa.nulls(len(mine), pa.int32()), lists(at, rows))
+                for a in range(lo, hi, step):
+                    mine = by_group[a:min(a + step, hi)]
+                    below = np.searchsorted(x[forward], v[mine], side="left")
+                    yield answers(mine, *_nearest(v[mine], forward, backward, np.zeros(len(mine), np.int64),
+                                                  np.full(len(mine), len(forward)), below, x, key, take, weight))
+        else:
+            # all groups at once, however many: an entry's place is that of (group, value)
+            rank = np.unique(both_v, return_inverse=True)[1].astype(np.int64)
+            ranks = len(both_v) + 1
+            place = by_class.group * ranks + rank[:len(x)][by_class.forward]
+            for a in range(0, len(v), step):
+                mine = np.arange(a, min(a + step, len(v)))
+                lo, hi = (np.searchsorted(by_class.group, group[mine], side=side) for side in ("left", "right"))
+                below = np.searchsorted(place, group[mine] * ranks + rank[len(x):][mine], side="left")
+                yield answers(mine, *_nearest(v[mine], by_class.forward, by_class.backward, lo, hi, below, x, key, take, weight))
         for side, order in ((RIGHT, by_class.forward), (LEFT, by_class.backward)):
             starts = np.unique(by_class.group, return_index=True)[1] if len(by_class.group) else np.empty(0, np.int64)
+            ends = np.append(starts[1:], len(order))
+            open_ = np.isin(by_class.group[starts] // classes, (first, last))
+            starts, ends = starts[open_], ends[open_]
             if not len(starts):
                 continue
-            ends = np.append(starts[1:], len(order))
             at = starts[:, None] + np.arange(take)
             at = np.where(at < ends[:, None], order[np.minimum(at, len(order) - 1)], -1)
             yield batch(EDGE, rows, at[:, 0], by_class.group[starts] % classes, pa.nulls(len(at), pa.float64()),
@@ -197,6 +217,7 @@ def line_search(train: DataFrame, values: DataFrame, take: int, split: list[str]
                            T.StructField("__nb", T.ArrayType(item))])
     expose_package(spark)
     ranged = u.repartitionByRange(parts, *split, "__v", "__flag", "__tk")
+    ranged = ranged.sortWithinPartitions(*split) if split else ranged
     found = cut_lineage(ranged.mapInArrow(_kernel(split, take, weight, mode, to_arrow_schema(schema)), schema))
 
     def finished(df: DataFrame) -> DataFrame:

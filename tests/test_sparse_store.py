@@ -119,3 +119,24 @@ def test_models_are_stored_once_and_score_alike(spark):
         load_model(spark, root, "c")
     with pytest.raises(LookupError):
         load_model(spark, root, "a", 9)
+
+
+def test_codes_of_many_levels_compare_no_pairs(spark):
+    """Levels as many as rows are equally far from each other, which no pivot prunes: no distance of a pair is computed."""
+    rng = np.random.default_rng(5)
+    rows = [(i, bool(rng.random() < 0.3), float(rng.integers(0, 5)), int(rng.integers(-1, 3)), int(rng.integers(-1, 150))) for i in range(400)]
+    rows += [(400 + i, True, 2.0, None, i) for i in range(20)]  # null is no level either
+    df = spark.createDataFrame(rows, "entity_id long, label boolean, x double, a int, b int")
+    tr, qu = df.where("entity_id % 3 <> 0"), df.where("entity_id % 3 = 0")
+    for feats, x_weight in ((["x"], 0.3), ([], 0.0)):
+        counter = spark.sparkContext.accumulator(0)
+        nb = knn_neighbors(tr, qu, feats, 4, codes=["a", "b"], code_weights=[1.0, 0.5], weights=[x_weight] * len(feats), counter=counter)
+        got = {(r["entity_id"], r["neighbor_key"], r["rank"], round(r["distance"], 9)) for r in nb.collect()}
+        level = lambda z: -1 if z is None else z
+        gap = lambda p, q: (level(p) != level(q)) * ((level(p) >= 0) + (level(q) >= 0))
+        want = set()
+        for q in rows[::3]:
+            near = sorted((x_weight * (q[2] - t[2]) ** 2 + gap(q[3], t[3]) + 0.5 * gap(q[4], t[4]), t[0]) for t in rows if t[0] % 3)[:4]
+            want |= {(q[0], key, rank + 1, round(d ** 0.5, 9)) for rank, (d, key) in enumerate(near)}
+        assert got == want
+        assert counter.value == 0
