@@ -79,7 +79,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     (:func:`rarelab.operators.sparse.encode_levels`) that count as their one-hot columns, whatever the number of
     levels, null or negative as none.  With ``as_arrays`` one row per query, ``(split..., query_key, neighbors)``
     holding the same k structs in rank order (bounded by k).  ``counter``: an
-    accumulator of the distances that the pivots method computes."""
+    accumulator of the distances that the pivots method sums."""
     split = [split] if isinstance(split, str) else list(split or [])
     query_key = query_key or key
     dim = _dim(train, features)

@@ -8,7 +8,9 @@ that has no neighbour for it.  Cells that lie near each other are packed into
 blocks of bounded size (a large cell fills several), and a query block meets
 only training blocks with a cell that it needs.  Inside a task the cells are
 visited in order of distance, and each query's own k-th distance so far drops
-further cells and, by their distance to the pivot, single rows.
+further cells and, by their distance to the pivot, single rows.  Of vectors of many
+numbers a matrix product gives all distances but for rounding; only those that could be
+among the nearest are summed.
 
 The pivots decide how much is computed, never what is found: all bounds leave
 room for rounding, and distances are summed dimension by dimension.
@@ -37,6 +39,7 @@ MOST_PIVOTS = 1024
 ROOM = 1e-9  # of the distances in a bound
 CELLS = 2_000_000  # distances held at once
 BATCH_ROWS = 2048  # training rows of near cells that are compared together
+WIDE = 8  # numbers from which on a matrix product says which distances are worth summing
 
 
 class Points:
@@ -231,6 +234,56 @@ def _kernel(pivots: Points, k: int, split: list[str], exclude_self: bool, mode:
             # a key that is null is nobody's
             (t_key, q_key), _ = coded([train.column("__tk"), queries.column("__qk")])
             q_key = np.where(queries.column("__qk").combine_chunks().is_null().to_numpy(zero_copy_only=False), -1, q_key)
+        wide = t.x.shape[1] >= WIDE and np.isfinite(t.x).all() and np.isfinite(q.x).all()
+        if wide:
+            middle, root = t.x.mean(axis=0), np.sqrt(pivots.weights)
+            t_flat, q_flat = (t.x - middle) * root, (q.x - middle) * root
+            t_norm, q_norm = (t_flat ** 2).sum(axis=1), (q_flat ** 2).sum(axis=1)
+            wide = np.isfinite(t_norm).all() and np.isfinite(q_norm).all()
+
+        def closest(mine, cols, there, within):
+            """Line, column and squared distance of the first ``k`` of every line that are no farther than ``within``,
+            and how many distances were summed."""
+            within = within * within * (1 + 4 * ROOM)
+            if wide:
+                # rounding moves a product by far less than ROOM of the norms: what is within reach is summed as all else is
+                rough = q_flat[mine] @ t_flat[cols].T
+                rough *= -2
+                rough += t_norm[cols]
+                if t.z.shape[1]:
+                    rough += code_gaps(q.z[mine], there.z, pivots.code_weights)
+                if exclude_self:
+                    rough[q_key[mine, None] == t_key[None, cols]] = np.inf
+                slack = ROOM * (q_norm[mine] + t_norm[cols].max())
+                most = np.finfo(np.float64).max
+                reach = within - q_norm[mine] + slack
+                hit = rough <= np.minimum(reach, most)[:, None]
+                if len(cols) > k and np.count_nonzero(hit) > 4 * k * len(mine):
+                    reach = np.minimum(reach, np.partition(rough, k - 1, axis=1)[:, k - 1] + 2 * slack)
+                    hit = rough <= np.minimum(reach, most)[:, None]
+                a, b = np.nonzero(hit)
+                if len(a) <= CELLS // 4:
+                    d = np.zeros(len(a))
+                    for dim in range(t.x.shape[1]):
+                        diff = q.x[mine[a], dim] - there.x[b, dim]
+                        d += (diff * diff) * pivots.weights[dim]
+                    if t.z.shape[1]:
+                        gaps = np.zeros(len(a))
+                        for j, w in enumerate(pivots.code_weights):
+                            left, right = q.z[mine[a], j], there.z[b, j]
+                            gaps += w * ((left != right) * ((left >= 0).astype(np.float64) + (right >= 0)))
+                        d += gaps
+                    order = np.lexsort((b, d, a))
+                    a, b, d = a[order], b[order], d[order]
+                    keep = (np.arange(len(a)) - np.searchsorted(a, a, side="left") < k) & (d <= within[a])
+                    return a[keep], b[keep], d[keep], len(keep)
+            d = distances(q.take(mine), there)
+            if exclude_self:
+                d[q_key[mine, None] == t_key[None, cols]] = np.inf
+            d[d > within[:, None]] = np.inf
+            a, b = np.nonzero(_first(d, k))
+            return a, b, d[a, b], d.size
+
         cells = []
         for j, at in _groups(train.column("__cell").to_numpy()):
             at = at[np.argsort(t_r[at], kind="stable")]
@@ -275,15 +328,11 @@ def _kernel(pivots: Points, k: int, split: list[str], exclude_self: bool, mode:
                         continue
                     cols, lines = np.sort(np.concatenate(held)), np.flatnonzero(live)
                     there = t.take(cols)
-                    pairs += len(lines) * len(cols)
                     step = max(1, CELLS // max(len(cols), 2 * k))
                     for s in range(0, len(lines), step):
                         some = lines[s:s + step]
-                        d = distances(q.take(mine[some]), there)
-                        if exclude_self:
-                            d[q_key[mine[some], None] == t_key[None, cols]] = np.inf
-                        d[d > (limit[some] * limit[some] * (1 + 4 * ROOM))[:, None]] = np.inf
-                        a, b = np.nonzero(_first(d, k))
+                        a, b, value, summed = closest(mine[some], cols, there, limit[some])
+                        pairs += summed
                         if not len(a):
                             continue
                         # the new ones of a line beside those that it has
@@ -292,7 +341,7 @@ def _kernel(pivots: Points, k: int, split: list[str], exclude_self: bool, mode:
                         slot = np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
                         both_d, both_p = np.full((len(some), k + more), np.inf), np.full((len(some), k + more), len(t))
                         both_d[:, :k], both_p[:, :k] = near[some], place[some]
-                        both_d[a, k + slot], both_p[a, k + slot] = d[a, b], cols[b]
+                        both_d[a, k + slot], both_p[a, k + slot] = value, cols[b]
                         best = np.lexsort((both_p, both_d), axis=1)[:, :k]
                         near[some], place[some] = np.take_along_axis(both_d, best, axis=1), np.take_along_axis(both_p, best, axis=1)
                         limit[some] = np.minimum(limit[some], np.sqrt(near[some, -1]) * (1 + ROOM))
@@ -320,7 +369,7 @@ def pivot_search(train: DataFrame, query: DataFrame, k: int, split: list[str], e
 
     ``train``: ``(split..., __tk, __ty, __tx, __tz, __tc)``, ``query``: ``(split..., __qk, __qx, __qz, __qc)``, written down;
     vectors of numbers and of level codes, each of one length, without nulls.  ``mode`` as in :func:`rarelab.operators.knn_line.line_search`.  ``counter``: an
-    accumulator of the distances computed."""
+    accumulator of the distances summed."""
     spark = train.sparkSession
     names = [*split, "__qk", "__nb"]
     near = T.StructType([T.StructField("__d2", T.DoubleType()), T.StructField("__tk", train.schema["__tk"].dataType),

@@ -207,3 +207,22 @@ def test_queries_of_one_key_are_answered_together(spark):
     qu = spark.createDataFrame([(1, 0.0, 0.0), (1, 8.0, 0.0), (None, 4.0, 0.0)], "entity_id long, a double, b double")
     got = {(r["entity_id"], r["neighbor_key"]) for r in knn_neighbors(tr, qu, ["a", "b"], 2).collect()}
     assert got == {(1, 0), (1, 8), (None, 4), (None, 3)}
+
+
+def test_wide_vectors_sum_few_distances(spark):
+    """Noise of many dimensions: a matrix product rules out nearly all pairs, near ties and copies lose nothing."""
+    rng, counter = np.random.default_rng(12), spark.sparkContext.accumulator(0)
+    x = rng.standard_normal((500, 24)) * 3 + 100
+    x[400:450] = x[:50]  # copies
+    x[450:] = x[:50] + 1e-9 * rng.standard_normal((50, 24))  # all but copies
+    w = np.linspace(0.5, 2.0, 24)
+    d = np.zeros((500, 500))
+    for j in range(24):
+        d += w[j] * ((x[:, None, j] - x[None, :, j]) * (x[:, None, j] - x[None, :, j]))
+    df = spark.createDataFrame([(i, bool(i % 2), v.tolist()) for i, v in enumerate(x)], "entity_id long, label boolean, v array<double>")
+    for own in (True, False):
+        nb = knn_neighbors(df, df, "v", 5, weights=w, exclude_self=own, train_block_rows=200, query_block_rows=150, counter=counter)
+        far = np.where(np.eye(500, dtype=bool), np.inf, d) if own else d
+        want = {(i, int(t), rank + 1) for i in range(500) for rank, t in enumerate(np.lexsort((np.arange(500), far[i]))[:5])}
+        assert {(r["entity_id"], r["neighbor_key"], r["rank"]) for r in nb.collect()} == want
+    assert counter.value < 500 * 500 / 2  # of both searches
