@@ -19,6 +19,10 @@ Two exact strategies:
   task is bounded by the block sizes, and a query block leaves at most k rows
   per query and training block.
 
+Where whole classes are left out (``exclude_col``) and keys are integers, unique and not null, ``blocks``
+(any dimension, :mod:`rarelab.operators.knn_blocks`) writes no candidates: training rows stream past a block of
+queries, each written once per block that needs it.
+
 Rows of level codes and one number at most, searched without classes, need no pairs either
 (:mod:`rarelab.operators.knn_codes`): a line per level, and one of all levels.
 
@@ -36,6 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rarelab.operators.knn_blocks import block_search
 from rarelab.operators.knn_codes import code_search
 from rarelab.operators.knn_line import line_search
 from rarelab.operators.knn_pivots import pivot_search
@@ -66,7 +71,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
                   label: str = "label", query_key: str | None = None, split=None,
                   weights=None, exclude_self: bool = False, exclude_col: str | None = None,
                   member_col: str | None = None, codes: list[str] | None = None, code_weights=None, method: str = "auto", train_block_rows: int = 20000,
-                  query_block_rows: int = 20000, as_arrays: bool = False, counter=None) -> DataFrame:
+                  query_block_rows: int = 20000, as_arrays: bool = False, counter=None, carry=()) -> DataFrame:
     """The k nearest training rows of every query row, exactly.
 
     ``features``: a list of numeric columns or one array column.  Returns
@@ -79,7 +84,11 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     (:func:`rarelab.operators.sparse.encode_levels`) that count as their one-hot columns, whatever the number of
     levels, null or negative as none.  With ``as_arrays`` one row per query, ``(split..., query_key, neighbors)``
     holding the same k structs in rank order (bounded by k).  ``counter``: an
-    accumulator of the distances that the pivots method sums."""
+    accumulator of the distances that the pivots method sums.
+
+    Method ``blocks`` asks for ``exclude_col`` without ``member_col``, codes and self-exclusion, integers as split (one
+    column at most), ``exclude_col`` and key, training keys that are unique in a split and not null, and boolean
+    labels; its results hold the queries' columns ``carry`` as well."""
     split = [split] if isinstance(split, str) else list(split or [])
     query_key = query_key or key
     dim = _dim(train, features)
@@ -88,9 +97,13 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     cw = np.ones(len(codes)) if code_weights is None else np.asarray(code_weights, dtype=float)
     if method == "auto":
         method = "sorted" if dim == 1 and not codes else "pivots"
-    if method not in ("sorted", "pivots") or method == "sorted" and (dim != 1 or codes):
+    if method not in ("sorted", "pivots", "blocks") or method == "sorted" and (dim != 1 or codes):
         raise ValueError(f"no method {method!r} for {dim} features")
     mode = "own" if exclude_col is None else "others" if member_col is None else "listed"
+    if method == "blocks" and (mode != "others" or codes or exclude_self or len(split) > 1 or not dim):
+        raise ValueError("method 'blocks' leaves out classes, of one split column at most")
+    if carry and method != "blocks":
+        raise ValueError(f"method {method!r} carries no columns")
     if train is query and query_key == key:
         # self-search (leave-one-out, SMOTE neighbours): materialise the rows once
         fcols = [features] if isinstance(features, str) else list(features)
@@ -102,7 +115,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
     t = train.select(*split, F.col(key).alias("__tk"), F.col(label).alias("__ty"),
                      _feature_array(features).alias("__tx"), _code_array(codes).alias("__tz"), of_train.alias("__tc"))
     q = query.select(*split, F.col(query_key).alias("__qk"), _feature_array(features).alias("__qx"),
-                     _code_array(codes).alias("__qz"), of_query.alias("__qc"))
+                     _code_array(codes).alias("__qz"), of_query.alias("__qc"), *carry)
     # a row with a null or NaN feature has no distances: it is neither found nor searched for
     whole = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x))
     t, q = t.where(whole("__tx")), q.where(whole("__qx"))
@@ -121,19 +134,39 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, k: int, key: str
         if exclude_self:
             arrays = arrays.withColumn("__nb", F.slice(F.filter("__nb", lambda n: n["__tk"] != F.col("__qk")), 1, k))
         arrays = arrays.select(*split, "__qk", "__nb")
+    elif method == "blocks":
+        arrays = _by_blocks(t, q, k, split, w, list(carry), query_block_rows)
     else:
         arrays = _by_pivots(t, q, k, split, exclude_self, mode, w, cw, train_block_rows, query_block_rows, counter)
     if as_arrays:
-        return arrays.select(*split, F.col("__qk").alias(query_key), F.transform("__nb", lambda n: F.struct(
+        return arrays.select(*split, F.col("__qk").alias(query_key), *carry, F.transform("__nb", lambda n: F.struct(
             n["__tk"].alias("neighbor_key"), n["__ty"].alias("neighbor_label"),
             F.sqrt(n["__d2"]).alias("distance"))).alias("neighbors"))
-    top = (arrays.select(*split, "__qk", F.posexplode("__nb").alias("__p", "__n"))
-           .select(*split, "__qk", "__n.__tk", "__n.__ty", "__n.__d2", (F.col("__p") + 1).alias("rank")))
-    return top.select(*split, F.col("__qk").alias(query_key), F.col("__tk").alias("neighbor_key"),
+    top = (arrays.select(*split, "__qk", *carry, F.posexplode("__nb").alias("__p", "__n"))
+           .select(*split, "__qk", *carry, "__n.__tk", "__n.__ty", "__n.__d2", (F.col("__p") + 1).alias("rank")))
+    return top.select(*split, F.col("__qk").alias(query_key), *carry, F.col("__tk").alias("neighbor_key"),
                       F.col("__ty").alias("neighbor_label"), F.sqrt("__d2").alias("distance"),
                       F.col("rank").cast("int").alias("rank"))
 
 
+def _by_blocks(t: DataFrame, q: DataFrame, k: int, split: list[str], w, carry: list[str], query_block_rows: int) -> DataFrame:
+    """``(split..., __qk, carry..., __nb)`` of the blocks method.  Of equal training rows of a class only the first ``k`` by
+    key can be in an answer."""
+    split_types = [(c, q.schema[c].dataType) for c in split]
+    none = -2 ** 63  # null splits and classes are a value
+    whole = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(none))
+    s = whole(split[0]) if split else F.lit(0).cast("bigint")
+    t = t.select(s.alias("__s"), F.col("__tk").cast("bigint").alias("__tk"), "__ty", whole("__tc").alias("__c"), "__tx")
+    among = Window.partitionBy("__s", "__tx", "__c").orderBy("__tk")
+    t = cut_lineage(t.withColumn("__at", F.row_number().over(among)).where(F.col("__at") <= k)
+                    .select("__s", "__tk", "__ty", "__c", F.col("__tx").alias("__x")))
+    q = cut_lineage(q.select(s.alias("__s"), "__qk", whole("__qc").alias("__c"), F.col("__qx").alias("__x"),
+                             *[F.col(c).alias(f"__with_{c}") for c in carry]))
+    found = block_search(t, q, k, w, [f"__with_{c}" for c in carry], query_block_rows)
+    back = [F.when(F.col("__s") != none, F.col("__s")).cast(t_type).alias(c) for c, t_type in split_types]
+    return found.select(*back, "__qk", *[F.col(f"__with_{c}").alias(c) for c in carry], "__nb")
+
+
 def _by_pivots(t: DataFrame, q: DataFrame, k: int, split: list[str], exclude_self: bool, mode: str, w, cw,
                train_block_rows: int, query_block_rows: int, counter) -> DataFrame:
     """``(split..., __qk, __nb)`` of the pivots method: equal queries are one search, and of equal training rows
@@ -202,11 +235,12 @@ def knn_k_sweep(neighbors: DataFrame, ks: list[int], query_key: str = "entity_id
     split = [split] if isinstance(split, str) else list(split or [])
     few = F.raise_error(F.concat(F.lit("fewer neighbours than k = "), F.lit(str(max(ks)))))
     if "neighbors" in neighbors.columns:
-        labels = F.transform("neighbors", lambda n: F.coalesce(n["neighbor_label"].cast("int"), F.lit(0)))
-        labels = F.when(F.size("neighbors") >= max(ks), labels).otherwise(few)
-        per_k = F.array(*[F.struct(F.lit(k).alias("k"), F.aggregate(
-            F.slice(labels, 1, k), F.lit(0), lambda acc, x: acc + x).alias("pos")) for k in ks])
-        return (neighbors.select(*split, query_key, F.inline(per_k))
+        # the places of the positive ones; a projection of their own, so that they are listed once and not for every k
+        places = F.filter(F.transform("neighbors", lambda n, i: F.when(n["neighbor_label"].cast("int") == 1, i + 1)), lambda p: p.isNotNull())
+        places = neighbors.select(*split, query_key, F.when(F.size("neighbors") >= max(ks), places).otherwise(few).alias("__places"))
+        among = lambda k: F.size(F.filter("__places", lambda p: p <= k))
+        per_k = F.array(*[F.struct(F.lit(k).alias("k"), among(k).alias("pos")) for k in ks])
+        return (places.select(*split, query_key, F.inline(per_k))
                 .select(*split, query_key, F.col("k").cast("int").alias("k"), (2 * F.col("pos") > F.col("k")).alias("pred"),
                         (F.col("pos") / F.col("k")).alias("proba")))
     over = Window.partitionBy(*split, query_key)

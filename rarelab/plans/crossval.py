@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rarelab.operators import metrics
 from rarelab.operators.knn import knn_k_sweep, knn_neighbors, knn_vote
@@ -27,7 +28,8 @@ def cv_knn_sweep(folds: DataFrame, n_splits: int, features, ks: list[int], key:
     neighbour search of depth ``max(ks)``."""
     feats = [features] if isinstance(features, str) else list(features)
     several = isinstance(features, str) or len(feats) > 1
-    if several and not folds.groupBy("repeat", key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+    keys = folds.groupBy("repeat", F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("n"))
+    if several and not keys.where("n > 1").isEmpty():
         # rows of one key are answered together: one search per repeat with same-fold pairs masked
         rows = folds.select("repeat", "fold", key, label, *feats)
         nb = knn_neighbors(rows, rows, features, max(ks), key=key, label=label, split="repeat", weights=weights,
@@ -39,14 +41,21 @@ def cv_knn_sweep(folds: DataFrame, n_splits: int, features, ks: list[int], key:
     # with the labels that have them; no training row is copied
     y = F.col(label)
     named = [F.col(c) if isinstance(features, str) else F.col(c).cast("double").alias(c) for c in feats]
-    values = cut_lineage(folds.groupBy("repeat", "fold", *named).agg(
-        F.count(F.when(y, 1)).alias("__pos"), F.count(F.when(~y, 1)).alias("__neg"))
-        .withColumn("__pair", F.monotonically_increasing_id()))
+    values = folds.groupBy("repeat", "fold", *named).agg(
+        F.count(F.when(y, 1)).alias("__pos"), F.count(F.when(~y, 1)).alias("__neg")).withColumn("__pair", F.monotonically_increasing_id())
     train = folds.select("repeat", "fold", key, label, *named)
-    nb = knn_neighbors(train, values, features, max(ks), key=key, label=label, query_key="__pair", split="repeat",
-                       weights=weights, exclude_col="fold", as_arrays=True)
-    values = values.withColumn("split_id", F.col("repeat") * n_splits + F.col("fold"))
-    hits = knn_k_sweep(nb, ks, "__pair", "repeat").join(values, ["repeat", "__pair"])
+    search = dict(key=key, label=label, query_key="__pair", split="repeat", weights=weights, exclude_col="fold", as_arrays=True)
+    whole = all(isinstance(folds.schema[c].dataType, T.IntegralType) for c in ("repeat", "fold", key))
+    if several and whole and isinstance(folds.schema[label].dataType, T.BooleanType) and keys.where("__key IS NULL").isEmpty():
+        # a set's numbers go through the search with it: no list of neighbours is written
+        own = ["fold", "__pos", "__neg"]
+        nb = knn_neighbors(train, values, features, max(ks), method="blocks", carry=own, **search)
+        hits = knn_k_sweep(nb, ks, "__pair", ["repeat", *own])
+    else:
+        values = cut_lineage(values)
+        nb = knn_neighbors(train, values, features, max(ks), **search)
+        hits = knn_k_sweep(nb, ks, "__pair", "repeat").join(values, ["repeat", "__pair"])
+    hits = hits.withColumn("split_id", F.col("repeat") * n_splits + F.col("fold"))
     right, n = F.sum(F.when(F.col("pred"), F.col("__pos")).otherwise(F.col("__neg"))), F.sum(F.col("__pos") + F.col("__neg"))
     return hits.groupBy("split_id", "k").agg((right / n).alias("accuracy"), n.alias("n")).withColumn(
         "error", 1.0 - F.col("accuracy"))
