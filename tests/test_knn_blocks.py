@@ -121,3 +121,21 @@ def test_a_training_row_goes_to_few_blocks():
     sent = pa.Table.from_batches(knn_blocks._sender(tree, root, {0: plan}, schema)([rows]))
     home = sent.filter(pa.compute.equal(sent["__o"], knn_blocks.HOME))
     assert plan.end >= 20 and home.num_rows == len(x) and sent.num_rows < 4 * len(x)
+
+
+def _shuffled(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()))
+
+
+def test_a_grid_writes_less_than_its_lists_of_neighbours(spark):
+    """Distinct rows: what a search leaves in the shuffle folder is of the size of its rows, not of rows times neighbours."""
+    n, k = 20000, 99
+    df = spark.range(n).select(
+        F.lit(0).alias("repeat"), F.col("id").alias("entity_id"), (F.col("id") % 5).cast("int").alias("fold"), (F.rand(3) < 0.1).alias("label"),
+        *[F.randn(10 + j).alias(f"f{j}") for j in range(2)])
+    df = df.checkpoint()
+    before = _shuffled(spark)
+    scores = cv_knn_sweep(df, 5, ["f0", "f1"], list(range(3, k + 1, 2))).collect()
+    assert len(scores) == 5 * 49 and sum(r["n"] for r in scores) == n * 49
+    assert _shuffled(spark) - before < n * k * 8  # a key for every neighbour, once
